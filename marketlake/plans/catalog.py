@@ -1,3 +1,4 @@
 """Imports every query module so that their ``register`` calls run."""
 
 from marketlake.plans import path_queries  # noqa: F401
+from marketlake.plans import state_queries  # noqa: F401

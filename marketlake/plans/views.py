@@ -30,7 +30,8 @@ VIEWS: dict[str, str] = {
         select cast(user_id as varchar) ticker,
                case when event_id % 50 = 0 then 'bad' else strftime(ts, '%Y-%m-%dT%H:%M:%SZ') end updated_time,
                case when event_id % 7 = 0 then null else date_trunc('hour', ts) end ingested_at,
-               event_type || '.jsonl' source_file, event_id source_row_number, value
+               event_type || '.jsonl' source_file, event_id source_row_number, value,
+               ts event_time
         from events""",
     # trades labelled with outcome (market result, else winner map) and window
     "labelled": """

@@ -92,6 +92,7 @@ def load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("event_type", F.lit(".jsonl")).alias("source_file"),
         F.col("event_id").alias("source_row_number"),
         F.col("value"),
+        F.col("ts").alias("event_time"),
     )
 
 
