@@ -51,7 +51,7 @@ def avg_rank(value, partition: list) -> Column:
     return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
 
 
-def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
+def round_doubles(df: DataFrame, places: int = 9) -> DataFrame:
     """Round every floating column (used where results are compared across engines)."""
     cols = []
     for f in df.schema.fields:

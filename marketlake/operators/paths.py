@@ -155,14 +155,15 @@ def checkpoint_prices(t: DataFrame, offsets: list[tuple[str, str | None]],
                .groupBy(key, "_tag")
                .agg(F.max_by(payload, F.struct("trade_time", "trade_id")).alias("_p"),
                     F.first(start).alias("_start")))
+    # flatten before the generator (nested-field pruning across Generate is fragile)
+    per_tag = per_tag.select(key, "_tag", "_start", F.col("_p.trade_time").alias("_obs"),
+                             *[F.col(f"_p.{c}").alias(f"_c_{c}") for c in carry])
     w = Window.partitionBy(key).orderBy("_tag")
     last_i = len(timed) - 1
     spread = (per_tag.withColumn("_next", F.lead("_tag").over(w))
               .withColumn("_i", F.explode(F.sequence(F.col("_tag"),
                                                      F.coalesce(F.col("_next") - 1, F.lit(last_i))))))
     names = F.array(*[F.lit(n) for n in names_in_time])
-    offs = F.array(*[F.expr(f"interval {o}").cast("string") for _, o in timed])
-    del offs
     cp_time = None
     for i, (_, o) in enumerate(timed):
         e = F.col("_start") - F.expr(f"interval {o}")
@@ -174,8 +175,8 @@ def checkpoint_prices(t: DataFrame, offsets: list[tuple[str, str | None]],
     timed_rows = spread.select(
         key, F.element_at(names, F.col("_i") + 1).alias("checkpoint"),
         order_col.alias("checkpoint_order"), cp_time.alias("checkpoint_time"),
-        F.col("_p.trade_time").alias("observed_trade_time"),
-        *[F.col(f"_p.{c}").alias(c) for c in carry])
+        F.col("_obs").alias("observed_trade_time"),
+        *[F.col(f"_c_{c}").alias(c) for c in carry])
     firsts = [(n, o) for n, o in offsets if o is None]
     if not firsts:
         return timed_rows

@@ -14,7 +14,7 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None, doubles: tuple[str, ...] = ()):
-    """Register a query; doubles are rounded to 6 places on both sides."""
+    """Register a query; doubles are rounded to 9 places on both sides."""
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")

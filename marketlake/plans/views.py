@@ -12,8 +12,8 @@ VIEWS: dict[str, str] = {
                ts trade_time, floor(value*10000/(value+20))/10000 price,
                cast(props->>'$.k' as int)+1 size,
                timestamp '2024-01-16 00:00:00' + to_hours(cast((user_id // 2) % 24 as int)) game_start,
-               event_type series_ticker,
-               case when event_id % 2 = 0 then 'yes' else 'no' end taker_side
+               'SERIES-' || cast((user_id // 2) % 3 as varchar) series_ticker,
+               event_type taker_side
         from events""",
     "markets": """
         select market_id, min(game_id) game_id, min(side) side, min(game_start) game_start,
@@ -45,6 +45,94 @@ VIEWS: dict[str, str] = {
         select *, case when actual_outcome = 1.0 then price else 1.0 - price end winner_probability,
                (price - actual_outcome) * (price - actual_outcome) brier_score
         from labelled where trade_time is not null and price is not null and actual_outcome is not null""",
+    "pregame": "select * from scored where \"window\" = 'pregame'",
+    "livep": "select * from scored where \"window\" = 'live'",
+    # A8 pregame market summary
+    "msum": """
+        select *, date_diff('microsecond', first_trade_time, last_pregame_trade_time) / 3.6e9 hours_observed_pregame,
+               first_pitch_price - open_price price_change,
+               winner_prob_first_pitch - winner_prob_open winner_prob_change,
+               winner_prob_first_pitch - winner_prob_open > 0 moved_toward_winner,
+               brier_open - brier_first_pitch brier_improvement,
+               brier_open > brier_first_pitch forecast_improved,
+               case when total_abs_winner_prob_move > 0
+                    then abs(winner_prob_first_pitch - winner_prob_open) / total_abs_winner_prob_move end path_efficiency
+        from (select market_id,
+                     arg_min(game_id, (trade_time, trade_id)) game_id, arg_min(side, (trade_time, trade_id)) side,
+                     arg_min(actual_outcome, (trade_time, trade_id)) actual_outcome,
+                     min(trade_time) first_trade_time, max(trade_time) last_pregame_trade_time,
+                     arg_min(game_start, (trade_time, trade_id)) game_start,
+                     count(*) pregame_trade_count, cast(sum(size) as bigint) pregame_volume,
+                     arg_min(price, (trade_time, trade_id)) open_price,
+                     arg_max(price, (trade_time, trade_id)) first_pitch_price,
+                     arg_min(winner_probability, (trade_time, trade_id)) winner_prob_open,
+                     arg_max(winner_probability, (trade_time, trade_id)) winner_prob_first_pitch,
+                     arg_min(brier_score, (trade_time, trade_id)) brier_open,
+                     arg_max(brier_score, (trade_time, trade_id)) brier_first_pitch,
+                     coalesce(sum(step), 0.0) total_abs_winner_prob_move,
+                     case when min(x) < max(x) then covar_pop(x, winner_probability) / var_pop(x) end
+                         winner_prob_slope_per_hour
+              from (select *, abs(winner_probability - lag(winner_probability) over
+                                  (partition by market_id order by trade_time, trade_id)) step,
+                           date_diff('microsecond', game_start, trade_time) / 3.6e9 x
+                    from pregame) d
+              group by market_id) s""",
+    # A9 pregame event summary
+    "esum": """
+        select *, mean_brier_improvement > 0 forecast_improved, mean_winner_prob_change > 0 moved_toward_winner
+        from (select game_id, count(distinct market_id) markets,
+                     sum(pregame_trade_count) pregame_trade_count, sum(pregame_volume) pregame_volume,
+                     avg(winner_prob_open) mean_winner_prob_open,
+                     avg(winner_prob_first_pitch) mean_winner_prob_first_pitch,
+                     avg(winner_prob_change) mean_winner_prob_change, avg(brier_open) mean_brier_open,
+                     avg(brier_first_pitch) mean_brier_first_pitch,
+                     avg(brier_improvement) mean_brier_improvement, avg(path_efficiency) mean_path_efficiency
+              from msum group by game_id) e""",
+    # J7 checkpoint prices, brute force: every print joined to every checkpoint it precedes
+    "cps": """select * from (values ('6h_before', 1, interval 6 hour), ('3h_before', 2, interval 3 hour),
+                  ('1h_before', 3, interval 1 hour), ('15m_before', 4, interval 15 minute),
+                  ('first_pitch', 5, interval 0 second)) v(checkpoint, checkpoint_order, off)""",
+    "cp": """
+        select p.market_id, c.checkpoint, c.checkpoint_order, p.game_start - c.off checkpoint_time,
+               max(p.trade_time) observed_trade_time,
+               arg_max(p.price, (p.trade_time, p.trade_id)) price,
+               arg_max(p.winner_probability, (p.trade_time, p.trade_id)) winner_probability,
+               arg_max(p.brier_score, (p.trade_time, p.trade_id)) brier_score,
+               arg_max(p.game_id, (p.trade_time, p.trade_id)) game_id,
+               arg_max(p.side, (p.trade_time, p.trade_id)) side,
+               arg_max(p.actual_outcome, (p.trade_time, p.trade_id)) actual_outcome
+        from pregame p join cps c on p.trade_time <= p.game_start - c.off
+        group by p.market_id, c.checkpoint, c.checkpoint_order, p.game_start - c.off
+        union all
+        select market_id, 'first_observed', 0, min(trade_time), min(trade_time),
+               arg_min(price, (trade_time, trade_id)), arg_min(winner_probability, (trade_time, trade_id)),
+               arg_min(brier_score, (trade_time, trade_id)), arg_min(game_id, (trade_time, trade_id)),
+               arg_min(side, (trade_time, trade_id)), arg_min(actual_outcome, (trade_time, trade_id))
+        from pregame group by market_id""",
+    # A14/A15 concentration
+    "conc": """
+        select *, brier_first_observed - brier_first_pitch total_brier_improvement,
+               brier_1h_before - brier_first_pitch final_hour_brier_improvement,
+               case when brier_first_observed - brier_first_pitch > 0
+                    then (brier_1h_before - brier_first_pitch) / (brier_first_observed - brier_first_pitch)
+               end final_hour_share_of_positive_improvement,
+               winner_prob_first_pitch - winner_prob_first_observed total_winner_prob_change,
+               winner_prob_first_pitch - winner_prob_1h_before final_hour_winner_prob_change
+        from (select s.market_id, s.game_id, s.side, s.path_efficiency,
+                     max(case when checkpoint = 'first_observed' then brier_score end) brier_first_observed,
+                     max(case when checkpoint = '6h_before' then brier_score end) brier_6h_before,
+                     max(case when checkpoint = '3h_before' then brier_score end) brier_3h_before,
+                     max(case when checkpoint = '1h_before' then brier_score end) brier_1h_before,
+                     max(case when checkpoint = '15m_before' then brier_score end) brier_15m_before,
+                     max(case when checkpoint = 'first_pitch' then brier_score end) brier_first_pitch,
+                     max(case when checkpoint = 'first_observed' then winner_probability end) winner_prob_first_observed,
+                     max(case when checkpoint = '6h_before' then winner_probability end) winner_prob_6h_before,
+                     max(case when checkpoint = '3h_before' then winner_probability end) winner_prob_3h_before,
+                     max(case when checkpoint = '1h_before' then winner_probability end) winner_prob_1h_before,
+                     max(case when checkpoint = '15m_before' then winner_probability end) winner_prob_15m_before,
+                     max(case when checkpoint = 'first_pitch' then winner_probability end) winner_prob_first_pitch
+              from msum s left join cp c on c.market_id = s.market_id
+              group by s.market_id, s.game_id, s.side, s.path_efficiency) w""",
 }
 
 DEPS: dict[str, list[str]] = {
@@ -52,6 +140,12 @@ DEPS: dict[str, list[str]] = {
     "winners": ["markets"],
     "labelled": ["trades", "markets", "winners"],
     "scored": ["labelled"],
+    "pregame": ["scored"],
+    "livep": ["scored"],
+    "msum": ["pregame"],
+    "esum": ["msum"],
+    "cp": ["pregame", "cps"],
+    "conc": ["msum", "cp"],
 }
 
 
@@ -81,7 +175,7 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
     return "with " + ",\n".join(parts) + "\n" + body
 
 
-def rounded(body: str, doubles: list[str], places: int = 6) -> str:
+def rounded(body: str, doubles: list[str], places: int = 9) -> str:
     """Wrap a statement so the listed double columns are rounded like the
     Spark side (``round_doubles``)."""
     if not doubles:

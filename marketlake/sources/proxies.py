@@ -34,8 +34,8 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.get_json_object("props", "$.k").cast("int") + 1).alias("size"),
         F.expr("timestamp_ntz'2024-01-16 00:00:00' + "
                "make_dt_interval(0, cast((user_id div 2) % 24 as int))").alias("game_start"),
-        F.col("event_type").alias("series_ticker"),
-        F.when(F.col("event_id") % 2 == 0, F.lit("yes")).otherwise(F.lit("no")).alias("taker_side"),
+        F.concat(F.lit("SERIES-"), F.expr("cast((user_id div 2) % 3 as string)")).alias("series_ticker"),
+        F.col("event_type").alias("taker_side"),
     )
 
 
