@@ -92,7 +92,7 @@ def bucket_last(t: DataFrame, key, step: str = "minute", value: str = "price",
 
 
 def fill_forward(buckets: DataFrame, key, step: str, value: str = "price",
-                 until: Column | None = None, out: str = "minute") -> DataFrame:
+                 until: Column | None = None, out: str = "minute", extra: tuple = ()) -> DataFrame:
     """Forward fill a sparse (key, bucket, value) series onto a regular grid.
 
     Each observed bucket emits the grid points up to (not including) the next
@@ -104,10 +104,11 @@ def fill_forward(buckets: DataFrame, key, step: str, value: str = "price",
     w = Window.partitionBy(*keys).orderBy("bucket")
     nxt = F.lead("bucket").over(w)
     step_i = _step_interval(step)
-    last_point = F.col("bucket") if until is None else F.greatest(F.col("bucket"), until)
+    last_point = F.col("bucket") if until is None else F.coalesce(F.greatest(F.col("bucket"), until),
+                                                                   F.col("bucket"))
     stop = F.coalesce(F.col("_next") - step_i, last_point)
     return (buckets.withColumn("_next", nxt)
-            .select(*keys, F.explode(F.sequence(F.col("bucket"), stop, step_i)).alias(out), value))
+            .select(*keys, F.explode(F.sequence(F.col("bucket"), stop, step_i)).alias(out), value, *extra))
 
 
 def minute_path(t: DataFrame, step: str = "minute", key: str = "market_id",
@@ -226,9 +227,11 @@ def row_shift(df: DataFrame, key, order, value: str, lags=range(-10, 11)) -> Dat
     """Shifted copies of ``value`` by -10..10 rows, long form (lag, shifted)."""
     keys = [key] if isinstance(key, str) else list(key)
     w = Window.partitionBy(*keys).orderBy(*order)
-    shifted = [F.struct(F.lit(k).alias("lag"),
-                        (F.lead(value, k).over(w) if k > 0 else
-                         F.lag(value, -k).over(w) if k < 0 else F.col(value)).alias("shifted"))
-               for k in lags]
-    return df.select("*", F.explode(F.array(*shifted)).alias("_s")).select(
-        *[c for c in df.columns], F.col("_s.lag").alias("lag"), F.col("_s.shifted").alias("shifted"))
+    lags = list(lags)
+    wide = df.select("*", *[(F.lead(value, k).over(w) if k > 0 else
+                             F.lag(value, -k).over(w) if k < 0 else F.col(value)).alias(f"_s{i}")
+                            for i, k in enumerate(lags)])
+    arr = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_s{i}").alias("shifted"))
+                    for i, k in enumerate(lags)])
+    return wide.select(*df.columns, F.explode(arr).alias("_s")).select(
+        *df.columns, F.col("_s.lag").alias("lag"), F.col("_s.shifted").alias("shifted"))

@@ -3,3 +3,4 @@
 from marketlake.plans import path_queries  # noqa: F401
 from marketlake.plans import state_queries  # noqa: F401
 from marketlake.plans import market_queries  # noqa: F401
+from marketlake.plans import pair_queries  # noqa: F401

@@ -133,6 +133,114 @@ VIEWS: dict[str, str] = {
                      max(case when checkpoint = 'first_pitch' then winner_probability end) winner_prob_first_pitch
               from msum s left join cp c on c.market_id = s.market_id
               group by s.market_id, s.game_id, s.side, s.path_efficiency) w""",
+    "mo": """
+        select m.market_id, m.game_id, m.side, m.game_start, m.market_result, w.winner_side
+        from markets m left join winners w on w.game_id = m.game_id""",
+    "pairs": """
+        select game_id, min(case when side = winner_side then market_id end) winner_market_id,
+               min(case when side <> winner_side then market_id end) loser_market_id, min(winner_side) winner_side
+        from mo where winner_side is not null group by game_id
+        having min(case when side = winner_side then market_id end) is not null
+           and min(case when side <> winner_side then market_id end) is not null""",
+    "games": "select game_id, min(game_start) game_start from mo group by game_id",
+    # J9 pair path over pregame prints, hourly buckets
+    "pb": """
+        select t.game_id, case when t.market_id = p.winner_market_id then 1 else 0 end role,
+               date_trunc('hour', t.trade_time) bucket, arg_max(t.price, (t.trade_time, t.trade_id)) price
+        from pregame t join pairs p on p.game_id = t.game_id
+        where t.market_id in (p.winner_market_id, p.loser_market_id) group by 1, 2, 3""",
+    "ppath": """
+        select g.game_id, g.role, g.minute, last_value(b.price ignore nulls) over
+                 (partition by g.game_id, g.role order by g.minute rows between unbounded preceding and current row) price
+        from (select game_id, role, unnest(generate_series(min(bucket), max(bucket), interval 1 hour)) as minute
+              from pb group by 1, 2) g
+        left join pb b on b.game_id = g.game_id and b.role = g.role and b.bucket = g.minute""",
+    "pp": """
+        select w.game_id, w.minute, w.price winner_price, 1.0 - l.price loser_implied
+        from ppath w join ppath l on w.game_id = l.game_id and w.minute = l.minute and w.role = 1 and l.role = 0""",
+    "pdl": """
+        select *, winner_price - lag(winner_price) over (partition by game_id order by minute) winner_delta,
+               loser_implied - lag(loser_implied) over (partition by game_id order by minute) loser_delta
+        from pp""",
+    "lagc": """
+        select a.game_id, l.lag_minutes,
+               case when count(b.loser_delta) >= 3
+                         and min(case when b.loser_delta is not null then a.winner_delta end)
+                           < max(case when b.loser_delta is not null then a.winner_delta end)
+                         and min(b.loser_delta) < max(b.loser_delta)
+                    then covar_pop(case when b.loser_delta is not null then a.winner_delta end, b.loser_delta)
+                         / (stddev_pop(case when b.loser_delta is not null then a.winner_delta end)
+                            * stddev_pop(b.loser_delta)) end delta_corr,
+               count(b.loser_delta) n
+        from (select *, row_number() over (partition by game_id order by minute) rn from pdl
+              where winner_delta is not null and loser_delta is not null) a
+        cross join (select unnest(range(-10, 11)) lag_minutes) l
+        left join (select *, row_number() over (partition by game_id order by minute) rn from pdl
+                   where winner_delta is not null and loser_delta is not null) b
+               on b.game_id = a.game_id and b.rn = a.rn + l.lag_minutes
+        group by a.game_id, l.lag_minutes""",
+    "bestlag": """
+        select game_id, arg_max(lag_minutes, (delta_corr, -lag_minutes)) filter (where delta_corr is not null)
+                 best_delta_lag_minutes, max(delta_corr) best_delta_corr
+        from lagc group by game_id""",
+    # J11 live path: each contract's own filled path, cut to the live grid and filled on
+    "lt": """
+        select t.*, case when t.market_id = p.winner_market_id then 1 else 0 end role
+        from scored t join pairs p on p.game_id = t.game_id
+        where t.market_id in (p.winner_market_id, p.loser_market_id)""",
+    "lgrid": """
+        select game_id, g0, case when date_trunc('hour', last_live) = last_live then last_live
+                                 else date_trunc('hour', last_live) + interval 1 hour end g1
+        from (select game_id, date_trunc('hour', min(game_start)) g0,
+                     max(case when trade_time >= game_start then trade_time end) last_live
+              from lt group by game_id) x where last_live is not null""",
+    "lb": """
+        select game_id, role, date_trunc('hour', trade_time) bucket, arg_max(price, (trade_time, trade_id)) price
+        from lt group by 1, 2, 3""",
+    "lown": """
+        select g.game_id, g.role, g.minute, last_value(b.price ignore nulls) over
+                 (partition by g.game_id, g.role order by g.minute rows between unbounded preceding and current row) price
+        from (select game_id, role, unnest(generate_series(min(bucket), max(bucket), interval 1 hour)) as minute
+              from lb group by 1, 2) g
+        left join lb b on b.game_id = g.game_id and b.role = g.role and b.bucket = g.minute""",
+    "lre": """
+        select x.game_id, r.role, x.minute, last_value(o.price ignore nulls) over
+                 (partition by x.game_id, r.role order by x.minute rows between unbounded preceding and current row) price
+        from (select game_id, unnest(generate_series(g0, g1, interval 1 hour)) as minute from lgrid) x
+        cross join (select 0 role union all select 1) r
+        left join lown o on o.game_id = x.game_id and o.role = r.role and o.minute = x.minute""",
+    "lpath": """
+        select game_id, minute, avg(case when role = 1 then price else 1.0 - price end) winner_probability
+        from lre group by 1, 2 having count(price) > 0""",
+    "lsum": """
+        select *, live_trade_count > 0 has_any_live_trades, live_duration_minutes >= 15 has_enough_live_coverage
+        from (select g.game_id, g.game_start,
+               case when s.p0 is null then 0 else coalesce(t.n, 0) end live_trade_count,
+               case when s.p0 is null then 0.0 else coalesce(t.vol, 0.0) end live_volume,
+               case when s.p0 is null then 0 else coalesce(t.mk, 0) end live_markets_with_trades,
+               case when s.p0 is not null then t.f end first_live_trade_time,
+               case when s.p0 is not null then t.l end last_live_trade_time,
+               case when s.p0 is null then 0.0 else date_diff('microsecond', s.p0, s.p1) / 6e7 end live_duration_minutes,
+               s.first_p winner_prob_first_pitch, s.last_p winner_prob_last_observed,
+               s.last_p - s.first_p live_repricing_to_winner,
+               case when s.p0 is not null then coalesce(s.tot, 0.0) end total_abs_live_move,
+               case when s.tot > 0 then abs(s.last_p - s.first_p) / s.tot end path_efficiency,
+               s.mx max_1m_abs_move, s.j5 jump_count_5c, s.j10 jump_count_10c,
+               case when s.tot > 0 then s.mx / s.tot end largest_jump_share_of_path,
+               s.slope trend_slope_per_hour
+        from games g
+        left join (select game_id, min(minute) p0, max(minute) p1, arg_min(winner_probability, minute) first_p,
+                          arg_max(winner_probability, minute) last_p, sum(a) tot, max(a) mx,
+                          count(*) filter (where a >= 0.05) j5, count(*) filter (where a >= 0.10) j10,
+                          case when min(x) < max(x) then covar_pop(x, winner_probability) / var_pop(x) end slope
+                   from (select p.*, abs(winner_probability - lag(winner_probability) over
+                                    (partition by p.game_id order by minute)) a,
+                                date_diff('microsecond', g.game_start, minute) / 3.6e9 x
+                         from lpath p join games g on g.game_id = p.game_id) d group by game_id) s
+               on s.game_id = g.game_id
+        left join (select game_id, count(*) n, cast(sum(size) as double) vol, count(distinct market_id) mk,
+                          min(trade_time) f, max(trade_time) l from livep group by game_id) t
+               on t.game_id = g.game_id) z""",
 }
 
 DEPS: dict[str, list[str]] = {
@@ -146,6 +254,22 @@ DEPS: dict[str, list[str]] = {
     "esum": ["msum"],
     "cp": ["pregame", "cps"],
     "conc": ["msum", "cp"],
+    "mo": ["markets", "winners"],
+    "pairs": ["mo"],
+    "games": ["mo"],
+    "pb": ["pregame", "pairs"],
+    "ppath": ["pb"],
+    "pp": ["ppath"],
+    "pdl": ["pp"],
+    "lagc": ["pdl"],
+    "bestlag": ["lagc"],
+    "lt": ["scored", "pairs"],
+    "lgrid": ["lt"],
+    "lb": ["lt"],
+    "lown": ["lb"],
+    "lre": ["lgrid", "lown"],
+    "lpath": ["lre"],
+    "lsum": ["games", "lpath", "livep"],
 }
 
 
