@@ -241,6 +241,36 @@ VIEWS: dict[str, str] = {
         left join (select game_id, count(*) n, cast(sum(size) as double) vol, count(distinct market_id) mk,
                           min(trade_time) f, max(trade_time) l from livep group by game_id) t
                on t.game_id = g.game_id) z""",
+    "depth": """
+        select market_id, coalesce(sum(size) filter (where side = 'yes'), 0) orderbook_yes_depth_contracts,
+               coalesce(sum(size) filter (where side = 'no'), 0) orderbook_no_depth_contracts,
+               coalesce(sum(size), 0) orderbook_total_depth_contracts,
+               max(price) filter (where side = 'yes') best_yes_bid, max(price) filter (where side = 'no') best_no_bid
+        from levels group by market_id""",
+    "istd": """
+        select market_id, case when count(*) = 0 then null when count(*) = 1 then 0.0
+                               when sum(size) <= 0 then stddev_pop(p)
+                               else sqrt(sum(size * (p - wm) * (p - wm)) / sum(size)) end orderbook_yes_implied_std
+        from (select *, sum(size * p) over (partition by market_id) / sum(size) over (partition by market_id) wm
+              from (select market_id, size, case when side = 'yes' then price else 1.0 - price end p
+                    from levels) a) b
+        group by market_id""",
+    # Pregame summary with market context and book depth
+    "la": """
+        select s.*, m.market_result, d.orderbook_yes_depth_contracts, d.orderbook_no_depth_contracts,
+               d.orderbook_total_depth_contracts, d.best_yes_bid, d.best_no_bid
+        from msum s left join markets m on m.market_id = s.market_id
+        left join depth d on d.market_id = s.market_id""",
+    # Analysable live games with pregame and book context per game
+    "lla": """
+        select g.*, c.pregame_trade_count, c.pregame_volume, c.orderbook_total_depth_contracts,
+               c.orderbook_yes_depth_contracts, c.orderbook_no_depth_contracts
+        from (select * from lsum where has_enough_live_coverage) g
+        left join (select game_id, sum(pregame_trade_count) pregame_trade_count, sum(pregame_volume) pregame_volume,
+                          coalesce(sum(orderbook_total_depth_contracts), 0) orderbook_total_depth_contracts,
+                          coalesce(sum(orderbook_yes_depth_contracts), 0) orderbook_yes_depth_contracts,
+                          coalesce(sum(orderbook_no_depth_contracts), 0) orderbook_no_depth_contracts
+                   from la group by game_id) c on c.game_id = g.game_id""",
 }
 
 DEPS: dict[str, list[str]] = {
@@ -270,6 +300,10 @@ DEPS: dict[str, list[str]] = {
     "lre": ["lgrid", "lown"],
     "lpath": ["lre"],
     "lsum": ["games", "lpath", "livep"],
+    "depth": ["levels"],
+    "istd": ["levels"],
+    "la": ["msum", "markets", "depth"],
+    "lla": ["lsum", "la"],
 }
 
 
