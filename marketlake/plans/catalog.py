@@ -5,3 +5,4 @@ from marketlake.plans import state_queries  # noqa: F401
 from marketlake.plans import market_queries  # noqa: F401
 from marketlake.plans import pair_queries  # noqa: F401
 from marketlake.plans import book_queries  # noqa: F401
+from marketlake.plans import staging_queries  # noqa: F401

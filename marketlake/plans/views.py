@@ -271,6 +271,49 @@ VIEWS: dict[str, str] = {
                           coalesce(sum(orderbook_yes_depth_contracts), 0) orderbook_yes_depth_contracts,
                           coalesce(sum(orderbook_no_depth_contracts), 0) orderbook_no_depth_contracts
                    from la group by game_id) c on c.game_id = g.game_id""",
+    "raw_series": """
+        select 'KXS' || cast(n_nationkey as varchar) ticker,
+               case when n_regionkey < 3 then 'Sports' else 'Economics' end category,
+               case n_nationkey % 7 when 0 then 'Pro Baseball Spread' when 1 then 'Pro Baseball Hits'
+                    when 2 then 'First 5 Innings Winner' else n_name end title,
+               case n_nationkey % 3 when 0 then ['Baseball', 'Sports'] when 1 then ['BaseBall']
+                    else ['Basketball'] end tags,
+               'daily' frequency, cast(n_regionkey as decimal(38,0)) fee_multiplier, 'quadratic' fee_type,
+               '2024-01-0' || cast(n_regionkey + 1 as varchar) || 'T00:00:00Z' last_updated_ts
+        from nation""",
+    "raw_events": """
+        select 'EVT-' || cast(c_custkey as varchar) event_ticker, 'KXS' || cast(c_nationkey as varchar) series_ticker,
+               c_mktsegment category, c_name title, c_mktsegment sub_title, c_acctbal > 0 available_on_brokers,
+               c_nationkey % 2 = 0 mutually_exclusive, 'binary' collateral_return_type,
+               case when c_custkey % 10 = 0 then 'bad'
+                    else strftime(timestamp '2024-01-01 00:00:00' + to_seconds(c_custkey), '%Y-%m-%dT%H:%M:%SZ')
+               end last_updated_ts,
+               cast(null as varchar) product_metadata
+        from customer""",
+    "raw_markets": """
+        select 'MKT-' || cast(o_orderkey as varchar) ticker, 'EVT-' || cast(o_custkey as varchar) event_ticker,
+               o_orderpriority title, o_orderstatus status,
+               case o_orderstatus when 'F' then 'yes' when 'P' then 'no' else '' end result,
+               o_orderpriority yes_sub_title,
+               case when o_orderkey % 3 = 0 then o_orderpriority else 'other' end no_sub_title,
+               strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') close_time,
+               cast(cast(o_totalprice as decimal(18,2)) as varchar) liquidity_dollars,
+               cast(o_custkey as varchar) volume_fp, o_orderkey % 2 = 0 can_close_early
+        from orders""",
+    "raw_trades": """
+        select cast(trade_id as varchar) trade_id, cast(market_id as varchar) ticker,
+               case when trade_id % 97 = 0 then 'n/a' else cast(size as varchar) end count_fp, taker_side,
+               cast(cast(1 - price as decimal(18,4)) as varchar) no_price_dollars,
+               cast(cast(price as decimal(18,4)) as varchar) yes_price_dollars,
+               strftime(trade_time, '%Y-%m-%dT%H:%M:%SZ') created_time
+        from trades""",
+    "gt": """
+        select game_id, side, game_start, ev event_ticker, ev || '-S' || cast(side as varchar) market_ticker
+        from (select game_id, side, game_start,
+                     'KXGAME-' || upper(strftime((game_start at time zone 'UTC') at time zone 'America/New_York',
+                                                 '%y%b%d%H%M'))
+                     || 'H' || cast(game_id as varchar) || 'A' || cast(game_id as varchar) ev
+              from (select game_id, side, min(game_start) game_start from trades group by 1, 2) g) x""",
 }
 
 DEPS: dict[str, list[str]] = {
@@ -304,6 +347,8 @@ DEPS: dict[str, list[str]] = {
     "istd": ["levels"],
     "la": ["msum", "markets", "depth"],
     "lla": ["lsum", "la"],
+    "raw_trades": ["trades"],
+    "gt": ["trades"],
 }
 
 

@@ -111,3 +111,93 @@ def h_markets(spark, sf_dir):
 
 def h_trades(spark, sf_dir):
     return table(spark, sf_dir, "lineitem")
+
+
+# ---- raw (text-typed) current-state tables, for staging and facts ----
+
+def _iso(col: str):
+    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def raw_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    return n.select(
+        F.concat(F.lit("KXS"), k.cast("string")).alias("ticker"),
+        F.when(F.col("n_regionkey") < 3, F.lit("Sports")).otherwise(F.lit("Economics")).alias("category"),
+        F.when(k % 7 == 0, F.lit("Pro Baseball Spread")).when(k % 7 == 1, F.lit("Pro Baseball Hits"))
+         .when(k % 7 == 2, F.lit("First 5 Innings Winner")).otherwise(F.col("n_name")).alias("title"),
+        F.when(k % 3 == 0, F.array(F.lit("Baseball"), F.lit("Sports")))
+         .when(k % 3 == 1, F.array(F.lit("BaseBall")))
+         .otherwise(F.array(F.lit("Basketball"))).alias("tags"),
+        F.lit("daily").alias("frequency"),
+        F.col("n_regionkey").cast("decimal(38,0)").alias("fee_multiplier"),
+        F.lit("quadratic").alias("fee_type"),
+        F.concat(F.lit("2024-01-0"), (F.col("n_regionkey") + 1).cast("string"), F.lit("T00:00:00Z"))
+         .alias("last_updated_ts"))
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        F.concat(F.lit("EVT-"), k.cast("string")).alias("event_ticker"),
+        F.concat(F.lit("KXS"), F.col("c_nationkey").cast("string")).alias("series_ticker"),
+        F.col("c_mktsegment").alias("category"),
+        F.col("c_name").alias("title"),
+        F.col("c_mktsegment").alias("sub_title"),
+        (F.col("c_acctbal") > 0).alias("available_on_brokers"),
+        (F.col("c_nationkey") % 2 == 0).alias("mutually_exclusive"),
+        F.lit("binary").alias("collateral_return_type"),
+        F.when(k % 10 == 0, F.lit("bad"))
+         .otherwise(_iso(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), k.cast("decimal(18,6)"))))
+         .alias("last_updated_ts"),
+        F.lit(None).cast("string").alias("product_metadata"))
+
+
+def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.concat(F.lit("MKT-"), k.cast("string")).alias("ticker"),
+        F.concat(F.lit("EVT-"), F.col("o_custkey").cast("string")).alias("event_ticker"),
+        F.col("o_orderpriority").alias("title"),
+        F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("yes")).when(F.col("o_orderstatus") == "P", F.lit("no"))
+         .otherwise(F.lit("")).alias("result"),
+        F.col("o_orderpriority").alias("yes_sub_title"),
+        F.when(k % 3 == 0, F.col("o_orderpriority")).otherwise(F.lit("other")).alias("no_sub_title"),
+        _iso("o_orderdate").alias("close_time"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("liquidity_dollars"),
+        F.col("o_custkey").cast("string").alias("volume_fp"),
+        (k % 2 == 0).alias("can_close_early"))
+
+
+def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = trades(spark, sf_dir)
+    return t.select(
+        F.col("trade_id").cast("string").alias("trade_id"),
+        F.col("market_id").cast("string").alias("ticker"),
+        F.when(F.col("trade_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("size").cast("string")).alias("count_fp"),
+        F.col("taker_side"),
+        (1 - F.col("price")).cast("decimal(18,4)").cast("string").alias("no_price_dollars"),
+        F.col("price").cast("decimal(18,4)").cast("string").alias("yes_price_dollars"),
+        _iso("trade_time").alias("created_time"))
+
+
+def raw_orderbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = books(spark, sf_dir)
+    return b.select(F.concat(F.lit("MKT-"), F.col("market_id").cast("string")).alias("market_ticker"), "orderbook")
+
+
+def game_tickers(spark: SparkSession, sf_dir: str, trades_df: DataFrame | None = None) -> DataFrame:
+    """One event ticker per game in the exchange's shape:
+    SERIES-yyMMMddHHmm(Eastern start)TEAMS, plus one market ticker per side."""
+    t = trades_df if trades_df is not None else trades(spark, sf_dir)
+    g = t.groupBy("game_id", "side").agg(F.min("game_start").alias("game_start"))
+    local = F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("game_start"))
+    ev = F.concat(F.lit("KXGAME-"), F.upper(F.date_format(local, "yyMMMddHHmm")),
+                  F.lit("H"), F.col("game_id").cast("string"), F.lit("A"), F.col("game_id").cast("string"))
+    return g.select("game_id", "side", "game_start", ev.alias("event_ticker"),
+                    F.concat(ev, F.lit("-S"), F.col("side").cast("string")).alias("market_ticker"))
