@@ -19,24 +19,62 @@ def _by_market(key="market_id", order=ORDER):
     return Window.partitionBy(key).orderBy(*order)
 
 
+SLICE = "hour"
+
+
+def sliced_prev(df: DataFrame, key, values: tuple[str, ...], running: tuple[str, ...] = (),
+                order: tuple[str, ...] = ORDER, time_col: str = "trade_time",
+                slice_unit: str = SLICE) -> DataFrame:
+    """Previous row's values (``prev_<v>``) and running sums (``run_<v>``)
+    within ``key`` in ``order``, without putting a whole key in one task.
+
+    A key's rows are windowed per (key, time slice), so one very hot market
+    spreads over as many tasks as it has slices.  The first row of a slice
+    takes its previous values from the last row of the key's previous
+    non-empty slice, and running sums add the totals of earlier slices; both
+    come from the last row of each slice (one row per slice) and a window
+    over slices, joined back on (key, slice).  The
+    join reuses the window's hash partitioning, so only the slice summary
+    moves."""
+    keys = [key] if isinstance(key, str) else list(key)
+    d = df.withColumn("_slice", floor_to(time_col, slice_unit))
+    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = d.select("*", F.row_number().over(w).alias("_rn"),
+                     F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
+                     *[F.lag(v).over(w).alias(f"_lp_{v}") for v in values],
+                     *[F.sum(v).over(run).alias(f"_lr_{v}") for v in running])
+    # the last row of each slice is its summary (the window's shuffle is reused)
+    summ = local.filter("_is_last").select(*keys, "_slice", F.struct(*values).alias("_last"),
+                                           *[F.col(f"_lr_{v}").alias(f"_tot_{v}") for v in running])
+    ws = Window.partitionBy(*keys).orderBy("_slice")
+    before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select(*keys, "_slice", F.lag("_last").over(ws).alias("_pl"),
+                        *[F.sum(f"_tot_{v}").over(before).alias(f"_off_{v}") for v in running])
+    j = local.join(carry, [*keys, "_slice"], "left")
+    first = F.col("_rn") == 1
+    return j.select(*df.columns,
+                    *[F.when(first, F.col(f"_pl.{v}")).otherwise(F.col(f"_lp_{v}")).alias(f"prev_{v}")
+                      for v in values],
+                    *[(F.col(f"_lr_{v}") + F.coalesce(F.col(f"_off_{v}"), F.lit(0))).alias(f"run_{v}")
+                      for v in running])
+
+
 def trade_price_path(t: DataFrame, key: str = "market_id") -> DataFrame:
     """Delta to the previous print, whole seconds since it (boundary count,
-    as the warehouse's datediff), running volume."""
-    w = _by_market(key)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return t.select(
-        "*",
-        (F.col("price") - F.lag("price").over(w)).alias("price_delta"),
-        second_boundaries(F.lag("trade_time").over(w), F.col("trade_time")).alias("seconds_since_prev"),
-        F.sum("size").over(run).alias("cumulative_volume"),
+    as the warehouse's datediff), running volume (sliced windows)."""
+    p = sliced_prev(t, key, ("price", "trade_time"), running=("size",))
+    return p.select(
+        *t.columns,
+        (F.col("price") - F.col("prev_price")).alias("price_delta"),
+        second_boundaries(F.col("prev_trade_time"), F.col("trade_time")).alias("seconds_since_prev"),
+        F.col("run_size").alias("cumulative_volume"),
     )
 
 
 def trade_information_score(t: DataFrame, key: str = "market_id") -> DataFrame:
     """Size-discounted price move |delta| / ln(size + 1), moving prints only."""
-    w = _by_market(key)
-    prev = F.lag("price").over(w)
-    scored = t.select("*", prev.alias("prev_price"))
+    scored = sliced_prev(t, key, ("price",))
     delta = F.col("price") - F.col("prev_price")
     scored = scored.withColumn("price_delta", delta)
     score = (F.when(F.col("price_delta").isNull(), F.lit(None).cast("double"))
@@ -196,21 +234,32 @@ def _micros(c) -> Column:
 
 
 def next_trade_lag(t: DataFrame, group: str = "game_id", side: str = "side",
-                   time_col: str = "trade_time") -> DataFrame:
+                   time_col: str = "trade_time", slice_unit: str = SLICE) -> DataFrame:
     """As-of forward, strict.  For each print, minutes to the next strictly
     later print on the other side of the same game; unmatched prints dropped.
 
-    One descending window per game: RANGE ... 1 PRECEDING on a microsecond
-    key is 'strictly later', and UNBOUNDED PRECEDING keeps the frame
-    incremental (an UNBOUNDED FOLLOWING frame would be quadratic).
+    Descending windows per (game, time slice): RANGE ... 1 PRECEDING on a
+    microsecond key is 'strictly later', and UNBOUNDED PRECEDING keeps the
+    frame incremental (an UNBOUNDED FOLLOWING frame would be quadratic).
+    Prints with no match in their slice take the first opposite print of a
+    later slice from a per-slice summary, so a hot game is not one task.
     """
     us = _micros(time_col)
-    d = t.select(group, side, "trade_id", time_col, us.alias("_us"))
-    w = (Window.partitionBy(group).orderBy(F.col("_us").desc())
+    d = t.select(group, side, "trade_id", time_col, us.alias("_us"),
+                 floor_to(time_col, slice_unit).alias("_slice"))
+    # within a (game, slice): strictly later prints of each side
+    w = (Window.partitionBy(group, "_slice").orderBy(F.col("_us").desc())
          .rangeBetween(Window.unboundedPreceding, -1))
-    other_next = F.when(F.col(side) == 0, F.min(F.when(F.col(side) == 1, F.col("_us"))).over(w)) \
-        .otherwise(F.min(F.when(F.col(side) == 0, F.col("_us"))).over(w))
-    return (d.withColumn("_next", other_next)
+    local0 = F.min(F.when(F.col(side) == 0, F.col("_us"))).over(w)
+    local1 = F.min(F.when(F.col(side) == 1, F.col("_us"))).over(w)
+    # across slices: first print of each side in any later slice of the game
+    summ = d.groupBy(group, "_slice").agg(F.min(F.when(F.col(side) == 0, F.col("_us"))).alias("_f0"),
+                                          F.min(F.when(F.col(side) == 1, F.col("_us"))).alias("_f1"))
+    later = Window.partitionBy(group).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select(group, "_slice", F.min("_f0").over(later).alias("_c0"), F.min("_f1").over(later).alias("_c1"))
+    j = d.select("*", local0.alias("_l0"), local1.alias("_l1")).join(carry, [group, "_slice"], "left")
+    other_next = F.when(F.col(side) == 0, F.coalesce("_l1", "_c1")).otherwise(F.coalesce("_l0", "_c0"))
+    return (j.withColumn("_next", other_next)
             .filter(F.col("_next").isNotNull())
             .select(group, F.col(side).alias("from_side"), "trade_id", time_col,
                     (F.col("_next") - F.col("_us")).alias("lag_micros"),

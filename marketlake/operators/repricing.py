@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.stats import safe_slope
 from marketlake.functions.timecols import elapsed_hours
+from marketlake.operators.paths import sliced_prev
 
 def _order():
     return F.struct("trade_time", "trade_id")
@@ -23,8 +24,8 @@ def _order():
 def pregame_market_summary(p: DataFrame, key: str = "market_id", event: str = "game_id",
                            team: str = "side") -> DataFrame:
     """24 columns per market from its first and last pregame print."""
-    w = Window.partitionBy(key).orderBy("trade_time", "trade_id")
-    d = p.withColumn("_step", F.abs(F.col("winner_probability") - F.lag("winner_probability").over(w))) \
+    d = sliced_prev(p, key, ("winner_probability",))
+    d = d.withColumn("_step", F.abs(F.col("winner_probability") - F.col("prev_winner_probability"))) \
          .withColumn("_x", elapsed_hours(F.col("game_start"), F.col("trade_time")))
     first = lambda c: F.min_by(c, _order())
     last = lambda c: F.max_by(c, _order())

@@ -38,8 +38,8 @@ def q_orderbook_implied_std(spark, d):
 
 
 @register("orderbook_levels", with_views("""
-select market_id, cast(count(*) filter (where side = 'yes') as int) yes_levels,
-       cast(count(*) filter (where side = 'no') as int) no_levels,
+select market_id, cast(count(distinct price) filter (where side = 'yes') as int) yes_levels,
+       cast(count(distinct price) filter (where side = 'no') as int) no_levels,
        coalesce(sum(size) filter (where side = 'yes'), 0) yes_resting_size,
        coalesce(sum(size) filter (where side = 'no'), 0) no_resting_size
 from levels group by market_id""", "levels"), doubles=("yes_resting_size", "no_resting_size"))

@@ -104,8 +104,9 @@ def q_fct_markets(spark, d):
     + ", ".join(f"m.{c}" for c in M.FCT_ORDERBOOK_MARKET_COLS)
     + """, cast(b.yes_level_count as int) yes_level_count, cast(b.no_level_count as int) no_level_count,
        b.yes_level_count > 0 has_yes_orders, b.no_level_count > 0 has_no_orders
-from (select 'MKT-' || cast(market_id as varchar) market_ticker, count(*) filter (where side = 'yes') yes_level_count,
-             count(*) filter (where side = 'no') no_level_count from levels group by market_id) b
+from (select 'MKT-' || cast(market_id as varchar) market_ticker,
+             count(distinct price) filter (where side = 'yes') yes_level_count,
+             count(distinct price) filter (where side = 'no') no_level_count from levels group by market_id) b
 left join sm m on m.market_ticker = b.market_ticker
 left join se e on e.event_ticker = m.event_ticker""", "levels", "raw_markets", "raw_events",
     extra={"sm": stg_markets_sql(), "se": STG_EVENTS_SQL}))

@@ -71,13 +71,20 @@ def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON text an order book arrives as: one document per market,
-    ``{"yes_dollars": [[price, size], ..], "no_dollars": [..]}``."""
-    lv = levels(spark, sf_dir)
-    pair = F.array(F.col("price").cast("string"), F.col("size").cast("string"))
+    ``{"yes_dollars": [[price, size], ..], "no_dollars": [..]}``.
+
+    A ladder has one entry per price level, so resting size is first summed
+    per (market, side, price): a document holds at most 99 levels a side
+    however many orders rest, and the collect below is bounded."""
+    lv = levels(spark, sf_dir).groupBy("market_id", "side", "price").agg(F.sum("size").alias("size"))
+    pair = F.struct(F.col("price"), F.col("size"))
+    as_text = lambda arr: F.transform(F.sort_array(arr, asc=False),
+                                      lambda x: F.array(x["price"].cast("string"), x["size"].cast("string")))
     return (lv.groupBy("market_id")
-            .agg(F.collect_list(F.when(F.col("side") == "yes", pair)).alias("yes_dollars"),
-                 F.collect_list(F.when(F.col("side") == "no", pair)).alias("no_dollars"))
-            .select("market_id", F.to_json(F.struct("yes_dollars", "no_dollars")).alias("orderbook")))
+            .agg(F.collect_list(F.when(F.col("side") == "yes", pair)).alias("yes"),
+                 F.collect_list(F.when(F.col("side") == "no", pair)).alias("no"))
+            .select("market_id", F.to_json(F.struct(as_text(F.col("yes")).alias("yes_dollars"),
+                                                    as_text(F.col("no")).alias("no_dollars"))).alias("orderbook")))
 
 
 def load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
