@@ -34,6 +34,14 @@ def safe_corr(x, y, min_n: int = 3) -> Column:
     return F.when(ok, F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy)))
 
 
+def safe_corr_complete(x, y, min_n: int = 3) -> Column:
+    """``safe_corr`` for rows already filtered to both sides non-NULL (no
+    masking expressions, so the aggregate stays small)."""
+    x, y = _col(x), _col(y)
+    ok = (F.count(F.lit(1)) >= min_n) & (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(ok, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+
+
 def safe_slope(y, x) -> Column:
     """Least-squares slope of y on x; NULL when x is constant."""
     yy, xx = pairwise(y, x)

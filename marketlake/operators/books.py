@@ -75,13 +75,14 @@ def orderbook_implied_std(b: DataFrame, key: str = "market_id") -> DataFrame:
     swp = F.aggregate("_x", F.lit(0.0), lambda a, x: a + x["w"] * x["p"])
     sp = F.aggregate("_x", F.lit(0.0), lambda a, x: a + x["p"])
     d = d.select(key, "orderbook", "_x", n.alias("_n"), sw.alias("_sw"), swp.alias("_swp"), sp.alias("_sp"))
-    wmean = F.col("_swp") / F.col("_sw")
-    umean = F.col("_sp") / F.col("_n")
+    wmean = F.try_divide(F.col("_swp"), F.col("_sw"))
+    umean = F.try_divide(F.col("_sp"), F.col("_n"))
     d = d.withColumn("_wm", wmean).withColumn("_um", umean)
-    wvar = F.aggregate("_x", F.lit(0.0), lambda a, x: a + x["w"] * (x["p"] - F.col("_wm")) * (x["p"] - F.col("_wm"))) \
-        / F.col("_sw")
-    uvar = F.aggregate("_x", F.lit(0.0), lambda a, x: a + (x["p"] - F.col("_um")) * (x["p"] - F.col("_um"))) \
-        / F.col("_n")
+    wvar = F.try_divide(F.aggregate("_x", F.lit(0.0),
+                                    lambda a, x: a + x["w"] * (x["p"] - F.col("_wm")) * (x["p"] - F.col("_wm"))),
+                        F.col("_sw"))
+    uvar = F.try_divide(F.aggregate("_x", F.lit(0.0), lambda a, x: a + (x["p"] - F.col("_um")) * (x["p"] - F.col("_um"))),
+                        F.col("_n"))
     finite_w = F.forall("_x", lambda x: ~F.isnan(x["w"]) & (F.abs(x["w"]) != F.lit(float("inf"))))
     std = (F.when(F.col("orderbook").isNull() | (F.col("_n") == 0), F.lit(None).cast("double"))
            .when(F.col("_n") == 1, F.lit(0.0))

@@ -70,10 +70,14 @@ def lagged_pair_corr(pp: DataFrame, lags=range(-10, 11), event: str = "game_id")
     x = wide.select(event, "winner_delta", F.explode(F.array(*[
         F.struct(F.lit(k).alias("lag"), F.col(f"_s{i}").alias("v")) for i, k in enumerate(lags)])).alias("_s"))
     x = x.select(event, "winner_delta", F.col("_s.lag").alias("lag_minutes"), F.col("_s.v").alias("shifted"))
-    xx = F.when(F.col("shifted").isNotNull(), F.col("winner_delta"))
+    # a (game, lag) with no complete row still gets a row (n = 0, corr NULL)
+    x = x.withColumn("_ok", F.col("shifted").isNotNull())
+    xw = F.when(F.col("_ok"), F.col("winner_delta"))
+    xs = F.when(F.col("_ok"), F.col("shifted"))
     return x.groupBy(event, "lag_minutes").agg(
-        safe_corr("winner_delta", "shifted").alias("delta_corr"),
-        F.count(xx).alias("n"))
+        F.when((F.count(xs) >= 3) & (F.min(xw) < F.max(xw)) & (F.min(xs) < F.max(xs)),
+               F.try_divide(F.covar_pop(xw, xs), F.stddev_pop(xw) * F.stddev_pop(xs))).alias("delta_corr"),
+        F.count(xs).alias("n"))
 
 
 def best_pair_lag(corrs: DataFrame, event: str = "game_id") -> DataFrame:

@@ -106,7 +106,7 @@ def market_subtitle(df: DataFrame) -> Column:
 
 
 def stg_markets(raw: DataFrame) -> DataFrame:
-    """P5: 3 required + 44 optional columns + derived subtitle (47)."""
+    """P5: 3 required + 44 optional columns + derived subtitle (48 columns)."""
     cols = []
     for spec in MARKET_COLUMNS:
         src, alias, kind = spec[0], spec[1], spec[2]
