@@ -7,3 +7,4 @@ from marketlake.plans import pair_queries  # noqa: F401
 from marketlake.plans import book_queries  # noqa: F401
 from marketlake.plans import staging_queries  # noqa: F401
 from marketlake.plans import ingest_queries  # noqa: F401
+from marketlake.plans import more_queries  # noqa: F401

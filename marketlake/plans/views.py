@@ -314,6 +314,16 @@ VIEWS: dict[str, str] = {
                                                  '%y%b%d%H%M'))
                      || 'H' || cast(game_id as varchar) || 'A' || cast(game_id as varchar) ev
               from (select game_id, side, min(game_start) game_start from trades group by 1, 2) g) x""",
+    "teams": """
+        select n_nationkey team_id, n_name full_team_name, lower(substr(n_name, 1, 3)) team_code,
+               upper(substr(n_name, 1, 3)) abbreviation, n_name team_name, r_name location_name,
+               '1884' first_year_of_play, 1 sport_id, 'Major League Baseball' sport_name, r_regionkey league_id,
+               r_name league_name, n_regionkey * 100 + n_nationkey division_id, r_name || ' ' || n_name division_name,
+               s_suppkey venue_id, 'Park ' || cast(s_suppkey as varchar) venue_name, s_suppkey % 2 = 0 is_active,
+               case when s_suppkey % 9 = 0 then null
+                    else timestamp '2024-01-01 00:00:00' + to_hours(cast(s_suppkey % 48 as int)) end ingested_at,
+               'teams_' || cast(s_suppkey % 4 as varchar) || '.jsonl' source_file, s_suppkey source_row_number
+        from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
 }
 
 DEPS: dict[str, list[str]] = {

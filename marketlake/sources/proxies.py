@@ -208,3 +208,31 @@ def game_tickers(spark: SparkSession, sf_dir: str, trades_df: DataFrame | None =
                   F.lit("H"), F.col("game_id").cast("string"), F.lit("A"), F.col("game_id").cast("string"))
     return g.select("game_id", "side", "game_start", ev.alias("event_ticker"),
                     F.concat(ev, F.lit("-S"), F.col("side").cast("string")).alias("market_ticker"))
+
+
+def team_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team payload snapshots: one team per nation, one snapshot per supplier
+    of that nation (an append-only history), as the nested JSON the teams
+    API returns."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    payload = F.to_json(F.struct(
+        F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"),
+        F.lower(F.substring("n_name", 1, 3)).alias("teamCode"), F.upper(F.substring("n_name", 1, 3)).alias("abbreviation"),
+        F.col("n_name").alias("teamName"), F.col("r_name").alias("locationName"),
+        F.lit("1884").alias("firstYearOfPlay"),
+        F.struct(F.lit(1).alias("id"), F.lit("Major League Baseball").alias("name")).alias("sport"),
+        F.struct(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")).alias("league"),
+        F.struct((F.col("n_regionkey") * 100 + F.col("n_nationkey")).alias("id"),
+                 F.concat(F.col("r_name"), F.lit(" "), F.col("n_name")).alias("name")).alias("division"),
+        F.struct(F.col("s_suppkey").alias("id"), F.concat(F.lit("Park "), F.col("s_suppkey").cast("string"))
+                 .alias("name")).alias("venue"),
+        (F.col("s_suppkey") % 2 == 0).alias("active")))
+    ing = F.when(F.col("s_suppkey") % 9 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+        + F.make_dt_interval(F.lit(0), (F.col("s_suppkey") % 48).cast("int")))
+    return j.select(payload.alias("payload"), ing.alias("ingested_at"),
+                    F.concat(F.lit("teams_"), (F.col("s_suppkey") % 4).cast("string"), F.lit(".jsonl")).alias("source_file"),
+                    F.col("s_suppkey").alias("source_row_number"))
