@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.stats import safe_corr, safe_slope
 from marketlake.functions.timecols import ceil_to, elapsed_hours, elapsed_minutes, floor_to
 from marketlake.operators.paths import bucket_last, fill_forward, minute_path
+from marketlake.operators.quantiles import exact_percentiles, medians_wide
 
 
 def winner_loser_pairs(markets_outcome: DataFrame, event: str = "game_id", key: str = "market_id",
@@ -107,13 +108,15 @@ def pair_gap_summary(pp: DataFrame, lags_df: DataFrame, best: DataFrame, pairs:
         safe_corr("winner_delta", "loser_delta").alias("contemporaneous_delta_corr"),
         F.avg(gap).alias("mean_abs_complement_gap"),
         F.max(gap).alias("max_abs_complement_gap"))
-    lg = lags_df.groupBy(event).agg(
-        F.median(F.when(F.col("from_side") == 1, F.col("lag_minutes"))).alias("median_minutes_winner_to_loser"),
-        F.median(F.when(F.col("from_side") == 0, F.col("lag_minutes"))).alias("median_minutes_loser_to_winner"),
+    shares = lags_df.groupBy(event).agg(
         F.avg(F.when(F.col("from_side") == 1, (F.col("lag_minutes") <= 1).cast("double")))
          .alias("share_winner_followed_within_1m"),
         F.avg(F.when(F.col("from_side") == 0, (F.col("lag_minutes") <= 1).cast("double")))
          .alias("share_loser_followed_within_1m"))
+    meds = medians_wide(lags_df, [event], {
+        "median_minutes_winner_to_loser": F.when(F.col("from_side") == 1, F.col("lag_minutes")),
+        "median_minutes_loser_to_winner": F.when(F.col("from_side") == 0, F.col("lag_minutes"))})
+    lg = shares.join(meds, event, "left")
     return (pairs.select(event, "winner_market_id", "loser_market_id").join(s, event, "inner")
             .join(best, event, "left").join(lg, event, "left"))
 
@@ -203,13 +206,12 @@ def live_distribution(summary: DataFrame, metrics: list[str] = LIVE_METRICS,
     one row per metric (numbers, not describe()'s strings)."""
     long = summary.select(event, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
         event, metrics, "metric", "value")
-    q = F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (long.groupBy("metric")
-            .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                 F.stddev_samp("value").alias("std"), F.min("value").alias("min"), q.alias("_q"),
-                 F.max("value").alias("max"))
-            .select("metric", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-                    F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max"))
+    basic = long.groupBy("metric").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    q = exact_percentiles(long, ["metric"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("count")
+    return basic.join(q, "metric", "left").select("metric", "count", "mean", "std", "min", "p25", "p50", "p75",
+                                                  "max")
 
 
 LIVE_CHECKPOINTS = [("first_pitch", 0), ("15m_live", 15), ("30m_live", 30), ("60m_live", 60),
@@ -263,7 +265,8 @@ def live_checkpoint_prices(path: DataFrame, games: DataFrame, checkpoints=LIVE_C
 
 def live_checkpoint_summary(c: DataFrame, event: str = "game_id") -> DataFrame:
     """A28."""
-    return c.groupBy("checkpoint_order", "checkpoint").agg(
-        F.countDistinct(event).alias("games"),
-        F.avg("winner_probability").alias("mean_winner_probability"),
-        F.median("winner_probability").alias("median_winner_probability"))
+    keys = ["checkpoint_order", "checkpoint"]
+    means = c.groupBy(*keys).agg(F.countDistinct(event).alias("games"),
+                                 F.avg("winner_probability").alias("mean_winner_probability"))
+    meds = medians_wide(c, keys, {"median_winner_probability": "winner_probability"})
+    return means.join(meds, keys, "left")

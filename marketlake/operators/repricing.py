@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.stats import safe_slope
 from marketlake.functions.timecols import elapsed_hours
 from marketlake.operators.paths import sliced_prev
+from marketlake.operators.quantiles import medians_wide
 
 def _order():
     return F.struct("trade_time", "trade_id")
@@ -108,14 +109,18 @@ def contract_sync_distribution(sync: DataFrame) -> DataFrame:
 
 
 def checkpoint_summary(c: DataFrame, key: str = "market_id") -> DataFrame:
-    """Markets, mean and median probability and Brier per checkpoint."""
-    return c.groupBy("checkpoint_order", "checkpoint").agg(
+    """Markets, mean and median probability and Brier per checkpoint
+    (exact medians, distributed: see ``quantiles``)."""
+    keys = ["checkpoint_order", "checkpoint"]
+    means = c.groupBy(*keys).agg(
         F.countDistinct(key).alias("markets"),
         F.avg("winner_probability").alias("mean_winner_probability"),
-        F.median("winner_probability").alias("median_winner_probability"),
-        F.avg("brier_score").alias("mean_brier_score"),
-        F.median("brier_score").alias("median_brier_score"),
-    )
+        F.avg("brier_score").alias("mean_brier_score"))
+    meds = medians_wide(c, keys, {"median_winner_probability": "winner_probability",
+                                  "median_brier_score": "brier_score"})
+    return means.join(meds, keys, "left").select(
+        *keys, "markets", "mean_winner_probability", "median_winner_probability", "mean_brier_score",
+        "median_brier_score")
 
 
 def checkpoint_wide(c: DataFrame, value: str, names: list[str], prefix: str,
@@ -148,7 +153,7 @@ def final_hour_concentration(s: DataFrame, c: DataFrame, names: list[str],
 def concentration_medians(conc: DataFrame) -> DataFrame:
     """Median final-hour share among improving markets; median path
     efficiency over all markets.  One global aggregate, one row."""
-    return conc.agg(
-        F.median(F.when(F.col("total_brier_improvement") > 0,
-                        F.col("final_hour_share_of_positive_improvement"))).alias("median_final_hour_share"),
-        F.median("path_efficiency").alias("median_path_efficiency"))
+    return medians_wide(conc, [], {
+        "median_final_hour_share": F.when(F.col("total_brier_improvement") > 0,
+                                          F.col("final_hour_share_of_positive_improvement")),
+        "median_path_efficiency": "path_efficiency"})
