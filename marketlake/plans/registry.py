@@ -20,6 +20,8 @@ def register(name: str, sql: str | None = None, doubles: tuple[str, ...] = ()):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # stored times are UTC wall clock (NTZ); conversions assume a UTC session
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return round_doubles(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
