@@ -16,23 +16,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.session import materialize
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """One row per group: ``count`` of non-NULL values and one column per
-    entry of ``probs`` (name -> probability in [0, 1])."""
-    d = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    s = (d.repartitionByRange(*[F.col(k) for k in keys], F.col("_v"))
-           .sortWithinPartitions(*keys, "_v")
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
+
+def rank_within(df: DataFrame, keys: list[str], value: str, checkpoint: bool = True) -> DataFrame:
+    """Rows with non-NULL ``value`` plus ``_rank`` (0-based position in
+    (keys, value) order within the group) and ``_n`` (group size).
+
+    Range partitioning on the composite (keys, value) spreads a large group
+    over many partitions; a summary with one row per (partition, group)
+    gives each partition's offset, and the join back is against that small
+    summary.
+
+    The sorted rows with their partition ids and positions are written once
+    (a reliable checkpoint in the shared folder), so the summary and the
+    join read the same stored positions.  The input itself is checkpointed
+    too unless the caller already materialized it, so the range sampler and
+    the shuffle do not each recompute the upstream plan."""
+    d = df.filter(F.col(value).isNotNull())
+    if checkpoint:
+        d = materialize(d)
+    s = materialize(d.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
+                      .sortWithinPartitions(*keys, value)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_mid", F.monotonically_increasing_id()))
     summ = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
     offs = summ.select("_pid", *keys, "_m0",
                        F.coalesce(F.sum("_c").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
                        .alias("_before"),
                        F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
-    ranked = s.join(offs, ["_pid", *keys], "inner") \
-              .withColumn("_rank", F.col("_before") + (F.col("_mid") - F.col("_m0")))   # 0-based
+    return (s.join(offs, ["_pid", *keys], "inner")
+             .withColumn("_rank", F.col("_before") + (F.col("_mid") - F.col("_m0")))
+             .drop("_pid", "_mid", "_m0", "_before"))
+
+
+def average_rank(df: DataFrame, keys: list[str], value: str, out: str = "rank",
+                 checkpoint: bool = True) -> DataFrame:
+    """1-based rank of ``value`` within ``keys`` with ties averaged (pandas
+    ``rank(method='average')``), for rows where ``value`` is not NULL.
+
+    A tie group's first and last positions come from an aggregate on
+    (keys, value), so a value shared by a third of the rows is a hash
+    aggregate and an AQE-splittable join, not one window partition."""
+    r = rank_within(df, keys, value, checkpoint)
+    ties = r.groupBy(*keys, value).agg(((F.min("_rank") + F.max("_rank")) / 2.0 + 1).alias(out))
+    return r.join(ties, [*keys, value], "inner").drop("_rank", "_n")
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """One row per group: ``count`` of non-NULL values and one column per
+    entry of ``probs`` (name -> probability in [0, 1])."""
+    d = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    ranked = rank_within(d, keys, "_v")
     # positions each probability needs: floor and ceil of (n - 1) * p
     need = None
     for p in probs.values():

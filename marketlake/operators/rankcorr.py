@@ -1,8 +1,9 @@
 """Rank correlations.
 
 Inputs are summaries (one row per market or game).  Ranks are computed in
-long form, partitioned by (metric, feature) or by column, so each window
-sorts one column's values and the pairs run in parallel.
+long form with the distributed ``average_rank`` (range-partitioned, ties
+averaged by an aggregate), so no (metric, feature) pair or column is one
+task.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.stats import avg_rank, safe_corr
+from marketlake.functions.stats import safe_corr
+from marketlake.operators.quantiles import average_rank
 
 
 def _finite(c):
@@ -29,9 +31,18 @@ def rank_corr(df: DataFrame, metrics: list[str], features: list[str]) -> DataFra
                                _finite(F.col(f).cast("double")).alias("y"))
                       for m in ms for f in fs])
     long = (df.select(F.explode(pairs).alias("_p")).select("_p.*")
-            .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    ranked = (long.withColumn("rx", avg_rank("x", ["metric", "feature"]))
-                  .withColumn("ry", avg_rank("y", ["metric", "feature"])))
+            .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+            .withColumn("_row", F.monotonically_increasing_id()))
+    # both sides ranked in one pass: stack (axis, value), rank per
+    # (metric, feature, axis), then pair the two ranks of each row again
+    both = long.select("metric", "feature", "_row", F.explode(F.array(
+        F.struct(F.lit("x").alias("axis"), F.col("x").alias("v")),
+        F.struct(F.lit("y").alias("axis"), F.col("y").alias("v")))).alias("_a")) \
+        .select("metric", "feature", "_row", "_a.axis", "_a.v")
+    r = average_rank(both, ["metric", "feature", "axis"], "v", "r")
+    ranked = r.groupBy("metric", "feature", "_row").agg(
+        F.max(F.when(F.col("axis") == "x", F.col("r"))).alias("rx"),
+        F.max(F.when(F.col("axis") == "y", F.col("r"))).alias("ry"))
     out = ranked.groupBy("metric", "feature").agg(
         safe_corr("rx", "ry").alias("spearman_corr"), F.count(F.lit(1)).alias("n"))
     # pairs with no complete row still get a row (n = 0, corr NULL)
@@ -52,7 +63,7 @@ def rank_corr_matrix(df: DataFrame, cols: list[str], id_col: str) -> DataFrame:
     cs = [c for c in cols if c in df.columns]
     long = (df.select(id_col, *[_finite(F.col(c).cast("double")).alias(c) for c in cs])
               .unpivot(id_col, cs, "col", "v").filter(F.col("v").isNotNull()))
-    ranked = long.withColumn("r", avg_rank("v", ["col"]))
+    ranked = average_rank(long, ["col"], "v", "r")
     wide = ranked.groupBy(id_col).pivot("col", cs).agg(F.first("r"))
     aggs = []
     for c in cs:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlake.functions.stats import avg_rank
+from marketlake.operators.quantiles import average_rank
 from marketlake.operators import latest as L
 from marketlake.operators import market_stats as MS
 from marketlake.operators import paths as PA
@@ -141,8 +141,8 @@ from (select market_id, series_ticker, round(avg(price), 6) average_price from t
 def q_average_rank(spark, d):
     """Ties share the mean of their ranks."""
     s = C.trades(spark, d).groupBy("market_id", "series_ticker").agg(F.round(F.avg("price"), 6).alias("average_price"))
-    return s.select("market_id", "series_ticker", "average_price",
-                    avg_rank("average_price", ["series_ticker"]).alias("price_rank"))
+    return average_rank(s, ["series_ticker"], "average_price", "price_rank").select(
+        "market_id", "series_ticker", "average_price", "price_rank")
 
 
 @register("first_last_trade", with_views("""

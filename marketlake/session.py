@@ -32,6 +32,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Register the shared checkpoint folder with the SparkContext; a
+    scratch folder is created only when the cluster names none (tests)."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="marketlake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    sc.setCheckpointDir(base)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder (never a
+    local checkpoint): later branches read the written files instead of
+    recomputing the plan, and survive executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
@@ -39,12 +60,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     executor can reach.  Only when it is unset (local tests) do we create a
     scratch folder and register it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
+    ensure_checkpoint_dir(spark)
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
     if base.startswith("file:"):
         base = base[len("file:"):]
     path = f"{base}/{name}-{os.getpid()}-{next(_counter)}"
