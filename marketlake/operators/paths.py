@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.timecols import elapsed_micros, elapsed_minutes, floor_to, second_boundaries
+from marketlake.functions.timecols import elapsed_micros, floor_to, second_boundaries
 
 ORDER = ("trade_time", "trade_id")
 

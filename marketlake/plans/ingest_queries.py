@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.operators import incremental as I
-from marketlake.operators import latest as L
 from marketlake.operators import schema_ops as SO
 from marketlake.operators.paths import recent_trades
 from marketlake.plans import common as C

@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from marketlake.operators import market_stats as MS
 from marketlake.operators import paths as PA
