@@ -187,10 +187,10 @@ def q_keyed_load(spark, d):
     order = order_for("markets", ld.columns)
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     b1, b2 = ld.filter(F.col("event_time") < cut), ld.filter(F.col("event_time") >= cut)
-    TB.keyed_load(spark, b1, path, ["ticker"], order, 1)
-    TB.keyed_load(spark, b2, path, ["ticker"], order, 2)
-    TB.keyed_load(spark, b2, path, ["ticker"], order, 2)
-    return TB.VersionedTable(spark, path).current()
+    TB.keyed_load(spark, b1, path, ["ticker"], order, 1, buckets=16)
+    TB.keyed_load(spark, b2, path, ["ticker"], order, 2, buckets=16)
+    TB.keyed_load(spark, b2, path, ["ticker"], order, 2, buckets=16)
+    return TB.BucketedTable(spark, path, ["ticker"], 16).current().select(*ld.columns)
 
 
 @register("keyless_dump", with_views(
@@ -450,8 +450,8 @@ def q_stream_merge_latest(spark, d):
     load = spark.read.parquet(root + "/load")
     order = order_for("markets", LOAD_COLS)
     SI.stream_merge_latest(spark, root + "/load", load.schema, root + "/current", root + "/ckpt_merge",
-                           ["ticker"], order, guard=True)
-    return TB.VersionedTable(spark, root + "/current").current().select(*LOAD_COLS)
+                           ["ticker"], order, guard=True, buckets=16)
+    return TB.BucketedTable(spark, root + "/current", ["ticker"], 16).current().select(*LOAD_COLS)
 
 
 @register("minute_bars_stream", with_views("""

@@ -62,6 +62,66 @@ class VersionedTable:
         return True
 
 
+class BucketedTable:
+    """Current state split into ``buckets`` hash buckets of the key; a merge
+    rewrites only the buckets its batch touches.
+
+    Layout: ``data/v=<version>/bucket=<b>/`` holds bucket b as written by
+    that version; ``_manifest/v=<version>`` (committed by ``_SUCCESS``)
+    maps every bucket to the version that holds it.  Untouched buckets are
+    carried over by reference, so a batch costs the size of the buckets it
+    touches, not the size of the table; nothing that is read is ever
+    overwritten, and replaying a version is a no-op."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 256):
+        self.spark, self.path, self.keys, self.n = spark, path.rstrip("/"), keys, buckets
+
+    def bucket(self):
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n))
+
+    def versions(self) -> list[int]:
+        base = f"{self.path}/_manifest"
+        return sorted(int(d[2:]) for d in list_dirs(self.spark, base)
+                      if d.startswith("v=") and exists(self.spark, f"{base}/{d}/_SUCCESS"))
+
+    def manifest(self, version: int | None = None) -> dict[int, int]:
+        """bucket -> version (at most ``buckets`` rows, so small by design)."""
+        vs = self.versions()
+        if not vs:
+            return {}
+        v = vs[-1] if version is None else version
+        rows = self.spark.read.parquet(f"{self.path}/_manifest/v={v:09d}").collect()
+        return {r.bucket: r.version for r in rows}
+
+    def _dirs(self, m: dict[int, int], buckets) -> list[str]:
+        return [f"{self.path}/data/v={m[b]:09d}/bucket={b}" for b in buckets if b in m]
+
+    def current(self) -> DataFrame | None:
+        m = self.manifest()
+        if not m:
+            return None
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(*self._dirs(m, sorted(m)))
+
+    def merge(self, batch: DataFrame, order, version: int, guard: bool = False) -> bool:
+        if version in self.versions():
+            return False
+        m = self.manifest()
+        src = latest_per_key(batch, self.keys, order).withColumn("_b", self.bucket())
+        touched = sorted(r._b for r in src.select("_b").distinct().collect())   # <= buckets values
+        old = self._dirs(m, touched)
+        new = src.drop("_b")
+        if old:
+            cur = self.spark.read.option("recursiveFileLookup", "true").parquet(*old)
+            new = merge_latest(cur, new.select(*cur.columns), self.keys, order, guard=guard)
+        (new.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket")
+            .parquet(f"{self.path}/data/v={version:09d}"))
+        m2 = dict(m)
+        m2.update({b: version for b in touched})
+        self.spark.createDataFrame(sorted(m2.items()), "bucket int, version int") \
+            .write.mode("overwrite").parquet(f"{self.path}/_manifest/v={version:09d}")
+        return True
+
+
 def _clean(df: DataFrame) -> DataFrame:
     """'' -> NULL for text; nested values -> JSON text."""
     cols = []
@@ -77,9 +137,13 @@ def _clean(df: DataFrame) -> DataFrame:
 
 
 def keyed_load(spark: SparkSession, df: DataFrame, path: str, keys: list[str] | None, order,
-               batch_id: int, guard: bool = False) -> bool:
+               batch_id: int, guard: bool = False, buckets: int | None = None) -> bool:
     """Create on first batch; upsert by key (U1) when keys are given,
-    else append.  Returns False when the batch id was already committed."""
+    else append.  Returns False when the batch id was already committed.
+    With ``buckets`` the keyed table is a ``BucketedTable`` (a batch
+    rewrites only the key buckets it touches)."""
+    if keys and buckets:
+        return BucketedTable(spark, path, keys, buckets).merge(_clean(df), order, batch_id, guard=guard)
     t = VersionedTable(spark, path)
     if batch_id in t.versions():
         return False

@@ -93,3 +93,21 @@ def test_optional_columns_and_subtitle(spark):
     assert dict(out.dtypes)["created_at"] == "timestamp_ntz"
     with_sub = raw.withColumn("subtitle", F.lit(None).cast("string"))
     assert ST.stg_markets(with_sub).collect()[0].market_subtitle is None   # column present: no fallback
+
+
+def test_bucketed_table_rewrites_only_touched_buckets(spark):
+    path = shared_dir(spark, "t-bucketed")
+    t = TB.BucketedTable(spark, path, ["k"], 8)
+    order = [("v", "desc_nulls_last")]
+    b1 = spark.createDataFrame([(f"k{i}", 1) for i in range(200)], "k string, v long")
+    assert t.merge(b1, order, 1)
+    first = t.manifest()
+    assert set(first.values()) == {1} and len(first) == 8
+    b2 = spark.createDataFrame([("k3", 5), ("new", 7)], "k string, v long")
+    assert t.merge(b2, order, 2)
+    assert not t.merge(b2, order, 2)
+    second = t.manifest()
+    rewritten = {b for b, v in second.items() if v == 2}
+    assert 1 <= len(rewritten) <= 2 and all(second[b] == 1 for b in second if b not in rewritten)
+    cur = {r.k: r.v for r in t.current().collect()}
+    assert len(cur) == 201 and cur["k3"] == 5 and cur["new"] == 7 and cur["k4"] == 1
