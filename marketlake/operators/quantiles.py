@@ -28,18 +28,19 @@ def rank_within(df: DataFrame, keys: list[str], value: str, checkpoint: bool = T
     gives each partition's offset, and the join back is against that small
     summary.
 
-    The sorted rows with their partition ids and positions are written once
-    (a reliable checkpoint in the shared folder), so the summary and the
-    join read the same stored positions.  The input itself is checkpointed
-    too unless the caller already materialized it, so the range sampler and
-    the shuffle do not each recompute the upstream plan."""
+    The input is checkpointed (a reliable checkpoint in the shared folder)
+    unless the caller already materialized it, so the range sampler and the
+    shuffle do not each recompute the upstream plan.  The summary and the
+    join share one range exchange (Spark reuses it), and a recomputed
+    partition can only permute rows with equal (keys, value), which leaves
+    every rank-derived value (percentiles, tie-averaged ranks) unchanged."""
     d = df.filter(F.col(value).isNotNull())
     if checkpoint:
         d = materialize(d)
-    s = materialize(d.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
-                      .sortWithinPartitions(*keys, value)
-                      .withColumn("_pid", F.spark_partition_id())
-                      .withColumn("_mid", F.monotonically_increasing_id()))
+    s = (d.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
+          .sortWithinPartitions(*keys, value)
+          .withColumn("_pid", F.spark_partition_id())
+          .withColumn("_mid", F.monotonically_increasing_id()))
     summ = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
     offs = summ.select("_pid", *keys, "_m0",
