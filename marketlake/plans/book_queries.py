@@ -93,7 +93,7 @@ def _la(spark, d):
     """Pregame summary LEFT JOIN market context (only the columns the
     market table has) LEFT JOIN book depth."""
     s = R.pregame_market_summary(C.pregame(spark, d))
-    m = P.markets(spark, d)
+    m = C.markets_outcome(spark, d)
     wanted = ["market_id", "market_title", "market_status", "last_price_dollars", "volume_fp",
               "liquidity_dollars", "yes_bid_dollars", "yes_ask_dollars", "yes_bid_size_fp", "yes_ask_size_fp",
               "market_result"]
@@ -145,7 +145,7 @@ def q_liquidity_rank_corr(spark, d):
 def _lla(spark, d):
     """Analysable live games LEFT JOIN pregame and book sums per game."""
     lpath = PR.live_path(C.scored(spark, d), PR.winner_loser_pairs(C.markets_outcome(spark, d)), "hour")
-    games = C.markets_outcome(spark, d).groupBy("game_id").agg(F.min("game_start").alias("game_start"))
+    games = C.games(spark, d)
     live = PR.live_game_summary(lpath, C.live(spark, d), games).filter("has_enough_live_coverage")
     la = _la(spark, d)
     ctx = la.groupBy("game_id").agg(

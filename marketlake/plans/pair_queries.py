@@ -26,7 +26,7 @@ def _pairs(spark, d):
 
 
 def _games(spark, d):
-    return _mo(spark, d).groupBy("game_id").agg(F.min("game_start").alias("game_start"))
+    return C.games(spark, d)
 
 
 def _pp(spark, d):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.functions.stats import round_doubles
+from marketlake.plans.common import query_scope
 from marketlake.plans.views import rounded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,7 +23,8 @@ def register(name: str, sql: str | None = None, doubles: tuple[str, ...] = ()):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # stored times are UTC wall clock (NTZ); conversions assume a UTC session
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return round_doubles(fn(spark, sf_dir))
+            with query_scope():
+                return round_doubles(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
