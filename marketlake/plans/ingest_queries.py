@@ -168,11 +168,12 @@ def q_cache_missing_entities(spark, d):
     TB.cache_write(t.select("game_id", "trade_id"), f"{root}/trades", "game_id")
     TB.cache_write(P.markets(spark, d, t).select("game_id", "market_id"), f"{root}/markets", "game_id")
     TB.cache_write(P.books(spark, d).withColumn("game_id", F.expr("market_id div 2")), f"{root}/orderbooks", "game_id")
-    games = t.select("game_id").distinct()
-    ents = spark.createDataFrame([("markets",), ("orderbooks",), ("trades",)], "entity string")
-    expected = games.crossJoin(F.broadcast(ents))
+    entities = ("markets", "orderbooks", "trades")
+    # every game expects one partition per entity: a generator, not a join
+    expected = t.select("game_id").distinct().select(
+        "game_id", F.explode(F.array(*[F.lit(e) for e in entities])).alias("entity"))
     present = None
-    for e in ("markets", "orderbooks", "trades"):
+    for e in entities:
         p = TB.cache_read(spark, f"{root}/{e}", "game_id").select("game_id", F.lit(e).alias("entity"))
         present = p if present is None else present.unionByName(p)
     return TB.cache_missing(expected, present, ["game_id", "entity"])

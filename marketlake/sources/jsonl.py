@@ -49,15 +49,27 @@ def land(df: DataFrame, prefix: str, entity: str, run_ts: dt.datetime, source: s
 
 
 def scan_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """Raw lines with file path and per-file row number (S10).  The row
-    number orders by the split's start offset, then by the line's position
-    within the split, so it is stable however the file is split."""
+    """Raw lines with file path and 1-based per-file row number.
+
+    A line's number is the count of lines in earlier splits of its file plus
+    its position within its own split.  The split counts are one row per
+    (file, split), and a window over a file's splits turns them into
+    offsets, so a huge file is numbered by as many tasks as it has splits
+    instead of being sorted in one.  A split's lines are consecutive in the
+    task that reads them, so ``monotonically_increasing_id`` minus the
+    split's smallest id is the position; the split-to-task layout is fixed
+    by the file listing, so a recomputed task yields the same ids."""
     lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
              .select("value", F.col("_metadata.file_path").alias("source_file"),
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_pos")))
-    w = Window.partitionBy("source_file").orderBy("_blk", "_pos")
-    return lines.withColumn("source_row_number", F.row_number().over(w).cast("bigint")).drop("_blk", "_pos")
+    splits = lines.groupBy("source_file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
+    earlier = Window.partitionBy("source_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("source_file", "_blk", "_p0",
+                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return lines.join(offsets, ["source_file", "_blk"], "inner").select(
+        "value", "source_file",
+        (F.col("_before") + F.col("_pos") - F.col("_p0") + 1).cast("bigint").alias("source_row_number"))
 
 
 def scan_jsonl(spark: SparkSession, path: str, spec: Spec, glob: str = "*.txt",

@@ -52,6 +52,15 @@ def test_jsonl_round_trip_with_bad_lines_and_row_numbers(spark):
                                               F.countDistinct("source_row_number").alias("k")).collect()
         assert all(r.n == r.m == r.k for r in per)
         assert good.filter(F.col("key") != "M").count() == 0
+        # numbers follow the order of lines in each file, across splits
+        got = {}
+        for r in good.select("source_file", "source_row_number", "trade_id").collect():
+            got.setdefault(r.source_file, {})[r.source_row_number] = r.trade_id
+        assert len(got) >= 3
+        for f, by_row in got.items():
+            with open(f.removeprefix("file:")) as fh:
+                ids = [json.loads(line)["trade_id"] for line in fh if line.strip()]
+            assert [by_row[i] for i in range(1, len(ids) + 1)] == ids
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
