@@ -131,7 +131,8 @@ def live_path(t: DataFrame, pairs: DataFrame, step: str = "minute", event: str =
     contributes nothing.  The path value is the mean of the present sides.
     """
     r = _roles(t, pairs, event, key)
-    grid = (r.groupBy(event)
+    # the grid spans the event's live prints on any of its contracts
+    grid = (t.join(pairs.select(event), event, "left_semi").groupBy(event)
             .agg(F.first(start).alias("_start"),
                  F.max(F.when(F.col("trade_time") >= F.col(start), F.col("trade_time"))).alias("_last_live"))
             .filter(F.col("_last_live").isNotNull())

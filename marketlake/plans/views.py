@@ -193,7 +193,8 @@ VIEWS: dict[str, str] = {
                                  else date_trunc('hour', last_live) + interval 1 hour end g1
         from (select game_id, date_trunc('hour', min(game_start)) g0,
                      max(case when trade_time >= game_start then trade_time end) last_live
-              from lt group by game_id) x where last_live is not null""",
+              from scored where game_id in (select game_id from pairs) group by game_id) x
+        where last_live is not null""",
     "lb": """
         select game_id, role, date_trunc('hour', trade_time) bucket, arg_max(price, (trade_time, trade_id)) price
         from lt group by 1, 2, 3""",
@@ -347,7 +348,7 @@ DEPS: dict[str, list[str]] = {
     "lagc": ["pdl"],
     "bestlag": ["lagc"],
     "lt": ["scored", "pairs"],
-    "lgrid": ["lt"],
+    "lgrid": ["scored", "pairs"],
     "lb": ["lt"],
     "lown": ["lb"],
     "lre": ["lgrid", "lown"],
