@@ -31,22 +31,25 @@ def sliced_prev(df: DataFrame, key, values: tuple[str, ...], running: tuple[str,
     A key's rows are windowed per (key, time slice), so one very hot market
     spreads over as many tasks as it has slices.  The first row of a slice
     takes its previous values from the last row of the key's previous
-    non-empty slice, and running sums add the totals of earlier slices; both
-    come from the last row of each slice (one row per slice) and a window
-    over slices, joined back on (key, slice).  The
-    join reuses the window's hash partitioning, so only the slice summary
-    moves."""
+    non-empty slice, and running sums add the totals of earlier slices.
+    Both come from a per-slice summary - a hash aggregate over the rows
+    (``max_by`` on the ordering, ``sum``), partially aggregated before its
+    shuffle - and a window over slices, joined back on (key, slice).  The
+    rows themselves are shuffled once, by the window; only the summary (one
+    row per slice) moves besides, and AQE broadcasts it when small.
+
+    ``order`` columns are ascending (the last row of a slice is the one
+    with the largest ordering struct)."""
     keys = [key] if isinstance(key, str) else list(key)
     d = df.withColumn("_slice", floor_to(time_col, slice_unit))
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = d.select("*", F.row_number().over(w).alias("_rn"),
-                     F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
                      *[F.lag(v).over(w).alias(f"_lp_{v}") for v in values],
                      *[F.sum(v).over(run).alias(f"_lr_{v}") for v in running])
-    # the last row of each slice is its summary (the window's shuffle is reused)
-    summ = local.filter("_is_last").select(*keys, "_slice", F.struct(*values).alias("_last"),
-                                           *[F.col(f"_lr_{v}").alias(f"_tot_{v}") for v in running])
+    # one row per slice: its last row's values and its totals
+    summ = d.groupBy(*keys, "_slice").agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_last"),
+                                          *[F.sum(v).alias(f"_tot_{v}") for v in running])
     ws = Window.partitionBy(*keys).orderBy("_slice")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(*keys, "_slice", F.lag("_last").over(ws).alias("_pl"),
