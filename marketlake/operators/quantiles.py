@@ -30,17 +30,22 @@ def rank_within(df: DataFrame, keys: list[str], value: str, checkpoint: bool = T
 
     The input is checkpointed (a reliable checkpoint in the shared folder)
     unless the caller already materialized it, so the range sampler and the
-    shuffle do not each recompute the upstream plan.  The summary and the
-    join share one range exchange (Spark reuses it), and a recomputed
-    partition can only permute rows with equal (keys, value), which leaves
-    every rank-derived value (percentiles, tie-averaged ranks) unchanged."""
+    shuffle do not each recompute the upstream plan.
+
+    The partition ids and row ids are physical (they depend on the range
+    bounds and on how AQE coalesces the shuffle read), so the partitioned
+    rows are checkpointed right after they are assigned: the summary and
+    the join back then read the same stored ids, whatever plan each side
+    gets.  Inside the checkpoint job a partition is written once; a retried
+    task can only permute rows with equal (keys, value), which leaves every
+    rank-derived value (percentiles, tie-averaged ranks) unchanged."""
     d = df.filter(F.col(value).isNotNull())
     if checkpoint:
         d = materialize(d)
-    s = (d.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
-          .sortWithinPartitions(*keys, value)
-          .withColumn("_pid", F.spark_partition_id())
-          .withColumn("_mid", F.monotonically_increasing_id()))
+    s = materialize(d.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
+                    .sortWithinPartitions(*keys, value)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()))
     summ = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
     offs = summ.select("_pid", *keys, "_m0",
