@@ -36,14 +36,19 @@ def rank_within(df: DataFrame, keys: list[str], value: str, checkpoint: bool = T
     bounds and on how AQE coalesces the shuffle read), so the partitioned
     rows are checkpointed right after they are assigned: the summary and
     the join back then read the same stored ids, whatever plan each side
-    gets.  Inside the checkpoint job a partition is written once; a retried
-    task can only permute rows with equal (keys, value), which leaves every
-    rank-derived value (percentiles, tie-averaged ranks) unchanged."""
+    gets.
+
+    Equal values are ordered by a row id of the materialized input
+    (``_tb``), which is part of the range key: a value shared by a third
+    of a group's rows is split over many partitions instead of landing in
+    one.  Ties still take consecutive positions, so every rank-derived
+    value (percentiles, tie-averaged ranks) is independent of their order."""
     d = df.filter(F.col(value).isNotNull())
     if checkpoint:
         d = materialize(d)
-    s = materialize(d.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
-                    .sortWithinPartitions(*keys, value)
+    d = d.withColumn("_tb", F.monotonically_increasing_id())
+    s = materialize(d.repartitionByRange(*[F.col(k) for k in keys], F.col(value), F.col("_tb"))
+                    .sortWithinPartitions(*keys, value, "_tb")
                     .withColumn("_pid", F.spark_partition_id())
                     .withColumn("_mid", F.monotonically_increasing_id()))
     summ = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
@@ -54,7 +59,7 @@ def rank_within(df: DataFrame, keys: list[str], value: str, checkpoint: bool = T
                        F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
     return (s.join(offs, ["_pid", *keys], "inner")
              .withColumn("_rank", F.col("_before") + (F.col("_mid") - F.col("_m0")))
-             .drop("_pid", "_mid", "_m0", "_before"))
+             .drop("_pid", "_mid", "_m0", "_before", "_tb"))
 
 
 def average_rank(df: DataFrame, keys: list[str], value: str, out: str = "rank",
