@@ -76,19 +76,39 @@ def pregame_event_summary(s: DataFrame, event: str = "game_id", key: str = "mark
              .withColumn("moved_toward_winner", F.col("mean_winner_prob_change") > 0))
 
 
-def answers(questions: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """One row per (question, frame, boolean column): yes count,
-    total rows, share of yes (NULL over no rows).  Each frame is reduced by
-    one global aggregate, so only one row per question reaches the union."""
-    rows = []
-    for i, (q, df, flag) in enumerate(questions):
-        f = F.col(flag).cast("int")
-        rows.append(df.agg(
-            F.lit(i).alias("question_order"), F.lit(q).alias("question"),
-            F.coalesce(F.sum(f), F.lit(0)).cast("bigint").alias("yes_count"),
-            F.count(F.lit(1)).alias("total"),
-            F.avg(f.cast("double")).alias("share")))
-    return reduce(DataFrame.unionByName, rows)
+def answers(questions: list[tuple]) -> DataFrame:
+    """One row per question - yes count, rows in scope, share of
+    yes (NULL over no rows).
+
+    A question is ``(text, frame, flag)`` or ``(text, frame, flag, scope)``
+    with ``scope`` a boolean column of the frame that limits the rows it
+    counts.  All questions over the same frame are answered by one global
+    aggregate (partial per task, one row per frame reaches the driver side
+    of the plan), so the frame's plan runs once, not once per question."""
+    frames: list[tuple[DataFrame, list]] = []
+    for i, qn in enumerate(questions):
+        q, df, flag = qn[:3]
+        scope = qn[3] if len(qn) > 3 else None
+        for fr, items in frames:
+            if fr is df:
+                items.append((i, q, flag, scope))
+                break
+        else:
+            frames.append((df, [(i, q, flag, scope)]))
+    parts = []
+    for df, items in frames:
+        aggs, cells = [], []
+        for i, q, flag, scope in items:
+            inside = F.lit(True) if scope is None else F.coalesce(F.col(scope), F.lit(False))
+            f = F.when(inside, F.col(flag).cast("int"))
+            aggs += [F.coalesce(F.sum(f), F.lit(0)).cast("bigint").alias(f"_y{i}"),
+                     F.count_if(inside).alias(f"_n{i}"),
+                     F.avg(f.cast("double")).alias(f"_s{i}")]
+            cells.append(F.struct(F.lit(i).alias("question_order"), F.lit(q).alias("question"),
+                                  F.col(f"_y{i}").alias("yes_count"), F.col(f"_n{i}").alias("total"),
+                                  F.col(f"_s{i}").alias("share")))
+        parts.append(df.agg(*aggs).select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def contract_sync(s: DataFrame, event: str = "game_id", key: str = "market_id") -> DataFrame:

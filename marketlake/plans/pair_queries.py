@@ -157,17 +157,16 @@ union all select 4, 'Analyzable games had at least one >= 10c one-minute jump',
        avg(cast(coalesce(jump_count_10c > 0, false) as double)) from lsum where has_enough_live_coverage
 """, "lsum"), doubles=("share",))
 def q_live_answers(spark, d):
-    s = _lsum(spark, d)
-    a = s.filter("has_enough_live_coverage")
     flag = lambda c: F.coalesce(c, F.lit(False))
-    a = (a.withColumn("toward", flag(F.col("live_repricing_to_winner") > 0))
-          .withColumn("j5", flag(F.col("jump_count_5c") > 0))
-          .withColumn("j10", flag(F.col("jump_count_10c") > 0)))
+    s = (_lsum(spark, d).withColumn("toward", flag(F.col("live_repricing_to_winner") > 0))
+         .withColumn("j5", flag(F.col("jump_count_5c") > 0))
+         .withColumn("j10", flag(F.col("jump_count_10c") > 0)))
+    scope = "has_enough_live_coverage"
     return R.answers([("Games with any live trades", s, "has_any_live_trades"),
                       ("Games with >= 15 live minutes", s, "has_enough_live_coverage"),
-                      ("Analyzable games repriced toward eventual winner", a, "toward"),
-                      ("Analyzable games had at least one >= 5c one-minute jump", a, "j5"),
-                      ("Analyzable games had at least one >= 10c one-minute jump", a, "j10")])
+                      ("Analyzable games repriced toward eventual winner", s, "toward", scope),
+                      ("Analyzable games had at least one >= 5c one-minute jump", s, "j5", scope),
+                      ("Analyzable games had at least one >= 10c one-minute jump", s, "j10", scope)])
 
 
 @register("live_distribution", with_views(
