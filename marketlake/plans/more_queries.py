@@ -33,10 +33,8 @@ TEAM_COLS = ["team_id", "full_team_name", "team_code", "abbreviation", "team_nam
 
 def _teams(spark, d):
     snaps = P.team_snapshots(spark, d)
-    flat = J.flatten_team(snaps, "payload")
-    extra = snaps.select("payload", "ingested_at", "source_file", "source_row_number")
-    return (flat.join(extra, flat.raw_payload == extra.payload).drop("payload")
-                .withColumnRenamed("name", "full_team_name").withColumnRenamed("active", "is_active"))
+    flat = J.flatten_team(snaps, "payload", keep=("ingested_at", "source_file", "source_row_number"))
+    return flat.withColumnRenamed("name", "full_team_name").withColumnRenamed("active", "is_active")
 
 
 @register("flatten_team_payload", with_views(f"select {', '.join(TEAM_COLS)} from teams", "teams"))

@@ -110,9 +110,10 @@ def flatten_records(df: DataFrame, json_col: str) -> DataFrame:
     return direct.unionByName(nested).withColumnRenamed("v", "record")
 
 
-def flatten_team(df: DataFrame, json_col: str = "payload") -> DataFrame:
+def flatten_team(df: DataFrame, json_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
     """S3: nested sport / league / division / venue {id, name} -> 18 flat
-    columns; a non-object parent gives NULLs."""
+    columns; a non-object parent gives NULLs.  ``keep`` carries other
+    columns of the row (audit columns) through the same projection."""
     v = F.expr(f"try_parse_json({json_col})")
     g = lambda p, t: F.try_variant_get(v, p, t)
     cols = [g("$.id", "bigint").alias("team_id"), g("$.name", "string").alias("name"),
@@ -122,4 +123,4 @@ def flatten_team(df: DataFrame, json_col: str = "payload") -> DataFrame:
     for parent in ("sport", "league", "division", "venue"):
         cols.append(g(f"$.{parent}.id", "bigint").alias(f"{parent}_id"))
         cols.append(g(f"$.{parent}.name", "string").alias(f"{parent}_name"))
-    return df.select(*cols, F.col(json_col).alias("raw_payload"))
+    return df.select(*cols, F.col(json_col).alias("raw_payload"), *keep)
