@@ -180,23 +180,26 @@ def checkpoint_prices(t: DataFrame, offsets: list[tuple[str, str | None]],
     the last print at or before it; ``None`` offset = first observed print.
 
     Checkpoints are nested in time, so each print is tagged with the first
-    checkpoint it precedes, the last print per (market, tag) is kept, and
-    each kept print is spread forward over the checkpoints up to the next
-    tag.  No cross join; the only shuffle is the (market, tag) aggregate.
+    checkpoint it precedes (prints after the last one get one more tag),
+    the last and first print per (market, tag) are kept, and each kept last
+    print is spread forward over the checkpoints up to the next tag; the
+    first observed print is the earliest of the per-tag firsts.  No cross
+    join; the prints are aggregated once, by (market, tag).
     """
     timed = [(n, o) for n, o in offsets if o is not None]
     # checkpoints ordered by time: larger offsets first
     names_in_time = [n for n, _ in timed]
     order_of = {n: i for i, (n, _) in enumerate(offsets)}
-    tag = None
+    tag = F.when(F.col("trade_time").isNull(), F.lit(None).cast("int"))
     for i, (n, o) in enumerate(timed):
-        cond = F.col("trade_time") <= F.col(start) - F.expr(f"interval {o}")
-        tag = F.when(cond, F.lit(i)) if tag is None else tag.when(cond, F.lit(i))
+        tag = tag.when(F.col("trade_time") <= F.col(start) - F.expr(f"interval {o}"), F.lit(i))
+    tag = tag.otherwise(F.lit(len(timed)))
     payload = F.struct("trade_time", "trade_id", *carry)
-    per_tag = (t.withColumn("_tag", tag).filter(F.col("_tag").isNotNull())
-               .groupBy(key, "_tag")
-               .agg(F.max_by(payload, F.struct("trade_time", "trade_id")).alias("_p"),
-                    F.first(start).alias("_start")))
+    ordering = F.struct("trade_time", "trade_id")
+    tagged = (t.withColumn("_tag", tag).groupBy(key, "_tag")
+              .agg(F.max_by(payload, ordering).alias("_p"), F.min_by(payload, ordering).alias("_f"),
+                   F.first(start).alias("_start")))
+    per_tag = tagged.filter(F.col("_tag") < len(timed))
     # flatten before the generator (nested-field pruning across Generate is fragile)
     per_tag = per_tag.select(key, "_tag", "_start", F.col("_p.trade_time").alias("_obs"),
                              *[F.col(f"_p.{c}").alias(f"_c_{c}") for c in carry])
@@ -223,8 +226,7 @@ def checkpoint_prices(t: DataFrame, offsets: list[tuple[str, str | None]],
     if not firsts:
         return timed_rows
     fname = firsts[0][0]
-    first = (t.groupBy(key)
-             .agg(F.min_by(payload, F.struct("trade_time", "trade_id")).alias("_p"))
+    first = (tagged.groupBy(key).agg(F.min("_f").alias("_p"))
              .select(key, F.lit(fname).alias("checkpoint"), F.lit(order_of[fname]).alias("checkpoint_order"),
                      F.col("_p.trade_time").alias("checkpoint_time"),
                      F.col("_p.trade_time").alias("observed_trade_time"),

@@ -156,9 +156,12 @@ def final_hour_concentration(s: DataFrame, c: DataFrame, names: list[str],
                              team: str = "side") -> DataFrame:
     """J12 + A15: summary LEFT JOIN the Brier and probability pivots; total
     and final-hour improvement; final-hour share when the total is positive."""
-    brier = checkpoint_wide(c, "brier_score", names, "brier_", key)
-    prob = checkpoint_wide(c, "winner_probability", names, "winner_prob_", key)
-    j = s.select(key, event, team, "path_efficiency").join(brier, key, "left").join(prob, key, "left")
+    # both values in one pivot (one pass over the checkpoint rows)
+    both = c.groupBy(key).pivot("checkpoint", names).agg(F.first("brier_score").alias("b"),
+                                                         F.first("winner_probability").alias("p"))
+    wide = both.select(key, *[F.col(f"{n}_b").alias(f"brier_{n}") for n in names],
+                       *[F.col(f"{n}_p").alias(f"winner_prob_{n}") for n in names])
+    j = s.select(key, event, team, "path_efficiency").join(wide, key, "left")
     tot = F.col("brier_first_observed") - F.col("brier_first_pitch")
     fin = F.col("brier_1h_before") - F.col("brier_first_pitch")
     return (j.withColumn("total_brier_improvement", tot)
