@@ -8,7 +8,7 @@ of minutes is generated per observed bucket (no grid-table joins).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.stats import safe_corr, safe_slope
@@ -230,15 +230,18 @@ def live_checkpoint_prices(path: DataFrame, games: DataFrame, checkpoints=LIVE_C
     timed = [(n, o) for n, o in checkpoints if o is not None]
     order_of = {n: i for i, (n, _) in enumerate(checkpoints)}
     p = path.join(games.select(event, start), event, "inner")
-    tag: Column | None = None
+    # points after the last checkpoint get one more tag, so the path's end
+    # (last point) comes from the same aggregate
+    tag = F.when(F.col("minute").isNull(), F.lit(None).cast("int"))
     for i, (_, o) in enumerate(timed):
-        cond = F.col("minute") <= F.col(start) + F.expr(f"interval {o} minutes")
-        tag = F.when(cond, F.lit(i)) if tag is None else tag.when(cond, F.lit(i))
-    ends = path.groupBy(event).agg(F.max_by("winner_probability", F.col("minute")).alias("_lastv"),
-                                   F.max("minute").alias("_end"))
-    per = (p.withColumn("_tag", tag).filter(F.col("_tag").isNotNull())
-           .groupBy(event, "_tag").agg(F.max_by("winner_probability", F.col("minute")).alias("_v"),
-                                       F.first(start).alias("_start")))
+        tag = tag.when(F.col("minute") <= F.col(start) + F.expr(f"interval {o} minutes"), F.lit(i))
+    tag = tag.otherwise(F.lit(len(timed)))
+    tagged = (p.withColumn("_tag", tag)
+              .groupBy(event, "_tag").agg(F.max_by("winner_probability", F.col("minute")).alias("_v"),
+                                          F.max("minute").alias("_tend"), F.first(start).alias("_start")))
+    ends = tagged.groupBy(event).agg(F.max_by("_v", F.col("_tend")).alias("_lastv"),
+                                     F.max("_tend").alias("_end"))
+    per = tagged.filter(F.col("_tag") < len(timed))
     w = Window.partitionBy(event).orderBy("_tag")
     spread = (per.withColumn("_next", F.lead("_tag").over(w))
               .withColumn("_i", F.explode(F.sequence(F.col("_tag"),
