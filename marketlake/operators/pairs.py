@@ -43,12 +43,18 @@ def _roles(t: DataFrame, pairs: DataFrame, event: str = "game_id", key: str = "m
 def pair_path(t: DataFrame, pairs: DataFrame, step: str = "minute", event: str = "game_id",
               key: str = "market_id") -> DataFrame:
     """Winner path and 1 - loser path on common buckets (inner on time),
-    each forward filled over its own first..last bucket."""
+    each forward filled over its own first..last bucket.
+
+    A filled path has one row per (event, role, bucket), so the inner join
+    of the two sides is a conditional aggregate by (event, bucket) that keeps
+    buckets where both are present: the path is built and shuffled once."""
     r = _roles(t, pairs, event, key)
     path = minute_path(r, step, key=[event, "role"])
-    w = path.filter(F.col("role") == 1).select(event, "minute", F.col("price").alias("winner_price"))
-    lo = path.filter(F.col("role") == 0).select(event, "minute", (1.0 - F.col("price")).alias("loser_implied"))
-    return w.join(lo, [event, "minute"], "inner")
+    both = path.groupBy(event, "minute").agg(
+        F.max(F.when(F.col("role") == 1, F.col("price"))).alias("winner_price"),
+        F.max(F.when(F.col("role") == 0, 1.0 - F.col("price"))).alias("loser_implied"),
+        (F.count_if(F.col("role") == 1) > 0).alias("_w"), (F.count_if(F.col("role") == 0) > 0).alias("_l"))
+    return both.filter(F.col("_w") & F.col("_l")).drop("_w", "_l")
 
 
 def with_pair_deltas(pp: DataFrame, event: str = "game_id") -> DataFrame:
