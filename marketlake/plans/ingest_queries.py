@@ -19,7 +19,7 @@ from marketlake.plans.registry import register
 from marketlake.plans.state_queries import merge_sql
 from marketlake.plans.views import with_views
 from marketlake.schemas import order_for
-from marketlake.session import shared_dir
+from marketlake.session import materialize, shared_dir
 from marketlake.sources import jsonl as J
 from marketlake.sources import proxies as P
 from marketlake.sources import tables as TB
@@ -313,11 +313,16 @@ def _raw(spark, d):
 
 
 def _state1(spark, d):
-    raw = _raw(spark, d)
-    b1 = raw.filter(F.col("created_time") < CUT)
-    latest = I.latest_trade_watermarks(b1)
-    checked = b1.select(F.col("ticker").alias("market_ticker")).distinct()
-    return I.merge_watermark_state(None, latest, checked, E1, CUT)
+    """The watermark state after the first run: a stored table in the
+    pipeline, so it is written once per query (checkpoint) and read by
+    every branch."""
+    def build():
+        raw = _raw(spark, d)
+        b1 = raw.filter(F.col("created_time") < CUT)
+        latest = I.latest_trade_watermarks(b1)
+        checked = b1.select(F.col("ticker").alias("market_ticker")).distinct()
+        return materialize(I.merge_watermark_state(None, latest, checked, E1, CUT))
+    return C.shared(("state1", d), build)
 
 
 SEC = "floor(epoch(try_cast(created_time as timestamp)))::bigint"
