@@ -231,46 +231,51 @@ def live_checkpoint_prices(path: DataFrame, games: DataFrame, checkpoints=LIVE_C
     when the offset is past the path's end; plus the last observed point.
 
     Points are tagged with the first checkpoint they precede (offsets are
-    increasing), reduced to the last point per (game, tag), and spread to
-    later checkpoints up to the next tag - as in J7, without a cross join."""
+    increasing; points after the last one get one more tag) and reduced to
+    the last point per (game, tag) - as in J7, without a cross join.  One
+    window over a game's tags (a handful of rows) gives the next tag, the
+    path's end and its last value, and one generator emits each tag's
+    checkpoints plus the game's last observed point, so the path is read
+    once."""
     timed = [(n, o) for n, o in checkpoints if o is not None]
+    n_timed = len(timed)
     order_of = {n: i for i, (n, _) in enumerate(checkpoints)}
+    last_name = [n for n, o in checkpoints if o is None]
     p = path.join(games.select(event, start), event, "inner")
-    # points after the last checkpoint get one more tag, so the path's end
-    # (last point) comes from the same aggregate
     tag = F.when(F.col("minute").isNull(), F.lit(None).cast("int"))
     for i, (_, o) in enumerate(timed):
         tag = tag.when(F.col("minute") <= F.col(start) + F.expr(f"interval {o} minutes"), F.lit(i))
-    tag = tag.otherwise(F.lit(len(timed)))
+    tag = tag.otherwise(F.lit(n_timed))
     tagged = (p.withColumn("_tag", tag)
               .groupBy(event, "_tag").agg(F.max_by("winner_probability", F.col("minute")).alias("_v"),
                                           F.max("minute").alias("_tend"), F.first(start).alias("_start")))
-    ends = tagged.groupBy(event).agg(F.max_by("_v", F.col("_tend")).alias("_lastv"),
-                                     F.max("_tend").alias("_end"))
-    per = tagged.filter(F.col("_tag") < len(timed))
     w = Window.partitionBy(event).orderBy("_tag")
-    spread = (per.withColumn("_next", F.lead("_tag").over(w))
-              .withColumn("_i", F.explode(F.sequence(F.col("_tag"),
-                                                     F.coalesce(F.col("_next") - 1, F.lit(len(timed) - 1))))))
-    cp_time = None
-    name = None
-    order = None
-    for i, (n, o) in enumerate(timed):
-        e = F.col("_start") + F.expr(f"interval {o} minutes")
-        cp_time = F.when(F.col("_i") == i, e) if cp_time is None else cp_time.when(F.col("_i") == i, e)
-        name = F.when(F.col("_i") == i, F.lit(n)) if name is None else name.when(F.col("_i") == i, F.lit(n))
-        order = (F.when(F.col("_i") == i, F.lit(order_of[n])) if order is None
-                 else order.when(F.col("_i") == i, F.lit(order_of[n])))
-    rows = (spread.select(event, name.alias("checkpoint"), order.alias("checkpoint_order"),
-                          cp_time.alias("checkpoint_time"), F.col("_v").alias("winner_probability"))
-            .join(ends.select(event, "_end"), event, "inner")
-            .filter(F.col("checkpoint_time") <= F.col("_end")).drop("_end"))
-    last_name = [n for n, o in checkpoints if o is None]
+    game = Window.partitionBy(event)
+    g = tagged.select("*", F.lead("_tag").over(w).alias("_next"), F.max("_tend").over(game).alias("_end"),
+                      F.max_by("_v", F.col("_tend")).over(game).alias("_lastv"))
+    # (index, is_last): checkpoint indices this tag covers, then the game's
+    # last observed point on its latest tag
+    cover = F.when(F.col("_tag") < n_timed,
+                   F.sequence(F.col("_tag"), F.coalesce(F.col("_next") - 1, F.lit(n_timed - 1))))
+    cells = F.transform(F.coalesce(cover, F.array().cast("array<int>")),
+                        lambda i: F.struct(i.alias("_i"), F.lit(False).alias("_last")))
     if last_name:
-        rows = rows.unionByName(ends.select(
-            event, F.lit(last_name[0]).alias("checkpoint"), F.lit(order_of[last_name[0]]).alias("checkpoint_order"),
-            F.col("_end").alias("checkpoint_time"), F.col("_lastv").alias("winner_probability")))
-    return rows
+        cells = F.when(F.col("_next").isNull(),
+                       F.concat(cells, F.array(F.struct(F.lit(-1).alias("_i"), F.lit(True).alias("_last"))))
+                       ).otherwise(cells)
+    x = g.select(event, "_start", "_v", "_end", "_lastv", F.inline(cells))
+    cp_time = F.when(F.col("_last"), F.col("_end"))
+    name = F.when(F.col("_last"), F.lit(last_name[0] if last_name else None))
+    order = F.when(F.col("_last"), F.lit(order_of[last_name[0]] if last_name else None))
+    for i, (n, o) in enumerate(timed):
+        cp_time = cp_time.when(F.col("_i") == i, F.col("_start") + F.expr(f"interval {o} minutes"))
+        name = name.when(F.col("_i") == i, F.lit(n))
+        order = order.when(F.col("_i") == i, F.lit(order_of[n]))
+    value = F.when(F.col("_last"), F.col("_lastv")).otherwise(F.col("_v"))
+    return (x.select(event, name.alias("checkpoint"), order.cast("int").alias("checkpoint_order"),
+                     cp_time.alias("checkpoint_time"), value.alias("winner_probability"), "_last", "_end")
+             .filter(F.col("_last") | (F.col("checkpoint_time") <= F.col("_end")))
+             .drop("_last", "_end"))
 
 
 def live_checkpoint_summary(c: DataFrame, event: str = "game_id") -> DataFrame:
