@@ -188,7 +188,6 @@ def checkpoint_prices(t: DataFrame, offsets: list[tuple[str, str | None]],
     """
     timed = [(n, o) for n, o in offsets if o is not None]
     # checkpoints ordered by time: larger offsets first
-    names_in_time = [n for n, _ in timed]
     order_of = {n: i for i, (n, _) in enumerate(offsets)}
     tag = F.when(F.col("trade_time").isNull(), F.lit(None).cast("int"))
     for i, (n, o) in enumerate(timed):
@@ -199,39 +198,42 @@ def checkpoint_prices(t: DataFrame, offsets: list[tuple[str, str | None]],
     tagged = (t.withColumn("_tag", tag).groupBy(key, "_tag")
               .agg(F.max_by(payload, ordering).alias("_p"), F.min_by(payload, ordering).alias("_f"),
                    F.first(start).alias("_start")))
-    per_tag = tagged.filter(F.col("_tag") < len(timed))
-    # flatten before the generator (nested-field pruning across Generate is fragile)
-    per_tag = per_tag.select(key, "_tag", "_start", F.col("_p.trade_time").alias("_obs"),
-                             *[F.col(f"_p.{c}").alias(f"_c_{c}") for c in carry])
+    firsts = [n for n, o in offsets if o is None]
+    n_timed = len(timed)
+    # one window over a market's tags (a handful of rows): the next tag, and
+    # the earliest print over all tags for the first-observed row
     w = Window.partitionBy(key).orderBy("_tag")
-    last_i = len(timed) - 1
-    spread = (per_tag.withColumn("_next", F.lead("_tag").over(w))
-              .withColumn("_i", F.explode(F.sequence(F.col("_tag"),
-                                                     F.coalesce(F.col("_next") - 1, F.lit(last_i))))))
-    names = F.array(*[F.lit(n) for n in names_in_time])
-    cp_time = None
-    for i, (_, o) in enumerate(timed):
-        e = F.col("_start") - F.expr(f"interval {o}")
-        cp_time = F.when(F.col("_i") == i, e) if cp_time is None else cp_time.when(F.col("_i") == i, e)
-    order_col = None
-    for i, n in enumerate(names_in_time):
-        e = F.lit(order_of[n])
-        order_col = F.when(F.col("_i") == i, e) if order_col is None else order_col.when(F.col("_i") == i, e)
-    timed_rows = spread.select(
-        key, F.element_at(names, F.col("_i") + 1).alias("checkpoint"),
-        order_col.alias("checkpoint_order"), cp_time.alias("checkpoint_time"),
-        F.col("_obs").alias("observed_trade_time"),
-        *[F.col(f"_c_{c}").alias(c) for c in carry])
-    firsts = [(n, o) for n, o in offsets if o is None]
-    if not firsts:
-        return timed_rows
-    fname = firsts[0][0]
-    first = (tagged.groupBy(key).agg(F.min("_f").alias("_p"))
-             .select(key, F.lit(fname).alias("checkpoint"), F.lit(order_of[fname]).alias("checkpoint_order"),
-                     F.col("_p.trade_time").alias("checkpoint_time"),
-                     F.col("_p.trade_time").alias("observed_trade_time"),
-                     *[F.col(f"_p.{c}").alias(c) for c in carry]))
-    return timed_rows.unionByName(first)
+    g = tagged.select(key, "_tag", "_start", F.lead("_tag").over(w).alias("_next"),
+                      F.col("_p.trade_time").alias("_obs"), *[F.col(f"_p.{c}").alias(f"_c_{c}") for c in carry],
+                      *([F.min("_f").over(Window.partitionBy(key)).alias("_first")] if firsts else []))
+    if firsts:
+        g = g.select("*", F.col("_first.trade_time").alias("_fobs"),
+                     *[F.col(f"_first.{c}").alias(f"_fc_{c}") for c in carry]).drop("_first")
+    # (index, is_first): checkpoints this tag covers, then the market's
+    # first observed print on its latest tag row
+    cover = F.when(F.col("_tag") < n_timed,
+                   F.sequence(F.col("_tag"), F.coalesce(F.col("_next") - 1, F.lit(n_timed - 1))))
+    cells = F.transform(F.coalesce(cover, F.array().cast("array<int>")),
+                        lambda i: F.struct(i.alias("_i"), F.lit(False).alias("_isf")))
+    if firsts:
+        cells = F.when(F.col("_next").isNull(),
+                       F.concat(cells, F.array(F.struct(F.lit(-1).alias("_i"), F.lit(True).alias("_isf"))))
+                       ).otherwise(cells)
+    x = g.select("*", F.inline(cells))
+    isf = F.col("_isf")
+    name = F.when(isf, F.lit(firsts[0] if firsts else None))
+    order_col = F.when(isf, F.lit(order_of[firsts[0]] if firsts else None))
+    cp_time = F.when(isf, F.col("_fobs") if firsts else F.lit(None))
+    for i, (n, o) in enumerate(timed):
+        name = name.when(F.col("_i") == i, F.lit(n))
+        order_col = order_col.when(F.col("_i") == i, F.lit(order_of[n]))
+        cp_time = cp_time.when(F.col("_i") == i, F.col("_start") - F.expr(f"interval {o}"))
+    pick = (lambda c: F.when(isf, F.col(f"_fc_{c}")).otherwise(F.col(f"_c_{c}"))) if firsts else \
+        (lambda c: F.col(f"_c_{c}"))
+    obs = F.when(isf, F.col("_fobs")).otherwise(F.col("_obs")) if firsts else F.col("_obs")
+    return x.select(key, name.alias("checkpoint"), order_col.cast("int").alias("checkpoint_order"),
+                    cp_time.alias("checkpoint_time"), obs.alias("observed_trade_time"),
+                    *[pick(c).alias(c) for c in carry])
 
 
 def _micros(c) -> Column:
