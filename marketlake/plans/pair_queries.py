@@ -13,6 +13,7 @@ from marketlake.operators import repricing as R
 from marketlake.plans import common as C
 from marketlake.plans.registry import register
 from marketlake.plans.views import with_views
+from marketlake.session import materialize
 
 STEP = "hour"
 
@@ -110,7 +111,9 @@ left join (select t.game_id,
 def q_pair_gap_summary(spark, d):
     pairs = _pairs(spark, d)
     pre = C.pregame(spark, d)
-    pp = PR.pair_path(pre, pairs, STEP)
+    # the pair path feeds two branches (gap statistics and lag correlations):
+    # written once, as the path table it is
+    pp = materialize(PR.pair_path(pre, pairs, STEP))
     roles = PR._roles(pre, pairs)
     lags = PA.next_trade_lag(roles, side="role")
     best = PR.best_pair_lag(PR.lagged_pair_corr(pp))
