@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # queries write reliable checkpoints (per-query dimensions, rank inputs);
+    # remove their files once the driver no longer references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
