@@ -46,6 +46,27 @@ def test_sliced_prev_matches_plain_lag(spark):
     assert bad == 0
 
 
+
+def test_sliced_prev_with_gaps_and_same_instant_ties(spark):
+    """Minute slices, long empty stretches between bursts, many prints at the
+    same instant (ordered by trade_id): carries cross empty slices."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        burst = rnd.choice([0, 7, 8, 300, 301, 2000])           # minutes; big gaps between bursts
+        sec = burst * 60 + rnd.choice([0, 0, 0, 5, 59])          # many exact ties
+        rows.append((i, rnd.randint(0, 2), sec, round(rnd.random(), 4), rnd.randint(1, 9)))
+    t = prints(spark, rows)
+    got = PA.sliced_prev(t, "market_id", ("price", "trade_time"), running=("size",), slice_unit="minute")
+    w = Window.partitionBy("market_id").orderBy("trade_time", "trade_id")
+    want = t.select("trade_id", F.lag("price").over(w).alias("p"), F.lag("trade_time").over(w).alias("pt"),
+                    F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("r"))
+    j = got.join(want, "trade_id")
+    assert j.count() == len(rows)
+    bad = j.filter(~F.col("prev_price").eqNullSafe(F.col("p")) | ~F.col("prev_trade_time").eqNullSafe(F.col("pt"))
+                   | (F.col("run_size") != F.col("r"))).count()
+    assert bad == 0
+
 def test_minute_path_forward_fills_and_keeps_last_duplicate(spark):
     t = prints(spark, [(1, 0, 0, 0.1, 1), (2, 0, 30, 0.2, 1), (3, 0, 30, 0.3, 1), (4, 0, 180, 0.4, 1)])
     got = {r.minute: r.price for r in PA.minute_path(t, "minute").collect()}
