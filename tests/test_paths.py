@@ -113,3 +113,25 @@ def test_next_trade_lag_matches_pandas(spark):
 def test_recent_trades_keeps_latest_n(spark):
     t = prints(spark, [(i, 0, i, 0.5, 1) for i in range(10)])
     assert sorted(r.trade_id for r in PA.recent_trades(t, 3).collect()) == [7, 8, 9]
+
+
+def test_checkpoint_prices_match_brute_force(spark):
+    rnd = random.Random(21)
+    rows = [(i, rnd.randint(0, 5), rnd.choice([0, 1800, 3600, 3600, 6300, 7200, 7300, rnd.randint(0, 7200)]),
+             round(rnd.random(), 4), 1) for i in range(250)]
+    offsets = [("first_observed", None), ("6h_before", "6 hours"), ("1h_before", "1 hour"),
+               ("15m_before", "15 minutes"), ("first_pitch", "0 seconds")]
+    secs = {"6h_before": 6 * 3600, "1h_before": 3600, "15m_before": 900, "first_pitch": 0}
+    got = {(r.market_id, r.checkpoint): (r.observed_trade_time, r.price, r.checkpoint_order)
+           for r in PA.checkpoint_prices(prints(spark, rows), offsets).collect()}
+    want = {}
+    start = T0 + dt.timedelta(hours=2)
+    for m in {r[1] for r in rows}:
+        mine = sorted((T0 + dt.timedelta(seconds=s), tid, p) for tid, mm, s, p, _ in rows if mm == m)
+        want[(m, "first_observed")] = (mine[0][0], mine[0][2], 0)
+        for k, (name, _) in enumerate(offsets[1:], start=1):
+            cp = start - dt.timedelta(seconds=secs[name])
+            ok = [x for x in mine if x[0] <= cp]
+            if ok:
+                want[(m, name)] = (ok[-1][0], ok[-1][2], k)
+    assert got == want
