@@ -135,3 +135,32 @@ def test_checkpoint_prices_match_brute_force(spark):
             if ok:
                 want[(m, name)] = (ok[-1][0], ok[-1][2], k)
     assert got == want
+
+
+def test_live_checkpoint_prices_match_brute_force(spark):
+    from marketlake.operators import pairs as PR
+    rnd = random.Random(4)
+    start = T0 + dt.timedelta(hours=2)
+    pts = set()
+    for g in range(6):
+        lo, hi = rnd.choice([(-30, 10), (0, 40), (5, 200), (-5, 130), (20, 25)])
+        for m in rnd.sample(range(lo, hi + 1), min(12, hi - lo + 1)):
+            pts.add((g, m))
+    rows = [(g, start + dt.timedelta(minutes=m), round(rnd.random(), 4)) for g, m in sorted(pts)]
+    path = spark.createDataFrame(rows, "game_id long, minute timestamp_ntz, winner_probability double")
+    games = spark.createDataFrame([(g, start) for g in range(6)], "game_id long, game_start timestamp_ntz")
+    got = {(r.game_id, r.checkpoint): (r.checkpoint_time, r.winner_probability, r.checkpoint_order)
+           for r in PR.live_checkpoint_prices(path, games).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        mine = sorted((m, v) for gg, m, v in rows if gg == g)
+        end = mine[-1][0]
+        for k, (name, off) in enumerate(PR.LIVE_CHECKPOINTS):
+            if off is None:
+                want[(g, name)] = (end, mine[-1][1], k)
+                continue
+            cp = start + dt.timedelta(minutes=off)
+            ok = [x for x in mine if x[0] <= cp]
+            if ok and cp <= end:
+                want[(g, name)] = (cp, ok[-1][1], k)
+    assert got == want
