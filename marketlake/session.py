@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -36,13 +37,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Register the shared checkpoint folder with the SparkContext; a
-    scratch folder is created only when the cluster names none (tests)."""
+    """Register the shared checkpoint folder with the SparkContext.
+
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master
+    may go without: there (tests, the bench) a scratch folder is made.  On
+    any other master an unset folder is an error, because files in a
+    machine-local folder are not there for other executors.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     sc.setCheckpointDir(base)
@@ -57,25 +65,13 @@ def materialize(df):
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the cluster's shared checkpoint folder.
+    """The path of a fresh sub-folder of the cluster's shared folder.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage that every
-    executor can reach.  Only when it is unset (local tests) do we create a
-    scratch folder and register it.
+    It lies in the folder Spark made for this application (its name holds a
+    random id) and ends in a random id itself, so that neither two jobs with
+    the same process number nor two calls of one job can meet.  The path
+    keeps its scheme.
     """
     ensure_checkpoint_dir(spark)
-    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-    return path
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    base = spark.sparkContext.getCheckpointDir().rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
