@@ -1,9 +1,9 @@
 """Column-level building blocks (all JVM-side expressions, no UDFs)."""
 
 from marketlake.functions.stats import (  # noqa: F401
-    avg_rank, pairwise, safe_corr, safe_slope, round_doubles,
+    pairwise, safe_corr, safe_slope, round_doubles,
 )
 from marketlake.functions.timecols import (  # noqa: F401
-    EASTERN, ceil_to, elapsed_hours, elapsed_minutes, elapsed_seconds, floor_to,
+    EASTERN, ceil_to, elapsed_hours, elapsed_minutes, floor_to,
     second_boundaries, to_eastern, to_utc,
 )

@@ -37,10 +37,6 @@ def elapsed_micros(a, b) -> Column:
     return F.timestamp_diff("MICROSECOND", _col(a), _col(b))
 
 
-def elapsed_seconds(a, b) -> Column:
-    return elapsed_micros(a, b) / 1e6
-
-
 def elapsed_minutes(a, b) -> Column:
     return elapsed_micros(a, b) / 6e7
 

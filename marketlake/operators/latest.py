@@ -57,23 +57,25 @@ def latest_per_key(df: DataFrame, keys: list[str], order: Order,
 
 
 def merge_latest(target: DataFrame, batch: DataFrame, keys: list[str], order: Order,
-                 guard: bool = False) -> DataFrame:
-    """MERGE on key.  The batch is first reduced to its latest row per key;
-    matched keys take the batch row, unmatched batch rows are inserted.
+                 guard: bool = False, reduced: bool = False) -> DataFrame:
+    """MERGE on key.  The batch is first reduced to its latest row per key
+    (unless it is ``reduced``); matched keys take the batch row, unmatched
+    batch rows are inserted.  A column that only one side has is kept and
+    NULL in the other's rows.
 
     ``guard=False`` is the warehouse behaviour: a late batch with older data
     overwrites newer rows.  ``guard=True`` keeps whichever row is later by
     ``order``."""
-    src = latest_per_key(batch, keys, order).select(*target.columns)
+    src = batch if reduced else latest_per_key(batch, keys, order)
     if guard:
-        return latest_per_key(target.unionByName(src), keys, order)
-    return target.join(src.select(*keys), keys, "left_anti").unionByName(src)
+        return latest_per_key(target.unionByName(src, allowMissingColumns=True), keys, order)
+    return target.join(src.select(*keys), keys, "left_anti").unionByName(src, allowMissingColumns=True)
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str] | None, order: Order) -> DataFrame:
     """Keyed tables upsert, key-less tables append."""
     if not keys:
-        return target.unionByName(batch)
+        return target.unionByName(batch, allowMissingColumns=True)
     return merge_latest(target, batch, keys, order)
 
 

@@ -83,11 +83,13 @@ def series_market_stats(market_stats: DataFrame, key: str = "series_ticker",
 
 def series_hourly_pivot(t: DataFrame, key: str = "series_ticker", zone: str = EASTERN,
                         values: list[str] | None = None) -> DataFrame:
-    """Local hour x series trade counts, absent -> 0.  Pass ``values``
-    (the series list) to avoid the extra distinct job pivot otherwise runs."""
-    hour = to_eastern(floor_to("trade_time", "hour"), zone).alias("trade_hour_et")
-    p = t.groupBy(hour).pivot(key, values).agg(F.count(F.lit(1)))
-    return p.na.fill(0)
+    """Hour x series trade counts, absent -> 0.  Hours are UTC hours (in
+    autumn two of them read as the same local hour), shown in ``zone``.
+    Without ``values`` the series come from the prints (one distinct job);
+    a list of them leaves all others out."""
+    p = t.groupBy(floor_to("trade_time", "hour").alias("trade_hour_utc")).pivot(key, values).agg(F.count(F.lit(1)))
+    counts = [c for c in p.columns if c != "trade_hour_utc"]
+    return p.na.fill(0, counts).select("trade_hour_utc", to_eastern("trade_hour_utc", zone).alias("trade_hour_et"), *[F.col(f"`{c}`") for c in counts])
 
 
 def day_trades(t: DataFrame, day: str, zone: str = EASTERN) -> DataFrame:

@@ -42,7 +42,8 @@ def labelled_trades(t: DataFrame, markets_with_outcome: DataFrame, boundary: str
                     key: str = "market_id") -> DataFrame:
     """J4 + P18 + P20: trades INNER JOIN markets (one row per market), drop
     rows lacking time, price or outcome, label pregame / live."""
-    m = markets_with_outcome.select(key, "market_result", "actual_outcome")
+    carry = [c for c in ("market_result", "winner_side", "actual_outcome") if c in markets_with_outcome.columns]
+    m = markets_with_outcome.select(key, *carry)
     j = t.join(m, key, "inner")
     j = drop_incomplete(j, ["trade_time", "price", "actual_outcome"])
     return label_window(j, boundary)

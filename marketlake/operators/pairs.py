@@ -66,25 +66,22 @@ def with_pair_deltas(pp: DataFrame, event: str = "game_id") -> DataFrame:
 def lagged_pair_corr(pp: DataFrame, lags=range(-10, 11), event: str = "game_id") -> DataFrame:
     """Correlation of winner deltas with loser deltas shifted by -10..10
     rows (positive lag = the loser side follows).  Shifts are lead/lag over
-    one window per game; the 21 copies are reduced by a partial aggregate."""
+    one window per game, and one aggregate per game holds the statistics of
+    all lags, so a path row is never copied per lag; a generator then turns
+    the game's row into one row per lag (n = 0 and NULL without a complete
+    row).  A game's path is bounded by the minutes of a game."""
     d = with_pair_deltas(pp, event).filter(F.col("winner_delta").isNotNull() & F.col("loser_delta").isNotNull())
     w = Window.partitionBy(event).orderBy("minute")
     lags = list(lags)
-    cols = [(F.lead("loser_delta", k).over(w) if k > 0 else
-             F.lag("loser_delta", -k).over(w) if k < 0 else F.col("loser_delta")).alias(f"_s{i}")
-            for i, k in enumerate(lags)]
-    wide = d.select(event, "winner_delta", *cols)
-    x = wide.select(event, "winner_delta", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("lag"), F.col(f"_s{i}").alias("v")) for i, k in enumerate(lags)])).alias("_s"))
-    x = x.select(event, "winner_delta", F.col("_s.lag").alias("lag_minutes"), F.col("_s.v").alias("shifted"))
-    # a (game, lag) with no complete row still gets a row (n = 0, corr NULL)
-    x = x.withColumn("_ok", F.col("shifted").isNotNull())
-    xw = F.when(F.col("_ok"), F.col("winner_delta"))
-    xs = F.when(F.col("_ok"), F.col("shifted"))
-    return x.groupBy(event, "lag_minutes").agg(
-        F.when((F.count(xs) >= 3) & (F.min(xw) < F.max(xw)) & (F.min(xs) < F.max(xs)),
-               F.try_divide(F.covar_pop(xw, xs), F.stddev_pop(xw) * F.stddev_pop(xs))).alias("delta_corr"),
-        F.count(xs).alias("n"))
+    shifted = [F.lead("loser_delta", k).over(w) if k > 0 else
+               F.lag("loser_delta", -k).over(w) if k < 0 else F.col("loser_delta") for k in lags]
+    wide = d.select(event, "winner_delta", *[c.alias(f"_s{i}") for i, c in enumerate(shifted)])
+    stats = []
+    for i in range(len(lags)):
+        stats += [safe_corr("winner_delta", f"_s{i}").alias(f"_c{i}"), F.count(f"_s{i}").alias(f"_n{i}")]
+    cells = [F.struct(F.lit(k).alias("lag_minutes"), F.col(f"_c{i}").alias("delta_corr"), F.col(f"_n{i}").alias("n"))
+             for i, k in enumerate(lags)]
+    return wide.groupBy(event).agg(*stats).select(event, F.inline(F.array(*cells)))
 
 
 def best_pair_lag(corrs: DataFrame, event: str = "game_id") -> DataFrame:
@@ -119,11 +116,12 @@ def pair_gap_summary(pp: DataFrame, lags_df: DataFrame, best: DataFrame, pairs:
          .alias("share_winner_followed_within_1m"),
         F.avg(F.when(F.col("from_side") == 0, (F.col("lag_minutes") <= 1).cast("double")))
          .alias("share_loser_followed_within_1m"))
-    meds = medians_wide(lags_df, [event], {
+    # the lags are read twice; ``lags_df`` is a stored table
+    meds = medians_wide(lags_df, [event], checkpoint=False, cols={
         "median_minutes_winner_to_loser": F.when(F.col("from_side") == 1, F.col("lag_minutes")),
         "median_minutes_loser_to_winner": F.when(F.col("from_side") == 0, F.col("lag_minutes"))})
     lg = shares.join(meds, event, "left")
-    return (pairs.select(event, "winner_market_id", "loser_market_id").join(s, event, "inner")
+    return (pairs.select(event, "winner_market_id", "loser_market_id", "winner_side").join(s, event, "inner")
             .join(best, event, "left").join(lg, event, "left"))
 
 
@@ -177,12 +175,13 @@ def live_game_summary(path: DataFrame, live_trades: DataFrame, games: DataFrame,
         F.count(F.lit(1)).alias("_n"), F.sum("size").cast("double").alias("_vol"),
         F.countDistinct(key).alias("_mk"),
         F.min("trade_time").alias("_f"), F.max("trade_time").alias("_l"))
-    j = games.select(event, start).join(ps, event, "left").join(ts, event, "left")
+    winner = ["winner_side"] if "winner_side" in games.columns else []
+    j = games.select(event, start, *winner).join(ps, event, "left").join(ts, event, "left")
     has = F.col("_p0").isNotNull()
     tot = F.coalesce(F.col("_tot"), F.lit(0.0))
     rep = F.col("winner_prob_last_observed") - F.col("winner_prob_first_pitch")
     out = j.select(
-        event, start,
+        event, start, *winner,
         F.when(has, F.col("_n")).otherwise(F.lit(0)).cast("bigint").alias("live_trade_count"),
         F.when(has, F.col("_vol")).otherwise(F.lit(0.0)).alias("live_volume"),
         F.when(has, F.col("_mk")).otherwise(F.lit(0)).cast("bigint").alias("live_markets_with_trades"),
@@ -202,6 +201,7 @@ def live_game_summary(path: DataFrame, live_trades: DataFrame, games: DataFrame,
                .withColumn("has_enough_live_coverage", F.col("live_duration_minutes") >= min_minutes))
 
 
+# Metrics of the output.
 LIVE_METRICS = ["live_duration_minutes", "live_trade_count", "winner_prob_first_pitch",
                 "winner_prob_last_observed", "live_repricing_to_winner", "total_abs_live_move",
                 "path_efficiency", "max_1m_abs_move", "jump_count_5c", "largest_jump_share_of_path"]
@@ -221,6 +221,7 @@ def live_distribution(summary: DataFrame, metrics: list[str] = LIVE_METRICS,
                                                   "max")
 
 
+# Checkpoint names of the output.
 LIVE_CHECKPOINTS = [("first_pitch", 0), ("15m_live", 15), ("30m_live", 30), ("60m_live", 60),
                     ("120m_live", 120), ("last_observed", None)]
 

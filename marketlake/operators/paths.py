@@ -63,10 +63,10 @@ def sliced_prev(df: DataFrame, key, values: tuple[str, ...], running: tuple[str,
                       for v in running])
 
 
-def trade_price_path(t: DataFrame, key: str = "market_id") -> DataFrame:
+def trade_price_path(t: DataFrame, key: str = "market_id", slice_unit: str = SLICE) -> DataFrame:
     """Delta to the previous print, whole seconds since it (boundary count,
-    as the warehouse's datediff), running volume (sliced windows)."""
-    p = sliced_prev(t, key, ("price", "trade_time"), running=("size",))
+    as the warehouse's datediff), running volume (windows per ``slice_unit``)."""
+    p = sliced_prev(t, key, ("price", "trade_time"), running=("size",), slice_unit=slice_unit)
     return p.select(
         *t.columns,
         (F.col("price") - F.col("prev_price")).alias("price_delta"),
@@ -75,20 +75,21 @@ def trade_price_path(t: DataFrame, key: str = "market_id") -> DataFrame:
     )
 
 
-def trade_information_score(t: DataFrame, key: str = "market_id") -> DataFrame:
-    """Size-discounted price move |delta| / ln(size + 1), moving prints only."""
-    scored = sliced_prev(t, key, ("price",))
-    delta = F.col("price") - F.col("prev_price")
-    scored = scored.withColumn("price_delta", delta)
-    score = (F.when(F.col("price_delta").isNull(), F.lit(None).cast("double"))
-             .when(F.col("size") <= 0, F.lit(None).cast("double"))
-             .otherwise(F.abs(F.col("price_delta")) / F.ln(F.col("size") + 1)))
-    direction = (F.when(F.col("price_delta") < 0, F.lit("no-favorable shock"))
-                 .when(F.col("price_delta") > 0, F.lit("yes-favorable shock"))
-                 .otherwise(F.lit("no price change")))
-    return (scored.withColumn("information_score", score)
-            .withColumn("move_direction", direction)
-            .filter(F.col("price_delta").isNotNull() & (F.col("price_delta") != 0)))
+# The two labels of a price move, by its sign.
+MOVE_LABELS = {1: "yes-favorable shock", -1: "no-favorable shock"}
+
+
+def trade_information_score(t: DataFrame, key: str = "market_id", slice_unit: str = SLICE) -> DataFrame:
+    """What a print moved the price by, over the log of its size plus one;
+    only prints that moved it.  A size of zero or less has no score.
+    ``slice_unit``: the time slice a hot market's prints are windowed by."""
+    moved = (sliced_prev(t, key, ("price",), slice_unit=slice_unit)
+             .withColumn("price_delta", F.col("price") - F.col("prev_price")).where("price_delta <> 0"))
+    label = F.element_at(F.create_map(*[F.lit(x) for pair in MOVE_LABELS.items() for x in pair]),
+                         F.signum("price_delta").cast("int"))
+    return moved.withColumns({
+        "information_score": F.abs("price_delta") / F.ln(F.when(F.col("size") > 0, F.col("size") + 1)),
+        "move_direction": label})
 
 
 def top_movers(scored: DataFrame, k: int = 30) -> DataFrame:
@@ -273,10 +274,18 @@ def next_trade_lag(t: DataFrame, group: str = "game_id", side: str = "side",
                     ((F.col("_next") - F.col("_us")) / 6e7).alias("lag_minutes")))
 
 
-def recent_trades(t: DataFrame, n: int = 1000, key: str = "market_id") -> DataFrame:
-    """The latest n prints per market (the API's one-page 'recent' mode)."""
-    w = Window.partitionBy(key).orderBy(F.col("trade_time").desc(), F.col("trade_id").desc())
-    return t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def recent_trades(t: DataFrame, n: int = 1000, key: str = "market_id", slice_unit: str = SLICE) -> DataFrame:
+    """The latest n prints per market (the API's one-page 'recent' mode).
+
+    First the latest n of every time slice of a market, then the latest n of
+    those: a hot market's prints are ranked in as many tasks as it has
+    slices, and n rows per slice meet in one."""
+    latest = [F.col("trade_time").desc(), F.col("trade_id").desc()]
+    by_slice = Window.partitionBy(key, "_slice").orderBy(*latest)
+    few = (t.withColumn("_slice", floor_to("trade_time", slice_unit)).withColumn("_rn", F.row_number().over(by_slice))
+           .filter(F.col("_rn") <= n).drop("_rn", "_slice"))
+    return (few.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*latest)))
+            .filter(F.col("_rn") <= n).drop("_rn"))
 
 
 def row_shift(df: DataFrame, key, order, value: str, lags=range(-10, 11)) -> DataFrame:

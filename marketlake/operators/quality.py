@@ -72,6 +72,18 @@ def column_contract(df: DataFrame, expected: list[str]) -> list[str]:
     return out
 
 
+def contract_report(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Q9: the findings of ``column_contract`` with the number of rows each
+    concerns: all rows for a missing column or the order, the rows with a
+    value for an unexpected one.  One aggregate."""
+    found = column_contract(df, expected)
+    if not found:
+        return df.sparkSession.createDataFrame([], "problem string, affected_rows long")
+    n = [F.count(p.split(" ", 1)[1]) if p.startswith("unexpected ") else F.count(F.lit(1)) for p in found]
+    cells = [F.struct(F.lit(p).alias("problem"), F.col(f"n{i}").alias("affected_rows")) for i, p in enumerate(found)]
+    return df.agg(*[c.alias(f"n{i}") for i, c in enumerate(n)]).select(F.inline(F.array(*cells)))
+
+
 def single_row(df: DataFrame, key: str) -> DataFrame:
     """Q10: keys whose scoped lookup does not return exactly one row."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") != 1)

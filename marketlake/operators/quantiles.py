@@ -75,11 +75,12 @@ def average_rank(df: DataFrame, keys: list[str], value: str, out: str = "rank",
     return r.join(ties, [*keys, value], "inner").drop("_rank", "_n")
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+                      checkpoint: bool = True) -> DataFrame:
     """One row per group: ``count`` of non-NULL values and one column per
     entry of ``probs`` (name -> probability in [0, 1])."""
     d = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    ranked = rank_within(d, keys, "_v")
+    ranked = rank_within(d, keys, "_v", checkpoint)
     # positions each probability needs: floor and ceil of (n - 1) * p
     need = None
     for p in probs.values():
@@ -97,15 +98,16 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     return picked.groupBy(*keys).agg(*aggs)
 
 
-def medians_wide(df: DataFrame, keys: list[str], cols: dict[str, object]) -> DataFrame:
+def medians_wide(df: DataFrame, keys: list[str], cols: dict[str, object], checkpoint: bool = True) -> DataFrame:
     """Exact medians of several columns per group, one output column each
     (``cols``: output name -> column name or Column).  The columns are
-    stacked into (metric, value) so one distributed pass serves all."""
+    stacked into (metric, value) so one distributed pass serves all.
+    ``checkpoint=False``: ``df`` is a stored table already."""
     names = list(cols)
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(n).alias("_metric"),
                  (F.col(c) if isinstance(c, str) else c).cast("double").alias("_val"))
         for n, c in cols.items()])).alias("_s")).select(*keys, "_s._metric", "_s._val")
-    med = exact_percentiles(stacked, [*keys, "_metric"], "_val", {"_p50": 0.5})
+    med = exact_percentiles(stacked, [*keys, "_metric"], "_val", {"_p50": 0.5}, checkpoint)
     wide = med.groupBy(*keys).pivot("_metric", names).agg(F.first("_p50"))
     return wide

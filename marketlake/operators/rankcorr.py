@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.stats import safe_corr
 from marketlake.operators.quantiles import average_rank
+from marketlake.session import materialize
 
 
 def _finite(c):
@@ -23,32 +24,40 @@ def rank_corr(df: DataFrame, metrics: list[str], features: list[str]) -> DataFra
     """Spearman per (metric, feature) over pairwise-complete rows:
     infinities -> NULL, drop rows missing either side, average ranks, then a
     guarded Pearson (NULL if n < 3 or a side is constant).  Pairs whose
-    columns are absent are skipped."""
+    columns are absent are skipped.
+
+    A column's ranks within a pair are its own ranks wherever the other side
+    drops none of its rows; one aggregate (a count per column and per pair)
+    tells where.  So every column is ranked once, and once more only for a
+    partner with other gaps.  The rows are stored once, ranked in one
+    distributed pass, and all pairs come from one aggregate."""
     ms = [m for m in metrics if m in df.columns]
     fs = [f for f in features if f in df.columns]
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(f).alias("feature"),
-                               _finite(F.col(m).cast("double")).alias("x"),
-                               _finite(F.col(f).cast("double")).alias("y"))
-                      for m in ms for f in fs])
-    long = (df.select(F.explode(pairs).alias("_p")).select("_p.*")
-            .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-            .withColumn("_row", F.monotonically_increasing_id()))
-    # both sides ranked in one pass: stack (axis, value), rank per
-    # (metric, feature, axis), then pair the two ranks of each row again
-    both = long.select("metric", "feature", "_row", F.explode(F.array(
-        F.struct(F.lit("x").alias("axis"), F.col("x").alias("v")),
-        F.struct(F.lit("y").alias("axis"), F.col("y").alias("v")))).alias("_a")) \
-        .select("metric", "feature", "_row", "_a.axis", "_a.v")
-    r = average_rank(both, ["metric", "feature", "axis"], "v", "r")
-    ranked = r.groupBy("metric", "feature", "_row").agg(
-        F.max(F.when(F.col("axis") == "x", F.col("r"))).alias("rx"),
-        F.max(F.when(F.col("axis") == "y", F.col("r"))).alias("ry"))
-    out = ranked.groupBy("metric", "feature").agg(
-        safe_corr("rx", "ry").alias("spearman_corr"), F.count(F.lit(1)).alias("n"))
-    # pairs with no complete row still get a row (n = 0, corr NULL)
-    allp = df.sparkSession.createDataFrame([(m, f) for m in ms for f in fs], "metric string, feature string")
-    return allp.join(out, ["metric", "feature"], "left").select(
-        "metric", "feature", "spearman_corr", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
+    pairs = [(m, f) for m in ms for f in fs]
+    cols = list(dict.fromkeys([*ms, *fs]))
+    d = materialize(df.select(*[_finite(F.col(c).cast("double")).alias(c) for c in cols])
+                    .withColumn("_row", F.monotonically_increasing_id()))
+    both = lambda m, f: F.col(m).isNotNull() & F.col(f).isNotNull()
+    seen = d.agg(*[F.count(c).alias(c) for c in cols],
+                 *[F.count_if(both(m, f)).alias(f"{m}|{f}") for m, f in pairs]).first()
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "metric string, feature string, spearman_corr double, n long")
+    # the ranking a column takes in a pair: its own, or among its partner's rows
+    ranking = lambda c, other, n: c if seen[c] == n else f"{c}|within|{other}"
+    used, wanted = {}, {}
+    for m, f in pairs:
+        n = seen[f"{m}|{f}"]
+        used[m, f] = (ranking(m, f, n), ranking(f, m, n))
+        wanted[used[m, f][0]], wanted[used[m, f][1]] = (m, f), (f, m)
+    cells = [F.struct(F.lit(name).alias("k"), (F.col(c) if name == c else F.when(both(c, o), F.col(c))).alias("v"))
+             for name, (c, o) in wanted.items()]
+    ranked = average_rank(d.select("_row", F.inline(F.array(*cells))), ["k"], "v", "r", checkpoint=False)
+    at = {name: f"r{i}" for i, name in enumerate(wanted)}
+    wide = ranked.groupBy("_row").agg(*[F.max(F.when(F.col("k") == name, F.col("r"))).alias(a) for name, a in at.items()])
+    corrs = [safe_corr(at[used[p][0]], at[used[p][1]]).alias(f"c{i}") for i, p in enumerate(pairs)]
+    out = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(f).alias("feature"), F.col(f"c{i}").alias("spearman_corr"),
+                             F.lit(seen[f"{m}|{f}"]).cast("long").alias("n")) for i, (m, f) in enumerate(pairs)])
+    return wide.agg(*corrs).select(F.inline(out))
 
 
 def rank_corr_matrix(df: DataFrame, cols: list[str], id_col: str) -> DataFrame:

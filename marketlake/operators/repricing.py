@@ -15,23 +15,29 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.stats import safe_slope
 from marketlake.functions.timecols import elapsed_hours
-from marketlake.operators.paths import sliced_prev
+from marketlake.operators.paths import SLICE, sliced_prev
 from marketlake.operators.quantiles import medians_wide
 
 def _order():
     return F.struct("trade_time", "trade_id")
 
 
+def _winner(df: DataFrame) -> list:
+    """The winner of the row's game, where the frame knows it."""
+    return [F.min("winner_side").alias("winner_side")] if "winner_side" in df.columns else []
+
+
 def pregame_market_summary(p: DataFrame, key: str = "market_id", event: str = "game_id",
-                           team: str = "side") -> DataFrame:
-    """24 columns per market from its first and last pregame print."""
-    d = sliced_prev(p, key, ("winner_probability",))
+                           team: str = "side", slice_unit: str = SLICE) -> DataFrame:
+    """25 columns per market from its first and last pregame print.
+    ``slice_unit``: the time slice a hot market's prints are windowed by."""
+    d = sliced_prev(p, key, ("winner_probability",), slice_unit=slice_unit)
     d = d.withColumn("_step", F.abs(F.col("winner_probability") - F.col("prev_winner_probability"))) \
          .withColumn("_x", elapsed_hours(F.col("game_start"), F.col("trade_time")))
     first = lambda c: F.min_by(c, _order())
     last = lambda c: F.max_by(c, _order())
     s = d.groupBy(key).agg(
-        first(event).alias(event), first(team).alias(team),
+        first(event).alias(event), first(team).alias(team), *_winner(p),
         first("actual_outcome").alias("actual_outcome"),
         F.min("trade_time").alias("first_trade_time"),
         F.max("trade_time").alias("last_pregame_trade_time"),
@@ -61,7 +67,7 @@ def pregame_market_summary(p: DataFrame, key: str = "market_id", event: str = "g
 def pregame_event_summary(s: DataFrame, event: str = "game_id", key: str = "market_id") -> DataFrame:
     """Market summaries averaged over the contracts of a game."""
     e = s.groupBy(event).agg(
-        F.countDistinct(key).alias("markets"),
+        *_winner(s), F.countDistinct(key).alias("markets"),
         F.sum("pregame_trade_count").alias("pregame_trade_count"),
         F.sum("pregame_volume").alias("pregame_volume"),
         F.avg("winner_prob_open").alias("mean_winner_prob_open"),
@@ -114,7 +120,7 @@ def answers(questions: list[tuple]) -> DataFrame:
 def contract_sync(s: DataFrame, event: str = "game_id", key: str = "market_id") -> DataFrame:
     """Improving contracts per game and the spread of improvements."""
     return s.groupBy(event).agg(
-        F.sum(F.col("forecast_improved").cast("int")).cast("bigint").alias("improving_contracts"),
+        *_winner(s), F.sum(F.col("forecast_improved").cast("int")).cast("bigint").alias("improving_contracts"),
         F.countDistinct(key).alias("contracts"),
         F.avg("brier_improvement").alias("mean_brier_improvement"),
         F.min("brier_improvement").alias("min_brier_improvement"),
@@ -161,7 +167,8 @@ def final_hour_concentration(s: DataFrame, c: DataFrame, names: list[str],
                                                          F.first("winner_probability").alias("p"))
     wide = both.select(key, *[F.col(f"{n}_b").alias(f"brier_{n}") for n in names],
                        *[F.col(f"{n}_p").alias(f"winner_prob_{n}") for n in names])
-    j = s.select(key, event, team, "path_efficiency").join(wide, key, "left")
+    winner = ["winner_side"] if "winner_side" in s.columns else []
+    j = s.select(key, event, team, *winner, "path_efficiency").join(wide, key, "left")
     tot = F.col("brier_first_observed") - F.col("brier_first_pitch")
     fin = F.col("brier_1h_before") - F.col("brier_first_pitch")
     return (j.withColumn("total_brier_improvement", tot)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.operators.latest import column_set_diff
+
 
 def _kind(v):
     s = F.expr(f"schema_of_variant({v})")
@@ -55,9 +57,21 @@ def union_columns(frames: list[DataFrame]) -> DataFrame:
 def schema_drift(df: DataFrame, known: list[str]) -> list[tuple[str, str]]:
     """P25: (column, 'added' | 'removed') between a frame and a table's
     column list (case-insensitive).  Schema only."""
-    have = {c.lower() for c in df.columns}
-    want = {c.lower() for c in known}
-    return sorted([(c, "added") for c in have - want] + [(c, "removed") for c in want - have])
+    added, removed = column_set_diff([c.lower() for c in df.columns], [c.lower() for c in known])
+    return sorted([(c, "added") for c in added] + [(c, "removed") for c in removed])
+
+
+def drift_report(df: DataFrame, known: list[str]) -> DataFrame:
+    """P25 with the number of rows that fill each added column (0 for a
+    removed one), from one aggregate."""
+    drift = schema_drift(df, known)
+    if not drift:
+        return df.sparkSession.createDataFrame([], "column_name string, change string, filled_rows long")
+    counts = [F.count(c) if change == "added" else F.lit(0).cast("long") for c, change in drift]
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[c.alias(f"f{i}") for i, c in enumerate(counts)])
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(change).alias("change"), F.col(f"f{i}").alias("filled_rows"))
+             for i, (c, change) in enumerate(drift)]
+    return one.select(F.inline(F.array(*cells)))
 
 
 def apply_drift_policy(df: DataFrame, known_schema: T.StructType, policy: str = "evolve") -> tuple[str, DataFrame]:

@@ -151,15 +151,14 @@ def stg_orderbooks(raw: DataFrame) -> DataFrame:
     return raw.select("market_ticker", "orderbook")
 
 
+# Team dimension columns.
 TEAM_COLUMNS = ["team_id", "full_team_name", "team_code", "abbreviation", "team_name", "location_name",
                 "first_year_of_play", "sport_id", "sport_name", "league_id", "league_name", "division_id",
-                "division_name", "venue_id", "venue_name", "is_active", "ingested_at", "raw_payload",
-                "source_file", "source_row_number", "loaded_at"]
+                "division_name", "venue_id", "venue_name", "is_active", "ingested_at", "loaded_at"]
 
 
 def dim_teams(latest_teams: DataFrame) -> DataFrame:
     """Project the latest team row (see latest_per_key with the teams
-    ordering); ``ingested_at`` is exposed as ``snapshot_at``."""
-    cols = [c for c in TEAM_COLUMNS if c in latest_teams.columns]
-    out = latest_teams.select(*cols)
-    return out.withColumnRenamed("ingested_at", "snapshot_at") if "ingested_at" in cols else out
+    ordering) to the dimension's 18 columns; ``ingested_at`` is exposed as
+    ``source_ingested_at``, payload and file columns stay behind."""
+    return latest_teams.select(*TEAM_COLUMNS).withColumnRenamed("ingested_at", "source_ingested_at")

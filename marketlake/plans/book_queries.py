@@ -13,6 +13,7 @@ from marketlake.operators import repricing as R
 from marketlake.plans import common as C
 from marketlake.plans.registry import register
 from marketlake.plans.views import with_views
+from marketlake.session import materialize
 from marketlake.sources import proxies as P
 
 DEPTH_D = ("orderbook_yes_depth_contracts", "orderbook_no_depth_contracts", "orderbook_total_depth_contracts",
@@ -47,9 +48,15 @@ def q_orderbook_levels(spark, d):
     return B.orderbook_levels(_books(spark, d))
 
 
-@register("nonempty_books", with_views("select distinct market_id from levels", "levels"))
+@register("nonempty_books", with_views("select * from book_text", "book_text"))
 def q_nonempty_books(spark, d):
-    return B.nonempty_books(_books(spark, d)).select("market_id")
+    """Books without a level and books without a key go."""
+    odd = spark.range(4).select(
+        F.when(F.col("id") > 0, -F.col("id")).alias("market_id"),
+        F.element_at(F.array(*map(F.lit, ('{"yes_dollars":[["0.5","1.0"]],"no_dollars":[]}',
+                                          '{"yes_dollars":[],"no_dollars":[]}', "{}", "no book"))),
+                     (F.col("id") + 1).cast("int")).alias("orderbook"))
+    return B.nonempty_books(_books(spark, d).unionByName(odd))
 
 
 @register("market_stats_join", with_views("""
@@ -89,23 +96,27 @@ MSUM_D = ("actual_outcome", "open_price", "first_pitch_price", "winner_prob_open
           "path_efficiency")
 
 
+CTX_D = ("last_price_dollars", "volume_fp", "liquidity_dollars", "yes_bid_dollars", "yes_ask_dollars",
+         "yes_bid_size_fp", "yes_ask_size_fp")
+
+
 def _la(spark, d):
-    """Pregame summary LEFT JOIN market context (only the columns the
-    market table has) LEFT JOIN book depth."""
-    s = R.pregame_market_summary(C.pregame(spark, d))
-    m = C.markets_outcome(spark, d)
-    wanted = ["market_id", "market_title", "market_status", "last_price_dollars", "volume_fp",
-              "liquidity_dollars", "yes_bid_dollars", "yes_ask_dollars", "yes_bid_size_fp", "yes_ask_size_fp",
-              "market_result"]
-    ctx = m.select(*[c for c in wanted if c in m.columns])
-    return s.join(ctx, "market_id", "left").join(_depth(spark, d), "market_id", "left")
-
-
-@register("market_context_join", with_views("select * from la", "la"), doubles=MSUM_D + DEPTH_D)
+    """Pregame summary LEFT JOIN market context LEFT JOIN book depth, one
+    row per market; stored once, as several branches read it."""
+    def build():
+        s = R.pregame_market_summary(C.pregame(spark, d))
+        ctx = P.market_context(C.trades(spark, d)).join(
+            C.markets_outcome(spark, d).select("market_id", "outcome_source"), "market_id")
+        return materialize(s.join(ctx, "market_id", "left").join(_depth(spark, d), "market_id", "left"))
+    return C.shared(("la", d), build)
+
+
+@register("market_context_join", with_views("select * from la", "la"), doubles=MSUM_D + DEPTH_D + CTX_D)
 def q_market_context_join(spark, d):
     return _la(spark, d)
 
 
+# Metrics and features of the output.
 METRICS = ["brier_improvement", "winner_prob_change", "path_efficiency", "winner_prob_slope_per_hour"]
 FEATURES = ["pregame_trade_count", "pregame_volume", "volume_fp", "liquidity_dollars", "yes_bid_size_fp",
             "yes_ask_size_fp", "orderbook_yes_depth_contracts", "orderbook_no_depth_contracts",
@@ -132,11 +143,7 @@ from ({allp}) a left join (
   group by metric, feature) c on c.metric = a.metric and c.feature = a.feature"""
 
 
-LA_FEATURES = [f for f in FEATURES if f in ("pregame_trade_count", "pregame_volume", "orderbook_yes_depth_contracts",
-                                            "orderbook_no_depth_contracts", "orderbook_total_depth_contracts")]
-
-
-@register("liquidity_rank_corr", with_views(rank_corr_sql("la", METRICS, LA_FEATURES), "la"),
+@register("liquidity_rank_corr", with_views(rank_corr_sql("la", METRICS, FEATURES), "la"),
           doubles=("spearman_corr",))
 def q_liquidity_rank_corr(spark, d):
     return RC.rank_corr(_la(spark, d), METRICS, FEATURES)
@@ -144,13 +151,15 @@ def q_liquidity_rank_corr(spark, d):
 
 def _lla(spark, d):
     """Analysable live games LEFT JOIN pregame and book sums per game."""
-    lpath = PR.live_path(C.scored(spark, d), PR.winner_loser_pairs(C.markets_outcome(spark, d)), "hour")
+    lpath = PR.live_path(C.scored(spark, d), PR.winner_loser_pairs(C.markets_outcome(spark, d)), "minute")
     games = C.games(spark, d)
     live = PR.live_game_summary(lpath, C.live(spark, d), games).filter("has_enough_live_coverage")
     la = _la(spark, d)
     ctx = la.groupBy("game_id").agg(
         F.sum("pregame_trade_count").alias("pregame_trade_count"),
         F.sum("pregame_volume").alias("pregame_volume"),
+        F.sum("volume_fp").alias("market_volume_fp"),
+        F.sum("liquidity_dollars").alias("market_liquidity_dollars"),
         F.coalesce(F.sum("orderbook_total_depth_contracts"), F.lit(0.0)).alias("orderbook_total_depth_contracts"),
         F.coalesce(F.sum("orderbook_yes_depth_contracts"), F.lit(0.0)).alias("orderbook_yes_depth_contracts"),
         F.coalesce(F.sum("orderbook_no_depth_contracts"), F.lit(0.0)).alias("orderbook_no_depth_contracts"))
@@ -162,21 +171,21 @@ LSUM_D = ("live_volume", "live_duration_minutes", "winner_prob_first_pitch", "wi
           "largest_jump_share_of_path", "trend_slope_per_hour")
 
 
-@register("event_context_join", with_views("select * from lla", "lla"),
+@register("event_context_join", with_views("select * from lla", "lla", trades="near_trades"),
           doubles=LSUM_D + ("orderbook_total_depth_contracts", "orderbook_yes_depth_contracts",
-                            "orderbook_no_depth_contracts"))
+                            "orderbook_no_depth_contracts", "market_volume_fp", "market_liquidity_dollars"), near=True)
 def q_event_context_join(spark, d):
     return _lla(spark, d)
 
 
+# Metrics and features of the output.
 LIVE_METRICS = ["live_repricing_to_winner", "path_efficiency", "max_1m_abs_move", "largest_jump_share_of_path"]
 LIVE_FEATURES = ["live_trade_count", "live_volume", "pregame_trade_count", "pregame_volume", "market_volume_fp",
                  "market_liquidity_dollars", "orderbook_total_depth_contracts"]
-LLA_FEATURES = [f for f in LIVE_FEATURES if f not in ("market_volume_fp", "market_liquidity_dollars")]
 
 
-@register("live_rank_corr", with_views(rank_corr_sql("lla", LIVE_METRICS, LLA_FEATURES), "lla"),
-          doubles=("spearman_corr",))
+@register("live_rank_corr", with_views(rank_corr_sql("lla", LIVE_METRICS, LIVE_FEATURES), "lla", trades="near_trades"),
+          doubles=("spearman_corr",), near=True)
 def q_live_rank_corr(spark, d):
     return RC.rank_corr(_lla(spark, d), LIVE_METRICS, LIVE_FEATURES)
 
@@ -199,8 +208,8 @@ where not exists (select 1 from rk x join rk y on x.id = y.id where x.col = a.co
 
 
 @register("rank_corr_matrix", with_views(
-    "select * from (" + matrix_sql("lla", LIVE_METRICS + LLA_FEATURES, "game_id") + ") m", "lla"),
-    doubles=("corr",))
+    "select * from (" + matrix_sql("lla", LIVE_METRICS + LIVE_FEATURES, "game_id") + ") m", "lla", trades="near_trades"),
+    doubles=("corr",), near=True)
 def q_rank_corr_matrix(spark, d):
     """A30 over the live analysis frame (per-column deletion rule)."""
     return RC.rank_corr_matrix(_lla(spark, d), LIVE_METRICS + LIVE_FEATURES, "game_id")

@@ -20,17 +20,20 @@ from marketlake.operators.outcomes import labelled_trades, market_outcome, winne
 from marketlake.session import materialize
 from marketlake.sources import proxies as P
 
+_NEAR: contextvars.ContextVar[bool] = contextvars.ContextVar("marketlake_near", default=False)
 _SHARED: contextvars.ContextVar[dict | None] = contextvars.ContextVar("marketlake_shared", default=None)
 
 
 @contextmanager
-def query_scope():
-    """Frames built through ``shared`` inside this block are built once."""
-    token = _SHARED.set({})
+def query_scope(near: bool = False):
+    """Frames built through ``shared`` inside this block are built once.
+    ``near``: the prints are those of ``proxies.near_trades``."""
+    token, was = _SHARED.set({}), _NEAR.set(near)
     try:
         yield
     finally:
         _SHARED.reset(token)
+        _NEAR.reset(was)
 
 
 def shared(key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
@@ -43,7 +46,7 @@ def shared(key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
 
 
 def trades(spark: SparkSession, d: str) -> DataFrame:
-    return P.trades(spark, d)
+    return P.near_trades(spark, d) if _NEAR.get() else P.trades(spark, d)
 
 
 def markets_outcome(spark: SparkSession, d: str) -> DataFrame:
@@ -51,14 +54,15 @@ def markets_outcome(spark: SparkSession, d: str) -> DataFrame:
     prints once, then checkpointed: its size is one row per market, and
     joins against it see that size at planning time."""
     def build():
-        m = P.markets(spark, d)
+        m = P.markets(spark, d, trades(spark, d))
         return materialize(market_outcome(m, P.winners(m)))
     return shared(("markets_outcome", d), build)
 
 
 def games(spark: SparkSession, d: str) -> DataFrame:
-    """One row per game with its start."""
-    return markets_outcome(spark, d).groupBy("game_id").agg(F.min("game_start").alias("game_start"))
+    """One row per game with its start and, when known, its winner."""
+    return markets_outcome(spark, d).groupBy("game_id").agg(
+        F.min("game_start").alias("game_start"), F.min("winner_side").alias("winner_side"))
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:

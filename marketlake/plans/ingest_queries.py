@@ -8,17 +8,22 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.operators import incremental as I
+from marketlake.operators import marts as M
 from marketlake.operators import schema_ops as SO
+from marketlake.operators import staging as ST
+from marketlake.operators.books import BOOK_SCHEMA
 from marketlake.operators.paths import recent_trades
 from marketlake.plans import common as C
 from marketlake.plans.registry import register
-from marketlake.plans.state_queries import merge_sql
+from marketlake.plans.staging_queries import FCT_MARKETS_FULL, some_events
+from marketlake.plans.state_queries import MARKETS_ORDER_SQL, latest_sql
 from marketlake.plans.views import with_views
-from marketlake.schemas import order_for
+from marketlake.schemas import MARKET_SPEC, order_for
 from marketlake.session import materialize, shared_dir
 from marketlake.sources import jsonl as J
 from marketlake.sources import proxies as P
@@ -65,8 +70,8 @@ def q_scan_bad_lines(spark, d):
     """Bad lines come back as their own frame, good lines are all kept."""
     root = _land_two_runs(spark, P.raw_trades(spark, d), "trades_bad")
     good, bad = J.scan_jsonl(spark, root, TRADE_SPEC)
-    return bad.agg(F.count(F.lit(1)).alias("bad_lines")).crossJoin(
-        good.agg(F.count(F.lit(1)).alias("good_lines")))
+    both = bad.select(F.lit(True).alias("b")).unionAll(good.select(F.lit(False)))
+    return both.agg(F.count_if("b").alias("bad_lines"), F.count_if(~F.col("b")).alias("good_lines"))
 
 
 @register("load_audit_columns", with_views("select count(*) rows, true numbered_from_one from raw_trades",
@@ -82,17 +87,12 @@ def q_load_audit_columns(spark, d):
     return per_file.agg(F.sum("n").alias("rows"), F.bool_and(ok).alias("numbered_from_one"))
 
 
-MARKET_SPEC = [("$.ticker", "ticker", "string"), ("$.event_ticker", "event_ticker", "string"),
-               ("$.title", "title", "string"), ("$.status", "status", "string"), ("$.result", "result", "string"),
-               ("$.yes_sub_title", "yes_sub_title", "string"), ("$.no_sub_title", "no_sub_title", "string"),
-               ("$.close_time", "close_time", "string"), ("$.liquidity_dollars", "liquidity_dollars", "string"),
-               ("$.volume_fp", "volume_fp", "string"), ("$.can_close_early", "can_close_early", "boolean")]
-
-
-@register("scan_markets_jsonl", with_views("select * from raw_markets", "raw_markets"))
+@register("scan_markets_jsonl", with_views(
+    "select * replace (try_cast(settlement_timer_seconds as decimal(38,0)) as settlement_timer_seconds) from raw_markets_full",
+    "raw_markets_full"))
 def q_scan_markets_jsonl(spark, d):
-    """S4."""
-    root = _land_two_runs(spark, P.raw_markets(spark, d), "markets")
+    """The whole load contract; numbers that are none are NULL, nested values stay JSON."""
+    root = _land_two_runs(spark, P.raw_markets_full(spark, d), "markets")
     return J.scan_jsonl(spark, root, MARKET_SPEC)[0].select(*[c for _, c, _ in MARKET_SPEC])
 
 
@@ -125,12 +125,15 @@ def q_scan_events_jsonl(spark, d):
     return J.scan_jsonl(spark, root, EVENT_SPEC)[0].select(*[c for _, c, _ in EVENT_SPEC])
 
 
-@register("scan_orderbooks_jsonl", with_views("select distinct market_id from levels", "levels"))
+@register("scan_orderbooks_jsonl", with_views("select market_id, orderbook from book_text", "book_text"))
 def q_scan_orderbooks_jsonl(spark, d):
-    """The ladder is kept as VARIANT; here the key column is compared."""
-    root = _land_two_runs(spark, P.books(spark, d), "orderbooks")
-    good, _ = J.scan_jsonl(spark, root, [("$.market_id", "market_id", "bigint"), ("$.orderbook", "orderbook", "string")])
-    return good.select("market_id")
+    """The ladders land as a nested object and come back as its JSON text."""
+    nested = P.books(spark, d).withColumn("orderbook", F.from_json("orderbook", BOOK_SCHEMA))
+    root = _land_two_runs(spark, nested, "orderbooks")
+    good, _ = J.scan_jsonl(spark, root, [("$.market_id", "market_id", "bigint"), ("$.orderbook", "orderbook", "json")])
+    # a VARIANT orders an object's keys by name; the text is compared in the order it was written in
+    parts = F.from_json("orderbook", BOOK_SCHEMA)
+    return good.select("market_id", F.to_json(parts).alias("orderbook"))
 
 
 @register("landing_envelope", with_views(
@@ -179,19 +182,31 @@ def q_cache_missing_entities(spark, d):
     return TB.cache_missing(expected, present, ["game_id", "entity"])
 
 
-@register("keyed_load", merge_sql("b1", "b2"), doubles=("value",))
+KEYED_SQL = with_views("""
+select *, cast(null as varchar) note from m12 where ticker not in (select ticker from src3)
+union all select *, 'late ' || ticker note from src3""", "load", extra={
+    "b1": "select * from load where event_time < timestamp '2024-01-16 00:00:00'",
+    "b2": "select * from load where event_time >= timestamp '2024-01-16 00:00:00'",
+    "b3": "select * from load where source_row_number % 40 = 0",
+    "tgt": latest_sql("b1", MARKETS_ORDER_SQL), "src": latest_sql("b2", MARKETS_ORDER_SQL),
+    "m12": "select * from tgt where ticker not in (select ticker from src) union all select * from src",
+    "src3": latest_sql("b3", MARKETS_ORDER_SQL)})
+
+
+@register("keyed_load", KEYED_SQL, doubles=("value",))
 def q_keyed_load(spark, d):
-    """S13 / U2 on storage: two batches upserted into a versioned table; the
-    second batch is replayed and must change nothing."""
+    """S13 / U2 on storage: two batches upserted into a bucketed table, the
+    second one replayed (which changes nothing), then a third that brings a
+    new column."""
     path = shared_dir(spark, "keyed")
     ld = P.load_rows(spark, d)
     order = order_for("markets", ld.columns)
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     b1, b2 = ld.filter(F.col("event_time") < cut), ld.filter(F.col("event_time") >= cut)
-    TB.keyed_load(spark, b1, path, ["ticker"], order, 1, buckets=16)
-    TB.keyed_load(spark, b2, path, ["ticker"], order, 2, buckets=16)
-    TB.keyed_load(spark, b2, path, ["ticker"], order, 2, buckets=16)
-    return TB.BucketedTable(spark, path, ["ticker"], 16).current().select(*ld.columns)
+    b3 = ld.filter(F.col("source_row_number") % 40 == 0).withColumn("note", F.concat(F.lit("late "), "ticker"))
+    for token, batch in (("b1", b1), ("b2", b2), ("b2", b2), ("b3", b3)):
+        TB.keyed_load(spark, batch, path, ["ticker"], order, token, buckets=16)
+    return TB.BucketedTable(spark, path).current().select(*ld.columns, "note")
 
 
 @register("keyless_dump", with_views(
@@ -223,14 +238,17 @@ def q_flatten_records(spark, d):
 
 
 @register("table_columns", with_views("""
-select * from (values ('trade_id', 'bigint'), ('market_id', 'bigint'), ('game_id', 'bigint'), ('side', 'bigint'),
-  ('trade_time', 'timestamp_ntz'), ('price', 'double'), ('size', 'int'), ('game_start', 'timestamp_ntz'),
-  ('series_ticker', 'string'), ('taker_side', 'string')) v(column_name, data_type)
-where exists (select 1 from trades)""", "trades"))
+select c.column_name, c.data_type, c.column_name = 'ticker' is_key,
+       case c.column_name when 'ticker' then n.k when 'source_file' then n.f else n.r end filled_rows
+from (values ('ticker', 'string'), ('source_file', 'string'), ('source_row_number', 'bigint')) c(column_name, data_type)
+join (select count(ticker) k, count(source_file) f, count(source_row_number) r
+      from (select ticker, source_file, source_row_number, row_number() over (partition by ticker
+              order by source_row_number desc) rn from load) x where rn = 1) n on true""", "load"))
 def q_table_columns(spark, d):
-    """Columns and types of a stored table."""
+    """Columns, types, keys and filled rows of a stored keyed table."""
     path = shared_dir(spark, "cols")
-    C.trades(spark, d).write.parquet(path)
+    ld = P.load_rows(spark, d).select("ticker", "source_file", "source_row_number")
+    TB.keyed_load(spark, ld, path, ["ticker"], [("source_row_number", "desc_nulls_last")], "all", buckets=4)
     return TB.table_columns(spark, path)
 
 
@@ -350,23 +368,44 @@ select m.market_ticker, true all_pages,
        cast(case when s.checked_through_ts is not null then greatest(0, s.checked_through_ts - 60)
                  else {E2 - 24 * 3600} end as bigint) min_ts, {E2}::bigint max_ts
 from (select distinct cast(market_id as varchar) market_ticker from markets) m
-left join st s on s.market_ticker = m.market_ticker""", "raw_trades", "markets", extra={"st": STATE1_SQL}))
+left join st s on s.market_ticker = m.market_ticker and cast(s.market_ticker as bigint) % 3 <> 0""", "raw_trades", "markets", extra={"st": STATE1_SQL}))
 def q_plan_trade_windows(spark, d):
     """Incremental windows for a run at the end of the span, from the
-    state left by a run at the cut."""
+    state left by a run at the cut; a third of the markets have no state."""
+    m = P.markets(spark, d).select(F.col("market_id").cast("string").alias("market_ticker"))
+    return I.plan_trade_windows(m, _some_state(spark, d), "incremental", E2)
+
+
+def _some_state(spark, d):
+    return _state1(spark, d).filter(F.col("market_ticker").cast("bigint") % 3 != 0)
+
+
+@register("plan_trade_windows_modes", with_views(f"""
+select market_ticker, mode, true all_pages, case when mode = 'backfill' then {E1}::bigint end min_ts,
+       case when mode = 'backfill' then {E2}::bigint end max_ts
+from (select distinct cast(market_id as varchar) market_ticker from trades) m
+join (values ('backfill'), ('full_history')) v(mode) on true""", "trades"))
+def q_plan_trade_windows_modes(spark, d):
+    """T5: the modes without state; ``recent`` plans no window."""
     m = P.markets(spark, d).select(F.col("market_id").cast("string").alias("market_ticker"))
-    return I.plan_trade_windows(m, _state1(spark, d), "incremental", E2)
+    plans = [I.plan_trade_windows(m, None, "backfill", E2, lo=E1, hi=E2).withColumn("mode", F.lit("backfill")),
+             I.plan_trade_windows(m, None, "full_history", E2).withColumn("mode", F.lit("full_history")),
+             I.plan_trade_windows(m, None, "recent", E2).withColumn("mode", F.lit("recent"))]
+    return plans[0].unionByName(plans[1]).unionByName(plans[2])
 
 
 @register("trade_fetch_window", with_views(f"""
-select t.* from raw_trades t join st s on s.market_ticker = t.ticker
-where {SEC.replace('created_time', 't.created_time')} between greatest(0, s.checked_through_ts - 60) and {E2}""",
+select t.* from raw_trades t
+left join st s on s.market_ticker = t.ticker and cast(s.market_ticker as bigint) % 3 <> 0
+where {SEC.replace('created_time', 't.created_time')}
+  between case when s.checked_through_ts is not null then greatest(0, s.checked_through_ts - 60)
+               else {E2 - 24 * 3600} end and {E2}""",
     "raw_trades", extra={"st": STATE1_SQL}))
 def q_trade_fetch_window(spark, d):
-    """Prints inside each market's planned window."""
+    """Prints inside each market's planned window; markets without
+    state look back a day."""
     raw = _raw(spark, d).withColumn("market_ticker", F.col("ticker"))
-    win = I.plan_trade_windows(raw.select("market_ticker"), _state1(spark, d), "incremental", E2)
-    win = win.join(_state1(spark, d).select("market_ticker"), "market_ticker", "left_semi")
+    win = I.plan_trade_windows(raw.select("market_ticker"), _some_state(spark, d), "incremental", E2)
     return I.trade_fetch_window(raw, win, I.epoch_seconds("created_time")).drop("market_ticker")
 
 
@@ -398,10 +437,10 @@ def q_merge_watermark_state(spark, d):
 
 @register("recent_trades", with_views("""
 select * exclude (rn) from (select *, row_number() over (partition by market_id
-  order by trade_time desc, trade_id desc) rn from trades) x where rn <= 1000""", "trades"), doubles=("price",))
+  order by trade_time desc, trade_id desc) rn from trades) x where rn <= 20""", "trades"), doubles=("price",))
 def q_recent_trades(spark, d):
-    """The latest 1,000 prints per market (one API page)."""
-    return recent_trades(C.trades(spark, d), 1000)
+    """The latest 20 prints per market (a page is smaller than the markets here)."""
+    return recent_trades(C.trades(spark, d), 20)
 
 
 @register("dedupe_overlap", with_views("select * from raw_trades", "raw_trades"))
@@ -423,25 +462,51 @@ LOAD_SPEC = [("$.ticker", "ticker", "string"), ("$.updated_time", "updated_time"
 LOAD_COLS = [c for _, c, _ in LOAD_SPEC]
 
 
-def _stream_load(spark, d, name):
+def _stream_load(spark, d, name, until=None):
+    """Lands the load rows in two runs (the second only without ``until``),
+    an empty run, and a run of lines that are no objects, and streams them."""
     root = shared_dir(spark, name)
-    ld = P.load_rows(spark, d)
-    J.land(ld.filter(F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz")), root + "/landing", "load", RUN1)
-    J.land(ld.filter(F.col("event_time") >= F.lit("2024-01-16").cast("timestamp_ntz")), root + "/landing", "load",
-           RUN2)
-    # an empty landing run adds nothing
-    J.land(ld.limit(0), root + "/landing", "load", RUN2)
+    _land_load(spark, d, root, first=True)
+    if until is None:
+        _land_load(spark, d, root, first=False)
+    spark.createDataFrame([("not json {",), ("[1]",)], "value string").coalesce(1).write.text(
+        J.landing_path(root + "/landing", "exchange", "load", RUN2) + "/broken")
     SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", LOAD_SPEC)
     # a second run over the same checkpoint loads nothing new
     SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", LOAD_SPEC)
     return root
 
 
-@register("stream_ingest", with_views(f"select {', '.join(LOAD_COLS)} from load", "load"), doubles=("value",))
+def _land_load(spark, d, root, first):
+    ld = P.load_rows(spark, d)
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    J.land(ld.filter(F.col("event_time") < cut if first else F.col("event_time") >= cut), root + "/landing", "load",
+           RUN1 if first else RUN2)
+    # an empty landing run adds nothing
+    J.land(ld.limit(0), root + "/landing", "load", RUN2 + dt.timedelta(hours=1))
+
+
+def _loaded(spark, path):
+    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
+@register("stream_ingest", with_views(
+    f"select {', '.join(LOAD_COLS)}, true numbered from load", "load"), doubles=("value",))
 def q_stream_ingest(spark, d):
-    """Every landed line appended to the load table exactly once."""
-    root = _stream_load(spark, d, "stream1")
-    return spark.read.parquet(root + "/load").select(*LOAD_COLS)
+    """Every landed object appended to the load table exactly once, with its place in its file."""
+    rows = _loaded(spark, _stream_load(spark, d, "stream1") + "/load")
+    places = Window.partitionBy("landing_file")
+    ok = (F.count(F.lit(1)).over(places) == F.max("landing_row_number").over(places)) & (F.col("landing_row_number") > 0)
+    return rows.select(*LOAD_COLS, ok.alias("numbered"))
+
+
+@register("stream_bad_lines", with_views("select 2 bad_lines, count(*) good_lines from load", "load"))
+def q_stream_bad_lines(spark, d):
+    """Lines that are no JSON object are kept apart."""
+    root = _stream_load(spark, d, "stream3")
+    both = _loaded(spark, root + "/load_bad").select(F.lit(True).alias("b")).unionAll(
+        _loaded(spark, root + "/load").select(F.lit(False)))
+    return both.agg(F.count_if("b").alias("bad_lines"), F.count_if(~F.col("b")).alias("good_lines"))
 
 
 @register("stream_merge_latest", with_views(
@@ -450,35 +515,76 @@ def q_stream_ingest(spark, d):
     "source_file desc nulls first, source_row_number desc nulls first) rn from "
     f"(select {', '.join(LOAD_COLS)} from load) l) x where rn = 1", "load"), doubles=("value",))
 def q_stream_merge_latest(spark, d):
-    """Micro-batches of the load table merged into current state (with
-    the recency guard, so the answer does not depend on batch boundaries)."""
-    root = _stream_load(spark, d, "stream2")
-    load = spark.read.parquet(root + "/load")
+    """Micro-batches of the load table merged into current state, with
+    the recency guard.  The checkpoint is lost between two runs: the second
+    starts over with a new one and must still take what came in between."""
+    root = _stream_load(spark, d, "stream2", until=RUN2)
+    schema = _loaded(spark, root + "/load").select(*LOAD_COLS).schema
     order = order_for("markets", LOAD_COLS)
-    SI.stream_merge_latest(spark, root + "/load", load.schema, root + "/current", root + "/ckpt_merge",
-                           ["ticker"], order, guard=True, buckets=16)
-    return TB.BucketedTable(spark, root + "/current", ["ticker"], 16).current().select(*LOAD_COLS)
+    SI.stream_merge_latest(spark, root + "/load", schema, root + "/current", root + "/ckpt_merge", ["ticker"], order,
+                           guard=True, buckets=16)
+    _land_load(spark, d, root, first=False)
+    SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", LOAD_SPEC)
+    SI.stream_merge_latest(spark, root + "/load", schema, root + "/current", root + "/ckpt_merge2", ["ticker"], order)
+    return TB.BucketedTable(spark, root + "/current").current().select(*LOAD_COLS)
+
+
+@register("landing_to_fact", FCT_MARKETS_FULL)
+def q_landing_to_fact(spark, d):
+    """The whole way in two runs: land, stream into the load table, merge the
+    batches into current state, stage, join to the fact.  The first run lands
+    an early version of every market, the second the final one of two thirds
+    and the rest in time for its second batch."""
+    root = shared_dir(spark, "way")
+    m = P.raw_markets_full(spark, d)
+    third = F.pmod(F.xxhash64("ticker"), F.lit(3)) == 0
+    early = m.withColumns({"updated_time": F.lit("2000-01-01T00:00:00Z"), "status": F.lit("early")})
+    names = [c for _, c, _ in MARKET_SPEC]
+    order = order_for("markets", [*names, "loaded_at", "source_file", "source_row_number"])
+    runs = ((RUN1, early), (RUN2, m.filter(~third)), (RUN2 + dt.timedelta(hours=1), m.filter(third)))
+    for run, rows in runs:
+        J.land(rows, root + "/landing", "markets", run)
+        SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", MARKET_SPEC)
+        schema = _loaded(spark, root + "/load").schema
+        SI.stream_merge_latest(spark, root + "/load", schema, root + "/current", root + "/ckpt_merge", ["ticker"],
+                               [("loaded_at", "desc_nulls_last"), *order], guard=True)
+    current = TB.BucketedTable(spark, root + "/current").current().select(*names)
+    return M.fct_markets(ST.stg_markets(current), some_events(spark, d))
 
 
 @register("minute_bars_stream", with_views("""
 select market_id, window_start, window_end, price, trades from (
-  select market_id, date_trunc('hour', trade_time) window_start,
-         date_trunc('hour', trade_time) + interval 1 hour window_end,
+  select market_id, date_trunc('minute', trade_time) window_start,
+         date_trunc('minute', trade_time) + interval 1 minute window_end,
          arg_max(price, (trade_time, trade_id)) price, count(*) trades
   from trades group by 1, 2) b
-where window_end <= (select max(trade_time) from trades) - interval 60 second""", "trades"), doubles=("price",))
+where window_end <= (select max(trade_time) from trades) - interval 60 second""", "trades", trades="near_trades"), doubles=("price",), near=True)
 def q_minute_bars_stream(spark, d):
-    """Hourly tumbling bars from a file stream of the prints; append
+    """One-minute tumbling bars from a file stream of the prints; append
     mode emits a bar once the 60 s watermark has passed its end."""
     root = shared_dir(spark, "bars")
     src = d.rstrip("/")
     schema = spark.read.parquet(f"{src}/events.parquet").schema
     ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(src)
     t = ev.select(F.col("event_id").alias("trade_id"), F.col("user_id").alias("market_id"),
-                  F.col("ts").cast("timestamp").alias("event_time"),
+                  P.near_time("ts").cast("timestamp").alias("event_time"),
                   F.expr("floor(value * 10000 / (value + 20)) / 10000").alias("price"))
-    bars = SI.minute_bars_stream(t, step="1 hour", delay="60 seconds")
+    bars = SI.minute_bars_stream(t, step="1 minute", delay="60 seconds")
     q = (bars.writeStream.outputMode("append").format("parquet").option("checkpointLocation", root + "/ckpt")
          .trigger(availableNow=True).start(root + "/out"))
     q.awaitTermination()
     return spark.read.parquet(root + "/out")
+
+
+@register("dedupe_stream", with_views("select trade_id, market_id, trade_time from trades", "trades"))
+def q_dedupe_stream(spark, d):
+    """T10 in-stream: two overlapping fetches of the prints, each print passes once."""
+    root = shared_dir(spark, "dedupe")
+    t = C.trades(spark, d).select("trade_id", "market_id", F.col("trade_time").cast("timestamp").alias("event_time"))
+    t.write.parquet(root + "/in/all")
+    t.filter(F.col("trade_id") % 3 == 0).write.parquet(root + "/in/again")
+    stream = spark.readStream.schema(t.schema).option("recursiveFileLookup", "true").parquet(root + "/in")
+    q = (SI.dedupe_stream(stream, "event_time", "trade_id", "60 days").writeStream.format("parquet")
+         .option("checkpointLocation", root + "/ckpt").trigger(availableNow=True).start(root + "/out"))
+    q.awaitTermination()
+    return spark.read.parquet(root + "/out").select("trade_id", "market_id", F.col("event_time").cast("timestamp_ntz").alias("trade_time"))

@@ -7,9 +7,11 @@ from __future__ import annotations
 from marketlake.operators import market_stats as MS
 from marketlake.operators import paths as PA
 from marketlake.operators import repricing as R
+from marketlake.operators.outcomes import labelled_trades, market_outcome
 from marketlake.plans import common as C
 from marketlake.plans.registry import register
 from marketlake.plans.views import with_views
+from marketlake.sources import proxies as P
 
 ET = "'America/New_York'"
 
@@ -84,11 +86,12 @@ SERIES = ["SERIES-0", "SERIES-1", "SERIES-2"]
 
 
 @register("series_hourly_pivot", with_views(
-    f"select {et('date_trunc(' + chr(39) + 'hour' + chr(39) + ', trade_time)')} trade_hour_et, "
+    f"select hour_utc trade_hour_utc, {et('hour_utc')} trade_hour_et, "
     + ", ".join(f"count(*) filter (where series_ticker = '{s}') \"{s}\"" for s in SERIES)
-    + " from trades group by 1", "trades"))
+    + " from (select *, date_trunc('hour', trade_time) hour_utc from trades) h group by 1, 2", "trades"))
 def q_series_hourly_pivot(spark, d):
-    return MS.series_hourly_pivot(C.trades(spark, d), values=SERIES)
+    """The series are found in the prints, none is left out."""
+    return MS.series_hourly_pivot(C.trades(spark, d))
 
 
 @register("day_trades", with_views(f"""
@@ -98,10 +101,13 @@ def q_day_trades(spark, d):
     return MS.day_trades(C.trades(spark, d), "2024-01-16")
 
 
-@register("labelled_trades", with_views("select * from labelled", "labelled"),
+@register("labelled_trades", with_views("select * from labelled", "labelled", trades="edge_trades"),
           doubles=("price", "actual_outcome"))
 def q_labelled_trades(spark, d):
-    return C.labelled(spark, d)
+    """J4 + P18 + P20: incomplete prints go, a print at the start is live."""
+    t = P.edge_trades(C.trades(spark, d))
+    m = P.markets(spark, d, t)
+    return labelled_trades(t, market_outcome(m, P.winners(m)))
 
 
 @register("winner_probability", with_views("select * from scored", "scored"),
@@ -183,15 +189,15 @@ def q_pregame_event_summary(spark, d):
 
 
 ANSWER_SQL = """
-select 0 question_order, 'Markets moved toward eventual winner' question,
+select 0 question_order, 'markets whose price went towards the winner' question,
        cast(coalesce(sum(cast(moved_toward_winner as int)), 0) as bigint) yes_count, count(*) total,
        avg(cast(moved_toward_winner as double)) share from msum
-union all select 1, 'Markets improved Brier score', cast(coalesce(sum(cast(forecast_improved as int)), 0) as bigint),
+union all select 1, 'markets with a better Brier score at the start', cast(coalesce(sum(cast(forecast_improved as int)), 0) as bigint),
        count(*), avg(cast(forecast_improved as double)) from msum
-union all select 2, 'Games moved toward eventual winner',
+union all select 2, 'games whose prices went towards the winner',
        cast(coalesce(sum(cast(moved_toward_winner as int)), 0) as bigint), count(*),
        avg(cast(moved_toward_winner as double)) from esum
-union all select 3, 'Games improved mean Brier score', cast(coalesce(sum(cast(forecast_improved as int)), 0) as bigint),
+union all select 3, 'games with a better mean Brier score at the start', cast(coalesce(sum(cast(forecast_improved as int)), 0) as bigint),
        count(*), avg(cast(forecast_improved as double)) from esum"""
 
 
@@ -199,14 +205,14 @@ union all select 3, 'Games improved mean Brier score', cast(coalesce(sum(cast(fo
 def q_pregame_answers(spark, d):
     s = _msum(spark, d)
     e = R.pregame_event_summary(s)
-    return R.answers([("Markets moved toward eventual winner", s, "moved_toward_winner"),
-                      ("Markets improved Brier score", s, "forecast_improved"),
-                      ("Games moved toward eventual winner", e, "moved_toward_winner"),
-                      ("Games improved mean Brier score", e, "forecast_improved")])
+    return R.answers([("markets whose price went towards the winner", s, "moved_toward_winner"),
+                      ("markets with a better Brier score at the start", s, "forecast_improved"),
+                      ("games whose prices went towards the winner", e, "moved_toward_winner"),
+                      ("games with a better mean Brier score at the start", e, "forecast_improved")])
 
 
 SYNC_SQL = """
-select game_id, cast(sum(cast(forecast_improved as int)) as bigint) improving_contracts,
+select game_id, min(winner_side) winner_side, cast(sum(cast(forecast_improved as int)) as bigint) improving_contracts,
        count(distinct market_id) contracts, avg(brier_improvement) mean_brier_improvement,
        min(brier_improvement) min_brier_improvement, max(brier_improvement) max_brier_improvement,
        avg(winner_prob_change) mean_winner_prob_change, avg(brier_improvement) > 0 game_improved_mean_brier
@@ -226,6 +232,7 @@ def q_contract_sync_distribution(spark, d):
     return R.contract_sync_distribution(R.contract_sync(_msum(spark, d)))
 
 
+# Checkpoint names of the output.
 CHECKPOINTS = [("first_observed", None), ("6h_before", "6 hours"), ("3h_before", "3 hours"),
                ("1h_before", "1 hour"), ("15m_before", "15 minutes"), ("first_pitch", "0 seconds")]
 CP_NAMES = [n for n, _ in CHECKPOINTS]

@@ -3,6 +3,8 @@ per-entity latest rows, path utilities, schema checks and retention."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from marketlake.operators.quantiles import average_rank
@@ -15,10 +17,11 @@ from marketlake.operators import repricing as R
 from marketlake.operators import schema_ops as SO
 from marketlake.operators import staging as ST
 from marketlake.operators.incremental import watermark_position
+from marketlake.operators.scope import market_spec
 from marketlake.plans import common as C
 from marketlake.plans.ingest_queries import _state1
 from marketlake.plans.registry import register
-from marketlake.plans.state_queries import INGEST_ORDER_SQL, LOAD_COLS, latest_sql
+from marketlake.plans.state_queries import LOAD_COLS, entity_sql, merge_sql
 from marketlake.plans.views import with_views
 from marketlake.schemas import order_for
 from marketlake.session import shared_dir
@@ -28,12 +31,12 @@ from marketlake.sources import tables as TB
 
 TEAM_COLS = ["team_id", "full_team_name", "team_code", "abbreviation", "team_name", "location_name",
              "first_year_of_play", "sport_id", "sport_name", "league_id", "league_name", "division_id",
-             "division_name", "venue_id", "venue_name", "is_active", "ingested_at", "source_file", "source_row_number"]
+             "division_name", "venue_id", "venue_name", "is_active", "ingested_at", "source_file", "source_row_number", "loaded_at"]
 
 
 def _teams(spark, d):
     snaps = P.team_snapshots(spark, d)
-    flat = J.flatten_team(snaps, "payload", keep=("ingested_at", "source_file", "source_row_number"))
+    flat = J.flatten_team(snaps, "payload", keep=("ingested_at", "source_file", "source_row_number", "loaded_at"))
     return flat.withColumnRenamed("name", "full_team_name").withColumnRenamed("active", "is_active")
 
 
@@ -43,23 +46,38 @@ def q_flatten_team_payload(spark, d):
     return _teams(spark, d).select(*TEAM_COLS)
 
 
-@register("scan_teams_jsonl", with_views("select team_id, full_team_name, league_name from teams", "teams"))
+# The columns of the team load table (beside the audit columns).
+TEAM_SPEC = [(f"$.{c}", c, k) for c, k in (
+    ("team_id", "number"), ("name", "string"), ("team_code", "string"), ("abbreviation", "string"),
+    ("team_name", "string"), ("location_name", "string"), ("first_year_of_play", "number"), ("sport_id", "number"),
+    ("sport_name", "string"), ("league_id", "number"), ("league_name", "string"), ("division_id", "number"),
+    ("division_name", "string"), ("venue_id", "number"), ("venue_name", "string"), ("active", "boolean"),
+    ("ingested_at", "time"))]
+
+
+@register("scan_teams_jsonl", with_views(
+    "select team_id, full_team_name \"name\", team_code, abbreviation, team_name, location_name, "
+    "cast(first_year_of_play as decimal(38,0)) first_year_of_play, sport_id, sport_name, league_id, league_name, division_id, "
+    "division_name, venue_id, venue_name, is_active active, ingested_at, true numbered from teams", "teams"))
 def q_scan_teams_jsonl(spark, d):
-    """Team payloads landed as JSONL and scanned back by path."""
+    """Flattened teams landed as JSONL and scanned back with the whole load contract."""
     root = shared_dir(spark, "teams")
-    J.land(P.team_snapshots(spark, d).select("payload"), root, "teams",
-           __import__("datetime").datetime(2024, 1, 16, tzinfo=__import__("datetime").timezone.utc))
-    good, _ = J.scan_jsonl(spark, root, [("$.payload", "payload", "string")])
-    return J.flatten_team(good, "payload").select("team_id", F.col("name").alias("full_team_name"), "league_name")
+    flat = J.flatten_team(P.team_snapshots(spark, d), "payload", keep=("ingested_at",)).drop("raw_payload")
+    J.land(flat, root, "teams", dt.datetime(2024, 1, 16, tzinfo=dt.timezone.utc))
+    good, _ = J.scan_jsonl(spark, root, TEAM_SPEC)
+    ids = [c for c in good.columns if c.endswith("_id")]
+    return good.select(*[c for _, c, _ in TEAM_SPEC], (F.col("source_row_number") > 0).alias("numbered")).withColumns(
+        {c: F.col(c).cast("bigint") for c in ids})
 
 
-TEAMS_ORDER = [("ingested_at", "desc_nulls_first"), ("source_file", "desc_nulls_first"),
+TEAMS_ORDER = [("ingested_at", "desc_nulls_first"), ("loaded_at", "desc_nulls_first"), ("source_file", "desc_nulls_first"),
                ("source_row_number", "desc_nulls_first")]
 
 
 @register("dim_teams", with_views(
-    "select * exclude (rn, ingested_at), ingested_at snapshot_at from (select *, row_number() over (partition by team_id "
-    "order by ingested_at desc nulls first, source_file desc nulls first, source_row_number desc nulls first) rn "
+    "select * exclude (rn, ingested_at, source_file, source_row_number), ingested_at source_ingested_at "
+    "from (select *, row_number() over (partition by team_id "
+    "order by ingested_at desc nulls first, loaded_at desc nulls first, source_file desc nulls first, source_row_number desc nulls first) rn "
     "from teams) x where rn = 1", "teams"))
 def q_dim_teams(spark, d):
     """W3f + P8: latest snapshot per team (plain DESC = NULLs first), renamed."""
@@ -71,17 +89,17 @@ def _load(spark, d):
     return P.load_rows(spark, d)
 
 
-@register("latest_orderbooks", with_views(latest_sql("load", INGEST_ORDER_SQL), "load"), doubles=("value",))
+@register("latest_orderbooks", with_views(entity_sql("orderbooks", "market_ticker"), "load_orderbooks"))
 def q_latest_orderbooks(spark, d):
     """Ingest ordering (no business timestamp)."""
-    df = _load(spark, d)
-    return L.latest_per_key(df, ["ticker"], order_for("orderbooks", df.columns))
+    df = P.load_entity(spark, d, "orderbooks")
+    return L.latest_per_key(df, ["market_ticker"], order_for("orderbooks", df.columns))
 
 
-@register("latest_series", with_views(latest_sql("load", INGEST_ORDER_SQL), "load"), doubles=("value",))
+@register("latest_series", with_views(entity_sql("series", "ticker"), "load_series"))
 def q_latest_series(spark, d):
     """W3e."""
-    df = _load(spark, d)
+    df = P.load_entity(spark, d, "series")
     return L.latest_per_key(df, ["ticker"], order_for("series", df.columns))
 
 
@@ -106,13 +124,22 @@ def q_drop_duplicate_keys(spark, d):
 
 
 @register("merge_rows", with_views(
-    f"select {LOAD_COLS} from load where source_file <> 'view.jsonl' union all "
+    f"select {LOAD_COLS} from load union all "
     f"select {LOAD_COLS} from load where source_file = 'view.jsonl'", "load"), doubles=("value",))
 def q_merge_rows(spark, d):
-    """A key-less table only appends."""
+    """A key-less table only appends, rows it has already too."""
+    ld = _load(spark, d)
+    return L.merge_rows(ld, ld.filter(F.col("source_file") == "view.jsonl"), None, [])
+
+
+@register("merge_rows_keyed", merge_sql("b1", "b2"), doubles=("value",))
+def q_merge_rows_keyed(spark, d):
+    """A keyed table upserts."""
     ld = _load(spark, d)
-    return L.merge_rows(ld.filter(F.col("source_file") != "view.jsonl"), ld.filter(F.col("source_file") == "view.jsonl"),
-                        None, [])
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    order = order_for("markets", ld.columns)
+    target = L.latest_per_key(ld.filter(F.col("event_time") < cut), ["ticker"], order)
+    return L.merge_rows(target, ld.filter(F.col("event_time") >= cut), ["ticker"], order)
 
 
 @register("path_deltas", with_views("""
@@ -120,14 +147,14 @@ select market_id, minute, price, price - lag(price) over (partition by market_id
        abs(price - lag(price) over (partition by market_id order by minute)) abs_delta
 from (select g.market_id, g.minute, last_value(b.price ignore nulls) over
         (partition by g.market_id order by g.minute rows between unbounded preceding and current row) price
-      from (select market_id, unnest(generate_series(min(bucket), max(bucket), interval 1 hour)) as minute
+      from (select market_id, unnest(generate_series(min(bucket), max(bucket), interval 1 minute)) as minute
             from b0 group by market_id) g
       left join b0 b on b.market_id = g.market_id and b.bucket = g.minute) p""", "trades", extra={
-    "b0": "select market_id, date_trunc('hour', trade_time) bucket, arg_max(price, (trade_time, trade_id)) price "
-          "from trades group by 1, 2"}), doubles=("price", "delta", "abs_delta"))
+    "b0": "select market_id, date_trunc('minute', trade_time) bucket, arg_max(price, (trade_time, trade_id)) price "
+          "from trades group by 1, 2"}, trades="near_trades"), doubles=("price", "delta", "abs_delta"), near=True)
 def q_path_deltas(spark, d):
-    """W4 on the hourly path (rows are buckets, bounded per market)."""
-    return PA.path_deltas(PA.minute_path(C.trades(spark, d), "hour"), "market_id", ["minute"], "price")
+    """W4 on the one-minute path (rows are buckets, bounded per market)."""
+    return PA.path_deltas(PA.minute_path(C.trades(spark, d), "minute"), "market_id", ["minute"], "price")
 
 
 @register("average_rank", with_views("""
@@ -158,21 +185,21 @@ select a.game_id, a.minute, a.loser_implied, l.lag, b.loser_implied shifted
 from (select *, row_number() over (partition by game_id order by minute) rn from pp) a
 cross join (select unnest(range(-10, 11)) lag) l
 left join (select *, row_number() over (partition by game_id order by minute) rn from pp) b
-  on b.game_id = a.game_id and b.rn = a.rn + l.lag""", "pp"), doubles=("loser_implied", "shifted"))
+  on b.game_id = a.game_id and b.rn = a.rn + l.lag""", "pp", trades="near_trades"), doubles=("loser_implied", "shifted"), near=True)
 def q_row_shift(spark, d):
     """Shifted copies -10..10 rows of the loser-implied pair path."""
-    pp = PR.pair_path(C.pregame(spark, d), PR.winner_loser_pairs(C.markets_outcome(spark, d)), "hour")
+    pp = PR.pair_path(C.pregame(spark, d), PR.winner_loser_pairs(C.markets_outcome(spark, d)), "minute")
     return PA.row_shift(pp.select("game_id", "minute", "loser_implied"), "game_id", ["minute"], "loser_implied")
 
 
 @register("sorted_pregame_summary", with_views(
-    "select game_id, market_id, brier_improvement from msum order by game_id, brier_improvement desc", "msum"),
+    "select game_id, market_id, brier_improvement from msum order by game_id nulls first, brier_improvement desc nulls last", "msum"),
     doubles=("brier_improvement",))
 def q_sorted_pregame_summary(spark, d):
     """O2: multi-key output order, mixed directions (a range-partitioned sort)."""
     s = R.pregame_market_summary(C.pregame(spark, d))
     return s.select("game_id", "market_id", "brier_improvement").orderBy(
-        F.col("game_id").asc(), F.col("brier_improvement").desc())
+        F.col("game_id").asc_nulls_first(), F.col("brier_improvement").desc_nulls_last())
 
 
 @register("trades_in_scope", with_views(
@@ -188,10 +215,10 @@ def q_trades_in_scope(spark, d):
 @register("jump_count", with_views("""
 select game_id, count(*) filter (where a >= 0.05) jumps from (
   select game_id, abs(winner_probability - lag(winner_probability) over (partition by game_id order by minute)) a
-  from lpath) x group by game_id""", "lpath"))
+  from lpath) x group by game_id""", "lpath", trades="near_trades"), near=True)
 def q_jump_count(spark, d):
     """Live-path steps with an absolute move of at least 5 cents."""
-    lp = PR.live_path(C.scored(spark, d), PR.winner_loser_pairs(C.markets_outcome(spark, d)), "hour")
+    lp = PR.live_path(C.scored(spark, d), PR.winner_loser_pairs(C.markets_outcome(spark, d)), "minute")
     deltas = PA.path_deltas(lp, "game_id", ["minute"], "winner_probability")
     return MS.jump_count(deltas, "game_id", "abs_delta", 0.05)
 
@@ -206,35 +233,56 @@ def q_watermark_position(spark, d):
 
 
 @register("schema_drift", with_views("""
-select * from (values ('event_time', 'added'), ('ingested_date', 'removed'), ('loaded_at', 'removed'),
-  ('raw_payload', 'removed')) v(column_name, change) where exists (select 1 from load)""", "load"))
+select * from (select 'event_time' column_name, 'added' change, count(event_time) filled_rows from load
+  union all select unnest(['ingested_date', 'loaded_at', 'raw_payload']), 'removed', 0) v""", "load"))
 def q_schema_drift(spark, d):
-    """Column-set difference between landed rows and the load
-    table's declared columns (schema only)."""
-    ld = _load(spark, d)
+    """Columns that landed rows have beyond the load table's, with
+    the number of rows that fill them, and declared ones they lack."""
     known = ["ticker", "updated_time", "ingested_at", "source_file", "source_row_number", "value", "raw_payload",
              "loaded_at", "ingested_date"]
-    return spark.createDataFrame(SO.schema_drift(ld, known), "column_name string, change string")
+    return SO.drift_report(_load(spark, d), known)
 
 
-@register("dq_column_contract", with_views(
-    "select * from (values ('missing market_ticker')) v(problem) where exists (select 1 from levels)", "levels"))
+@register("dq_column_contract", with_views("""
+select 'missing market_ticker' problem, count(*) affected_rows from book_text
+union all select 'unexpected market_id', count(market_id) from book_text""", "book_text"))
 def q_dq_column_contract(spark, d):
-    """Q9: the staged order-book frame against its documented columns."""
-    b = P.books(spark, d)
-    problems = Q.column_contract(b, ["market_ticker", "orderbook"]) + []
-    problems = [p for p in problems if not p.startswith("unexpected")]
-    return spark.createDataFrame([(p,) for p in problems], "problem string")
+    """Q9: the order-book frame against its documented columns; every finding
+    with the rows it concerns (all for a missing column, filled ones for an
+    unexpected one)."""
+    return Q.contract_report(P.books(spark, d), ["market_ticker", "orderbook"])
 
 
 @register("retention_cleanup", with_views(
-    "select ticker, source_row_number from load where cast(event_time as date) >= date '2024-01-28'", "load"))
+    "select ticker, source_row_number, true refused_while_pending from load "
+    "where cast(event_time as date) >= date '2024-01-28'", "load"))
 def q_retention_cleanup(spark, d):
     """T4: date-partitioned load table; partitions before the cutoff are
-    dropped once the merge has drained."""
-    path = shared_dir(spark, "retention")
+    dropped once the merge has taken every load row.  The backlog is
+    measured: before the second batch is merged nothing may go."""
+    path, current = shared_dir(spark, "retention"), shared_dir(spark, "retention-current")
     ld = _load(spark, d).withColumn("ingested_date", F.to_date("event_time").cast("string"))
-    ld.select("ticker", "source_row_number", "ingested_date").write.partitionBy("ingested_date").parquet(path)
-    TB.retention_cleanup(spark, path, "2024-01-28", drained=False)
-    TB.retention_cleanup(spark, path, "2024-01-28", drained=True)
-    return spark.read.parquet(path).select("ticker", "source_row_number")
+    ld.select("ticker", "updated_time", "ingested_at", "source_file", "source_row_number", "ingested_date").write.partitionBy("ingested_date").parquet(path)
+    load = spark.read.parquet(path).withColumn("ingested_date", F.col("ingested_date").cast("string"))
+    order = order_for("markets", load.columns)
+    TB.keyed_load(spark, load.filter("ingested_date < '2024-01-20'"), current, ["ticker"], order, "first", guard=True)
+    table = TB.BucketedTable(spark, current)
+    refused = not TB.retention_cleanup(spark, path, "2024-01-28", TB.pending_rows(load, table.current(), ["ticker"], order))
+    TB.keyed_load(spark, load, current, ["ticker"], order, "second", guard=True)
+    TB.retention_cleanup(spark, path, "2024-01-28", TB.pending_rows(load, table.current(), ["ticker"], order))
+    return spark.read.parquet(path).select("ticker", "source_row_number", F.lit(refused).alias("refused_while_pending"))
+
+
+@register("market_spec", with_views("""
+select m.market_title, m.market_status, t.trade_id, t.trade_time, t.price, t.size, t.taker_side
+from trades t join mctx m on m.market_id = t.market_id
+where t.market_id = (select min(market_id) from trades) and t.taker_side = 'view'""", "trades", "mctx"), doubles=("price",))
+def q_market_spec(spark, d):
+    """The static row and the prints of one market (the smallest key),
+    one taker side."""
+    t = C.trades(spark, d)
+    one = t.agg(F.min("market_id")).first()[0]
+    ctx = P.market_context(t)
+    static, prints = market_spec(ctx, t, one, "view", key="market_id")
+    return prints.join(static.select("market_id", "market_title", "market_status"), "market_id").select(
+        "market_title", "market_status", "trade_id", "trade_time", "price", "size", "taker_side")

@@ -13,15 +13,11 @@ W2_COLS = ["market_id", "trade_id", "trade_time", "size", "taker_side", "prev_pr
            "price_delta", "move_direction", "information_score"]
 
 W2_SQL_BODY = """
-select market_id, trade_id, trade_time, size, taker_side, prev_price, price, price_delta,
-       case when price_delta < 0 then 'no-favorable shock'
-            when price_delta > 0 then 'yes-favorable shock' else 'no price change' end move_direction,
-       case when price_delta is null then null when size <= 0 then null
-            else abs(price_delta) / ln(size + 1) end information_score
-from (select *, price - prev_price price_delta
-      from (select *, lag(price) over (partition by market_id order by trade_time, trade_id) prev_price
-            from trades) a) b
-where price_delta is not null and price_delta <> 0"""
+select market_id, trade_id, trade_time, size, taker_side, prev_price, price, price - prev_price price_delta,
+       if(price > prev_price, 'yes', 'no') || '-favorable shock' move_direction,
+       if(size > 0, abs(price - prev_price) / ln(1 + size), null) information_score
+from (select *, lag(price) over (partition by market_id order by trade_time, trade_id) prev_price from trades) t
+where price is distinct from prev_price and price is not null and prev_price is not null"""
 
 
 @register("trade_information_score",
@@ -54,11 +50,11 @@ def q_trade_price_path(spark, d):
 @register("minute_path", with_views("""
 select g.market_id, g.minute, last_value(b.price ignore nulls) over
          (partition by g.market_id order by g.minute rows between unbounded preceding and current row) price
-from (select market_id, unnest(generate_series(min(bucket), max(bucket), interval 1 hour)) as minute
+from (select market_id, unnest(generate_series(min(bucket), max(bucket), interval 1 minute)) as minute
       from b0 group by market_id) g
 left join b0 b on b.market_id = g.market_id and b.bucket = g.minute
-""", "trades", extra={"b0": """select market_id, date_trunc('hour', trade_time) bucket,
-        arg_max(price, (trade_time, trade_id)) price from trades group by 1, 2"""}),
-          doubles=("price",))
+""", "trades", extra={"b0": """select market_id, date_trunc('minute', trade_time) bucket,
+        arg_max(price, (trade_time, trade_id)) price from trades group by 1, 2"""}, trades="near_trades"),
+          doubles=("price",), near=True)
 def q_minute_path(spark, d):
-    return PA.minute_path(C.trades(spark, d), step="hour")
+    return PA.minute_path(C.trades(spark, d), step="minute")

@@ -14,8 +14,10 @@ from marketlake.operators.paths import label_window
 from marketlake.plans import common as C
 from marketlake.plans.registry import register
 from marketlake.plans.views import with_views
+from marketlake.schemas import MARKET_LOAD
 from marketlake.sources import proxies as P
 
+FULL_MARKET_COLS = {c for c, _ in MARKET_LOAD}
 RAW_MARKET_COLS = {"ticker", "event_ticker", "title", "status", "result", "yes_sub_title", "no_sub_title",
                    "close_time", "liquidity_dollars", "volume_fp", "can_close_early"}
 SQL_NULL = {"string": "varchar", "boolean": "boolean", "integer": "integer", "timestamp": "timestamp"}
@@ -80,11 +82,30 @@ def q_stg_markets(spark, d):
     return ST.stg_markets(P.raw_markets(spark, d))
 
 
+# the load table holds the timer as a number
+LOADED_MARKETS = ("select * replace (try_cast(settlement_timer_seconds as decimal(38,0)) as settlement_timer_seconds) "
+                  "from raw_markets_full")
+
+
+@register("stg_markets_full", with_views(stg_markets_sql("loaded", FULL_MARKET_COLS), "raw_markets_full",
+                                         extra={"loaded": LOADED_MARKETS}))
+def q_stg_markets_full(spark, d):
+    """P5 with every optional column present: nested values as JSON text, bad numbers NULL."""
+    return ST.stg_markets(_full_markets(spark, d))
+
+
+def _full_markets(spark, d):
+    """The full market rows as a load table holds them: nested values as JSON text."""
+    m = P.raw_markets_full(spark, d)
+    return m.withColumns({c: F.to_json(c) for c in ("custom_strike", "price_ranges")}).withColumn(
+        "settlement_timer_seconds", F.expr("try_cast(settlement_timer_seconds as decimal(38,0))"))
+
+
 @register("stg_orderbooks", with_views(
-    "select distinct 'MKT-' || cast(market_id as varchar) market_ticker from levels", "levels"))
+    "select 'MKT-' || cast(market_id as varchar) market_ticker, orderbook from book_text", "book_text"))
 def q_stg_orderbooks(spark, d):
-    """P4 (the JSON text itself is compared through the order-book queries)."""
-    return ST.stg_orderbooks(P.raw_orderbooks(spark, d)).select("market_ticker")
+    """P4, the ladders as text."""
+    return ST.stg_orderbooks(P.raw_orderbooks(spark, d))
 
 
 FCT_MARKETS_SQL = ("select m.market_ticker, m.event_ticker, "
@@ -93,47 +114,59 @@ FCT_MARKETS_SQL = ("select m.market_ticker, m.event_ticker, "
                    + " from sm m left join se e on e.event_ticker = m.event_ticker")
 
 
-@register("fct_markets", with_views(FCT_MARKETS_SQL, "raw_markets", "raw_events",
-                                    extra={"sm": stg_markets_sql(), "se": STG_EVENTS_SQL}))
+FCT_MARKETS_FULL = with_views(FCT_MARKETS_SQL, "raw_markets_full", "raw_events", extra={
+    "loaded": LOADED_MARKETS, "sm": stg_markets_sql("loaded", FULL_MARKET_COLS),
+    "se": STG_EVENTS_SQL + " where event_ticker not like '%7'"})
+
+
+def some_events(spark, d):
+    """Events with some missing, so that not every market finds one."""
+    return ST.stg_events(P.raw_events(spark, d)).filter(~F.col("event_ticker").like("%7"))
+
+
+@register("fct_markets", FCT_MARKETS_FULL)
 def q_fct_markets(spark, d):
-    return M.fct_markets(ST.stg_markets(P.raw_markets(spark, d)), ST.stg_events(P.raw_events(spark, d)))
+    """All 55 columns; markets of missing events keep their row."""
+    return M.fct_markets(ST.stg_markets(_full_markets(spark, d)), some_events(spark, d))
 
 
 @register("fct_orderbooks", with_views(
     "select b.market_ticker, m.event_ticker, e.category, e.series_ticker, e.event_title, e.event_subtitle, "
     + ", ".join(f"m.{c}" for c in M.FCT_ORDERBOOK_MARKET_COLS)
-    + """, cast(b.yes_level_count as int) yes_level_count, cast(b.no_level_count as int) no_level_count,
+    + """, b.orderbook, cast(b.yes_level_count as int) yes_level_count, cast(b.no_level_count as int) no_level_count,
        b.yes_level_count > 0 has_yes_orders, b.no_level_count > 0 has_no_orders
-from (select 'MKT-' || cast(market_id as varchar) market_ticker,
+from (select 'MKT-' || cast(market_id as varchar) market_ticker, any_value(orderbook) orderbook,
              count(distinct price) filter (where side = 'yes') yes_level_count,
-             count(distinct price) filter (where side = 'no') no_level_count from levels group by market_id) b
+             count(distinct price) filter (where side = 'no') no_level_count
+      from levels join book_text using (market_id) group by market_id) b
 left join sm m on m.market_ticker = b.market_ticker
-left join se e on e.event_ticker = m.event_ticker""", "levels", "raw_markets", "raw_events",
+left join se e on e.event_ticker = m.event_ticker""", "levels", "book_text", "raw_markets", "raw_events",
     extra={"sm": stg_markets_sql(), "se": STG_EVENTS_SQL}))
 def q_fct_orderbooks(spark, d):
-    f = M.fct_orderbooks(ST.stg_orderbooks(P.raw_orderbooks(spark, d)), ST.stg_markets(P.raw_markets(spark, d)),
-                         ST.stg_events(P.raw_events(spark, d)))
-    return f.drop("orderbook")
+    return M.fct_orderbooks(ST.stg_orderbooks(P.raw_orderbooks(spark, d)), ST.stg_markets(P.raw_markets(spark, d)),
+                            ST.stg_events(P.raw_events(spark, d)))
 
 
 @register("hierarchy_join", with_views("""
 select e.*, s.series_title, s.category series_category
-from (""" + STG_EVENTS_SQL + """) e left join (""" + STG_SERIES_SQL + """) s on s.series_ticker = e.series_ticker""",
+from (""" + STG_EVENTS_SQL + """) e left join (""" + STG_SERIES_SQL + """) s
+  on s.series_ticker = e.series_ticker and s.series_ticker not like '%3'""",
     "raw_events", "raw_series"))
 def q_hierarchy_join(spark, d):
     e = ST.stg_events(P.raw_events(spark, d))
-    s = ST.stg_series(P.raw_series(spark, d)).select("series_ticker", "series_title",
+    s = ST.stg_series(P.raw_series(spark, d)).filter(~F.col("series_ticker").like("%3")).select("series_ticker", "series_title",
                                                      F.col("category").alias("series_category"))
     return M.hierarchy_join(e, s, "series_ticker", "series_ticker", ["series_title", "series_category"])
 
 
 @register("trades_markets_join", with_views("""
 select l.l_orderkey, l.l_linenumber, l.l_quantity, o.o_orderstatus, o.o_orderdate
-from lineitem l left join orders o on o.o_orderkey = l.l_orderkey""", ), doubles=("l_quantity",))
+from lineitem l left join orders o on o.o_orderkey = l.l_orderkey and o.o_orderkey % 8 <> 0""", ), doubles=("l_quantity",))
 def q_trades_markets_join(spark, d):
     """J3 on the TPC-H hierarchy: trades (lineitem) LEFT JOIN markets (orders)."""
     li = P.h_trades(spark, d).select("l_orderkey", "l_linenumber", "l_quantity")
-    return M.hierarchy_join(li, P.h_markets(spark, d), "l_orderkey", "o_orderkey", ["o_orderstatus", "o_orderdate"])
+    orders = P.h_markets(spark, d).filter(F.col("o_orderkey") % 8 != 0)
+    return M.hierarchy_join(li, orders, "l_orderkey", "o_orderkey", ["o_orderstatus", "o_orderdate"])
 
 
 @register("categories", with_views("select distinct c_mktsegment category from customer where c_mktsegment is not null"))
@@ -202,9 +235,9 @@ def q_dim_times(spark, d):
 
 # ---- quality ----
 
-@register("dq_not_null", with_views("select * from orders where o_custkey is null"), doubles=("o_totalprice",))
+@register("dq_not_null", with_views("select * from load where ingested_at is null", "load"), doubles=("value",))
 def q_dq_not_null(spark, d):
-    return Q.not_null(P.h_markets(spark, d), "o_custkey")
+    return Q.not_null(P.load_rows(spark, d), "ingested_at")
 
 
 @register("dq_unique", with_views(
@@ -237,9 +270,9 @@ def q_dq_accepted_range(spark, d):
 
 
 @register("dq_duplicate_keys", with_views(
-    "select ticker, ingested_at, count(*) n from load group by 1, 2 having count(*) > 1", "load"))
+    "select event_ticker, ingested_at, count(*) n from load_events group by 1, 2 having count(*) > 1", "load_events"))
 def q_dq_duplicate_keys(spark, d):
-    return Q.duplicate_keys(P.load_rows(spark, d), ["ticker", "ingested_at"])
+    return Q.duplicate_keys(P.load_entity(spark, d, "events"), ["event_ticker", "ingested_at"])
 
 
 @register("dq_load_freshness", with_views("""
@@ -256,24 +289,30 @@ def q_dq_null_keys(spark, d):
 
 
 @register("dq_single_row", with_views(
-    "select market_id, count(*) n from markets group by 1 having count(*) <> 1", "markets"))
+    "select market_id, count(*) n from (select market_id from markets union all select market_id from markets "
+    "where market_id % 10 = 0) m group by 1 having count(*) <> 1", "markets"))
 def q_dq_single_row(spark, d):
-    return Q.single_row(P.markets(spark, d), "market_id")
+    """Q10: every tenth market is there twice."""
+    m = P.markets(spark, d)
+    return Q.single_row(m.unionByName(m.filter(F.col("market_id") % 10 == 0)), "market_id")
 
 
 @register("dq_window_bounds", with_views("""
 select market_id, min(trade_time) first_trade_time, max(trade_time) last_trade_time, min(game_start) game_start
-from trades group by market_id
+from (select * replace (case when market_id % 7 = 0 then timestamp '2030-01-01 00:00:00' else game_start end as game_start)
+      from trades) t group by market_id
 having not (min(trade_time) < min(game_start) and min(game_start) < max(trade_time))""", "trades"))
 def q_dq_window_bounds(spark, d):
-    return Q.window_bounds(C.trades(spark, d))
+    """Q11: every seventh market's start lies behind its prints."""
+    late = F.when(F.col("market_id") % 7 == 0, F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("game_start"))
+    return Q.window_bounds(C.trades(spark, d).withColumn("game_start", late))
 
 
 @register("dq_price_complement", with_views(
-    "select * from (" + STG_TRADES_SQL + ") s where abs(yes_price_dollars + no_price_dollars - 1) > 0.00005",
+    "select * from (" + STG_TRADES_SQL + ") s where abs(yes_price_dollars + no_price_dollars - 1) > 0.01",
     "raw_trades"))
 def q_dq_price_complement(spark, d):
-    return Q.price_complement(ST.stg_trades(P.raw_trades(spark, d)), "yes_price_dollars", "no_price_dollars", 0.00005)
+    return Q.price_complement(ST.stg_trades(P.raw_trades(spark, d)), "yes_price_dollars", "no_price_dollars", 0.01)
 
 
 @register("run_row_counts", with_views("select source_file, count(*) rows_written from load group by 1", "load"))
@@ -294,6 +333,7 @@ def q_status_filter(spark, d):
     return S.status_filter(P.raw_markets(spark, d), "O")
 
 
+# The series titles of the scope query.
 TITLES = ["Pro Baseball Spread", "Pro Baseball Total Bases", "Pro Baseball Hits", "Pro Baseball Total Points",
           "First 5 Innings Spread", "First 5 Innings Total", "First 5 Innings Winner"]
 
@@ -344,16 +384,17 @@ def q_contract_team_code(spark, d):
 
 
 @register("coerce_numeric", with_views(
-    "select ticker, try_cast(liquidity_dollars as double) liquidity_dollars, try_cast(volume_fp as double) volume_fp "
-    "from raw_markets", "raw_markets"), doubles=("liquidity_dollars", "volume_fp"))
+    "select ticker, try_cast(case when ticker like '%1' then 'n/a' else liquidity_dollars end as double) liquidity_dollars, "
+    "try_cast(volume_fp as double) volume_fp from raw_markets", "raw_markets"), doubles=("liquidity_dollars", "volume_fp"))
 def q_coerce_numeric(spark, d):
-    m = P.raw_markets(spark, d).select("ticker", "liquidity_dollars", "volume_fp")
+    m = P.raw_markets(spark, d).select("ticker", "volume_fp", F.when(F.col("ticker").like("%1"), F.lit("n/a"))
+                                       .otherwise(F.col("liquidity_dollars")).alias("liquidity_dollars"))
     return S.coerce_numeric(m, ["liquidity_dollars", "volume_fp", "not_there"])
 
 
 @register("label_window_right", with_views("""
 select trade_id, market_id, trade_time, game_start,
-       case when trade_time <= game_start then 'pregame' else 'live' end "window" from trades""", "trades"))
+       case when trade_time <= game_start then 'pregame' else 'live' end "window" from trades""", "trades", trades="edge_trades"))
 def q_label_window_right(spark, d):
-    t = C.trades(spark, d).select("trade_id", "market_id", "trade_time", "game_start")
+    t = P.edge_trades(C.trades(spark, d)).select("trade_id", "market_id", "trade_time", "game_start")
     return label_window(t, "right")

@@ -13,7 +13,6 @@ from marketlake.sources import proxies as P
 LOAD_COLS = "ticker, updated_time, ingested_at, source_file, source_row_number, value, event_time"
 MARKETS_ORDER_SQL = ("try_cast(updated_time as timestamp) desc nulls last, ingested_at desc nulls last, "
                      "source_file desc nulls first, source_row_number desc nulls first")
-INGEST_ORDER_SQL = "ingested_at desc nulls last, source_file desc nulls first, source_row_number desc nulls first"
 TEAMS_ORDER_SQL = "ingested_at desc nulls first, source_file desc nulls first, source_row_number desc nulls first"
 SPLIT = "timestamp '2024-01-16 00:00:00'"
 
@@ -23,6 +22,14 @@ def latest_sql(src: str, order_sql: str, key: str = "ticker") -> str:
             f"order by {order_sql}) rn from {src} where {key} is not null) x where rn = 1")
 
 
+def entity_sql(entity: str, key: str) -> str:
+    """The latest row per key of an entity's load rows."""
+    order = ("ingested_at desc nulls last, loaded_at desc nulls last, source_file desc nulls first, "
+             "source_row_number desc nulls first")
+    return (f"select * exclude (rn) from (select *, row_number() over (partition by {key} order by {order}) rn "
+            f"from load_{entity}) x where rn = 1")
+
+
 def _load(spark, d):
     return P.load_rows(spark, d)
 
@@ -33,10 +40,10 @@ def q_latest_markets(spark, d):
     return L.latest_per_key(df, ["ticker"], order_for("markets", df.columns))
 
 
-@register("latest_events", with_views(latest_sql("load", INGEST_ORDER_SQL), "load"), doubles=("value",))
+@register("latest_events", with_views(entity_sql("events", "event_ticker"), "load_events"))
 def q_latest_events(spark, d):
-    df = _load(spark, d)
-    return L.latest_per_key(df, ["ticker"], order_for("events", df.columns))
+    df = P.load_entity(spark, d, "events")
+    return L.latest_per_key(df, ["event_ticker"], order_for("events", df.columns))
 
 
 @register("latest_teams", with_views(latest_sql("load", TEAMS_ORDER_SQL), "load"), doubles=("value",))

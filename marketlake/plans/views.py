@@ -6,6 +6,8 @@ integer division (//), JSON access (->>) and interval construction.
 
 from __future__ import annotations
 
+from marketlake.schemas import MARKET_LOAD
+
 VIEWS: dict[str, str] = {
     "trades": """
         select event_id trade_id, user_id market_id, user_id // 2 game_id, user_id % 2 side,
@@ -21,7 +23,7 @@ VIEWS: dict[str, str] = {
                     when min(side) = min(game_id) % 2 then ' Yes' else 'no' end market_result,
                min(game_id) % 2 winner_side
         from trades group by market_id""",
-    "winners": "select game_id, min(winner_side) winner_side from markets group by game_id",
+    "winners": "select game_id, min(winner_side) winner_side from markets where game_id % 9 <> 0 group by game_id",
     "levels": """
         select l_suppkey market_id, case when l_linenumber % 2 = 1 then 'yes' else 'no' end side,
                (l_partkey % 99 + 1) / 100.0::double price, l_quantity size
@@ -35,12 +37,14 @@ VIEWS: dict[str, str] = {
         from events""",
     # trades labelled with outcome (market result, else winner map) and window
     "labelled": """
-        select t.*, m.market_result,
+        select * from (
+        select t.*, m.market_result, w.winner_side,
                coalesce(case lower(trim(m.market_result)) when 'yes' then 1.0 when 'no' then 0.0 end,
                         case when w.winner_side is null then null
                              when t.side = w.winner_side then 1.0 else 0.0 end) actual_outcome,
                case when t.trade_time < t.game_start then 'pregame' else 'live' end "window"
-        from trades t join markets m using (market_id) left join winners w on w.game_id = m.game_id""",
+        from trades t join markets m using (market_id) left join winners w on w.game_id = m.game_id) j
+        where trade_time is not null and price is not null and actual_outcome is not null""",
     "scored": """
         select *, case when actual_outcome = 1.0 then price else 1.0 - price end winner_probability,
                (price - actual_outcome) * (price - actual_outcome) brier_score
@@ -59,6 +63,7 @@ VIEWS: dict[str, str] = {
                     then abs(winner_prob_first_pitch - winner_prob_open) / total_abs_winner_prob_move end path_efficiency
         from (select market_id,
                      arg_min(game_id, (trade_time, trade_id)) game_id, arg_min(side, (trade_time, trade_id)) side,
+                     min(winner_side) winner_side,
                      arg_min(actual_outcome, (trade_time, trade_id)) actual_outcome,
                      min(trade_time) first_trade_time, max(trade_time) last_pregame_trade_time,
                      arg_min(game_start, (trade_time, trade_id)) game_start,
@@ -80,7 +85,7 @@ VIEWS: dict[str, str] = {
     # A9 pregame event summary
     "esum": """
         select *, mean_brier_improvement > 0 forecast_improved, mean_winner_prob_change > 0 moved_toward_winner
-        from (select game_id, count(distinct market_id) markets,
+        from (select game_id, min(winner_side) winner_side, count(distinct market_id) markets,
                      sum(pregame_trade_count) pregame_trade_count, sum(pregame_volume) pregame_volume,
                      avg(winner_prob_open) mean_winner_prob_open,
                      avg(winner_prob_first_pitch) mean_winner_prob_first_pitch,
@@ -118,7 +123,7 @@ VIEWS: dict[str, str] = {
                end final_hour_share_of_positive_improvement,
                winner_prob_first_pitch - winner_prob_first_observed total_winner_prob_change,
                winner_prob_first_pitch - winner_prob_1h_before final_hour_winner_prob_change
-        from (select s.market_id, s.game_id, s.side, s.path_efficiency,
+        from (select s.market_id, s.game_id, s.side, s.winner_side, s.path_efficiency,
                      max(case when checkpoint = 'first_observed' then brier_score end) brier_first_observed,
                      max(case when checkpoint = '6h_before' then brier_score end) brier_6h_before,
                      max(case when checkpoint = '3h_before' then brier_score end) brier_3h_before,
@@ -132,7 +137,7 @@ VIEWS: dict[str, str] = {
                      max(case when checkpoint = '15m_before' then winner_probability end) winner_prob_15m_before,
                      max(case when checkpoint = 'first_pitch' then winner_probability end) winner_prob_first_pitch
               from msum s left join cp c on c.market_id = s.market_id
-              group by s.market_id, s.game_id, s.side, s.path_efficiency) w""",
+              group by s.market_id, s.game_id, s.side, s.winner_side, s.path_efficiency) w""",
     "mo": """
         select m.market_id, m.game_id, m.side, m.game_start, m.market_result, w.winner_side
         from markets m left join winners w on w.game_id = m.game_id""",
@@ -142,17 +147,17 @@ VIEWS: dict[str, str] = {
         from mo where winner_side is not null group by game_id
         having min(case when side = winner_side then market_id end) is not null
            and min(case when side <> winner_side then market_id end) is not null""",
-    "games": "select game_id, min(game_start) game_start from mo group by game_id",
-    # J9 pair path over pregame prints, hourly buckets
+    "games": "select game_id, min(game_start) game_start, min(winner_side) winner_side from mo group by game_id",
+    # J9 pair path over pregame prints, one-minute buckets
     "pb": """
         select t.game_id, case when t.market_id = p.winner_market_id then 1 else 0 end role,
-               date_trunc('hour', t.trade_time) bucket, arg_max(t.price, (t.trade_time, t.trade_id)) price
+               date_trunc('minute', t.trade_time) bucket, arg_max(t.price, (t.trade_time, t.trade_id)) price
         from pregame t join pairs p on p.game_id = t.game_id
         where t.market_id in (p.winner_market_id, p.loser_market_id) group by 1, 2, 3""",
     "ppath": """
         select g.game_id, g.role, g.minute, last_value(b.price ignore nulls) over
                  (partition by g.game_id, g.role order by g.minute rows between unbounded preceding and current row) price
-        from (select game_id, role, unnest(generate_series(min(bucket), max(bucket), interval 1 hour)) as minute
+        from (select game_id, role, unnest(generate_series(min(bucket), max(bucket), interval 1 minute)) as minute
               from pb group by 1, 2) g
         left join pb b on b.game_id = g.game_id and b.role = g.role and b.bucket = g.minute""",
     "pp": """
@@ -189,25 +194,25 @@ VIEWS: dict[str, str] = {
         from scored t join pairs p on p.game_id = t.game_id
         where t.market_id in (p.winner_market_id, p.loser_market_id)""",
     "lgrid": """
-        select game_id, g0, case when date_trunc('hour', last_live) = last_live then last_live
-                                 else date_trunc('hour', last_live) + interval 1 hour end g1
-        from (select game_id, date_trunc('hour', min(game_start)) g0,
+        select game_id, g0, case when date_trunc('minute', last_live) = last_live then last_live
+                                 else date_trunc('minute', last_live) + interval 1 minute end g1
+        from (select game_id, date_trunc('minute', min(game_start)) g0,
                      max(case when trade_time >= game_start then trade_time end) last_live
               from scored where game_id in (select game_id from pairs) group by game_id) x
         where last_live is not null""",
     "lb": """
-        select game_id, role, date_trunc('hour', trade_time) bucket, arg_max(price, (trade_time, trade_id)) price
+        select game_id, role, date_trunc('minute', trade_time) bucket, arg_max(price, (trade_time, trade_id)) price
         from lt group by 1, 2, 3""",
     "lown": """
         select g.game_id, g.role, g.minute, last_value(b.price ignore nulls) over
                  (partition by g.game_id, g.role order by g.minute rows between unbounded preceding and current row) price
-        from (select game_id, role, unnest(generate_series(min(bucket), max(bucket), interval 1 hour)) as minute
+        from (select game_id, role, unnest(generate_series(min(bucket), max(bucket), interval 1 minute)) as minute
               from lb group by 1, 2) g
         left join lb b on b.game_id = g.game_id and b.role = g.role and b.bucket = g.minute""",
     "lre": """
         select x.game_id, r.role, x.minute, last_value(o.price ignore nulls) over
                  (partition by x.game_id, r.role order by x.minute rows between unbounded preceding and current row) price
-        from (select game_id, unnest(generate_series(g0, g1, interval 1 hour)) as minute from lgrid) x
+        from (select game_id, unnest(generate_series(g0, g1, interval 1 minute)) as minute from lgrid) x
         cross join (select 0 role union all select 1) r
         left join lown o on o.game_id = x.game_id and o.role = r.role and o.minute = x.minute""",
     "lpath": """
@@ -215,7 +220,7 @@ VIEWS: dict[str, str] = {
         from lre group by 1, 2 having count(price) > 0""",
     "lsum": """
         select *, live_trade_count > 0 has_any_live_trades, live_duration_minutes >= 15 has_enough_live_coverage
-        from (select g.game_id, g.game_start,
+        from (select g.game_id, g.game_start, g.winner_side,
                case when s.p0 is null then 0 else coalesce(t.n, 0) end live_trade_count,
                case when s.p0 is null then 0.0 else coalesce(t.vol, 0.0) end live_volume,
                case when s.p0 is null then 0 else coalesce(t.mk, 0) end live_markets_with_trades,
@@ -258,16 +263,18 @@ VIEWS: dict[str, str] = {
         group by market_id""",
     # Pregame summary with market context and book depth
     "la": """
-        select s.*, m.market_result, d.orderbook_yes_depth_contracts, d.orderbook_no_depth_contracts,
+        select s.*, x.* exclude (market_id), d.orderbook_yes_depth_contracts, d.orderbook_no_depth_contracts,
                d.orderbook_total_depth_contracts, d.best_yes_bid, d.best_no_bid
-        from msum s left join markets m on m.market_id = s.market_id
+        from msum s left join mctx x on x.market_id = s.market_id
         left join depth d on d.market_id = s.market_id""",
     # Analysable live games with pregame and book context per game
     "lla": """
-        select g.*, c.pregame_trade_count, c.pregame_volume, c.orderbook_total_depth_contracts,
+        select g.*, c.pregame_trade_count, c.pregame_volume, c.market_volume_fp, c.market_liquidity_dollars,
+               c.orderbook_total_depth_contracts,
                c.orderbook_yes_depth_contracts, c.orderbook_no_depth_contracts
         from (select * from lsum where has_enough_live_coverage) g
         left join (select game_id, sum(pregame_trade_count) pregame_trade_count, sum(pregame_volume) pregame_volume,
+                          sum(volume_fp) market_volume_fp, sum(liquidity_dollars) market_liquidity_dollars,
                           coalesce(sum(orderbook_total_depth_contracts), 0) orderbook_total_depth_contracts,
                           coalesce(sum(orderbook_yes_depth_contracts), 0) orderbook_yes_depth_contracts,
                           coalesce(sum(orderbook_no_depth_contracts), 0) orderbook_no_depth_contracts
@@ -304,7 +311,8 @@ VIEWS: dict[str, str] = {
     "raw_trades": """
         select cast(trade_id as varchar) trade_id, cast(market_id as varchar) ticker,
                case when trade_id % 97 = 0 then 'n/a' else cast(size as varchar) end count_fp, taker_side,
-               cast(cast(1 - price as decimal(18,4)) as varchar) no_price_dollars,
+               cast(cast(1 - price + case when trade_id % 101 = 0 then 0.02 else 0.0 end as decimal(18,4)) as varchar)
+                 no_price_dollars,
                cast(cast(price as decimal(18,4)) as varchar) yes_price_dollars,
                strftime(trade_time, '%Y-%m-%dT%H:%M:%SZ') created_time
         from trades""",
@@ -323,11 +331,75 @@ VIEWS: dict[str, str] = {
                s_suppkey venue_id, 'Park ' || cast(s_suppkey as varchar) venue_name, s_suppkey % 2 = 0 is_active,
                case when s_suppkey % 9 = 0 then null
                     else timestamp '2024-01-01 00:00:00' + to_hours(cast(s_suppkey % 48 as int)) end ingested_at,
-               'teams_' || cast(s_suppkey % 4 as varchar) || '.jsonl' source_file, s_suppkey source_row_number
+               'teams_' || cast(s_suppkey % 4 as varchar) || '.jsonl' source_file, s_suppkey source_row_number,
+               timestamp '2024-02-01 00:00:00' + to_hours(cast(s_suppkey % 5 as int)) loaded_at
         from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
 }
 
+VIEWS["near_trades"] = f"""
+        select * replace (
+          timestamp '2000-01-01 00:00:00' + to_microseconds(cast(date_diff('microsecond', timestamp '2000-01-01 00:00:00', timestamp '2024-01-16 00:00:00') + date_diff('microsecond', timestamp '2000-01-01 00:00:00', trade_time) // 60 - date_diff('microsecond', timestamp '2000-01-01 00:00:00', timestamp '2024-01-16 00:00:00') // 60 as bigint)) as trade_time,
+          timestamp '2024-01-16 00:00:00' + to_minutes(cast(game_id % 24 as int))
+            + to_seconds(cast(game_id % 3 * 20 as int)) as game_start)
+        from ({VIEWS['trades']}) far"""
+VIEWS["edge_trades"] = f"""
+        select * replace (case when trade_id % 53 <> 0 then price end as price,
+                          case when trade_id % 59 = 0 then game_start else trade_time end as trade_time)
+        from ({VIEWS['trades']}) plain"""
+VIEWS["mctx"] = """
+        select m.*, case when lower(trim(k.market_result)) in ('yes', 'no') then 'market_result'
+                         when w.winner_side is not null then 'winner_map' else 'missing' end outcome_source
+        from (select market_id, 'Market ' || cast(market_id as varchar) market_title,
+                     case when market_id % 4 = 0 then 'open' else 'settled' end market_status,
+                     arg_max(price, (trade_time, trade_id)) last_price_dollars, cast(sum(size) as double) volume_fp,
+                     case when market_id % 11 <> 0 then round(sum(size * price), 4) end liquidity_dollars,
+                     arg_max(price, (trade_time, trade_id)) - 0.01 yes_bid_dollars,
+                     arg_max(price, (trade_time, trade_id)) + 0.01 yes_ask_dollars,
+                     cast(market_id % 13 + 1 as double) yes_bid_size_fp, cast(market_id % 7 + 1 as double) yes_ask_size_fp
+              from trades group by market_id) m
+        join markets k on k.market_id = m.market_id left join winners w on w.game_id = k.game_id"""
+
+
+def raw_markets_full_sql(orders: str = "orders") -> str:
+    """The oracle side of ``proxies.raw_markets_full``: nested values as the JSON text they land as."""
+    base = {"ticker": "'MKT-' || cast(o_orderkey as varchar)", "event_ticker": "'EVT-' || cast(o_custkey as varchar)",
+            "title": "o_orderpriority"}
+    cols = []
+    for i, (name, kind) in enumerate(MARKET_LOAD):
+        value = {"string": f"'{name}-' || cast(o_orderkey % 97 as varchar)", "boolean": f"(o_orderkey + {i}) % 2 = 0",
+                 "time": "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')",
+                 "price": f"cast(cast((o_orderkey + {i}) % 100 / 100 as decimal(18,4)) as varchar)",
+                 "size": f"cast((o_orderkey + {i}) % 1000 as varchar)",
+                 "number": "case when o_orderkey % 4 = 0 then 'n/a' else cast(o_orderkey % 3600 as varchar) end",
+                 "object": "'{\"floor\":' || cast(o_orderkey % 50 as varchar) || '}'",
+                 "array": "'[{\"start\":\"' || cast(o_orderkey % 5 as varchar) || '\"}]'",
+                 "timestamp": "cast(o_orderdate as timestamp)"}[kind]
+        cols.append(f"{base[name] if name in base else f'case when (o_orderkey + {i}) % 5 <> 0 then {value} end'} {name}")
+    return f"select {', '.join(cols)} from {orders}"
+
+
+VIEWS["raw_markets_full"] = raw_markets_full_sql()
+for _entity, (_table, _n, _key, _value, _groups) in {
+        "events": ("customer", "c_custkey", "event_ticker", "c_name", 40),
+        "orderbooks": ("supplier", "s_suppkey", "market_ticker", "s_name", 7),
+        "series": ("part", "p_partkey", "ticker", "p_name", 60)}.items():
+    VIEWS[f"load_{_entity}"] = f"""
+        select 'K-' || cast({_n} % {_groups} as varchar) {_key}, {_value} title,
+               case when {_n} % 7 <> 0 then timestamp '2024-01-01 00:00:00' + to_hours(cast({_n} % 3 as int)) end ingested_at,
+               timestamp '2024-02-01 00:00:00' + to_hours(cast({_n} % 2 as int)) loaded_at,
+               'f' || cast({_n} % 4 as varchar) || '.jsonl' source_file, {_n} source_row_number
+        from {_table}"""
+# the order book of a market as the JSON text it arrives as
+VIEWS["book_text"] = """
+        select market_id, '{"yes_dollars":[' || coalesce(string_agg(lvl, ',' order by price desc) filter (where side = 'yes'), '')
+                 || '],"no_dollars":[' || coalesce(string_agg(lvl, ',' order by price desc) filter (where side = 'no'), '')
+                 || ']}' orderbook
+        from (select market_id, side, price, '["' || cast(price as varchar) || '","' || cast(sum(size) as varchar) || '"]' lvl
+              from levels group by market_id, side, price) l group by market_id"""
+
 DEPS: dict[str, list[str]] = {
+    "mctx": ["trades", "markets", "winners"],
+    "book_text": ["levels"],
     "markets": ["trades"],
     "winners": ["markets"],
     "labelled": ["trades", "markets", "winners"],
@@ -356,7 +428,7 @@ DEPS: dict[str, list[str]] = {
     "lsum": ["games", "lpath", "livep"],
     "depth": ["levels"],
     "istd": ["levels"],
-    "la": ["msum", "markets", "depth"],
+    "la": ["msum", "mctx", "depth"],
     "lla": ["lsum", "la"],
     "raw_trades": ["trades"],
     "gt": ["trades"],
@@ -376,12 +448,13 @@ def _order(names):
     return seen
 
 
-def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+def with_views(body: str, *names: str, extra: dict[str, str] | None = None, trades: str = "trades") -> str:
     """Prefix ``body`` with the CTEs it needs (dependencies first).
 
     ``extra`` adds query-local CTEs after the proxy views, in order.
+    ``trades`` names the view that stands for the prints.
     """
-    parts = [f"{n} as ({VIEWS[n]})" for n in _order(names)]
+    parts = [f"{n} as ({VIEWS[trades if n == 'trades' else n]})" for n in _order(names)]
     for n, q in (extra or {}).items():
         parts.append(f"{n} as ({q})")
     if not parts:

@@ -31,6 +31,28 @@ TABLE_SPECS = {
 }
 
 
+# The columns of the market load table, in order, with the kind of their landed values.
+MARKET_LOAD = [
+    ("ticker", "string"), ("event_ticker", "string"), ("market_type", "string"), ("status", "string"),
+    ("result", "string"), ("title", "string"), ("subtitle", "string"), ("yes_sub_title", "string"),
+    ("no_sub_title", "string"), ("rules_primary", "string"), ("rules_secondary", "string"),
+    ("response_price_units", "string"), ("price_level_structure", "string"), ("strike_type", "string"),
+    ("expiration_value", "string"), ("early_close_condition", "string"), ("primary_participant_key", "string"),
+    ("can_close_early", "boolean"), ("fractional_trading_enabled", "boolean"), ("created_time", "time"),
+    ("open_time", "time"), ("close_time", "time"), ("expected_expiration_time", "time"), ("expiration_time", "time"),
+    ("latest_expiration_time", "time"), ("updated_time", "time"), ("fee_waiver_expiration_time", "time"),
+    ("last_price_dollars", "price"), ("liquidity_dollars", "price"), ("no_ask_dollars", "price"),
+    ("no_bid_dollars", "price"), ("notional_value_dollars", "price"), ("previous_price_dollars", "price"),
+    ("previous_yes_ask_dollars", "price"), ("previous_yes_bid_dollars", "price"), ("yes_ask_dollars", "price"),
+    ("yes_bid_dollars", "price"), ("open_interest_fp", "size"), ("volume_24h_fp", "size"), ("volume_fp", "size"),
+    ("yes_ask_size_fp", "size"), ("yes_bid_size_fp", "size"), ("settlement_timer_seconds", "number"),
+    ("tick_size", "string"), ("floor_strike", "price"), ("cap_strike", "price"), ("custom_strike", "object"),
+    ("price_ranges", "array"), ("ingested_at", "timestamp")]
+# how a load column is read from the payload: text, except these kinds
+LOAD_KIND = {"boolean": "boolean", "number": "number", "object": "json", "array": "json", "timestamp": "time"}
+MARKET_SPEC = [(f"$.{c}", c, LOAD_KIND.get(kind, "string")) for c, kind in MARKET_LOAD]
+
+
 def order_for(table: str, columns: list[str]):
     """The spec's ordering restricted to columns the frame has."""
     out = []

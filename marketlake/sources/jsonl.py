@@ -39,17 +39,33 @@ def landing_path(prefix: str, source: str, entity: str, run_ts: dt.datetime) ->
 
 
 def land(df: DataFrame, prefix: str, entity: str, run_ts: dt.datetime, source: str = "exchange") -> str:
-    """Append the rows as JSON Lines under the run's date folder.  Keys
-    are written in column order (sort the columns first for sorted keys);
-    an empty frame still commits (a _SUCCESS marker, no data file)."""
+    """Write the rows as JSON Lines under the run's date folder, in a
+    folder named by the run's stamp: landing a run again replaces what it
+    landed, other runs of the day stay.  Keys are written in column order
+    (sort the columns first for sorted keys); an empty frame still commits
+    (a _SUCCESS marker, no data file)."""
     path = landing_path(prefix, source, entity, run_ts)
-    df.select(F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]), JSON_TIME_OPTIONS).alias("value")) \
-      .write.mode("append").text(path)
+    stamp = run_ts.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    # the JSON writer gives the files their .json ending
+    (df.select(*sorted(df.columns)).write.mode("overwrite").options(**JSON_TIME_OPTIONS)
+       .option("ignoreNullFields", "true").json(f"{path}/{entity}_{stamp}"))
     return path
 
 
-def scan_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """Raw lines with file path and 1-based per-file row number.
+# Spark lists every file that is not hidden (_ or . in front): landing files end in .json, .jsonl or .txt
+ANY_FILE = "*"
+
+
+def scan_lines(spark: SparkSession, path: str, glob: str = ANY_FILE) -> DataFrame:
+    """Raw lines with file path and 1-based per-file row number."""
+    return number_lines(spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+                        .select("value", F.col("_metadata.file_path").alias("source_file"),
+                                F.col("_metadata.file_block_start").alias("_blk")))
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Numbers the lines (value, source_file, _blk: where the line's split
+    starts) of each file from 1.
 
     A line's number is the count of lines in earlier splits of its file plus
     its position within its own split.  The split counts are one row per
@@ -59,10 +75,7 @@ def scan_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame
     task that reads them, so ``monotonically_increasing_id`` minus the
     split's smallest id is the position; the split-to-task layout is fixed
     by the file listing, so a recomputed task yields the same ids."""
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
-             .select("value", F.col("_metadata.file_path").alias("source_file"),
-                     F.col("_metadata.file_block_start").alias("_blk"),
-                     F.monotonically_increasing_id().alias("_pos")))
+    lines = lines.withColumn("_pos", F.monotonically_increasing_id())
     splits = lines.groupBy("source_file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
     earlier = Window.partitionBy("source_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("source_file", "_blk", "_p0",
@@ -72,27 +85,49 @@ def scan_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame
         (F.col("_before") + F.col("_pos") - F.col("_p0") + 1).cast("bigint").alias("source_row_number"))
 
 
-def scan_jsonl(spark: SparkSession, path: str, spec: Spec, glob: str = "*.txt",
-               key_alias: tuple[str, str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """JSONL -> typed load columns + audit columns.
-
-    Returns (good rows, bad lines).  ``raw_payload`` is the payload's own
-    ``raw_payload`` when present, else the whole line.  ``key_alias``
-    (out, path1, path2) coalesces two key spellings (S6)."""
-    lines = scan_lines(spark, path, glob).withColumn("_v", F.expr("try_parse_json(value)"))
-    good = lines.filter(F.col("_v").isNotNull() & (F.expr("schema_of_variant(_v)").startswith("OBJECT")))
-    bad = lines.filter(~(F.col("_v").isNotNull() & (F.expr("schema_of_variant(_v)").startswith("OBJECT")))) \
-               .select("source_file", "source_row_number", "value")
-    cols: list[Column] = []
-    for jpath, out, typ in spec:
-        cols.append(F.try_variant_get(F.col("_v"), jpath, typ).alias(out))
+def _value(path: str, kind: str) -> Column:
+    """A payload value: a Spark type as it is, ``number`` and ``time`` from
+    text (bad text is NULL), ``json`` any value as JSON text."""
+    get = lambda t: F.try_variant_get(F.col("_v"), path, t)
+    if kind == "number":
+        return F.expr(f"try_cast(try_variant_get(_v, '{path}', 'string') as decimal(38,0))")
+    if kind == "time":
+        return F.expr(f"try_cast(try_variant_get(_v, '{path}', 'string') as timestamp_ntz)")
+    if kind == "json":
+        return F.to_json(get("variant"))
+    return get(kind)
+
+
+def parse_lines(lines: DataFrame, spec: Spec,
+                key_alias: tuple[str, str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad lines) of raw lines, for batch and stream alike.
+
+    A line is good when it is a JSON object; everything else (broken text,
+    arrays, bare values) is a bad line and keeps its text and place.
+    ``raw_payload`` is the payload's own when present, else the whole line.
+    ``key_alias`` (out, path1, path2) coalesces two key spellings (S6).  A
+    payload's own ``source_file`` or ``source_row_number`` keeps its name;
+    the landing file's are then ``landing_file`` and ``landing_row_number``."""
+    parsed = lines.withColumn("_v", F.expr("try_parse_json(value)"))
+    is_object = F.coalesce(F.expr("schema_of_variant(_v)").startswith("OBJECT"), F.lit(False))
+    audit = [c for c in ("source_file", "source_row_number") if c in lines.columns]
+    names = {out for _, out, _ in spec}
+    cols: list[Column] = [_value(p, t).alias(out) for p, out, t in spec]
     if key_alias is not None:
         out, p1, p2 = key_alias
         cols.append(F.coalesce(F.try_variant_get(F.col("_v"), p1, "string"),
                                F.try_variant_get(F.col("_v"), p2, "string")).alias(out))
     payload = F.coalesce(F.try_variant_get(F.col("_v"), "$.raw_payload", "string"), F.col("value"))
-    return good.select(*cols, payload.alias("raw_payload"), "source_file", "source_row_number",
-                       F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")), bad
+    place = [F.col(c).alias(c.replace("source", "landing") if c in names else c) for c in audit]
+    good = parsed.filter(is_object).select(*cols, payload.alias("raw_payload"), *place,
+                                           F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"))
+    return good, parsed.filter(~is_object).select(*audit, "value")
+
+
+def scan_jsonl(spark: SparkSession, path: str, spec: Spec, glob: str = ANY_FILE,
+               key_alias: tuple[str, str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """JSONL -> typed load columns + audit columns (S10), and the bad lines."""
+    return parse_lines(scan_lines(spark, path, glob), spec, key_alias)
 
 
 def flatten_records(df: DataFrame, json_col: str) -> DataFrame:

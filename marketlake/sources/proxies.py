@@ -39,6 +39,49 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_time(col: str = "trade_time"):
+    """A time drawn sixty times closer to 2024-01-16 00:00: the month of
+    prints becomes half a day, an hour a minute."""
+    us = f"timestampdiff(MICROSECOND, timestamp_ntz'2000-01-01 00:00:00', {col})"
+    anchor = "timestampdiff(MICROSECOND, timestamp_ntz'2000-01-01 00:00:00', timestamp_ntz'2024-01-16 00:00:00')"
+    n = f"({anchor} + ({us} div 60) - ({anchor} div 60))"
+    return F.expr(f"timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(0, 0, 0, "
+                  f"cast(cast({n} as decimal(20,0)) / 1000000 as decimal(18,6)))")
+
+
+def near_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trades`` with times drawn together (``near_time``), for operators on
+    one-minute grids; two thirds of the starts are not on a full minute."""
+    t = trades(spark, sf_dir)
+    start = F.expr("timestamp_ntz'2024-01-16 00:00:00' + make_dt_interval(0, 0, cast(game_id % 24 as int), "
+                   "cast(game_id % 3 * 20 as decimal(18,6)))")
+    return t.withColumn("trade_time", near_time()).withColumn("game_start", start)
+
+
+def edge_trades(t: DataFrame) -> DataFrame:
+    """Prints with the cases the labels and the completeness filter are for:
+    some without a price, some exactly at the start."""
+    return (t.withColumn("price", F.when(F.col("trade_id") % 53 != 0, F.col("price")))
+             .withColumn("trade_time", F.when(F.col("trade_id") % 59 == 0, F.col("game_start"))
+                         .otherwise(F.col("trade_time"))))
+
+
+def market_context(t: DataFrame) -> DataFrame:
+    """What the market table says beside the outcome: title, status, last
+    price, volume, liquidity (some unknown) and the best quotes."""
+    m = t.groupBy("market_id").agg(F.max_by("price", F.struct("trade_time", "trade_id")).alias("p"),
+                                   F.sum("size").cast("double").alias("volume_fp"),
+                                   F.round(F.sum(F.col("size") * F.col("price")), 4).alias("liq"))
+    k = F.col("market_id")
+    return m.select(
+        "market_id", F.concat(F.lit("Market "), k.cast("string")).alias("market_title"),
+        F.when(k % 4 == 0, F.lit("open")).otherwise(F.lit("settled")).alias("market_status"),
+        F.col("p").alias("last_price_dollars"), "volume_fp",
+        F.when(k % 11 != 0, F.col("liq")).alias("liquidity_dollars"),
+        (F.col("p") - 0.01).alias("yes_bid_dollars"), (F.col("p") + 0.01).alias("yes_ask_dollars"),
+        (k % 13 + 1).cast("double").alias("yes_bid_size_fp"), (k % 7 + 1).cast("double").alias("yes_ask_size_fp"))
+
+
 def markets(spark: SparkSession, sf_dir: str, trades_df: DataFrame | None = None) -> DataFrame:
     """One row per market; a third of the games have no stated result, so
     their outcome must come from the winner map."""
@@ -54,8 +97,9 @@ def markets(spark: SparkSession, sf_dir: str, trades_df: DataFrame | None = None
 
 
 def winners(markets_df: DataFrame) -> DataFrame:
-    """Winner map: game -> winning side (one row per game)."""
-    return markets_df.groupBy("game_id").agg(F.min("winner_side").alias("winner_side"))
+    """Winner map: game -> winning side (one row per game; every ninth game
+    is missing, and its markets have no stated result either)."""
+    return markets_df.filter(F.col("game_id") % 9 != 0).groupBy("game_id").agg(F.min("winner_side").alias("winner_side"))
 
 
 def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +225,48 @@ def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 2 == 0).alias("can_close_early"))
 
 
+def raw_markets_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markets with every column of the load contract and its kinds of values
+    (``MARKET_LOAD``), by one rule per kind; every column is NULL in some rows,
+    and some numbers are no numbers."""
+    from marketlake.schemas import MARKET_LOAD
+
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    base = {"ticker": F.concat(F.lit("MKT-"), k.cast("string")),
+            "event_ticker": F.concat(F.lit("EVT-"), F.col("o_custkey").cast("string")),
+            "title": F.col("o_orderpriority")}
+    cols = []
+    for i, (name, kind) in enumerate(MARKET_LOAD):
+        text = F.concat(F.lit(f"{name}-"), (k % 97).cast("string"))
+        value = {"string": text, "boolean": (k + i) % 2 == 0, "time": _iso("o_orderdate"),
+                 "price": ((k + i) % 100 / 100).cast("decimal(18,4)").cast("string"),
+                 "size": ((k + i) % 1000).cast("string"),
+                 "number": F.when(k % 4 == 0, F.lit("n/a")).otherwise((k % 3600).cast("string")),
+                 "object": F.struct((k % 50).alias("floor")),
+                 "array": F.array(F.struct((k % 5).cast("string").alias("start"))),
+                 "timestamp": F.col("o_orderdate").cast("timestamp_ntz")}[kind]
+        cols.append((base[name] if name in base else F.when((k + i) % 5 != 0, value)).alias(name))
+    return o.select(*cols)
+
+
+def load_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """Raw load rows of events (customers), order books (suppliers) or series
+    (parts): several rows per key, unknown ingest times, equal ingest times
+    with different load times."""
+    name, n, key, value, groups = {
+        "events": ("customer", "c_custkey", "event_ticker", "c_name", 40),
+        "orderbooks": ("supplier", "s_suppkey", "market_ticker", "s_name", 7),
+        "series": ("part", "p_partkey", "ticker", "p_name", 60)}[entity]
+    k = F.col(n)
+    hours = lambda e: F.make_dt_interval(F.lit(0), e.cast("int"))
+    return table(spark, sf_dir, name).select(
+        F.concat(F.lit("K-"), (k % groups).cast("string")).alias(key), F.col(value).alias("title"),
+        F.when(k % 7 != 0, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + hours(k % 3)).alias("ingested_at"),
+        (F.lit("2024-02-01 00:00:00").cast("timestamp_ntz") + hours(k % 2)).alias("loaded_at"),
+        F.concat(F.lit("f"), (k % 4).cast("string"), F.lit(".jsonl")).alias("source_file"), k.cast("bigint").alias("source_row_number"))
+
+
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = trades(spark, sf_dir)
     return t.select(
@@ -188,7 +274,9 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("market_id").cast("string").alias("ticker"),
         F.when(F.col("trade_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("size").cast("string")).alias("count_fp"),
         F.col("taker_side"),
-        (1 - F.col("price")).cast("decimal(18,4)").cast("string").alias("no_price_dollars"),
+        # now and then the two prices miss 1 by two cents
+        (1 - F.col("price") + F.when(F.col("trade_id") % 101 == 0, F.lit(0.02)).otherwise(F.lit(0.0)))
+        .cast("decimal(18,4)").cast("string").alias("no_price_dollars"),
         F.col("price").cast("decimal(18,4)").cast("string").alias("yes_price_dollars"),
         _iso("trade_time").alias("created_time"))
 
@@ -235,4 +323,6 @@ def team_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.make_dt_interval(F.lit(0), (F.col("s_suppkey") % 48).cast("int")))
     return j.select(payload.alias("payload"), ing.alias("ingested_at"),
                     F.concat(F.lit("teams_"), (F.col("s_suppkey") % 4).cast("string"), F.lit(".jsonl")).alias("source_file"),
-                    F.col("s_suppkey").alias("source_row_number"))
+                    F.col("s_suppkey").alias("source_row_number"),
+                    (F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+                     + F.make_dt_interval(F.lit(0), (F.col("s_suppkey") % 5).cast("int"))).alias("loaded_at"))

@@ -1,19 +1,25 @@
-"""Table writes on shared storage: versioned keyed upsert (S13, U1 applied
-to storage), key-less append (S14), column listing (S16), the per-event
-parquet cache (S11, S12) and retention (T4).
-
-A keyed table is a folder of immutable versions ``v=<batch id>``; a version
-is committed when Spark's ``_SUCCESS`` marker exists.  A merge reads the
-newest committed version and writes the next one, so no job ever
-overwrites the files it reads, and re-running a batch id is a no-op.
+"""Table writes on shared storage: keyed upsert (S13, U1 applied to storage),
+key-less append (S14), column listing (S16), the per-event parquet cache
+(S11, S12) and retention (T4).
+
+Nothing that is read is ever overwritten: a merge writes the key buckets its
+batch touches as a new version and then a manifest that names, for every
+bucket, the version that holds it.  A manifest is committed when Spark's
+``_SUCCESS`` marker exists.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.operators.latest import latest_per_key, merge_latest
+from marketlake.operators.schema_ops import apply_drift_policy
+from marketlake.session import shared_dir
 
 
 def _fs(spark: SparkSession, path: str):
@@ -39,86 +45,147 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+def batch_digest(df: DataFrame) -> str:
+    """A fingerprint of a batch's rows in any order (count and sum of row hashes)."""
+    cols = [F.col(c) for c in sorted(df.columns)]
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("h")).first()
+    return f"{r.n}:{r.h}:{','.join(sorted(df.columns))}"
 
-    def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.path):
-            if name.startswith("v=") and exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
-                out.append(int(name[2:]))
-        return sorted(out)
 
-    def current(self) -> DataFrame | None:
-        v = self.versions()
-        return self.spark.read.parquet(f"{self.path}/v={v[-1]:09d}") if v else None
-
-    def commit(self, df: DataFrame, version: int) -> bool:
-        """Write ``df`` as ``version``; False (no write) when already committed."""
-        if version in self.versions():
-            return False
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version:09d}")
-        return True
+def _replayed(token: str, digest: str, known: dict[str, str]) -> bool:
+    """Whether ``token`` is committed; a token that comes back with other rows is an error, never a skip."""
+    if token not in known:
+        return False
+    if known[token] != digest:
+        raise ValueError(f"batch {token!r} was committed with other rows; give a new batch a token of its own")
+    return True
 
 
 class BucketedTable:
-    """Current state split into ``buckets`` hash buckets of the key; a merge
-    rewrites only the buckets its batch touches.
+    """Current state split into hash buckets of the key; a merge rewrites
+    only the buckets its batch touches.
 
     Layout: ``data/v=<version>/bucket=<b>/`` holds bucket b as written by
-    that version; ``_manifest/v=<version>`` (committed by ``_SUCCESS``)
-    maps every bucket to the version that holds it.  Untouched buckets are
-    carried over by reference, so a batch costs the size of the buckets it
-    touches, not the size of the table; nothing that is read is ever
-    overwritten, and replaying a version is a no-op."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 256):
-        self.spark, self.path, self.keys, self.n = spark, path.rstrip("/"), keys, buckets
+    that version; ``_manifest/v=<version>`` maps every bucket to the version
+    that holds it and keeps the bucket count, the keys, the schema and the
+    batch's token and digest.  The count and the keys are fixed when the
+    table is made (the count from its first batch, ``rows_per_bucket`` each,
+    unless given); opening it with others is an error.  The table numbers
+    its versions itself.  A batch's token only tells a replay: the same
+    token with the same rows changes nothing, with other rows it raises."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str] | None = None, buckets: int | None = None,
+                 rows_per_bucket: int = 2_000_000):
+        self.spark, self.path, self.rows_per_bucket = spark, path.rstrip("/"), rows_per_bucket
+        self.keys, self.n, self.schema = keys, buckets, None
+        vs = self.versions()
+        if vs:
+            r = self._read(vs[-1]).first()
+            if (keys and list(keys) != json.loads(r.keys)) or (buckets and buckets != r.buckets):
+                raise ValueError(f"{path} has {r.buckets} buckets of {r.keys}")
+            self.keys, self.n = json.loads(r.keys), r.buckets
+            self.schema = T.StructType.fromJson(json.loads(r.schema))
 
     def bucket(self):
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n))
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n)).cast("int")
 
     def versions(self) -> list[int]:
         base = f"{self.path}/_manifest"
         return sorted(int(d[2:]) for d in list_dirs(self.spark, base)
                       if d.startswith("v=") and exists(self.spark, f"{base}/{d}/_SUCCESS"))
 
+    def _read(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/_manifest/v={version:09d}")
+
     def manifest(self, version: int | None = None) -> dict[int, int]:
-        """bucket -> version (at most ``buckets`` rows, so small by design)."""
+        """bucket -> version (at most one row per bucket comes to the driver)."""
         vs = self.versions()
         if not vs:
             return {}
-        v = vs[-1] if version is None else version
-        rows = self.spark.read.parquet(f"{self.path}/_manifest/v={v:09d}").collect()
+        rows = self._read(vs[-1] if version is None else version).where("bucket >= 0").select("bucket", "version").collect()
         return {r.bucket: r.version for r in rows}
 
+    def tokens(self) -> dict[str, str]:
+        """token -> digest of every committed batch (one row per batch)."""
+        if not self.versions():
+            return {}
+        rows = (self.spark.read.parquet(*[f"{self.path}/_manifest/v={v:09d}" for v in self.versions()])
+                .where("bucket = -1").select("token", "digest").collect())
+        return {r.token: r.digest for r in rows}
+
     def _dirs(self, m: dict[int, int], buckets) -> list[str]:
         return [f"{self.path}/data/v={m[b]:09d}/bucket={b}" for b in buckets if b in m]
 
+    def _rows(self, dirs: list[str]) -> DataFrame:
+        # the stored schema: a bucket written before a column came reads it as NULL
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(*dirs)
+
     def current(self) -> DataFrame | None:
         m = self.manifest()
-        if not m:
-            return None
-        return self.spark.read.option("recursiveFileLookup", "true").parquet(*self._dirs(m, sorted(m)))
+        return self._rows(self._dirs(m, sorted(m))) if m else None
+
+    def merge(self, batch: DataFrame, order, token, guard: bool = False) -> bool:
+        """Upserts a batch; False when it is a replay.  New columns of the
+        batch become columns of the table, columns it lacks are NULL in its
+        rows (``apply_drift_policy``).  The batch is reduced to a row per key
+        once, written, and merged from there."""
+        token = str(token)
+        reduced = latest_per_key(batch, self.keys, order)
+        if self.schema is not None:
+            reduced = apply_drift_policy(reduced, self.schema)[1]
+        src = shared_dir(self.spark, "merge-batch")
+        reduced.write.parquet(src)
+        reduced = self.spark.read.schema(reduced.schema).parquet(src)
+        try:
+            digest = batch_digest(reduced)
+            if _replayed(token, digest, self.tokens()):
+                return False
+            if not self.n:
+                self.n = max(1, -(-reduced.count() // self.rows_per_bucket))
+            vs = self.versions()
+            version, m = (vs[-1] if vs else 0) + 1, self.manifest()
+            touched = sorted(r.b for r in reduced.select(self.bucket().alias("b")).distinct().collect())   # <= buckets
+            old, new = self._dirs(m, touched), reduced
+            if old:
+                new = merge_latest(self._rows(old), reduced, self.keys, order, guard=guard, reduced=True)
+            if touched:
+                (new.withColumn("bucket", self.bucket()).repartition("bucket").write.mode("overwrite")
+                    .option("partitionOverwriteMode", "static").partitionBy("bucket")
+                    .parquet(f"{self.path}/data/v={version:09d}"))
+            self.schema = new.schema
+            m.update({b: version for b in touched})
+            same = (self.n, json.dumps(self.keys), json.dumps(self.schema.jsonValue()), token, digest)
+            rows = [(b, v, *same) for b, v in [(-1, version), *sorted(m.items())]]
+            (self.spark.createDataFrame(rows, "bucket int, version int, buckets int, keys string, schema string, token string, digest string")
+                .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+                .parquet(f"{self.path}/_manifest/v={version:09d}"))
+            return True
+        finally:
+            delete(self.spark, src)
+
+
+class AppendTable:
+    """A key-less table: every batch is a folder of its own, named by its
+    token and digest, so an append writes its own rows only and a replay
+    finds its folder committed."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def batches(self) -> dict[str, str]:
+        names = [d for d in list_dirs(self.spark, self.path) if d.startswith("batch=") and exists(self.spark, f"{self.path}/{d}/_SUCCESS")]
+        return dict(n[len("batch="):].split("-", 1) for n in names)
+
+    def current(self) -> DataFrame | None:
+        dirs = [f"{self.path}/batch={t}-{d}" for t, d in sorted(self.batches().items())]
+        return self.spark.read.option("mergeSchema", "true").parquet(*dirs) if dirs else None
 
-    def merge(self, batch: DataFrame, order, version: int, guard: bool = False) -> bool:
-        if version in self.versions():
+    def append(self, df: DataFrame, token) -> bool:
+        short = lambda x: hashlib.sha256(str(x).encode()).hexdigest()[:24]
+        name, digest = short(token), short(batch_digest(df))
+        if _replayed(name, digest, self.batches()):
             return False
-        m = self.manifest()
-        src = latest_per_key(batch, self.keys, order).withColumn("_b", self.bucket())
-        touched = sorted(r._b for r in src.select("_b").distinct().collect())   # <= buckets values
-        old = self._dirs(m, touched)
-        new = src.drop("_b")
-        if old:
-            cur = self.spark.read.option("recursiveFileLookup", "true").parquet(*old)
-            new = merge_latest(cur, new.select(*cur.columns), self.keys, order, guard=guard)
-        (new.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket")
-            .parquet(f"{self.path}/data/v={version:09d}"))
-        m2 = dict(m)
-        m2.update({b: version for b in touched})
-        self.spark.createDataFrame(sorted(m2.items()), "bucket int, version int") \
-            .write.mode("overwrite").parquet(f"{self.path}/_manifest/v={version:09d}")
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch={name}-{digest}")
         return True
 
 
@@ -137,25 +204,14 @@ def _clean(df: DataFrame) -> DataFrame:
 
 
 def keyed_load(spark: SparkSession, df: DataFrame, path: str, keys: list[str] | None, order,
-               batch_id: int, guard: bool = False, buckets: int | None = None) -> bool:
+               token, guard: bool = False, buckets: int | None = None) -> bool:
     """Create on first batch; upsert by key (U1) when keys are given,
-    else append.  Returns False when the batch id was already committed.
-    With ``buckets`` the keyed table is a ``BucketedTable`` (a batch
-    rewrites only the key buckets it touches)."""
-    if keys and buckets:
-        return BucketedTable(spark, path, keys, buckets).merge(_clean(df), order, batch_id, guard=guard)
-    t = VersionedTable(spark, path)
-    if batch_id in t.versions():
-        return False
-    batch = _clean(df)
-    cur = t.current()
-    if not keys:
-        new = batch if cur is None else cur.unionByName(batch, allowMissingColumns=True)
-    elif cur is None:
-        new = latest_per_key(batch, keys, order)
-    else:
-        new = merge_latest(cur, batch.select(*cur.columns), keys, order, guard=guard)
-    return t.commit(new, batch_id)
+    else append.  True: the batch's rows are in ``current()``.  False: this
+    very batch was there already.  ``token`` names the batch and must say
+    where it comes from (a stream's id and batch number, a file, a run)."""
+    if keys:
+        return BucketedTable(spark, path, keys, buckets).merge(_clean(df), order, token, guard=guard)
+    return AppendTable(spark, path).append(_clean(df), token)
 
 
 def keyless_dump(df: DataFrame, path: str) -> None:
@@ -164,17 +220,25 @@ def keyless_dump(df: DataFrame, path: str) -> None:
 
 
 def table_columns(spark: SparkSession, path: str) -> DataFrame:
-    """(column, type) of a stored table (schema only, no scan)."""
-    schema = spark.read.parquet(path).schema
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields],
-                                 "column_name string, data_type string")
-
-
-def cache_write(df: DataFrame, path: str, key: str) -> None:
+    """(column, type, whether it is a key, rows that fill it) of a stored
+    keyed table; no rows when there is no such table.  One aggregate."""
+    t = BucketedTable(spark, path)
+    df = t.current()
+    if df is None:
+        return spark.createDataFrame([], "column_name string, data_type string, is_key boolean, filled_rows long")
+    cells = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                      F.lit(f.name in t.keys).alias("is_key"), F.col(f"n{i}").alias("filled_rows"))
+             for i, f in enumerate(df.schema.fields)]
+    return df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(df.columns)]).select(F.inline(F.array(*cells)))
+
+
+def cache_write(df: DataFrame, path: str, key: str, salts: int = 1) -> None:
     """One parquet partition per event; rewriting an event replaces
-    only that event's folder (dynamic partition overwrite)."""
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(key).parquet(path)
+    only that event's folder (dynamic partition overwrite, for this write
+    alone).  Rows are dealt by event first, so an event has one file; with
+    ``salts`` a hot event is written by as many tasks."""
+    deal = [F.col(key)] + ([F.pmod(F.xxhash64(*df.columns), F.lit(salts))] if salts > 1 else [])
+    (df.repartition(*deal).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
 
 
 def cache_read(spark: SparkSession, path: str, key: str, keys: list | None = None) -> DataFrame:
@@ -189,11 +253,24 @@ def cache_missing(expected: DataFrame, present: DataFrame, cols: list[str]) -> D
     return expected.select(*cols).distinct().join(present.select(*cols).distinct(), cols, "left_anti")
 
 
-def retention_cleanup(spark: SparkSession, path: str, cutoff: str, drained: bool,
+def pending_rows(load: DataFrame, current: DataFrame | None, keys: list[str], order) -> int:
+    """T4: load rows whose key is not yet in current state, or there with an
+    earlier row: the backlog the merge has still to take."""
+    newest = latest_per_key(load, keys, order)
+    if current is None:
+        return newest.count()
+    cols = newest.columns
+    held = current.select(*cols).withColumn("_held", F.lit(1))
+    both = newest.withColumn("_held", F.lit(0)).unionByName(held)
+    best = latest_per_key(both, keys, [*order, ("_held", "desc_nulls_last")])
+    return best.filter(F.col("_held") == 0).count()
+
+
+def retention_cleanup(spark: SparkSession, path: str, cutoff: str, pending: int,
                       part_col: str = "ingested_date") -> list[str]:
     """T4: drop load partitions older than ``cutoff`` (YYYY-MM-DD), only when
-    the merge has drained the backlog.  Returns the folders removed."""
-    if not drained:
+    the merge has left nothing ``pending``.  Returns the folders removed."""
+    if pending:
         return []
     gone = []
     for name in list_dirs(spark, path):

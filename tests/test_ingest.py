@@ -2,20 +2,23 @@
 
 import datetime as dt
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.operators import staging as ST
 from marketlake.session import shared_dir
 from marketlake.sources import jsonl as J
 from marketlake.sources import tables as TB
+from marketlake.streaming import ingest as SI
 
 RUN = dt.datetime(2026, 5, 14, 13, 30, 45, tzinfo=dt.timezone.utc)
-TEAM = {"id": 119, "name": "Los Angeles Dodgers", "teamCode": "lan", "abbreviation": "LAD", "teamName": "Dodgers",
-        "locationName": "Los Angeles", "firstYearOfPlay": "1884",
-        "sport": {"id": 1, "name": "Major League Baseball"}, "league": {"id": 104, "name": "National League"},
-        "division": {"id": 203, "name": "National League West"}, "venue": {"id": 22, "name": "Dodger Stadium"},
-        "active": True}
+# key names are the payload's (fixed values), the team is invented
+TEAM = {"id": 7, "name": "Harbour City Gulls", "teamCode": "hcg", "abbreviation": "HCG", "teamName": "Gulls",
+        "locationName": "Harbour City", "firstYearOfPlay": "1931", "sport": {"id": 3, "name": "Rounders"},
+        "league": {"id": 12, "name": "Coast League"}, "division": {"id": 40, "name": "North"},
+        "venue": {"id": 55, "name": "Pier Ground"}, "active": True}
 
 
 def test_landing_path_and_envelope(spark):
@@ -27,13 +30,13 @@ def test_landing_path_and_envelope(spark):
 
 
 def test_flatten_team(spark):
-    bad = dict(TEAM, id=120, sport="baseball")
+    bad = dict(TEAM, id=8, sport="rounders")
     df = spark.createDataFrame([(json.dumps(TEAM),), (json.dumps(bad),)], "payload string")
     rows = {r.team_id: r for r in J.flatten_team(df).collect()}
-    r = rows[119]
-    assert (r.sport_id, r.league_name, r.venue_name, r.active) == (1, "National League", "Dodger Stadium", True)
+    r = rows[7]
+    assert (r.sport_id, r.league_name, r.venue_name, r.active) == (3, "Coast League", "Pier Ground", True)
     assert len(J.flatten_team(df).columns) == 17
-    assert rows[120].sport_id is None and rows[120].league_id == 104
+    assert rows[8].sport_id is None and rows[8].league_id == 12
 
 
 def test_jsonl_round_trip_with_bad_lines_and_row_numbers(spark):
@@ -41,7 +44,7 @@ def test_jsonl_round_trip_with_bad_lines_and_row_numbers(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("trade_id"), F.lit("M").alias("ticker"))
     J.land(df.repartition(3), root, "trades", RUN)
     spark.range(1).select(F.lit("{broken").alias("value")).write.mode("append").text(
-        J.landing_path(root, "exchange", "trades", RUN))
+        J.landing_path(root, "exchange", "trades", RUN) + "/broken")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
         good, bad = J.scan_jsonl(spark, root, [("$.trade_id", "trade_id", "string"),
@@ -65,21 +68,149 @@ def test_jsonl_round_trip_with_bad_lines_and_row_numbers(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+ORDER = [("v", "desc_nulls_last")]
+
+
+def state(table):
+    return {r.k: r.v for r in table.current().collect()}
+
+
 def test_keyed_vs_unkeyed_load(spark):
     path = shared_dir(spark, "t-keyed")
     b1 = spark.createDataFrame([("a", 1, ""), ("b", 1, "x")], "k string, v long, s string")
     b2 = spark.createDataFrame([("a", 2, "y")], "k string, v long, s string")
-    order = [("v", "desc_nulls_last")]
-    assert TB.keyed_load(spark, b1, path, ["k"], order, 1)
-    assert TB.keyed_load(spark, b2, path, ["k"], order, 2)
-    assert not TB.keyed_load(spark, b2, path, ["k"], order, 2)      # replay is a no-op
-    cur = {r.k: (r.v, r.s) for r in TB.VersionedTable(spark, path).current().collect()}
+    assert TB.keyed_load(spark, b1, path, ["k"], ORDER, "b1")
+    assert TB.keyed_load(spark, b2, path, ["k"], ORDER, "b2")
+    assert not TB.keyed_load(spark, b2, path, ["k"], ORDER, "b2")      # replay is a no-op
+    cur = {r.k: (r.v, r.s) for r in TB.BucketedTable(spark, path).current().collect()}
     assert cur == {"a": (2, "y"), "b": (1, "x")}
     p2 = shared_dir(spark, "t-append")
-    TB.keyed_load(spark, b1, p2, None, order, 1)
-    TB.keyed_load(spark, b2, p2, None, order, 2)
-    got = TB.VersionedTable(spark, p2).current()
+    assert TB.keyed_load(spark, b1, p2, None, ORDER, "b1") and TB.keyed_load(spark, b2, p2, None, ORDER, "b2")
+    assert not TB.keyed_load(spark, b2, p2, None, ORDER, "b2")
+    got = TB.AppendTable(spark, p2).current()
     assert got.count() == 3 and got.filter(F.col("s").isNull()).count() == 1   # '' -> NULL
+    wide = spark.createDataFrame([("z", 9, "w", 1.5)], "k string, v long, s string, extra double")
+    assert TB.keyed_load(spark, wide, p2, None, ORDER, "b3")
+    assert [r.extra for r in TB.AppendTable(spark, p2).current().filter("k = 'z'").collect()] == [1.5]
+
+
+def test_bucket_count_and_keys_are_the_tables_own(spark):
+    path = shared_dir(spark, "t-buckets")
+    keys = [(f"k{i}", 1) for i in range(50)]
+    TB.BucketedTable(spark, path, ["k"], 8).merge(spark.createDataFrame(keys, "k string, v long"), ORDER, "first")
+    for bad in (lambda: TB.BucketedTable(spark, path, ["k"], 16), lambda: TB.BucketedTable(spark, path, ["v"])):
+        with pytest.raises(ValueError):
+            bad()
+    again = TB.BucketedTable(spark, path)
+    assert (again.n, again.keys) == (8, ["k"])
+    assert again.merge(spark.createDataFrame([("k7", 5)], "k string, v long"), ORDER, "second")
+    assert state(again) == {**dict(keys), "k7": 5}
+
+
+def test_the_table_numbers_versions_and_a_token_only_marks_replays(spark):
+    path = shared_dir(spark, "t-tokens")
+    one = lambda k, v: spark.createDataFrame([(k, v)], "k string, v long")
+    t = TB.BucketedTable(spark, path, ["k"], 2)
+    for token, batch in ((1, one("a", 1)), (3, one("b", 1)), (2, one("c", 1))):  # out of order
+        assert t.merge(batch, ORDER, token)
+    assert state(t) == {"a": 1, "b": 1, "c": 1} and t.versions() == [1, 2, 3]
+    assert not t.merge(one("b", 1), ORDER, 3)
+    with pytest.raises(ValueError):  # the same token with other rows is no replay
+        t.merge(one("d", 1), ORDER, 3)
+    assert t.merge(one("d", 1), ORDER, 4) and state(t)["d"] == 1
+
+
+def test_new_and_missing_columns_of_a_batch(spark):
+    path = shared_dir(spark, "t-drift")
+    t = TB.BucketedTable(spark, path, ["k"], 4)
+    t.merge(spark.createDataFrame([(f"k{i}", 1, "old") for i in range(20)], "k string, v long, s string"), ORDER, "a")
+    assert t.merge(spark.createDataFrame([("k1", 2, "new", 7.5)], "k string, v long, s string, x double"), ORDER, "b")
+    assert t.merge(spark.createDataFrame([("k2", 3)], "k string, v long"), ORDER, "c", guard=True)
+    cur = {r.k: (r.v, r.s, r.x) for r in TB.BucketedTable(spark, path).current().collect()}
+    assert len(cur) == 20
+    assert (cur["k1"], cur["k2"], cur["k3"]) == ((2, "new", 7.5), (3, None, None), (1, "old", None))
+
+
+def test_stream_merge_after_a_lost_checkpoint(spark):
+    root = shared_dir(spark, "t-reset")
+    rows = lambda r: spark.createDataFrame(r, "k string, v long")
+    rows([("a", 1), ("b", 1)]).write.parquet(root + "/load/one")
+    schema = rows([]).schema
+    merge = lambda ck: SI.stream_merge_latest(spark, root + "/load", schema, root + "/now", root + ck, ["k"], ORDER)
+    merge("/ck1")
+    rows([("c", 1), ("a", 4)]).write.parquet(root + "/load/two")
+    merge("/ck2")
+    assert state(TB.BucketedTable(spark, root + "/now")) == {"a": 4, "b": 1, "c": 1}
+
+
+def test_stream_and_batch_scan_agree_on_good_and_bad_lines(spark):
+    root = shared_dir(spark, "t-lines")
+    for name, text in (("a.jsonl", '{"k": "x", "v": 1}\n[1]\n{broken'), ("b.txt", '{"market_ticker": "y", "raw_payload": "own"}\n7')):
+        path = f"{root}/in/{name}".removeprefix("file:")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(text)
+    spec, alias = [("$.v", "v", "bigint")], ("key", "$.k", "$.market_ticker")
+    good, bad = J.scan_jsonl(spark, root + "/in", spec, key_alias=alias)
+    SI.stream_ingest(spark, root + "/in", root + "/load", root + "/ck", spec, key_alias=alias)
+    read = lambda p: spark.read.option("recursiveFileLookup", "true").parquet(p)
+    cols = ["key", "v", "raw_payload", "source_file", "source_row_number"]
+    batch = sorted(map(tuple, good.select(*cols).collect()), key=str)
+    assert batch == sorted(map(tuple, read(root + "/load").select(*cols).collect()), key=str)
+    assert [(r[0], r[1], r[4]) for r in batch] == [("x", 1, 1), ("y", None, 1)] and batch[1][2] == "own"
+    lost = sorted((r.value, r.source_row_number) for r in bad.collect())
+    assert lost == sorted((r.value, r.source_row_number) for r in read(root + "/load_bad").collect())
+    assert lost == [("7", 2), ("[1]", 2), ("{broken", 3)]
+
+
+def test_landing_a_run_again_replaces_it(spark):
+    root = shared_dir(spark, "t-land")
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    later = RUN + dt.timedelta(minutes=5)
+    for run in (RUN, RUN, later):
+        J.land(df, root, "events", run)
+    good, bad = J.scan_jsonl(spark, root, [("$.k", "k", "string")])
+    assert good.count() == 4 and bad.count() == 0
+
+
+def test_shared_folders_never_meet(spark):
+    a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert a != b and a.startswith(spark.sparkContext.getCheckpointDir())
+
+
+def test_no_scratch_folder_off_a_local_master(spark, monkeypatch):
+    from marketlake import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_pending_rows_gate_retention(spark):
+    path = shared_dir(spark, "t-retention")
+    load = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 2, "2024-02-01")], "k string, v long, ingested_date string")
+    load.write.partitionBy("ingested_date").parquet(path)
+    now = load.filter("k = 'a'")
+    assert TB.pending_rows(load, None, ["k"], ORDER) == 2
+    assert TB.pending_rows(load, now, ["k"], ORDER) == 1
+    assert TB.retention_cleanup(spark, path, "2024-01-15", 1) == []
+    assert TB.pending_rows(load, load, ["k"], ORDER) == 0
+    assert TB.retention_cleanup(spark, path, "2024-01-15", 0) == ["ingested_date=2024-01-01"]
+
+
+def test_flatten_records_of_nested_arrays(spark):
+    docs = spark.createDataFrame([('[{"a": 1}, [{"a": 2}, 5, {"a": 3}], 7]',)], "doc string")
+    got = J.flatten_records(docs, "doc").select(F.try_variant_get("record", "$.a", "bigint").alias("a"))
+    assert sorted(r.a for r in got.collect()) == [1, 2, 3]
 
 
 def test_cache_and_missing(spark):
@@ -109,12 +240,12 @@ def test_bucketed_table_rewrites_only_touched_buckets(spark):
     t = TB.BucketedTable(spark, path, ["k"], 8)
     order = [("v", "desc_nulls_last")]
     b1 = spark.createDataFrame([(f"k{i}", 1) for i in range(200)], "k string, v long")
-    assert t.merge(b1, order, 1)
+    assert t.merge(b1, order, "one")
     first = t.manifest()
     assert set(first.values()) == {1} and len(first) == 8
     b2 = spark.createDataFrame([("k3", 5), ("new", 7)], "k string, v long")
-    assert t.merge(b2, order, 2)
-    assert not t.merge(b2, order, 2)
+    assert t.merge(b2, order, "two")
+    assert not t.merge(b2, order, "two")
     second = t.manifest()
     rewritten = {b for b, v in second.items() if v == 2}
     assert 1 <= len(rewritten) <= 2 and all(second[b] == 1 for b in second if b not in rewritten)
