@@ -23,11 +23,14 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app: str = "marketlake", extra: dict | None = None) -> SparkSession:
+    """A session with the settings the operators rely on.  The number of
+    shuffle partitions is the cluster's own unless given (tests, the bench)."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

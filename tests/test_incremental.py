@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import incremental as I
 
+# The epoch seconds of these cases are the contract's.
 NOW = int(dt.datetime(2026, 5, 14, 13, 30, 45, tzinfo=dt.timezone.utc).timestamp())
 
 
