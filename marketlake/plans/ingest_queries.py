@@ -533,16 +533,13 @@ def q_stream_merge_latest(spark, d):
 def q_landing_to_fact(spark, d):
     """The whole way in two runs: land, stream into the load table, merge the
     batches into current state, stage, join to the fact.  The first run lands
-    an early version of every market, the second the final one of two thirds
-    and the rest in time for its second batch."""
+    an early version of every market, the second the final one."""
     root = shared_dir(spark, "way")
     m = P.raw_markets_full(spark, d)
-    third = F.pmod(F.xxhash64("ticker"), F.lit(3)) == 0
     early = m.withColumns({"updated_time": F.lit("2000-01-01T00:00:00Z"), "status": F.lit("early")})
     names = [c for _, c, _ in MARKET_SPEC]
     order = order_for("markets", [*names, "loaded_at", "source_file", "source_row_number"])
-    runs = ((RUN1, early), (RUN2, m.filter(~third)), (RUN2 + dt.timedelta(hours=1), m.filter(third)))
-    for run, rows in runs:
+    for run, rows in ((RUN1, early), (RUN2, m)):
         J.land(rows, root + "/landing", "markets", run)
         SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", MARKET_SPEC)
         schema = _loaded(spark, root + "/load").schema
