@@ -16,6 +16,22 @@ import numpy as np
 from tokenizers import Tokenizer
 
 MEMO_WORDS = 400_000
+# words of Latin-1 letters: composed already, a piece of their own, and lower-cased letter by letter alike everywhere
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """Byte-level tokenizers spell a byte as itself where it prints in Latin-1, else as the next character from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)}
+
+
+_SPELL = byte_alphabet()
+
+
+def spelled(word: str) -> str:
+    return word if word.isascii() else "".join(map(_SPELL.__getitem__, word.encode()))
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
 
 
@@ -51,7 +67,7 @@ def cuts(path: str) -> str:
         steps = pre.get("pretokenizers", [])
         norm = (made.get("normalizer") or {}).get("normalizers", [])
         if ([s.get("type") for s in steps] == ["Split", "ByteLevel"] and steps[0].get("behavior") == "Removed"
-                and steps[0].get("invert") and r"[^\s\p{L}\p{N}]+" in str(steps[0].get("pattern"))
+                and steps[0].get("invert") and r"[^\s\p{L}\p{N}]+" in (steps[0].get("pattern") or {}).get("Regex", "")
                 and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex", True)
                 and [n.get("type") for n in norm] == ["NFC", "Replace", "Lowercase"]):
             return "dropped"
@@ -70,14 +86,25 @@ class WordIds:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
     def _learn(self, words: set[str]) -> None:
-        # a comma or full stop after a letter or digit is a piece of its own
-        new = [w for w in words if w not in self.memo]
-        bare = [w[:-1] if len(w) > 1 and w[-1] in ".," and w[-2].isalnum() else w for w in new]
-        need = [w for w in {*bare, ".", ","} if w not in self.memo]
-        self.memo.update(zip(need, self._encode(need)))
-        for w, b in zip(new, bare):
-            if w is not b:
-                self.memo[w] = self.memo[b] + self.memo[w[-1]]
+        # a comma or full stop after a letter or digit is a piece of its own; a word of Latin letters is one piece
+        # in lower case, which the library's model takes without its normalizer and pre-tokenizer
+        memo, model, odd, parts = self.memo, self.tokenizer.model, [], {}
+        for w in words:
+            if w in memo:
+                continue
+            tail = len(w) > 1 and w[-1] in ".," and w[-2].isalnum()
+            bare = w[:-1] if tail else w
+            if _LETTERS.fullmatch(bare):
+                bare = bare.lower()
+                if bare not in memo:
+                    memo[bare] = np.array([t.id for t in model.tokenize(spelled(bare))], dtype=self.dtype).tobytes()
+            elif bare not in memo:
+                odd.append(bare)
+            parts[w] = (bare, w[-1] if tail else "")
+        odd = [w for w in {*odd, ".", ",", ""} if w not in memo]
+        memo.update(zip(odd, self._encode(odd)))
+        for w, (bare, tail) in parts.items():
+            memo[w] = memo[bare] + memo[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.split:
@@ -101,13 +128,22 @@ class WordCounts:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def _learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.memo]
-        bare = [p[:-1] if len(p) > 1 and p[-1] in ".," and p[-2].isalnum() else p for p in new]
-        need = [p for p in {*bare, ".", ",", "\n"} if p not in self.memo]
-        self.memo.update(zip(need, self.whole(need)))
-        for p, b in zip(new, bare):
-            if p is not b:
-                self.memo[p] = self.memo[b] + self.memo[p[-1]]
+        memo, model, odd, parts = self.memo, self.tokenizer.model, [], {}
+        for p in pieces:
+            if p in memo:
+                continue
+            tail = len(p) > 1 and p[-1] in ".," and p[-2].isalnum()
+            bare = p[:-1] if tail else p
+            if bare not in memo:
+                if _LETTERS.fullmatch(bare, 1 if bare[0] == " " else 0):
+                    memo[bare] = len(model.tokenize(_SPELL[32] + spelled(bare[1:]) if bare[0] == " " else spelled(bare)))
+                else:
+                    odd.append(bare)
+            parts[p] = (bare, p[-1] if tail else "")
+        odd = [p for p in {*odd, ".", ",", "\n", ""} if p not in memo]
+        memo.update(zip(odd, self.whole(odd)))
+        for p, (bare, tail) in parts.items():
+            memo[p] = memo[bare] + memo[tail]
 
     def count(self, texts: list[str]) -> list[int]:
         """Texts whose only white space is single spaces and line feeds between words are counted by words, all
