@@ -31,7 +31,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = docs.select(*COLUMNS).withColumn("__k", F.coalesce("doc_id", F.lit(NO_ID)))
     groups = stored(simhash_near_duplicates(own.select(F.col("__k").alias("doc_id"), "text"), words=4, max_bits=4)
                     .groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("__n")), "kept-documents")
-    kept = own.join(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__k"), "__n"), "__k")
+    # the same join at every size: texts meet the kept ids by a shuffle, also where few ids would fit a broadcast
+    kept = own.hint("merge").join(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__k"), "__n"), "__k")
     once = kept.where("__n = 1").select(*COLUMNS)
     again = (kept.where("__n > 1").groupBy("__k").agg(F.min(F.struct("text", "lang", "source", "n_chars", "doc_id")).alias("r"))
              .select(*[F.col(f"r.{c}").alias(c) for c in COLUMNS]))
@@ -52,7 +53,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = mix_sources(own.select(F.col("__k").alias("doc_id"), "text", "source"))
     copies = stored(copies.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("size", "source_size", "copies"))).alias("c"))
                     .withColumnRenamed("doc_id", "__k"), "mix-copies")
-    joined = own.join(copies, "__k")
+    joined = own.hint("merge").join(copies, "__k")  # as in one_of_each
     once = joined.where(F.size("c") == 1).withColumn("__n", F.col("c")[0]["copies"])
     # an id that repeats: its rows in order meet its copies in order
     rows = (joined.where(F.size("c") > 1).groupBy("__k", "c").agg(F.sort_array(F.collect_list(F.struct("text", "doc_id", "lang", "source", "n_chars"))).alias("r"))
