@@ -12,9 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import MEMO_WORDS, tokenizer_path
+from .common import batches, texts
+from .vocab import tokenizer_path
 
 MARK = "▁"
+MEMO_UNITS = 200_000
 UNK_PENALTY = 10.0
 LONG = 256
 
@@ -197,12 +199,12 @@ class Pieces:
         for t in texts:
             t = t.encode("utf-8", "replace").decode() if not t.isascii() else t
             own.append(split((MARK if dummy_prefix and t else "") + t.replace(" ", MARK)))
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > MEMO_UNITS:
             self.memo.clear()
         new = [u for u in set().union(*own) if u not in self.memo]
         new.sort(key=len)
-        for at in range(0, len(new), 1 << 14):
-            part = new[at:at + (1 << 14)]
+        for at in range(0, len(new), 1 << 13):
+            part = new[at:at + (1 << 13)]
             self.memo.update(zip(part, [x.tobytes() for x in self.viterbi([u.encode() for u in part])]))
         get = self.memo.__getitem__
         out = [b"".join(map(get, units)) for units in own]
@@ -232,8 +234,8 @@ def encode_pieces(docs: DataFrame, keep: list[str], model: str = "piece_bpe_32k.
     def run(it):
         pieces = shared.value
         for batch in it:
-            for at in range(0, batch.num_rows, 500):
-                b = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 250):
+                b = batch.slice(at, 250)
                 ids = [np.frombuffer(x, dtype=pieces.dtype) for x in pieces.encode([t or "" for t in b.column(len(keep)).to_pylist()])]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate(ids) if ids else np.zeros(0)
@@ -248,21 +250,20 @@ def encode_pieces(docs: DataFrame, keep: list[str], model: str = "piece_bpe_32k.
 def piece_digests(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_pieces, n_byte_pieces, ids_crc32 (of the ids as little-endian unsigned
     32-bit integers), decoded_sha256, round_trip (whether the decoded text is the text; null counts as empty)."""
-    held = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    path = model if "/" in model else tokenizer_path(model)
-    byte_ids = [int(i) for i in Pieces.load(path).byte_ids if i >= 0]
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(model if "/" in model else tokenizer_path(model)))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("n_byte_pieces", pa.int64()), ("ids_crc32", pa.int64()),
+                        ("decoded_sha256", pa.string()), ("round_trip", pa.bool_())])
 
-    def run(it):
-        special = np.array(byte_ids, dtype=np.int64)
-        for b in it:
-            rows = b.to_pydict()
-            flat = [np.array(x, dtype="<u4") for x in rows["ids"]]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column(0), "n_pieces": pa.array([len(x) for x in flat], pa.int64()),
-                "n_byte_pieces": pa.array([int(np.isin(x, special).sum()) for x in flat], pa.int64()),
-                "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in flat], pa.int64()),
-                "decoded_sha256": pa.array([sha256(t.encode()).hexdigest() for t in rows["decoded"]], pa.string()),
-                "round_trip": pa.array([a == b for a, b in zip(rows["text"], rows["decoded"])], pa.bool_())})
+    def run(b):
+        # digests are taken where the ids are, so that no second worker holds them
+        pieces, own = shared.value, texts(b.column(1))
+        ids = [np.frombuffer(x, dtype=pieces.dtype) for x in pieces.encode(own)]
+        decoded = [pieces.decode(x) for x in ids]
+        return {"doc_id": b.column(0), "n_pieces": [len(x) for x in ids],
+                "n_byte_pieces": [int(np.isin(x, pieces.byte_ids).sum()) for x in ids],
+                "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids],
+                "decoded_sha256": [sha256(t.encode()).hexdigest() for t in decoded], "round_trip": [a == t for a, t in zip(own, decoded)]}
 
-    return encode_pieces(held, ["doc_id", "text"], model).mapInArrow(
-        run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+            .mapInArrow(batches(run, schema, rows=250),
+                        "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean"))
