@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -89,10 +90,17 @@ def mentions(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
     if not _HINT.search(text) and not _AT.search(text):
         return []
     found = [(k, a, z, True) for k, a, z in base]
-    taken = sorted((a, z) for _, a, z in base)
+    starts, ends = [], []  # the base spans' union, in order
+    for a, z in sorted((a, z) for _, a, z in base):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], z)
+        else:
+            starts.append(a)
+            ends.append(z)
 
     def free(a: int, z: int) -> bool:
-        return not any(a < y and x < z for x, y in taken)
+        before = bisect_left(starts, z)
+        return before == 0 or ends[before - 1] <= a
 
     for kind, pattern in (*_LOOSE.items(), ("other", _OTHER)):
         if kind == "email" and not _AT.search(text):

@@ -2,7 +2,7 @@ import hashlib
 import re
 import time
 
-from marketlake.llm.pii import KINDS, base_spans, bootstrap, find_personal_data, luhn, redact, scan
+from marketlake.llm.pii import KINDS, base_spans, bootstrap, find_personal_data, luhn, mentions, redact, scan
 from tests.llm.helpers import awkward, docs, rows_of
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -42,6 +42,22 @@ def test_long_runs_take_linear_time():
     assert time.time() - began < 20
 
 
+def test_mentions_stay_clear_of_base_spans():
+    for text in [*CASES, "call (523) 555-7777 or +1 (523) 555-1055", "a@b.c at id-77 4111 1111-1111 1111 4111 1111 1111 1112", "+4111111111111111 x-9"]:
+        base = base_spans(text)
+        got = mentions(text, base)
+        assert [(m["kind"], m["start"], m["end"]) for m in got if m["seed"]] == base
+        for m in got:
+            assert m["seed"] or not any(m["start"] < z and a < m["end"] for _, a, z in base)
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    text = "mail a@b.cd for order-7000x now " * 60_000
+    began = time.time()
+    assert sum(not m["seed"] for m in mentions(text, base_spans(text))) == 60_000
+    assert time.time() - began < 60
+
+
 def test_documents_by_brute_force(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r["doc_id"]: r for r in rows_of(find_personal_data(d))}
