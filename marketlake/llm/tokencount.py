@@ -40,8 +40,8 @@ def spliced_count(text: str, tokenizer, chunk: int, overlap: int, known_cuts: bo
         common = set(starts) & set(right)
         at = max((p for p in common if start < p < hi - 1 and stable(text, p)), default=None)
         if at is None:
-            if width == hi - lo:  # nothing to splice in this chunk: take it whole together with the next
-                hi = min(len(text), hi + chunk)
+            if width == hi - lo:  # nothing to splice in this chunk: take it whole together with as much again
+                hi = min(len(text), hi + max(chunk, hi - lo))
                 starts, width = begins(lo, hi), overlap
             else:
                 width *= 2

@@ -46,6 +46,19 @@ def test_spliced_chunks_count_what_the_whole_text_has():
             assert spliced_count(text, t, chunk, overlap) == want
 
 
+def test_text_without_cuts_is_not_encoded_over_and_over():
+    t, seen = load(tokenizer_path("byte_bpe_50k.json")), []
+
+    class Counting:
+        def encode(self, text, **options):
+            seen.append(len(text))
+            return t.encode(text, **options)
+
+    text = "".join(random.Random(2).choices("abcé1,", k=100_000))
+    assert spliced_count(text, Counting(), 500, 16) == len(t.encode(text, add_special_tokens=False))
+    assert sum(seen) < 20 * len(text)
+
+
 def test_count_tokens_on_awkward_documents(spark):
     t = load(tokenizer_path("byte_bpe_50k.json"))
     source = rows_of(awkward(spark))
