@@ -24,17 +24,27 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         *[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in COLUMNS])
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The documents, stored, with a key of each row's own: ids may be null or repeat."""
+    return stored(docs.select(*COLUMNS).withColumn("rid", F.monotonically_increasing_id()), name)
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of every group of near-duplicates.  Rows that repeat its id are reduced to
-    the one of least text; a null id stays only in a group without any other, and then one of them does."""
+    """One row of every group of near-duplicates, whatever its ids: of least doc_id, null last, and among rows of
+    that id the least text.  Groups are of rows, so rows that share an id or have none may lie in different ones."""
     ready(spark)
-    own = docs.select(*COLUMNS).withColumn("__k", F.coalesce("doc_id", F.lit(NO_ID)))
-    groups = stored(simhash_near_duplicates(own.select(F.col("__k").alias("doc_id"), "text"), words=4, max_bits=4)
-                    .groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("__n")), "kept-documents")
-    # the same join at every size: texts meet the kept ids by a shuffle, also where few ids would fit a broadcast
-    kept = own.hint("merge").join(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__k"), "__n"), "__k")
-    once = kept.where("__n = 1").select(*COLUMNS)
-    again = (kept.where("__n > 1").groupBy("__k").agg(F.min(F.struct("text", "lang", "source", "n_chars", "doc_id")).alias("r"))
+    own = keyed(docs, "keyed-documents")
+    groups = simhash_near_duplicates(own, id_col="rid", words=4, max_bits=4).select(F.col("doc_id").alias("rid"), F.col("component_id").alias("grp"))
+    rows = stored(groups.join(own.select("rid", "doc_id"), "rid"), "grouped-documents")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "n")
+    least = (rows.groupBy("grp", "doc_id").agg(F.count("*").alias("n")).groupBy("grp").agg(F.min(first).alias("f"))
+             .select(F.col("grp").alias("g"), F.col("f.doc_id").alias("id"), F.col("f.n").alias("n")))
+    # n rows of a group share its least id: where there is one, it is known without its text
+    first = stored(rows.join(least, (F.col("grp") == F.col("g")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("rid", "grp", "n"), "kept-documents")
+    # the same join at every size: texts meet the kept rows by a shuffle, also where few rows would fit a broadcast
+    kept = own.hint("merge").join(first, "rid")
+    once = kept.where("n = 1").select(*COLUMNS)
+    again = (kept.where("n > 1").groupBy("grp").agg(F.min(F.struct("text", "lang", "source", "n_chars", "doc_id")).alias("r"))
              .select(*[F.col(f"r.{c}").alias(c) for c in COLUMNS]))
     return once.unionByName(again)
 

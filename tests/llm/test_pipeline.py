@@ -58,6 +58,24 @@ def test_stages_on_awkward_and_empty_documents(spark):
     assert n == 9
 
 
+def prose(seed, n=60):
+    rnd = np.random.default_rng(seed)
+    return " ".join(f"w{k}" for k in rnd.integers(0, 5000, n))
+
+
+def test_every_group_keeps_one_row_whatever_its_ids(spark):
+    a, b, c, d, e, f = map(prose, range(6))
+    rows = [(None, a), (None, b), (None, b), (5, c), (None, c), (None, d), (3, e), (3, f), (1, f), (8, f), (8, f), (None, None), (2, "")]
+    got = sorted(((r["doc_id"], r["text"]) for r in rows_of(CP.one_of_each(spark, docs(spark, rows), SF))), key=str)
+    assert got == sorted([(None, a), (None, b), (5, c), (None, d), (3, e), (1, f), (2, "")], key=str)
+
+
+def test_a_repeated_least_id_keeps_the_least_text(spark):
+    a = prose(1, 400)
+    rows = [(4, a + " z"), (4, a + " b"), (None, a), (9, a)]
+    assert [r["text"] for r in rows_of(CP.one_of_each(spark, docs(spark, rows), SF))] == [a + " b"]
+
+
 def test_run_is_the_stages(spark):
     got = rows_of(CP.run(spark, SF).select("doc_id", "n_pieces"))
     assert got
