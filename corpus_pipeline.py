@@ -10,7 +10,7 @@ from marketlake.llm.langid import UNKNOWN, identify_languages
 from marketlake.llm.mixing import mix_sources
 from marketlake.llm.pii import redact
 from marketlake.llm.sentencepieces import encode_pieces
-from marketlake.llm.simhash import NO_ID, simhash_near_duplicates
+from marketlake.llm.simhash import simhash_near_duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -56,21 +56,12 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it; those it leaves out go.  Rows that repeat an id take the
-    copies of all of its rows in order of text, so that the number of rows is the mix's."""
+    """Every row as often as the mix takes it, whatever its id; those it leaves out go."""
     ready(spark)
-    own = docs.select(*COLUMNS).withColumn("__k", F.coalesce("doc_id", F.lit(NO_ID)))
-    copies = mix_sources(own.select(F.col("__k").alias("doc_id"), "text", "source"))
-    copies = stored(copies.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("size", "source_size", "copies"))).alias("c"))
-                    .withColumnRenamed("doc_id", "__k"), "mix-copies")
-    joined = own.hint("merge").join(copies, "__k")  # as in one_of_each
-    once = joined.where(F.size("c") == 1).withColumn("__n", F.col("c")[0]["copies"])
-    # an id that repeats: its rows in order meet its copies in order
-    rows = (joined.where(F.size("c") > 1).groupBy("__k", "c").agg(F.sort_array(F.collect_list(F.struct("text", "doc_id", "lang", "source", "n_chars"))).alias("r"))
-            .select(F.explode(F.arrays_zip("r", "c")).alias("z")))
-    again = rows.select(*[F.col(f"z.r.{c}").alias(c) for c in COLUMNS], F.col("z.c.copies").alias("__n"))
-    both = once.select(*COLUMNS, "__n").unionByName(again)
-    return (both.where("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    own = keyed(docs, "keyed-documents")
+    copies = stored(mix_sources(own, row_col="rid").where("copies > 0").select("rid", "copies"), "mix-copies")
+    joined = own.hint("merge").join(copies, "rid")  # as in one_of_each
+    return (joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select(*COLUMNS))
 
 

@@ -10,18 +10,21 @@ from pyspark.sql import functions as F
 from .common import batches, stored
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(rid, doc_id, source, size): size is the number of words of the whole text, null counts as empty."""
-    schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("size", pa.int64())])
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          row_col: str | None = None) -> DataFrame:
+    """(rid, doc_id, source, size): size is the number of words of the whole text, null counts as empty; rid is
+    ``row_col``, a long of each row's own, or made here."""
+    schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("size", pa.int64()), ("rid", pa.int64())])
 
     def run(b):
-        return {"doc_id": b.column(0), "source": b.column(1),
+        return {"doc_id": b.column(0), "source": b.column(1), "rid": b.column(3),
                 "size": [len(t.encode("utf-8", "surrogatepass").split()) if t else 0 for t in b.column(2).to_pylist()]}
 
+    rid = F.col(row_col) if row_col else F.monotonically_increasing_id()
     out = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       F.col(text_col).alias("text"))
-           .mapInArrow(batches(run, schema), "doc_id long, source string, size long"))
-    return stored(out.withColumn("rid", F.monotonically_increasing_id()), "document-sizes")
+                       F.col(text_col).alias("text"), rid.alias("rid"))
+           .mapInArrow(batches(run, schema), "doc_id long, source string, size long, rid long"))
+    return stored(out, "document-sizes")
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -75,8 +78,9 @@ def pivot_round(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = (1, 2, 3), most: int = 3, group_rows: int = 8192, fan_in: int = 64,
-                seed: int = 1) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, copies.
+                seed: int = 1, row_col: str | None = None) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, copies, and first ``row_col`` if given (a
+    long of each row's own, to join by where ids are null or repeat).
 
     A document of a source is due target / source_size copies, ``most`` at the most.  It surely gets the whole
     part; the fractions are rounded by the pivotal method.  A source's documents are dealt by hash into groups
@@ -89,7 +93,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reruns agree; rows that repeat in every value are interchangeable.  Null sources are a source of their
     own, null ids stay null, a text without words takes nothing, an empty table gives an empty result.
     """
-    sized = sizes(docs, id_col, text_col, source_col)
+    sized = sizes(docs, id_col, text_col, source_col, row_col)
     per = stored(targets(sized, weights, most), "source-targets")
     per = per.withColumn("groups", F.greatest(F.lit(1), F.ceil(F.col("docs") / group_rows)).cast("int"))
     due = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
@@ -126,4 +130,5 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for part in done:
         out = out.unionByName(part)
     copies = F.col("whole") + F.round("p").cast("long")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))
+    own = [F.col("rid").alias(row_col)] if row_col else []
+    return out.select(*own, "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))

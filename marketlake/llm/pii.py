@@ -117,16 +117,18 @@ _MENTION = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.i
 _MENTIONS = "array<struct<kind:string,start:int,end:int,seed:boolean,value:string,patterns:array<string>>>"
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, mentions) of every document, stored without the texts."""
-    schema = pa.schema([("doc_id", pa.int64()), ("mentions", pa.list_(_MENTION))])
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(doc_id, mentions, rid) of every document, stored without the texts; rid is ``row_col``, a long of each
+    row's own, or made here."""
+    schema = pa.schema([("doc_id", pa.int64()), ("mentions", pa.list_(_MENTION)), ("rid", pa.int64())])
 
     def run(b):
-        return {"doc_id": b.column(0), "mentions": [mentions(t, base_spans(t)) for t in texts(b.column(1))]}
+        return {"doc_id": b.column(0), "mentions": [mentions(t, base_spans(t)) for t in texts(b.column(1))], "rid": b.column(2)}
 
-    found = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-             .mapInArrow(batches(run, schema), f"doc_id long, mentions {_MENTIONS}"))
-    return stored(found.withColumn("rid", F.monotonically_increasing_id()), "pii-mentions")
+    rid = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    found = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), rid.alias("rid"))
+             .mapInArrow(batches(run, schema), f"doc_id long, mentions {_MENTIONS}, rid long"))
+    return stored(found, "pii-mentions")
 
 
 def bootstrap(found: DataFrame, rounds: int = 3, min_seeds: int = 3, confidence: float = 0.8) -> DataFrame:
@@ -207,18 +209,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def redact(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The columns of ``docs`` with every span of ``find_personal_data`` replaced by [EMAIL], [IP], [CARD] or
     [PHONE]; overlapping spans become one, named by the first.  Null text stays null."""
-    found = scan(docs, id_col, text_col)
-    more = (additions(found, **options).select("doc_id", "kind", "start", "end").distinct()
-            .groupBy("doc_id").agg(F.collect_list(F.struct("kind", "start", "end")).alias("__more")))
-    more = stored(more, "pii-added").withColumnRenamed("doc_id", "__id")
+    docs = stored(docs.select(*columns, F.monotonically_increasing_id().alias("__rid")), "keyed-documents")
+    found = scan(docs, id_col, text_col, "__rid")
+    more = (additions(found, **options).groupBy(F.col("rid").alias("__rid"))
+            .agg(F.collect_list(F.struct("kind", "start", "end")).alias("__more")))  # of one row's text
+    more = stored(more, "pii-added")
     at = columns.index(text_col)
     fields = [docs.schema[c] for c in columns]
 
     def hide(text: str, extra) -> str:
-        base = base_spans(text)
-        loose = {(m["kind"], m["start"], m["end"]) for m in mentions(text, base) if not m["seed"]} if extra else set()
-        spans = sorted([*base, *((e["kind"], e["start"], e["end"]) for e in extra or () if (e["kind"], e["start"], e["end"]) in loose)],
-                       key=lambda s: (s[1], -s[2]))
+        spans = sorted([*base_spans(text), *((e["kind"], e["start"], e["end"]) for e in extra or ())], key=lambda s: (s[1], -s[2]))
         out, end = [], 0
         for kind, a, z in spans:
             if a >= end:
@@ -234,5 +234,5 @@ def redact(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
                 own = [b.column(k) if k != at else pa.array(done, pa.string()) for k in range(len(columns))]
                 yield pa.RecordBatch.from_arrays(own, names=columns)
 
-    joined = docs.select(*columns).join(more, F.col(id_col).eqNullSafe(F.col("__id")), "left").select(*columns, "__more")
+    joined = docs.join(more, "__rid", "left").select(*columns, "__more")
     return joined.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields))

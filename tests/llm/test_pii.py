@@ -95,6 +95,17 @@ def test_redaction(spark):
     assert got[101] == "mail [EMAIL] or [IP]" and got[102] is None
 
 
+def test_redaction_adds_spans_of_the_row_itself(spark):
+    rows = phones(12) + [(None, "please call me at (523) 555-7777 after work", "en", "s"), (None, "many other things (523) 555-8888 were read", "en", "s"),
+                         (None, "or read the pages (523) 555-7777 then", "en", "s")]
+    d = docs(spark, rows).repartition(3)
+    got = sorted(r["text"] for r in rows_of(redact(d, ["doc_id", "text"])) if r["doc_id"] is None)
+    assert got == ["many other things (523) 555-8888 were read", "or read the pages [PHONE] then", "please call me at [PHONE] after work"]
+    keyed = d.selectExpr("doc_id", "text", "xxhash64(text) as own")
+    found = scan(keyed, row_col="own")
+    assert {r["rid"] for r in rows_of(found)} == {r["own"] for r in rows_of(keyed)}
+
+
 def test_awkward_documents(spark):
     got = rows_of(find_personal_data(awkward(spark)))
     assert len(got) == 9 and {r["spans"] for r in got} == {""}

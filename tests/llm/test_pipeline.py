@@ -5,6 +5,7 @@ from marketlake.llm.simhash import simhash
 from marketlake.llm.vocab import tokenizer_path
 from marketlake.llm.sentencepieces import Pieces
 from tests.llm.helpers import awkward, docs, rows_of
+from tests.llm.test_mixing import brute_targets
 from tests.llm.test_pii import brute as brute_pii
 from tests.llm.test_simhash import brute_components
 
@@ -76,6 +77,19 @@ def test_a_repeated_least_id_keeps_the_least_text(spark):
     assert [r["text"] for r in rows_of(CP.one_of_each(spark, docs(spark, rows), SF))] == [a + " b"]
 
 
+def test_rows_without_or_with_one_id_take_their_own_copies(spark):
+    rnd = np.random.default_rng(9)
+    rows = [(None if k % 2 else 5, f"{k:03d} " + prose(k, int(rnd.integers(1, 90))), "en", "abc"[k % 3]) for k in range(90)]
+    got = rows_of(CP.mixed(spark, docs(spark, rows), SF))
+    size = {r[1]: len(r[1].split()) for r in rows}
+    per = {s: sum(size[r[1]] for r in rows if r[3] == s) for s in "abc"}
+    for s, want in brute_targets(per).items():
+        taken = sum(size[r["text"]] for r in got if r["source"] == s)
+        assert abs(taken - want) <= max(size[r[1]] for r in rows if r[3] == s)
+    source = {r[1]: (r[0], r[3]) for r in rows}
+    assert all(source[r["text"]] == (r["doc_id"], r["source"]) for r in got)
+
+
 def test_run_is_the_stages(spark):
     got = rows_of(CP.run(spark, SF).select("doc_id", "n_pieces"))
     assert got
