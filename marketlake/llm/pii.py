@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -86,10 +87,11 @@ def context(text: str, start: int, end: int) -> list[str]:
 
 def mentions(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
     """Seeds (the base spans) and candidates (looser forms outside of them, kind by kind; other identifiers,
-    which only count against a pattern) with the patterns around them."""
+    which only count against a pattern) with the patterns around them.  A candidate that lies in one of another
+    kind is inner: what is part of an identifier is no evidence against it.  Other identifiers in a candidate go."""
     if not _HINT.search(text) and not _AT.search(text):
         return []
-    found = [(k, a, z, True) for k, a, z in base]
+    found = [(k, a, z, True, False) for k, a, z in base]
     starts, ends = [], []  # the base spans' union, in order
     for a, z in sorted((a, z) for _, a, z in base):
         if ends and a < ends[-1]:
@@ -102,19 +104,23 @@ def mentions(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
         before = bisect_left(starts, z)
         return before == 0 or ends[before - 1] <= a
 
-    for kind, pattern in (*_LOOSE.items(), ("other", _OTHER)):
-        if kind == "email" and not _AT.search(text):
-            continue
-        for m in pattern.finditer(text):
-            if free(*m.span()):
-                found.append((kind, *m.span(), False))
-    return [{"kind": k, "start": a, "end": z, "seed": s, "value": re.sub(r"\s+", " ", text[a:z]).lower(),
-             "patterns": context(text, a, z)} for k, a, z, s in found]
+    loose = {kind: [m.span() for m in pattern.finditer(text) if free(*m.span())]
+             for kind, pattern in _LOOSE.items() if kind != "email" or _AT.search(text)}
+    reach = {kind: ([a for a, _ in spans], list(accumulate((z for _, z in spans), max))) for kind, spans in loose.items()}
+
+    def inner(a: int, z: int, kind: str) -> bool:
+        return any((before := bisect_right(firsts, a)) and lasts[before - 1] >= z for k, (firsts, lasts) in reach.items() if k != kind)
+
+    for kind, spans in loose.items():
+        found += [(kind, a, z, False, inner(a, z, kind)) for a, z in spans]
+    found += [("other", *m.span(), False, False) for m in _OTHER.finditer(text) if free(*m.span()) and not inner(*m.span(), "other")]
+    return [{"kind": k, "start": a, "end": z, "seed": s, "inner": i, "value": re.sub(r"\s+", " ", text[a:z]).lower(),
+             "patterns": context(text, a, z)} for k, a, z, s, i in found]
 
 
 _MENTION = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_()),
-                      ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
-_MENTIONS = "array<struct<kind:string,start:int,end:int,seed:boolean,value:string,patterns:array<string>>>"
+                      ("inner", pa.bool_()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
+_MENTIONS = "array<struct<kind:string,start:int,end:int,seed:boolean,inner:boolean,value:string,patterns:array<string>>>"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
@@ -131,35 +137,44 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_co
     return stored(found, "pii-mentions")
 
 
-def bootstrap(found: DataFrame, rounds: int = 3, min_seeds: int = 3, confidence: float = 0.8) -> DataFrame:
+def bootstrap(found: DataFrame, min_seeds: int = 3, confidence: float = 0.8) -> DataFrame:
     """(value, kind) of the identifiers that trusted patterns discover.
 
-    The graph has an edge for every pattern and every distinct value seen in it.  A pattern's confidence for a
-    kind is the sum of its values' scores over their number (and a half, so that few values prove less); only
-    patterns around ``min_seeds`` different seeds of the kind count.  Seeds score 1; another value scores
-    1 - the product of (1 - confidence) over its patterns of at least ``confidence``.  Scores and confidences
-    are computed in turn, ``rounds`` times, as joins and sums over the whole graph; every round is written to
-    the shared folder.  Frequent patterns are summed before the shuffle and their join rows may be split.
+    The graph has an edge for every pattern and every distinct value seen in it.  For a kind, a pattern's values
+    are known (seeds of the kind, and accepted values), against it (of another kind or no kind, unless inside a
+    candidate of another kind), or open (candidates of the kind, which say nothing).  Its confidence is the known
+    over the known and those against (and a half, so that few values prove less); a pattern around ``min_seeds``
+    known values with at least ``confidence`` is trusted, and the open values in it are accepted.  That repeats
+    until no value is added; accepting never lowers a confidence, so the order doesn't matter.  An accepted value
+    scores 1 - the product of (1 - confidence) over its trusted patterns, and has the kind of its best score.
+
+    Every round is joins and sums over the whole graph and is written to the shared folder.  Frequent patterns
+    are summed before the shuffle and their join rows may be split.
     """
     m = found.select(F.explode("mentions").alias("m"))
     edges = stored(m.select(F.explode("m.patterns").alias("p"), F.col("m.value").alias("value"), F.col("m.kind").alias("kind"),
-                            F.col("m.seed").alias("seed"))
-                   .groupBy("p", "value", "kind").agg(F.max("seed").alias("seed")), "pii-edges")
-    seeds = (edges.groupBy("p", "kind").agg(F.sum(F.col("seed").cast("long")).alias("seeds")).where(F.col("seeds") >= min_seeds))
-    seen = edges.groupBy("p").agg(F.count("*").alias("values"))
-    patterns = stored(seeds.where("kind <> 'other'").join(seen, "p"), "pii-patterns")
-    open_ = stored(edges.where("not seed and kind <> 'other'").join(patterns.select("p", "kind"), ["p", "kind"]), "pii-open")
-    scores = None
-    for _ in range(rounds):
-        rated = patterns.withColumn("extra", F.lit(0.0))
-        if scores is not None:
-            extra = open_.join(scores, ["value", "kind"]).groupBy("p", "kind").agg(F.sum("score").alias("extra"))
-            rated = patterns.join(extra, ["p", "kind"], "left").withColumn("extra", F.coalesce("extra", F.lit(0.0)))
-        rated = rated.withColumn("c", (F.col("seeds") + F.col("extra")) / (F.col("values") + 0.5)).where(F.col("c") >= confidence)
+                            F.col("m.seed").alias("seed"), F.col("m.inner").alias("inner"))
+                   .groupBy("p", "value", "kind").agg(F.max("seed").alias("seed"), F.min("inner").alias("inner")), "pii-edges")
+    counts = edges.where("kind <> 'other'").groupBy("p", "kind").agg(
+        F.sum(F.col("seed").cast("long")).alias("seeds"), F.sum((~F.col("inner")).cast("long")).alias("own"))
+    seen = edges.groupBy("p").agg(F.sum((~F.col("inner")).cast("long")).alias("values"))
+    patterns = stored(counts.join(seen, "p").select("p", "kind", F.col("seeds").alias("known"), (F.col("values") - F.col("own")).alias("against")), "pii-patterns")
+    open_ = stored(edges.where("not seed and kind <> 'other'").select("p", "value", "kind"), "pii-open")
+    c = F.col("known") / (F.col("known") + F.col("against") + 0.5)
+    accepted = None
+    while True:
+        rated = patterns.where(F.col("known") >= min_seeds).withColumn("c", c).where(F.col("c") >= confidence)
         scores = stored(open_.join(rated.select("p", "kind", "c"), ["p", "kind"]).groupBy("value", "kind")
                         .agg((1 - F.exp(F.sum(F.log(1 - F.col("c"))))).alias("score")), "pii-scores")
-    best = scores.where(F.col("score") >= confidence).withColumn(
-        "rank", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")))
+        new = scores if accepted is None else scores.join(accepted.select("value", "kind"), ["value", "kind"], "left_anti")
+        new = stored(new.select("value", "kind"), "pii-new")
+        accepted = scores  # trust is never lost: the scored are those accepted so far and the new
+        if new.isEmpty():
+            break
+        more = open_.join(new, ["value", "kind"]).groupBy("p", "kind").agg(F.count("*").alias("more"))
+        patterns = stored(patterns.join(more, ["p", "kind"], "left").select(
+            "p", "kind", (F.col("known") + F.coalesce("more", F.lit(0))).alias("known"), "against"), "pii-patterns")
+    best = scores.withColumn("rank", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")))
     return (best.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("rank"))).alias("kind")))
 
 
@@ -183,7 +198,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind:start:end in code points, by kind and start), n_added.
 
     Base spans come from fixed patterns over the whole text.  They seed the bootstrap: the words around them
-    become patterns, a graph of patterns and the values seen in them is scored in turns (``bootstrap``), and
+    become patterns, a graph of patterns and the values seen in them is scored until it adds none (``bootstrap``), and
     values of an identifier's looser form in trusted patterns are added as spans of that kind.  Base spans
     stay as they are, added ones never overlap them.  The n_ columns count base spans, n_added the others.
 

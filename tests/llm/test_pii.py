@@ -87,6 +87,38 @@ def test_a_pattern_around_everything_is_not_trusted(spark):
     assert bootstrap(found).count() == 0
 
 
+def unseen(n, at, text="please call me at {} after work"):
+    return [(at + i, text.format(f"(523) 555-{5000 + i}"), "en", "s") for i in range(n)]
+
+
+def test_as_many_unseen_forms_as_seeds_and_more(spark):
+    for seeds, new in ((3, 1), (12, 12), (10, 40)):
+        got = rows_of(find_personal_data(docs(spark, phones(seeds) + unseen(new, 100))))
+        assert sum(r["n_added"] for r in got) == new, (seeds, new)
+    assert bootstrap(scan(docs(spark, phones(2) + unseen(9, 100)))).count() == 0
+
+
+def test_accepted_values_make_patterns(spark):
+    chain = ["please call me at {} after work", "his own number was {} last year", "they then dialled {} from home"]
+    rows = phones(3) + unseen(4, 100) + unseen(4, 200, chain[1]) + unseen(8, 300, chain[1]) + unseen(8, 400, chain[2]) + unseen(16, 500, chain[2])
+    rows += unseen(20, 600, "chapter ten of {} pages")[16:]
+    got = {r["doc_id"]: r["n_added"] for r in rows_of(find_personal_data(docs(spark, rows)))}
+    assert sum(got.values()) == 40 and not any(got[600 + i] for i in range(16, 20))
+
+
+def test_values_of_other_kinds_count_against_a_pattern(spark):
+    other = [(200 + i, f"please call me at order-{7000 + i}x after work", "en", "s") for i in range(4)]
+    assert bootstrap(scan(docs(spark, phones(12) + unseen(12, 100) + other))).count() == 0
+    assert bootstrap(scan(docs(spark, phones(18) + unseen(12, 100) + other))).count() == 12
+
+
+def test_fragments_of_a_candidate_say_nothing_against_it():
+    got = [(m["kind"], m["value"], m["inner"]) for m in mentions("at (523) 555-7777 or 523-555-7777 or 1234 5678 9012 3456 id-77", [])]
+    assert [g for g in got if g[0] == "other"] == [("other", "id-77", False)]
+    assert ("phone", "(523) 555-7777", False) in got and ("phone", "523-555-7777", False) in got
+    assert ("phone", "1234 5678 9012", True) in got and ("card", "1234 5678 9012 3456", False) in got
+
+
 def test_redaction(spark):
     rows = phones(12) + [(100, "please call me at (523) 555-7777 after work", "en", "s"), (101, "mail a@b.cd or 1.2.3.4", "en", "s"), (102, None, "en", "s")]
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
