@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import alignment_table
 from .common import table
 from .embeddings import embedding_near_duplicates
+from .importance import importance_resample
 from .langid import identify_languages
 from .mixing import mix_sources
 from .pii import find_personal_data
@@ -78,6 +80,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_table(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
@@ -115,3 +127,28 @@ fits AS (
   FROM split LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE nth = 1
 """
+
+ORACLE["op11_importance_resampling"] = r"""
+WITH texts AS (SELECT doc_id, text, 0 AS t FROM documents UNION ALL SELECT NULL, text, 1 FROM benchmark),
+features AS (
+  SELECT doc_id, t, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+words AS (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM features)),
+-- CRC-32, a byte at a time: eight shifts of the reversed polynomial
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                               lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT) % 10000 AS bucket
+  FROM words),
+counts AS (SELECT bucket, count(*) FILTER (t = 0) AS s, count(*) FILTER (t = 1) AS n FROM features JOIN hashed USING (word) GROUP BY bucket),
+sums AS (SELECT sum(s)::DOUBLE AS s_all, sum(n)::DOUBLE AS n_all FROM counts),
+gain AS (SELECT bucket, floor(1000 * ln((n + 1.0::DOUBLE) * (s_all + 10000) / ((s + 1.0::DOUBLE) * (n_all + 10000))))::BIGINT AS g FROM counts, sums),
+weights AS (SELECT doc_id, count(*) AS n_features, sum(g)::BIGINT AS weight FROM features JOIN hashed USING (word) JOIN gain USING (bucket) WHERE t = 0 GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS nth, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN nth <= 10 * n // 100 THEN nth END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
