@@ -17,6 +17,7 @@ from .pii import find_personal_data
 from .sentencepieces import piece_digests
 from .simhash import simhash_near_duplicates
 from .spotsigs import spot_fingerprints
+from .substrings import remove_repeats
 from .tokencount import count_tokens
 from .tokenfiles import token_files
 from .urls import RULES, filter_urls
@@ -85,6 +86,12 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_table(table(spark, sf_dir, "documents"))
@@ -152,3 +159,15 @@ ranked AS (
   SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS nth, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN nth <= 10 * n // 100 THEN nth END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
 """
+
+ORACLE["op12_substring_dedup"] = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS pos, unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS words
+  FROM texts WHERE len(w) >= 20),
+later AS (SELECT doc_id, pos FROM windows QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, pos) > 1),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range(20)) AS k)),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM texts),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (doc_id)
+"""
