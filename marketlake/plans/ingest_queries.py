@@ -198,15 +198,44 @@ def q_keyed_load(spark, d):
     """S13 / U2 on storage: two batches upserted into a bucketed table, the
     second one replayed (which changes nothing), then a third that brings a
     new column."""
-    path = shared_dir(spark, "keyed")
+    name = TB.fresh_name("keyed")
     ld = P.load_rows(spark, d)
     order = order_for("markets", ld.columns)
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     b1, b2 = ld.filter(F.col("event_time") < cut), ld.filter(F.col("event_time") >= cut)
     b3 = ld.filter(F.col("source_row_number") % 40 == 0).withColumn("note", F.concat(F.lit("late "), "ticker"))
     for token, batch in (("b1", b1), ("b2", b2), ("b2", b2), ("b3", b3)):
-        TB.keyed_load(spark, batch, path, ["ticker"], order, token, buckets=16)
-    return TB.BucketedTable(spark, path).current().select(*ld.columns, "note")
+        TB.keyed_load(spark, batch, name, ["ticker"], order, token, buckets=16)
+    return TB.current(spark, name).select(*ld.columns, "note")
+
+
+DELTA_PARTS = {"first": "select trade_id, market_id, trade_time, price, 1 as version from trades where trade_time < timestamp '2024-01-16 00:00:00'",
+               "second": "select trade_id, market_id, trade_time, price + 1, 2 from trades "
+                         "where trade_time >= timestamp '2024-01-16 00:00:00' or trade_id % 3 = 0",
+               "third": "select trade_id, market_id, trade_time, price + 2, 3 from trades where trade_id % 10 = 0 "
+                        "and trade_time >= timestamp '2024-01-20 00:00:00' and trade_time < timestamp '2024-01-22 00:00:00'"}
+
+
+@register("latest_trades_delta", with_views("""
+select trade_id, market_id, trade_time, price, version from (
+  select *, row_number() over (partition by trade_id order by version desc) rn
+  from (select * from first union all select * from second union all select * from third) v) x where rn = 1""",
+    "trades", extra=DELTA_PARTS), doubles=("price",))
+def q_latest_trades_delta(spark, d):
+    """W3c / U1 for prints by id: three batches appended to the folders of their days, the days with several files
+    compacted between the second and the third, the latest version of every print resolved on read."""
+    t = C.trades(spark, d).select("trade_id", "market_id", "trade_time", "price")
+    at, cut = F.col("trade_time"), F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    lo, hi = (F.lit(f"2024-01-{x} 00:00:00").cast("timestamp_ntz") for x in (20, 22))
+    batches = [t.filter(at < cut), t.filter((at >= cut) | (F.col("trade_id") % 3 == 0)),
+               t.filter((F.col("trade_id") % 10 == 0) & (at >= lo) & (at < hi))]
+    name, order = TB.fresh_name("prints"), [("version", "desc_nulls_last")]
+    for i, batch in enumerate(batches):
+        rows = batch.withColumn("price", F.col("price") + i).withColumn("version", F.lit(i + 1))
+        TB.append_delta(spark, rows, name, ["trade_id"], "trade_time")
+        if i == 1:
+            TB.compact_delta(spark, name, order)
+    return TB.resolve_delta(spark, name, order)
 
 
 @register("keyless_dump", with_views(
@@ -239,17 +268,35 @@ def q_flatten_records(spark, d):
 
 @register("table_columns", with_views("""
 select c.column_name, c.data_type, c.column_name = 'ticker' is_key,
-       case c.column_name when 'ticker' then n.k when 'source_file' then n.f else n.r end filled_rows
-from (values ('ticker', 'string'), ('source_file', 'string'), ('source_row_number', 'bigint')) c(column_name, data_type)
-join (select count(ticker) k, count(source_file) f, count(source_row_number) r
-      from (select ticker, source_file, source_row_number, row_number() over (partition by ticker
-              order by source_row_number desc) rn from load) x where rn = 1) n on true""", "load"))
+       case c.column_name when 'ticker' then n.ticker when 'updated_time' then n.updated_time when 'ingested_at' then n.ingested_at
+            when 'source_file' then n.source_file when 'source_row_number' then n.source_row_number when 'value' then n.value else n.event_time end filled_rows
+from (values ('ticker', 'string'), ('updated_time', 'string'), ('ingested_at', 'timestamp_ntz'), ('source_file', 'string'),
+             ('source_row_number', 'bigint'), ('value', 'double'), ('event_time', 'timestamp_ntz')) c(column_name, data_type)
+join (select count(ticker) ticker, count(updated_time) updated_time, count(ingested_at) ingested_at, count(source_file) source_file,
+             count(source_row_number) source_row_number, count(value) "value", count(event_time) event_time
+      from (select *, row_number() over (partition by ticker order by source_row_number desc) rn from load) x where rn = 1) n on true""", "load"))
 def q_table_columns(spark, d):
     """Columns, types, keys and filled rows of a stored keyed table."""
-    path = shared_dir(spark, "cols")
-    ld = P.load_rows(spark, d).select("ticker", "source_file", "source_row_number")
-    TB.keyed_load(spark, ld, path, ["ticker"], [("source_row_number", "desc_nulls_last")], "all", buckets=4)
-    return TB.table_columns(spark, path)
+    name = TB.fresh_name("cols")
+    ld = P.load_rows(spark, d)
+    TB.keyed_load(spark, ld, name, ["ticker"], [("source_row_number", "desc_nulls_last"), *order_for("markets", ld.columns)], "all", buckets=4)
+    return TB.table_columns(spark, name)
+
+
+@register("schema_tables", with_views("""
+select t table_name, c column_name, ty data_type, c = k is_key from (
+  select 'markets' t, 'ticker' k, unnest(['ticker', 'updated_time', 'ingested_at', 'source_file', 'source_row_number', 'value', 'event_time']) c,
+         unnest(['string', 'string', 'timestamp_ntz', 'string', 'bigint', 'double', 'timestamp_ntz']) ty
+  union all select 'prints', 'trade_id', unnest(['trade_id', 'market_id', 'trade_time', 'price']), unnest(['bigint', 'bigint', 'timestamp_ntz', 'double'])) x
+where (select count(*) from load) > 0""", "load"))
+def q_schema_tables(spark, d):
+    """S16 over a schema: the tables that loads have made in it, and their columns."""
+    schema = TB.fresh_name("lake")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{shared_dir(spark, schema)}'")
+    ld = P.load_rows(spark, d)
+    TB.keyed_load(spark, ld, f"{schema}.markets", ["ticker"], order_for("markets", ld.columns), "all", buckets=4)
+    TB.append_delta(spark, C.trades(spark, d).select("trade_id", "market_id", "trade_time", "price"), f"{schema}.prints", ["trade_id"], "trade_time")
+    return TB.schema_tables(spark, schema)
 
 
 def _docs(spark, d):
@@ -521,12 +568,12 @@ def q_stream_merge_latest(spark, d):
     root = _stream_load(spark, d, "stream2", until=RUN2)
     schema = _loaded(spark, root + "/load").select(*LOAD_COLS).schema
     order = order_for("markets", LOAD_COLS)
-    SI.stream_merge_latest(spark, root + "/load", schema, root + "/current", root + "/ckpt_merge", ["ticker"], order,
-                           guard=True, buckets=16)
+    now = TB.fresh_name("market_now")
+    SI.stream_merge_latest(spark, root + "/load", schema, now, root + "/ckpt_merge", ["ticker"], order, guard=True, buckets=16)
     _land_load(spark, d, root, first=False)
     SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", LOAD_SPEC)
-    SI.stream_merge_latest(spark, root + "/load", schema, root + "/current", root + "/ckpt_merge2", ["ticker"], order)
-    return TB.BucketedTable(spark, root + "/current").current().select(*LOAD_COLS)
+    SI.stream_merge_latest(spark, root + "/load", schema, now, root + "/ckpt_merge2", ["ticker"], order)
+    return TB.current(spark, now).select(*LOAD_COLS)
 
 
 @register("landing_to_fact", FCT_MARKETS_FULL)
@@ -539,13 +586,14 @@ def q_landing_to_fact(spark, d):
     early = m.withColumns({"updated_time": F.lit("2000-01-01T00:00:00Z"), "status": F.lit("early")})
     names = [c for _, c, _ in MARKET_SPEC]
     order = order_for("markets", [*names, "loaded_at", "source_file", "source_row_number"])
+    now = TB.fresh_name("market_way")
     for run, rows in ((RUN1, early), (RUN2, m)):
         J.land(rows, root + "/landing", "markets", run)
         SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", MARKET_SPEC)
         schema = _loaded(spark, root + "/load").schema
-        SI.stream_merge_latest(spark, root + "/load", schema, root + "/current", root + "/ckpt_merge", ["ticker"],
+        SI.stream_merge_latest(spark, root + "/load", schema, now, root + "/ckpt_merge", ["ticker"],
                                [("loaded_at", "desc_nulls_last"), *order], guard=True)
-    current = TB.BucketedTable(spark, root + "/current").current().select(*names)
+    current = TB.current(spark, now).select(*names)
     return M.fct_markets(ST.stg_markets(current), some_events(spark, d))
 
 

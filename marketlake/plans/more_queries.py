@@ -253,26 +253,51 @@ def q_dq_column_contract(spark, d):
     return Q.contract_report(P.books(spark, d), ["market_ticker", "orderbook"])
 
 
+RETENTION_RUN = dt.datetime(2024, 1, 30, 3, 0)   # two days back: the 28th
+
+
 @register("retention_cleanup", with_views(
     "select ticker, source_row_number, true refused_while_pending from load "
     "where cast(event_time as date) >= date '2024-01-28'", "load"))
 def q_retention_cleanup(spark, d):
-    """T4: date-partitioned load table; partitions before the cutoff are
-    dropped once the merge has taken every load row.  The backlog is
-    measured: before the second batch is merged nothing may go."""
-    path, current = shared_dir(spark, "retention"), shared_dir(spark, "retention-current")
+    """T4: date-partitioned load table; partitions of more than two days
+    before the run are dropped once the merge has taken every load row.  The
+    backlog is what lies past the merged table's own mark: before the second
+    batch is merged nothing may go."""
+    path, now = shared_dir(spark, "retention"), TB.fresh_name("retention_now")
     ld = _load(spark, d).withColumn("ingested_date", F.to_date("event_time").cast("string"))
     ld.select("ticker", "updated_time", "ingested_at", "source_file", "source_row_number", "ingested_date").write.partitionBy("ingested_date").parquet(path)
     load = spark.read.parquet(path).withColumn("ingested_date", F.col("ingested_date").cast("string"))
     order = order_for("markets", load.columns)
-    TB.keyed_load(spark, load.filter("ingested_date < '2024-01-20'"), current, ["ticker"], order, "first", guard=True)
-    table = TB.BucketedTable(spark, current)
-    refused = not TB.retention_cleanup(spark, path, "2024-01-28", TB.pending_rows(load, table.current(), ["ticker"], order))
-    TB.keyed_load(spark, load, current, ["ticker"], order, "second", guard=True)
-    TB.retention_cleanup(spark, path, "2024-01-28", TB.pending_rows(load, table.current(), ["ticker"], order))
+    cutoff = TB.retention_cutoff(RETENTION_RUN)
+    merge = lambda rows, batch: TB.keyed_load(spark, rows, now, ["ticker"], order, batch, guard=True, progress="ingested_date")
+    merge(load.filter("ingested_date < '2024-01-20'"), "first")
+    refused = not TB.retention_cleanup(spark, path, cutoff, TB.pending_rows(load, now, "ingested_date"))
+    merge(load.filter("ingested_date >= '2024-01-20'"), "second")
+    TB.retention_cleanup(spark, path, cutoff, TB.pending_rows(load, now, "ingested_date"))
     return spark.read.parquet(path).select("ticker", "source_row_number", F.lit(refused).alias("refused_while_pending"))
 
 
+@register("retention_all_loads", with_views("""
+select 'markets' entity, ticker load_key, source_row_number from load where cast(event_time as date) >= date '2024-01-28'
+union all select 'trades', cast(trade_id as varchar), trade_id from trades where cast(trade_time as date) >= date '2024-01-28'
+union all select 'series', ticker, source_row_number from load""", "load", "trades"))
+def q_retention_all_loads(spark, d):
+    """T4 over all load tables of a run: each is held back by its own backlog (here the series') only."""
+    ld = _load(spark, d).select(F.col("ticker").alias("load_key"), "source_row_number", F.to_date("event_time").cast("string").alias("ingested_date"))
+    tr = C.trades(spark, d).select(F.col("trade_id").cast("string").alias("load_key"), F.col("trade_id").alias("source_row_number"),
+                                   F.to_date("trade_time").cast("string").alias("ingested_date"))
+    loads, order = {}, [("source_row_number", "desc_nulls_last")]
+    for entity, rows, merged in (("markets", ld, ld), ("trades", tr, tr), ("series", ld, ld.filter("ingested_date < '2024-01-20'"))):
+        path, now = shared_dir(spark, f"retention-{entity}"), TB.fresh_name(f"retention_{entity}")
+        rows.write.partitionBy("ingested_date").parquet(path)
+        TB.keyed_load(spark, merged, now, ["load_key"], order, "all", progress="ingested_date")
+        loads[entity] = (path, now)
+    TB.clean_loads(spark, loads, "ingested_date", RETENTION_RUN)
+    left = [spark.read.parquet(path).select(F.lit(entity).alias("entity"), "load_key", "source_row_number") for entity, (path, _) in loads.items()]
+    return left[0].unionByName(left[1]).unionByName(left[2])
+
+
 @register("market_spec", with_views("""
 select m.market_title, m.market_status, t.trade_id, t.trade_time, t.price, t.size, t.taker_side
 from trades t join mctx m on m.market_id = t.market_id

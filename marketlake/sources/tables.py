@@ -1,26 +1,30 @@
-"""Table writes on shared storage: keyed upsert (S13, U1 applied to storage),
-key-less append (S14), column listing (S16), the per-event parquet cache
-(S11, S12) and retention (T4).
-
-Nothing that is read is ever overwritten: a merge writes the key buckets its
-batch touches as a new version and then a manifest that names, for every
-bucket, the version that holds it.  A manifest is committed when Spark's
-``_SUCCESS`` marker exists.
+"""Tables on shared storage, all of them ordinary Parquet tables of the session catalog: keyed upsert (S13, U1
+applied to storage), insert-mostly tables resolved on read (W3c), key-less append (S14), column listing (S16), the
+per-event parquet cache (S11, S12) and retention (T4).
+
+A keyed table is partitioned by a hash bucket of its key.  A batch overwrites the partitions its keys fall in, by
+Spark's dynamic partition overwrite: new files are staged and take the old ones' place when the job has succeeded,
+so a lost executor or a failed job leaves the table as it was.  Merging the same batch again gives the same table.
 """
 
 from __future__ import annotations
 
-import hashlib
+import datetime as dt
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.operators.latest import latest_per_key, merge_latest
-from marketlake.operators.schema_ops import apply_drift_policy
+from marketlake.operators.schema_ops import add_missing_columns
 from marketlake.session import shared_dir
 
+BUCKET, BATCH, DAY = "_bucket", "_batch", "_day"   # partition columns of keyed, key-less and delta tables
+#: a table's own option: an insert replaces the partitions it has rows for, and no others
+REPLACE = "OPTIONS (partitionOverwriteMode 'dynamic')"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -45,148 +49,100 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def batch_digest(df: DataFrame) -> str:
-    """A fingerprint of a batch's rows in any order (count and sum of row hashes)."""
-    cols = [F.col(c) for c in sorted(df.columns)]
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("h")).first()
-    return f"{r.n}:{r.h}:{','.join(sorted(df.columns))}"
-
-
-def _replayed(token: str, digest: str, known: dict[str, str]) -> bool:
-    """Whether ``token`` is committed; a token that comes back with other rows is an error, never a skip."""
-    if token not in known:
-        return False
-    if known[token] != digest:
-        raise ValueError(f"batch {token!r} was committed with other rows; give a new batch a token of its own")
-    return True
-
-
-class BucketedTable:
-    """Current state split into hash buckets of the key; a merge rewrites
-    only the buckets its batch touches.
-
-    Layout: ``data/v=<version>/bucket=<b>/`` holds bucket b as written by
-    that version; ``_manifest/v=<version>`` maps every bucket to the version
-    that holds it and keeps the bucket count, the keys, the schema and the
-    batch's token and digest.  The count and the keys are fixed when the
-    table is made (the count from its first batch, ``rows_per_bucket`` each,
-    unless given); opening it with others is an error.  The table numbers
-    its versions itself.  A batch's token only tells a replay: the same
-    token with the same rows changes nothing, with other rows it raises."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str] | None = None, buckets: int | None = None,
-                 rows_per_bucket: int = 2_000_000):
-        self.spark, self.path, self.rows_per_bucket = spark, path.rstrip("/"), rows_per_bucket
-        self.keys, self.n, self.schema = keys, buckets, None
-        vs = self.versions()
-        if vs:
-            r = self._read(vs[-1]).first()
-            if (keys and list(keys) != json.loads(r.keys)) or (buckets and buckets != r.buckets):
-                raise ValueError(f"{path} has {r.buckets} buckets of {r.keys}")
-            self.keys, self.n = json.loads(r.keys), r.buckets
-            self.schema = T.StructType.fromJson(json.loads(r.schema))
-
-    def bucket(self):
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n)).cast("int")
-
-    def versions(self) -> list[int]:
-        base = f"{self.path}/_manifest"
-        return sorted(int(d[2:]) for d in list_dirs(self.spark, base)
-                      if d.startswith("v=") and exists(self.spark, f"{base}/{d}/_SUCCESS"))
-
-    def _read(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/_manifest/v={version:09d}")
-
-    def manifest(self, version: int | None = None) -> dict[int, int]:
-        """bucket -> version (at most one row per bucket comes to the driver)."""
-        vs = self.versions()
-        if not vs:
-            return {}
-        rows = self._read(vs[-1] if version is None else version).where("bucket >= 0").select("bucket", "version").collect()
-        return {r.bucket: r.version for r in rows}
-
-    def tokens(self) -> dict[str, str]:
-        """token -> digest of every committed batch (one row per batch)."""
-        if not self.versions():
-            return {}
-        rows = (self.spark.read.parquet(*[f"{self.path}/_manifest/v={v:09d}" for v in self.versions()])
-                .where("bucket = -1").select("token", "digest").collect())
-        return {r.token: r.digest for r in rows}
-
-    def _dirs(self, m: dict[int, int], buckets) -> list[str]:
-        return [f"{self.path}/data/v={m[b]:09d}/bucket={b}" for b in buckets if b in m]
-
-    def _rows(self, dirs: list[str]) -> DataFrame:
-        # the stored schema: a bucket written before a column came reads it as NULL
-        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(*dirs)
-
-    def current(self) -> DataFrame | None:
-        m = self.manifest()
-        return self._rows(self._dirs(m, sorted(m))) if m else None
-
-    def merge(self, batch: DataFrame, order, token, guard: bool = False) -> bool:
-        """Upserts a batch; False when it is a replay.  New columns of the
-        batch become columns of the table, columns it lacks are NULL in its
-        rows (``apply_drift_policy``).  The batch is reduced to a row per key
-        once, written, and merged from there."""
-        token = str(token)
-        reduced = latest_per_key(batch, self.keys, order)
-        if self.schema is not None:
-            reduced = apply_drift_policy(reduced, self.schema)[1]
-        src = shared_dir(self.spark, "merge-batch")
-        reduced.write.parquet(src)
-        reduced = self.spark.read.schema(reduced.schema).parquet(src)
-        try:
-            digest = batch_digest(reduced)
-            if _replayed(token, digest, self.tokens()):
-                return False
-            if not self.n:
-                self.n = max(1, -(-reduced.count() // self.rows_per_bucket))
-            vs = self.versions()
-            version, m = (vs[-1] if vs else 0) + 1, self.manifest()
-            touched = sorted(r.b for r in reduced.select(self.bucket().alias("b")).distinct().collect())   # <= buckets
-            old, new = self._dirs(m, touched), reduced
-            if old:
-                new = merge_latest(self._rows(old), reduced, self.keys, order, guard=guard, reduced=True)
-            if touched:
-                (new.withColumn("bucket", self.bucket()).repartition("bucket").write.mode("overwrite")
-                    .option("partitionOverwriteMode", "static").partitionBy("bucket")
-                    .parquet(f"{self.path}/data/v={version:09d}"))
-            self.schema = new.schema
-            m.update({b: version for b in touched})
-            same = (self.n, json.dumps(self.keys), json.dumps(self.schema.jsonValue()), token, digest)
-            rows = [(b, v, *same) for b, v in [(-1, version), *sorted(m.items())]]
-            (self.spark.createDataFrame(rows, "bucket int, version int, buckets int, keys string, schema string, token string, digest string")
-                .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
-                .parquet(f"{self.path}/_manifest/v={version:09d}"))
-            return True
-        finally:
-            delete(self.spark, src)
-
-
-class AppendTable:
-    """A key-less table: every batch is a folder of its own, named by its
-    token and digest, so an append writes its own rows only and a replay
-    finds its folder committed."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def batches(self) -> dict[str, str]:
-        names = [d for d in list_dirs(self.spark, self.path) if d.startswith("batch=") and exists(self.spark, f"{self.path}/{d}/_SUCCESS")]
-        return dict(n[len("batch="):].split("-", 1) for n in names)
-
-    def current(self) -> DataFrame | None:
-        dirs = [f"{self.path}/batch={t}-{d}" for t, d in sorted(self.batches().items())]
-        return self.spark.read.option("mergeSchema", "true").parquet(*dirs) if dirs else None
-
-    def append(self, df: DataFrame, token) -> bool:
-        short = lambda x: hashlib.sha256(str(x).encode()).hexdigest()[:24]
-        name, digest = short(token), short(batch_digest(df))
-        if _replayed(name, digest, self.batches()):
-            return False
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch={name}-{digest}")
-        return True
+def properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the table's maker and its loads keep in the catalog: keys, buckets, merged_through."""
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{_quoted(value)}')")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def fresh_name(prefix: str) -> str:
+    """A table name no other call can have."""
+    return f"{prefix}_{uuid.uuid4().hex}"
+
+
+def create_table(spark: SparkSession, name: str, schema: T.StructType, part: str, **props: str) -> None:
+    """An empty Parquet table of the session catalog, partitioned by ``part`` (the schema's last column), with its
+    files in the shared folder."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    kept = ", ".join(f"'{k}' = '{_quoted(v)}'" for k, v in props.items())
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {REPLACE} PARTITIONED BY ({part}) "
+              f"LOCATION '{shared_dir(spark, name)}'" + (f" TBLPROPERTIES ({kept})" if kept else ""))
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now, whichever session wrote to it."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def current(spark: SparkSession, name: str) -> DataFrame:
+    """The table's own columns."""
+    return read_table(spark, name).drop(BUCKET, BATCH, DAY)
+
+
+def _widen(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """P25 / P26 at a load: columns the table lacks are added to it (NULL in its rows), columns the frame lacks are
+    NULL in the frame; in the table's order."""
+    known = read_table(spark, name).schema
+    new = [f for f in df.schema.fields if f.name.lower() not in {k.name.lower() for k in known.fields}]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        known = read_table(spark, name).schema
+    return add_missing_columns(df, known).select(*known.names)
+
+
+def bucket_of(keys: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def upsert(spark: SparkSession, batch: DataFrame, name: str, keys: list[str], order, guard: bool = False,
+           buckets: int | None = None, rows_per_bucket: int = 2_000_000, progress: str | None = None) -> None:
+    """U1 on a table: makes it at the first batch, then replaces the buckets the batch's keys fall in.
+
+    The batch is reduced to a row per key and written to a fresh folder, with its row count and the greatest value
+    of ``progress`` observed on that very write.  The table is read through a join on the buckets of that folder,
+    which prunes its partitions at run time; no bucket list comes to the driver.  The bucket count and the keys are
+    the table's own and can't be changed; the count is taken from the first batch unless given.  ``progress`` (a
+    column that later loads have greater values in) is kept as the table's ``merged_through``."""
+    seen = Observation()
+    top = F.max((F.col(progress) if progress else F.lit(None)).cast("string"))
+    fresh = shared_dir(spark, "upsert-batch")
+    try:
+        reduced = latest_per_key(batch.observe(seen, F.count(F.lit(1)).alias("rows"), top.alias("top")), keys, order)
+        reduced.write.parquet(fresh)
+        reduced = spark.read.schema(reduced.schema).parquet(fresh)
+        if not spark.catalog.tableExists(name):
+            n = buckets or max(1, -(-reduced.count() // rows_per_bucket))
+            create_table(spark, name, T.StructType([*reduced.schema.fields, T.StructField(BUCKET, T.IntegerType())]), BUCKET,
+                         keys=json.dumps(keys), buckets=str(n))
+        own = properties(spark, name)
+        if json.loads(own["keys"]) != list(keys) or (buckets and buckets != int(own["buckets"])):
+            raise ValueError(f"{name} has {own['buckets']} buckets of {own['keys']}")
+        reduced = _widen(spark, reduced.withColumn(BUCKET, bucket_of(keys, int(own["buckets"]))), name)
+        touched = reduced.select(BUCKET).where(F.col(BUCKET) >= 0).distinct()
+        old = read_table(spark, name).join(touched, BUCKET, "left_semi")
+        new = merge_latest(old, reduced, keys, order, guard=guard, reduced=True)
+        new.select(*reduced.columns).repartition(BUCKET).write.insertInto(name, overwrite=True)
+        if seen.get["top"] is not None and seen.get["top"] > own.get("merged_through", ""):
+            set_property(spark, name, "merged_through", seen.get["top"])
+    finally:
+        delete(spark, fresh)
+
+
+def append_batch(spark: SparkSession, df: DataFrame, name: str, batch: str) -> None:
+    """A key-less load: the batch's rows are a partition named by ``batch``, so the same batch again replaces its
+    own rows and nothing else."""
+    df = df.withColumn(BATCH, F.lit(batch))
+    if not spark.catalog.tableExists(name):
+        create_table(spark, name, df.schema, BATCH)
+    _widen(spark, df, name).write.insertInto(name, overwrite=True)
 
 
 def _clean(df: DataFrame) -> DataFrame:
@@ -203,15 +159,51 @@ def _clean(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def keyed_load(spark: SparkSession, df: DataFrame, path: str, keys: list[str] | None, order,
-               token, guard: bool = False, buckets: int | None = None) -> bool:
-    """Create on first batch; upsert by key (U1) when keys are given,
-    else append.  True: the batch's rows are in ``current()``.  False: this
-    very batch was there already.  ``token`` names the batch and must say
-    where it comes from (a stream's id and batch number, a file, a run)."""
+def keyed_load(spark: SparkSession, df: DataFrame, name: str, keys: list[str] | None, order, batch: str,
+               guard: bool = False, buckets: int | None = None, progress: str | None = None) -> None:
+    """Create the table ``name`` on the first batch; upsert by key (U1) when keys are given, else append.
+    ``batch`` names the batch of a key-less load (a stream's id and batch number, a file, a run)."""
     if keys:
-        return BucketedTable(spark, path, keys, buckets).merge(_clean(df), order, token, guard=guard)
-    return AppendTable(spark, path).append(_clean(df), token)
+        upsert(spark, _clean(df), name, keys, order, guard=guard, buckets=buckets, progress=progress)
+    else:
+        append_batch(spark, _clean(df), name, batch)
+
+
+# ---- insert-mostly tables: rows by id that hardly ever change (trades) ----
+
+def append_delta(spark: SparkSession, df: DataFrame, name: str, keys: list[str], time_col: str) -> None:
+    """Adds a batch's rows to the folders of their days and rewrites nothing: an id's rows must have the same day of
+    ``time_col`` (a print's time never changes), or they meet on read only."""
+    rows = df.withColumn(DAY, F.to_date(F.col(time_col)))
+    if not spark.catalog.tableExists(name):
+        create_table(spark, name, rows.schema, DAY, keys=json.dumps(keys))
+    _widen(spark, rows, name).repartition(DAY).write.insertInto(name, overwrite=False)
+
+
+def resolve_delta(spark: SparkSession, name: str, order, days: tuple[str, str] | None = None) -> DataFrame:
+    """W3c on read: the latest row of every id, from the days' appended versions; ``days`` prunes folders.  One
+    aggregate by (day, id)."""
+    rows = read_table(spark, name)
+    if days:
+        rows = rows.where(F.col(DAY).between(*[F.lit(x).cast("date") for x in days]))
+    keys = json.loads(properties(spark, name)["keys"])
+    day = F.coalesce(F.col(DAY), F.lit("0001-01-01").cast("date"))   # rows without a time are a day of their own
+    return latest_per_key(rows.withColumn(DAY, day), [DAY, *keys], order).drop(DAY)
+
+
+def compact_delta(spark: SparkSession, name: str, order, files: int = 2) -> list[str]:
+    """Rewrites the days that lie in ``files`` files or more as one resolved version each, by dynamic partition
+    overwrite; other days stay as they are.  Returns the days, of which there are as many as partitions changed."""
+    rows = read_table(spark, name)
+    keys = json.loads(properties(spark, name)["keys"])
+    # file names are metadata: the scan reads no column
+    many = (rows.select(DAY, F.input_file_name().alias("f")).where(F.col(DAY).isNotNull()).distinct()
+            .groupBy(DAY).count().where(F.col("count") >= files))
+    days = sorted(r[0] for r in many.select(DAY).collect())
+    if days:
+        due = rows.where(F.col(DAY).isin(days))
+        latest_per_key(due, [DAY, *keys], order).select(*rows.columns).repartition(DAY).write.insertInto(name, overwrite=True)
+    return [str(x) for x in days]
 
 
 def keyless_dump(df: DataFrame, path: str) -> None:
@@ -219,26 +211,43 @@ def keyless_dump(df: DataFrame, path: str) -> None:
     df.select(*sorted(df.columns)).write.mode("append").parquet(path)
 
 
-def table_columns(spark: SparkSession, path: str) -> DataFrame:
-    """(column, type, whether it is a key, rows that fill it) of a stored
-    keyed table; no rows when there is no such table.  One aggregate."""
-    t = BucketedTable(spark, path)
-    df = t.current()
-    if df is None:
+def table_columns(spark: SparkSession, name: str) -> DataFrame:
+    """(column, type, whether it is a key, rows that fill it) of a table of the session catalog, in the
+    table's order; no rows when there is no such table.  Names and types come from the catalog, counts from one
+    aggregate."""
+    if not spark.catalog.tableExists(name):
         return spark.createDataFrame([], "column_name string, data_type string, is_key boolean, filled_rows long")
-    cells = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                      F.lit(f.name in t.keys).alias("is_key"), F.col(f"n{i}").alias("filled_rows"))
-             for i, f in enumerate(df.schema.fields)]
-    return df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(df.columns)]).select(F.inline(F.array(*cells)))
-
-
-def cache_write(df: DataFrame, path: str, key: str, salts: int = 1) -> None:
-    """One parquet partition per event; rewriting an event replaces
-    only that event's folder (dynamic partition overwrite, for this write
-    alone).  Rows are dealt by event first, so an event has one file; with
-    ``salts`` a hot event is written by as many tasks."""
-    deal = [F.col(key)] + ([F.pmod(F.xxhash64(*df.columns), F.lit(salts))] if salts > 1 else [])
-    (df.repartition(*deal).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
+    keys = json.loads(properties(spark, name).get("keys", "[]"))
+    columns = [c for c in spark.catalog.listColumns(name) if not c.isPartition]
+    cells = [F.struct(F.lit(c.name).alias("column_name"), F.lit(c.dataType).alias("data_type"),
+                      F.lit(c.name in keys).alias("is_key"), F.col(f"n{i}").alias("filled_rows")) for i, c in enumerate(columns)]
+    return read_table(spark, name).agg(*[F.count(f"`{c.name}`").alias(f"n{i}") for i, c in enumerate(columns)]).select(F.inline(F.array(*cells)))
+
+
+def schema_tables(spark: SparkSession, schema: str = "default", like: str = "*") -> DataFrame:
+    """S16 over a schema: (table_name, column_name, data_type, is_key) of its tables; from the catalog alone."""
+    rows = []
+    for t in spark.catalog.listTables(schema, like):
+        if t.tableType == "TEMPORARY":
+            continue
+        name = f"{schema}.{t.name}"
+        keys = json.loads(properties(spark, name).get("keys", "[]"))
+        rows += [(t.name, c.name, c.dataType, c.name in keys) for c in spark.catalog.listColumns(name) if not c.isPartition]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, is_key boolean")
+
+
+def cache_write(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_000) -> None:
+    """One parquet partition per event; rewriting an event replaces only that event's folder (dynamic partition
+    overwrite, for this write alone).
+
+    An event is written by as many tasks as its rows need: sizes are counted, and each event's number of salts is
+    joined to its rows, so the game that holds a third of all rows is spread while every other has one file.  A row's
+    salt hangs on its values, so a task that runs again deals alike."""
+    sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_salts"))
+    salted = df.join(sizes.withColumnRenamed(key, "_event"), F.col(key).eqNullSafe(F.col("_event"))).drop("_event")
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts").cast("long"))
+    (salted.withColumn("_salt", salt).repartition(F.col(key), F.col("_salt")).select(*df.columns)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
 
 
 def cache_read(spark: SparkSession, path: str, key: str, keys: list | None = None) -> DataFrame:
@@ -253,17 +262,20 @@ def cache_missing(expected: DataFrame, present: DataFrame, cols: list[str]) -> D
     return expected.select(*cols).distinct().join(present.select(*cols).distinct(), cols, "left_anti")
 
 
-def pending_rows(load: DataFrame, current: DataFrame | None, keys: list[str], order) -> int:
-    """T4: load rows whose key is not yet in current state, or there with an
-    earlier row: the backlog the merge has still to take."""
-    newest = latest_per_key(load, keys, order)
-    if current is None:
-        return newest.count()
-    cols = newest.columns
-    held = current.select(*cols).withColumn("_held", F.lit(1))
-    both = newest.withColumn("_held", F.lit(0)).unionByName(held)
-    best = latest_per_key(both, keys, [*order, ("_held", "desc_nulls_last")])
-    return best.filter(F.col("_held") == 0).count()
+def pending_rows(load: DataFrame, name: str, progress: str) -> int:
+    """T4: load rows that the merge into ``name`` has still to take: those past its ``merged_through`` in
+    ``progress``, a filter that reaches the scan (and prunes folders where the column is the partition); all of them
+    while there is no such table.  Loads must be given greater values than all before them."""
+    spark = load.sparkSession
+    through = properties(spark, name).get("merged_through") if spark.catalog.tableExists(name) else None
+    if through is None:
+        return load.count()
+    return load.where(F.col(progress) > F.lit(through).cast(load.schema[progress].dataType)).count()
+
+
+def retention_cutoff(now: dt.datetime, days: int = 2) -> str:
+    """The first day that stays: the run's time less ``days`` days, a day that lies partly before it stays."""
+    return (now - dt.timedelta(days=days)).date().isoformat()
 
 
 def retention_cleanup(spark: SparkSession, path: str, cutoff: str, pending: int,
@@ -278,3 +290,14 @@ def retention_cleanup(spark: SparkSession, path: str, cutoff: str, pending: int,
             delete(spark, f"{path.rstrip('/')}/{name}")
             gone.append(name)
     return gone
+
+
+def clean_loads(spark: SparkSession, loads: dict[str, tuple[str, str]], progress: str, now: dt.datetime, days: int = 2) -> dict[str, list[str]]:
+    """T4 for every load table: {entity: (load folder, current table)} -> {entity: folders removed}.  Each table is
+    held back by its own backlog only."""
+    cutoff = retention_cutoff(now, days)
+    out = {}
+    for entity, (path, name) in loads.items():
+        load = spark.read.parquet(path)
+        out[entity] = retention_cleanup(spark, path, cutoff, pending_rows(load.withColumn(progress, F.col(progress).cast("string")), name, progress))
+    return out

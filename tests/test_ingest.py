@@ -71,76 +71,121 @@ def test_jsonl_round_trip_with_bad_lines_and_row_numbers(spark):
 ORDER = [("v", "desc_nulls_last")]
 
 
-def state(table):
-    return {r.k: r.v for r in table.current().collect()}
+def state(spark, name):
+    return {r.k: r.v for r in TB.current(spark, name).collect()}
+
+
+def files(spark, name):
+    """The data files of a table by partition folder."""
+    out = {}
+    for f in TB.read_table(spark, name).inputFiles():
+        out.setdefault(f.split("/")[-2], set()).add(f)
+    return out
 
 
 def test_keyed_vs_unkeyed_load(spark):
-    path = shared_dir(spark, "t-keyed")
+    name = TB.fresh_name("t_keyed")
     b1 = spark.createDataFrame([("a", 1, ""), ("b", 1, "x")], "k string, v long, s string")
     b2 = spark.createDataFrame([("a", 2, "y")], "k string, v long, s string")
-    assert TB.keyed_load(spark, b1, path, ["k"], ORDER, "b1")
-    assert TB.keyed_load(spark, b2, path, ["k"], ORDER, "b2")
-    assert not TB.keyed_load(spark, b2, path, ["k"], ORDER, "b2")      # replay is a no-op
-    cur = {r.k: (r.v, r.s) for r in TB.BucketedTable(spark, path).current().collect()}
-    assert cur == {"a": (2, "y"), "b": (1, "x")}
-    p2 = shared_dir(spark, "t-append")
-    assert TB.keyed_load(spark, b1, p2, None, ORDER, "b1") and TB.keyed_load(spark, b2, p2, None, ORDER, "b2")
-    assert not TB.keyed_load(spark, b2, p2, None, ORDER, "b2")
-    got = TB.AppendTable(spark, p2).current()
+    for batch in (b1, b2, b2):      # a replay changes nothing
+        TB.keyed_load(spark, batch, name, ["k"], ORDER, "b")
+    assert {r.k: (r.v, r.s) for r in TB.current(spark, name).collect()} == {"a": (2, "y"), "b": (1, "x")}
+    n2 = TB.fresh_name("t_append")
+    for token, batch in (("b1", b1), ("b2", b2), ("b2", b2)):
+        TB.keyed_load(spark, batch, n2, None, ORDER, token)
+    got = TB.current(spark, n2)
     assert got.count() == 3 and got.filter(F.col("s").isNull()).count() == 1   # '' -> NULL
     wide = spark.createDataFrame([("z", 9, "w", 1.5)], "k string, v long, s string, extra double")
-    assert TB.keyed_load(spark, wide, p2, None, ORDER, "b3")
-    assert [r.extra for r in TB.AppendTable(spark, p2).current().filter("k = 'z'").collect()] == [1.5]
+    TB.keyed_load(spark, wide, n2, None, ORDER, "b3")
+    assert [r.extra for r in TB.current(spark, n2).filter("k = 'z'").collect()] == [1.5] and TB.current(spark, n2).count() == 4
 
 
 def test_bucket_count_and_keys_are_the_tables_own(spark):
-    path = shared_dir(spark, "t-buckets")
+    name = TB.fresh_name("t_buckets")
     keys = [(f"k{i}", 1) for i in range(50)]
-    TB.BucketedTable(spark, path, ["k"], 8).merge(spark.createDataFrame(keys, "k string, v long"), ORDER, "first")
-    for bad in (lambda: TB.BucketedTable(spark, path, ["k"], 16), lambda: TB.BucketedTable(spark, path, ["v"])):
+    TB.upsert(spark, spark.createDataFrame(keys, "k string, v long"), name, ["k"], ORDER, buckets=8)
+    more = spark.createDataFrame([("k7", 5)], "k string, v long")
+    for bad in ({"keys": ["k"], "buckets": 16}, {"keys": ["v"]}):
         with pytest.raises(ValueError):
-            bad()
-    again = TB.BucketedTable(spark, path)
-    assert (again.n, again.keys) == (8, ["k"])
-    assert again.merge(spark.createDataFrame([("k7", 5)], "k string, v long"), ORDER, "second")
-    assert state(again) == {**dict(keys), "k7": 5}
-
-
-def test_the_table_numbers_versions_and_a_token_only_marks_replays(spark):
-    path = shared_dir(spark, "t-tokens")
-    one = lambda k, v: spark.createDataFrame([(k, v)], "k string, v long")
-    t = TB.BucketedTable(spark, path, ["k"], 2)
-    for token, batch in ((1, one("a", 1)), (3, one("b", 1)), (2, one("c", 1))):  # out of order
-        assert t.merge(batch, ORDER, token)
-    assert state(t) == {"a": 1, "b": 1, "c": 1} and t.versions() == [1, 2, 3]
-    assert not t.merge(one("b", 1), ORDER, 3)
-    with pytest.raises(ValueError):  # the same token with other rows is no replay
-        t.merge(one("d", 1), ORDER, 3)
-    assert t.merge(one("d", 1), ORDER, 4) and state(t)["d"] == 1
+            TB.upsert(spark, more, name, order=ORDER, **bad)
+    TB.upsert(spark, more, name, ["k"], ORDER)
+    assert TB.properties(spark, name)["buckets"] == "8"
+    assert state(spark, name) == {**dict(keys), "k7": 5}
+
+
+def test_merged_through_is_the_greatest_progress_of_all_batches(spark):
+    name = TB.fresh_name("t_progress")
+    one = lambda k, day: spark.createDataFrame([(k, 1, day)], "k string, v long, day string")
+    for k, day in (("a", "2024-01-02"), ("b", "2024-01-05"), ("c", "2024-01-03")):   # out of order
+        TB.upsert(spark, one(k, day), name, ["k"], ORDER, progress="day")
+    assert state(spark, name) == {"a": 1, "b": 1, "c": 1}
+    assert TB.properties(spark, name)["merged_through"] == "2024-01-05"
 
 
 def test_new_and_missing_columns_of_a_batch(spark):
-    path = shared_dir(spark, "t-drift")
-    t = TB.BucketedTable(spark, path, ["k"], 4)
-    t.merge(spark.createDataFrame([(f"k{i}", 1, "old") for i in range(20)], "k string, v long, s string"), ORDER, "a")
-    assert t.merge(spark.createDataFrame([("k1", 2, "new", 7.5)], "k string, v long, s string, x double"), ORDER, "b")
-    assert t.merge(spark.createDataFrame([("k2", 3)], "k string, v long"), ORDER, "c", guard=True)
-    cur = {r.k: (r.v, r.s, r.x) for r in TB.BucketedTable(spark, path).current().collect()}
+    name = TB.fresh_name("t_drift")
+    merge = lambda rows, schema, **o: TB.upsert(spark, spark.createDataFrame(rows, schema), name, ["k"], ORDER, **o)
+    merge([(f"k{i}", 1, "old") for i in range(20)], "k string, v long, s string", buckets=4)
+    merge([("k1", 2, "new", 7.5)], "k string, v long, s string, x double")
+    merge([("k2", 3)], "k string, v long", guard=True)
+    cur = {r.k: (r.v, r.s, r.x) for r in TB.current(spark, name).collect()}
     assert len(cur) == 20
     assert (cur["k1"], cur["k2"], cur["k3"]) == ((2, "new", 7.5), (3, None, None), (1, "old", None))
+    assert [(r.column_name, r.data_type, r.is_key, r.filled_rows) for r in TB.table_columns(spark, name).collect()] == [
+        ("k", "string", True, 20), ("v", "bigint", False, 20), ("s", "string", False, 19), ("x", "double", False, 1)]
+    assert TB.table_columns(spark, "no_such_table").count() == 0
+
+
+def test_an_upsert_overwrites_the_buckets_it_touches_and_prunes_the_rest(spark):
+    name = TB.fresh_name("t_touched")
+    TB.upsert(spark, spark.createDataFrame([(f"k{i}", 1) for i in range(200)], "k string, v long"), name, ["k"], ORDER, buckets=8)
+    first = files(spark, name)
+    assert len(first) == 8 and all(len(f) == 1 for f in first.values())
+    TB.upsert(spark, spark.createDataFrame([("k3", 5), ("new", 7)], "k string, v long"), name, ["k"], ORDER)
+    second = files(spark, name)
+    rewritten = {b for b in second if second[b] != first.get(b)}
+    assert 1 <= len(rewritten) <= 2
+    cur = state(spark, name)
+    assert len(cur) == 201 and cur["k3"] == 5 and cur["new"] == 7 and cur["k4"] == 1
+
+
+def test_a_failed_upsert_leaves_the_table_as_it_was(spark):
+    name = TB.fresh_name("t_failed")
+    TB.upsert(spark, spark.createDataFrame([("a", 1), ("b", 1)], "k string, v long"), name, ["k"], ORDER, buckets=2)
+    broken = spark.createDataFrame([("a", 2)], "k string, v long").withColumn("v", F.expr("if(v = 2, cast(raise_error('lost') as bigint), v)"))
+    with pytest.raises(Exception):
+        TB.upsert(spark, broken, name, ["k"], ORDER)
+    assert state(spark, name) == {"a": 1, "b": 1}
+
+
+def test_delta_batches_touch_their_own_days_only(spark):
+    name = TB.fresh_name("t_delta")
+    rows = lambda *r: spark.createDataFrame([(i, dt.datetime(2024, 1, d, 5), v) for i, d, v in r], "id long, at timestamp_ntz, v long")
+    TB.append_delta(spark, rows((1, 1, 1), (2, 2, 1), (3, 3, 1)), name, ["id"], "at")
+    first = files(spark, name)
+    TB.append_delta(spark, rows((2, 2, 5), (4, 3, 1)), name, ["id"], "at")
+    second = files(spark, name)
+    day = lambda d: f"_day=2024-01-0{d}"
+    assert second[day(1)] == first[day(1)] and all(second[day(d)] > first[day(d)] for d in (2, 3))
+    read = lambda **o: {r.id: r.v for r in TB.resolve_delta(spark, name, ORDER, **o).collect()}
+    assert read() == {1: 1, 2: 5, 3: 1, 4: 1}
+    assert read(days=("2024-01-02", "2024-01-02")) == {2: 5}
+    assert TB.compact_delta(spark, name, ORDER) == ["2024-01-02", "2024-01-03"]
+    third = files(spark, name)
+    assert third[day(1)] == first[day(1)] and all(len(third[day(d)]) == 1 for d in (1, 2, 3))
+    assert read() == {1: 1, 2: 5, 3: 1, 4: 1} and TB.compact_delta(spark, name, ORDER) == []
 
 
 def test_stream_merge_after_a_lost_checkpoint(spark):
-    root = shared_dir(spark, "t-reset")
+    root, now = shared_dir(spark, "t-reset"), TB.fresh_name("t_reset")
     rows = lambda r: spark.createDataFrame(r, "k string, v long")
     rows([("a", 1), ("b", 1)]).write.parquet(root + "/load/one")
     schema = rows([]).schema
-    merge = lambda ck: SI.stream_merge_latest(spark, root + "/load", schema, root + "/now", root + ck, ["k"], ORDER)
+    merge = lambda ck: SI.stream_merge_latest(spark, root + "/load", schema, now, root + ck, ["k"], ORDER)
     merge("/ck1")
     rows([("c", 1), ("a", 4)]).write.parquet(root + "/load/two")
     merge("/ck2")
-    assert state(TB.BucketedTable(spark, root + "/now")) == {"a": 4, "b": 1, "c": 1}
+    assert state(spark, now) == {"a": 4, "b": 1, "c": 1}
 
 
 def test_stream_and_batch_scan_agree_on_good_and_bad_lines(spark):
@@ -196,15 +241,18 @@ def test_no_scratch_folder_off_a_local_master(spark, monkeypatch):
 
 
 def test_pending_rows_gate_retention(spark):
-    path = shared_dir(spark, "t-retention")
+    path, now = shared_dir(spark, "t-retention"), TB.fresh_name("t_retention")
     load = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 2, "2024-02-01")], "k string, v long, ingested_date string")
     load.write.partitionBy("ingested_date").parquet(path)
-    now = load.filter("k = 'a'")
-    assert TB.pending_rows(load, None, ["k"], ORDER) == 2
-    assert TB.pending_rows(load, now, ["k"], ORDER) == 1
+    assert TB.pending_rows(load, now, "ingested_date") == 2
+    TB.keyed_load(spark, load.filter("k = 'a'"), now, ["k"], ORDER, "one", progress="ingested_date")
+    assert TB.pending_rows(load, now, "ingested_date") == 1
     assert TB.retention_cleanup(spark, path, "2024-01-15", 1) == []
-    assert TB.pending_rows(load, load, ["k"], ORDER) == 0
-    assert TB.retention_cleanup(spark, path, "2024-01-15", 0) == ["ingested_date=2024-01-01"]
+    TB.keyed_load(spark, load, now, ["k"], ORDER, "two", progress="ingested_date")
+    assert TB.pending_rows(load, now, "ingested_date") == 0
+    run = dt.datetime(2024, 1, 17, 3)
+    assert TB.retention_cutoff(run) == "2024-01-15"
+    assert TB.clean_loads(spark, {"markets": (path, now)}, "ingested_date", run) == {"markets": ["ingested_date=2024-01-01"]}
 
 
 def test_flatten_records_of_nested_arrays(spark):
@@ -222,6 +270,32 @@ def test_cache_and_missing(spark):
     assert [r.event for r in TB.cache_missing(exp, TB.cache_read(spark, root, "event"), ["event"]).collect()] == ["E3"]
 
 
+def test_cache_splits_the_hot_event_by_its_size(spark):
+    root = shared_dir(spark, "t-cache-hot")
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("e"), F.col("id") % 8)).alias("event"), "id")
+    count = lambda e: len([f for f in os.listdir(f"{root}/event={e}".removeprefix("file:")) if f.endswith(".parquet")])
+    own = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}   # each salt a task
+    before = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        TB.cache_write(rows, root, "event", rows_per_file=250)
+        assert 5 <= count("hot") <= 8 and 1 <= count("e1") <= 2 and TB.cache_read(spark, root, "event").count() == 4000
+        TB.cache_write(rows.filter("id < 100"), root, "event", rows_per_file=250)
+        assert count("hot") == 1 and TB.cache_read(spark, root, "event", ["hot"]).count() == 50
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_cache_keys_that_folder_names_must_escape(spark):
+    root = shared_dir(spark, "t-cache-names")
+    keys = ["a/b", "c=d", "50%", "x y", "ü:*", None]
+    TB.cache_write(spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "event string, x long"), root, "event")
+    assert {(r.event, r.x) for r in TB.cache_read(spark, root, "event").collect()} == {(k, i) for i, k in enumerate(keys)}
+    assert [r.x for r in TB.cache_read(spark, root, "event", ["a/b"]).collect()] == [0]
+
+
 def test_optional_columns_and_subtitle(spark):
     raw = spark.createDataFrame([("T", "E", "t", "A", "A", "0.12345", "x")],
                                 "ticker string, event_ticker string, title string, yes_sub_title string, "
@@ -233,21 +307,3 @@ def test_optional_columns_and_subtitle(spark):
     assert dict(out.dtypes)["created_at"] == "timestamp_ntz"
     with_sub = raw.withColumn("subtitle", F.lit(None).cast("string"))
     assert ST.stg_markets(with_sub).collect()[0].market_subtitle is None   # column present: no fallback
-
-
-def test_bucketed_table_rewrites_only_touched_buckets(spark):
-    path = shared_dir(spark, "t-bucketed")
-    t = TB.BucketedTable(spark, path, ["k"], 8)
-    order = [("v", "desc_nulls_last")]
-    b1 = spark.createDataFrame([(f"k{i}", 1) for i in range(200)], "k string, v long")
-    assert t.merge(b1, order, "one")
-    first = t.manifest()
-    assert set(first.values()) == {1} and len(first) == 8
-    b2 = spark.createDataFrame([("k3", 5), ("new", 7)], "k string, v long")
-    assert t.merge(b2, order, "two")
-    assert not t.merge(b2, order, "two")
-    second = t.manifest()
-    rewritten = {b for b, v in second.items() if v == 2}
-    assert 1 <= len(rewritten) <= 2 and all(second[b] == 1 for b in second if b not in rewritten)
-    cur = {r.k: r.v for r in t.current().collect()}
-    assert len(cur) == 201 and cur["k3"] == 5 and cur["new"] == 7 and cur["k4"] == 1
