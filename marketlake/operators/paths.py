@@ -274,16 +274,26 @@ def next_trade_lag(t: DataFrame, group: str = "game_id", side: str = "side",
                     ((F.col("_next") - F.col("_us")) / 6e7).alias("lag_minutes")))
 
 
-def recent_trades(t: DataFrame, n: int = 1000, key: str = "market_id", slice_unit: str = SLICE) -> DataFrame:
+def recent_trades(t: DataFrame, n: int = 1000, key: str = "market_id", slice_unit: str = SLICE, fan_in: int = 60) -> DataFrame:
     """The latest n prints per market (the API's one-page 'recent' mode).
 
-    First the latest n of every time slice of a market, then the latest n of
-    those: a hot market's prints are ranked in as many tasks as it has
-    slices, and n rows per slice meet in one."""
+    Prints are counted per (market, slice), reduced before the shuffle.  Running counts from a market's latest slice
+    back tell the slice its n-th latest print lies in, and only that slice and later ones are read on.  What lies
+    later is fewer than n prints; the border slice may hold any number, so its prints are ranked in ``fan_in`` parts
+    first.  At most n x fan_in + n prints of a market meet in a task, and none of its older ones is shuffled
+    where the borders are small enough to be broadcast.  Prints without a time are the earliest."""
+    at = F.coalesce(floor_to("trade_time", slice_unit), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
+    t = t.withColumn("_slice", at)
+    back = Window.partitionBy(key).orderBy(F.col("_slice").desc())
+    slices = t.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_c"))
+    borders = (slices.withColumn("_later", F.sum("_c").over(back) - F.col("_c")).where(F.col("_later") < n)
+               .groupBy(F.col(key).alias("_k")).agg(F.min("_slice").alias("_border")))
+    few = t.join(borders, (F.col(key) == F.col("_k")) & (F.col("_slice") >= F.col("_border")))
     latest = [F.col("trade_time").desc(), F.col("trade_id").desc()]
-    by_slice = Window.partitionBy(key, "_slice").orderBy(*latest)
-    few = (t.withColumn("_slice", floor_to("trade_time", slice_unit)).withColumn("_rn", F.row_number().over(by_slice))
-           .filter(F.col("_rn") <= n).drop("_rn", "_slice"))
+    part = F.when(F.col("_slice") == F.col("_border"), F.pmod(F.xxhash64("trade_id", "trade_time"), F.lit(fan_in))).otherwise(-1)
+    parts = Window.partitionBy(key, "_part").orderBy(*latest)
+    few = (few.withColumn("_part", part).withColumn("_rn", F.row_number().over(parts)).filter(F.col("_rn") <= n)
+           .drop("_rn", "_part", "_slice", "_border", "_k"))
     return (few.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*latest)))
             .filter(F.col("_rn") <= n).drop("_rn"))
 

@@ -349,6 +349,55 @@ def q_infer_column_types(spark, d):
     return SO.infer_column_types(_docs(spark, d), "doc")
 
 
+# the same text in both dialects: one key per arm of the type lattice
+_DAY = "'2024-01-' || lpad(cast(1 + trade_id % 28 as string), 2, '0')"
+_CLOCK = "lpad(cast(trade_id % 24 as string), 2, '0') || ':' || lpad(cast(trade_id % 60 as string), 2, '0') || ':07'"
+_SMALL, _PRICE = "cast(trade_id % 1000 as string)", "cast(cast(price as decimal(18, 4)) as string)"
+_ONE_OF = lambda a, b: f"case when trade_id % 5 = 0 then {a} else {b} end"
+_TEXT = lambda x: f"'\"' || {x} || '\"'"
+_UUID = "'00000000-0000-4000-8000-' || lpad(cast(trade_id as string), 12, '0')"
+ARMS = {"small": _SMALL, "int32": "cast(trade_id + 100000 as string)", "int64": "cast(trade_id + 3000000000 as string)",
+        "below": "'-' || cast(trade_id + 40000 as string)", "huge": "'1' || lpad(cast(trade_id as string), 20, '0')",
+        "fraction": _PRICE, "number": _ONE_OF(_SMALL, _PRICE), "text": _TEXT("'n' || " + _SMALL), "text_or_number": _ONE_OF(_TEXT("'x'"), _PRICE),
+        "flag": "case when trade_id % 2 = 0 then 'true' else 'false' end", "flag_or_int": _ONE_OF("'true'", _SMALL),
+        "object": "'{\"a\":' || " + _SMALL + " || '}'", "list": "'[' || " + _SMALL + " || ']'", "object_or_list": _ONE_OF("'{}'", "'[]'"),
+        "nothing": "'null'", "day": _TEXT(_DAY), "day_or_text": _ONE_OF(_TEXT("'soon'"), _TEXT(_DAY)), "day_or_null": _ONE_OF("'null'", _TEXT(_DAY)),
+        "no_day": _TEXT("'2024-02-3' || cast(trade_id % 10 as string)"), "clock": _TEXT(_CLOCK), "clock_or_text": _ONE_OF(_TEXT("'noon'"), _TEXT(_CLOCK)),
+        "instant": _TEXT(_DAY + " || 'T' || " + _CLOCK + " || 'Z'"), "instant_or_text": _ONE_OF(_TEXT("'now'"), _TEXT(_DAY + " || ' ' || " + _CLOCK)),
+        "instant_or_day": _ONE_OF(_TEXT(_DAY), _TEXT(_DAY + " || 'T' || " + _CLOCK)), "day_or_int": _ONE_OF(_SMALL, _TEXT(_DAY)), "id": _TEXT(_UUID)}
+ARMS_DOC = "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {v}" for k, v in ARMS.items()) + " || '}'"
+
+
+@register("infer_column_types_lattice", with_views(r"""
+select column_name, case
+  when count(kind) = 0 then 'VARCHAR'
+  when bool_and(kind = 'int') then case when min(iv) >= -32768 and max(iv) <= 32767 then 'SMALLINT'
+                                        when min(iv) >= -2147483648 and max(iv) <= 2147483647 then 'INTEGER' else 'BIGINT' end
+  when bool_and(kind in ('int', 'float')) then 'FLOAT'
+  when bool_and(kind in ('str', 'int', 'float')) then 'VARCHAR'
+  when bool_and(kind = 'bool') then 'BOOLEAN'
+  when bool_and(kind = 'dict') or bool_and(kind = 'list') then 'VARIANT'
+  when bool_and(kind = 'uuid') then 'VARCHAR(36)'
+  when bool_and(kind in ('datetime', 'str')) then 'TIMESTAMP_NTZ'
+  when bool_and(kind in ('date', 'str')) then 'DATE'
+  when bool_and(kind in ('time', 'str')) then 'TIME'
+  else 'VARCHAR' end data_type
+from (select column_name, case
+        when raw is null or raw = 'null' then null when raw in ('true', 'false') then 'bool'
+        when raw[1] = '{' then 'dict' when raw[1] = '[' then 'list'
+        when regexp_full_match(raw, '-?[0-9]+') then 'int' when raw[1] <> '"' then 'float'
+        when regexp_full_match(raw, '"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9:]+Z?"') and try_cast(trim(raw, '"') as timestamp) is not null then 'datetime'
+        when regexp_full_match(raw, '"[0-9]{4}-[0-9]{2}-[0-9]{2}"') and try_cast(trim(raw, '"') as date) is not null then 'date'
+        when regexp_full_match(raw, '"[0-9]{2}:[0-9]{2}:[0-9]{2}"') and try_cast(trim(raw, '"') as time) is not null then 'time'
+        when try_cast(trim(raw, '"') as uuid) is not null then 'uuid' else 'str' end kind,
+        case when regexp_full_match(raw, '-?[0-9]+') then cast(raw as hugeint) end iv
+      from (select k column_name, cast(json_extract(doc, '$.' || k) as varchar) raw from (select doc, unnest(json_keys(doc)) k from docs) x) y) z
+group by column_name""", "trades", extra={"docs": f"select {ARMS_DOC} doc from trades"}))
+def q_infer_column_types_lattice(spark, d):
+    """P23, every arm: one key per mix of kinds, temporal kinds spelt as text, integers beyond 64 bit."""
+    return SO.infer_column_types(C.trades(spark, d).select(F.expr(ARMS_DOC).alias("doc")), "doc")
+
+
 @register("union_columns", with_views("""
 select market_id, price, null::varchar side, null::double size from trades
 union all select market_id, null, side, size from levels""", "trades", "levels"), doubles=("price", "size"))
@@ -456,6 +505,34 @@ def q_trade_fetch_window(spark, d):
     return I.trade_fetch_window(raw, win, I.epoch_seconds("created_time")).drop("market_ticker")
 
 
+@register("trade_fetch_pruned", with_views(f"""
+select trade_id, market_id, trade_time, price from (
+  select t.trade_id, t.market_id, t.trade_time, t.price + 1 price, epoch(t.trade_time) sec, s.checked_through_ts c
+  from trades t left join st s on s.market_ticker = cast(t.market_id as varchar) and t.market_id % 3 <> 0) x
+where floor(sec) between case when c is not null then greatest(0, c - 60) else {E2 - 24 * 3600} end and {E2}""",
+    "trades", "raw_trades", extra={"st": STATE1_SQL}), doubles=("price",))
+def q_trade_fetch_pruned(spark, d):
+    """J13 / T5 over prints laid out by day: the planned windows prune the day folders at run time; every print was
+    appended twice, its later version counts."""
+    t = C.trades(spark, d).select("trade_id", "market_id", "trade_time", "price")
+    name = TB.fresh_name("fetch")
+    for version in (0, 1):
+        TB.append_delta(spark, t.withColumns({"price": F.col("price") + version, "version": F.lit(version)}), name, ["trade_id"], "trade_time")
+    markets = t.select(F.col("market_id").cast("string").alias("market_ticker"))
+    win = I.plan_trade_windows(markets, _some_state(spark, d), "incremental", E2).withColumn("market_id", F.col("market_ticker").cast("bigint"))
+    sec = F.floor(F.unix_micros(F.col("trade_time").cast("timestamp")) / 1000000)
+    return TB.fetch_delta(spark, name, win, sec, [("version", "desc_nulls_last")], "market_id").select("trade_id", "market_id", "trade_time", "price")
+
+
+@register("landing_run_counts", with_views("""
+select 'trades' entity, count(*) rows_written from raw_trades union all select 'markets', count(*) from raw_markets_full
+union all select 'series', count(*) from raw_series union all select 'events', count(*) from raw_events""", "raw_trades", "raw_markets_full", "raw_series", "raw_events"))
+def q_landing_run_counts(spark, d):
+    """Q13 written with the run: rows per entity, observed on the landing writes."""
+    return J.land_run({"trades": P.raw_trades(spark, d), "markets": P.raw_markets_full(spark, d), "series": P.raw_series(spark, d),
+                       "events": P.raw_events(spark, d)}, shared_dir(spark, "run"), RUN2)
+
+
 @register("merge_watermark_state", with_views(f"""
 select 1 version, coalesce(s.market_ticker, n.market_ticker) market_ticker,
        case when n.last_seen_trade_ts is not null and (s.last_seen_trade_ts is null

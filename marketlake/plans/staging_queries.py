@@ -320,6 +320,37 @@ def q_run_row_counts(spark, d):
     return Q.run_row_counts(P.load_rows(spark, d), "source_file")
 
 
+SUITE = [Q.Rule("markets", "unique", ("o_orderkey",)), Q.Rule("markets", "not_null", ("o_custkey", "o_orderdate")),
+         Q.Rule("markets", "accepted_values", ("o_orderstatus",), values=("F", "O")), Q.Rule("markets", "accepted_range", ("o_totalprice",), lo=1000, hi=400000),
+         Q.Rule("markets", "relationship", ("o_custkey",), parent="events", parent_column="c_custkey"),
+         Q.Rule("trades", "relationship", ("l_orderkey",), parent="markets", parent_column="o_orderkey"),
+         Q.Rule("trades", "unique", ("l_orderkey", "l_linenumber")), Q.Rule("trades", "unique", ("l_partkey",)),
+         Q.Rule("trades", "accepted_range", ("l_discount",), hi=0.05), Q.Rule("trades", "holds", condition="l_quantity > 10"),
+         Q.Rule("trades", "not_null", ("l_shipdate",))]
+
+
+def _suite_tables(spark, d):
+    return {"markets": P.h_markets(spark, d), "trades": P.h_trades(spark, d), "events": P.h_events(spark, d).where("c_custkey % 7 <> 0")}
+
+
+@register("dq_suite", """
+with e as (select * from customer where c_custkey % 7 <> 0), m as (select count(*) n from orders), t as (select count(*) n from lineitem)
+select 'markets.unique(o_orderkey)' as rule, m.n as checked_rows, (select count(*) from (select 1 from orders where o_orderkey is not null group by o_orderkey having count(*) > 1) x) as failing from m
+union all select 'markets.not_null(o_custkey, o_orderdate)', m.n, (select count(*) from orders where o_custkey is null or o_orderdate is null) from m
+union all select 'markets.accepted_values(o_orderstatus)', m.n, (select count(*) from orders where o_orderstatus not in ('F', 'O')) from m
+union all select 'markets.accepted_range(o_totalprice)', m.n, (select count(*) from orders where o_totalprice not between 1000 and 400000) from m
+union all select 'markets.relationship(o_custkey)', m.n, (select count(*) from orders where o_custkey is not null and o_custkey not in (select c_custkey from e)) from m
+union all select 'trades.relationship(l_orderkey)', t.n, (select count(*) from lineitem where l_orderkey is not null and l_orderkey not in (select o_orderkey from orders)) from t
+union all select 'trades.unique(l_orderkey, l_linenumber)', t.n, (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1) x) from t
+union all select 'trades.unique(l_partkey)', t.n, (select count(*) from (select 1 from lineitem where l_partkey is not null group by l_partkey having count(*) > 1) x) from t
+union all select 'trades.accepted_range(l_discount)', t.n, (select count(*) from lineitem where l_discount > 0.05) from t
+union all select 'trades.holds(l_quantity > 10)', t.n, (select count(*) from lineitem where not l_quantity > 10) from t
+union all select 'trades.not_null(l_shipdate)', t.n, (select count(*) from lineitem where l_shipdate is null) from t""")
+def q_dq_suite(spark, d):
+    """Q1-Q6, Q8, Q12 as one suite: every rule of markets and trades from one scan of each table."""
+    return Q.run_suite(_suite_tables(spark, d), SUITE)
+
+
 # ---- scope ----
 
 @register("scope_filter", with_views("select * from trades where series_ticker = 'SERIES-1'", "trades"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # full microsecond precision for timestamps written to JSON
@@ -52,6 +52,22 @@ def land(df: DataFrame, prefix: str, entity: str, run_ts: dt.datetime, source: s
     return path
 
 
+def land_run(frames: dict[str, DataFrame], prefix: str, run_ts: dt.datetime, source: str = "exchange") -> DataFrame:
+    """S1 and Q13 for a whole run: lands every entity and returns (entity, rows_written).  The counts are observed on
+    the landing writes themselves, so no row is read again, and are kept beside the run's folders; a run that lands
+    again replaces them with its files."""
+    counts = []
+    for entity, df in frames.items():
+        seen = Observation()
+        land(df.observe(seen, F.count(F.lit(1)).alias("rows")), prefix, entity, run_ts, source)
+        counts.append((entity, seen.get["rows"]))
+    spark = next(iter(frames.values())).sparkSession
+    stamp = run_ts.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    path = f"{prefix.rstrip('/')}/{source}/_runs/{stamp}"
+    spark.createDataFrame(counts, "entity string, rows_written long").coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema("entity string, rows_written long").json(path)
+
+
 # Spark lists every file that is not hidden (_ or . in front): landing files end in .json, .jsonl or .txt
 ANY_FILE = "*"
 

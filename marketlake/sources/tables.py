@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.operators.incremental import trade_fetch_window
 from marketlake.operators.latest import latest_per_key, merge_latest
 from marketlake.operators.schema_ops import add_missing_columns
 from marketlake.session import shared_dir
@@ -127,7 +128,8 @@ def upsert(spark: SparkSession, batch: DataFrame, name: str, keys: list[str], or
             raise ValueError(f"{name} has {own['buckets']} buckets of {own['keys']}")
         reduced = _widen(spark, reduced.withColumn(BUCKET, bucket_of(keys, int(own["buckets"]))), name)
         touched = reduced.select(BUCKET).where(F.col(BUCKET) >= 0).distinct()
-        old = read_table(spark, name).join(touched, BUCKET, "left_semi")
+        # as many rows as there are buckets at most, so their broadcast has a bound; it is what prunes the scan
+        old = read_table(spark, name).join(F.broadcast(touched), BUCKET, "left_semi")
         new = merge_latest(old, reduced, keys, order, guard=guard, reduced=True)
         new.select(*reduced.columns).repartition(BUCKET).write.insertInto(name, overwrite=True)
         if seen.get["top"] is not None and seen.get["top"] > own.get("merged_through", ""):
@@ -191,6 +193,27 @@ def resolve_delta(spark: SparkSession, name: str, order, days: tuple[str, str] |
     return latest_per_key(rows.withColumn(DAY, day), [DAY, *keys], order).drop(DAY)
 
 
+def fetch_delta(spark: SparkSession, name: str, windows: DataFrame, time_sec, order, key: str = "market_ticker") -> DataFrame:
+    """J13 on a delta table: the latest version of every print inside its market's window (``windows``: key, min_ts,
+    max_ts in seconds, from ``plan_trade_windows``), reading only the days that some window reaches.
+
+    The days of all bounded windows are joined to the table's folders, which prunes them at run time; they are
+    broadcast, as there are no more of them than days in the calendar between the first bound and the last.  Markets
+    whose window is open on a side read all days."""
+    rows = read_table(spark, name)
+    bounded = windows.where(F.col("min_ts") <= F.col("max_ts"))
+    day = lambda c: F.to_date(F.timestamp_seconds(F.col(c)).cast("timestamp_ntz"))
+    # windows that span the same days are one row before any day is made
+    days = (bounded.select(day("min_ts").alias("a"), day("max_ts").alias("z")).distinct()
+            .select(F.explode(F.sequence("a", "z")).alias(DAY)).where(F.col(DAY) >= F.lit("0001-01-01").cast("date")).distinct())
+    found = trade_fetch_window(rows.join(F.broadcast(days), DAY, "left_semi"), bounded, time_sec, key)
+    unbounded = windows.where(F.col("min_ts").isNull() | F.col("max_ts").isNull())
+    if not unbounded.isEmpty():   # else the other branch would read all days to find nothing
+        found = found.unionByName(trade_fetch_window(rows, unbounded, time_sec, key))
+    keys = json.loads(properties(spark, name)["keys"])
+    return latest_per_key(found.drop(DAY), keys, order)
+
+
 def compact_delta(spark: SparkSession, name: str, order, files: int = 2) -> list[str]:
     """Rewrites the days that lie in ``files`` files or more as one resolved version each, by dynamic partition
     overwrite; other days stay as they are.  Returns the days, of which there are as many as partitions changed."""
