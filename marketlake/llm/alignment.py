@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +18,14 @@ from tokenizers import Tokenizer
 
 from .common import batches, stored
 from .parts import blocks, dealt, lookup, part_numbers, side
-from .vocab import byte_alphabet, cuts, tokenizer_path
+from .vocab import byte_alphabet, cuts, spelled, tokenizer_path
 
 MARK = "▁"
 MEMO_WORDS, LONG_WORD = 200_000, 64
-# a space at an end of the text or beside other white space: which token it goes to hangs on what surrounds it
-_ODD = re.compile(r"\A\s|\s\Z| \s|\s ")
+# white space at an end of the text or beside other white space: its token hangs on what surrounds it
+_ODD = re.compile(r"\s\s|\A\s|\s\Z")
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_SPACE = spelled(" é")[0]  # how byte-level entries write a space
 
 
 class ByteTokens:
@@ -55,7 +57,8 @@ class PieceTokens:
         norm = made.normalizer_spec
         # no piece goes on behind a word's end, and texts are taken as they are
         self.by_words = (norm.name == "identity" and not norm.precompiled_charsmap and norm.add_dummy_prefix
-                         and not norm.remove_extra_whitespaces and not any(MARK in p.piece.lstrip(MARK) for p in made.pieces))
+                         and not norm.remove_extra_whitespaces
+                         and not any(MARK in p.piece.lstrip(MARK) or "\n" in p.piece for p in made.pieces))
         self.spelt = [bytes([int(self.model.id_to_piece(i)[3:5], 16)]) if self.model.is_byte(i)
                       else self.model.id_to_piece(i).replace(MARK, " ").encode() for i in range(self.model.get_piece_size())]
 
@@ -76,40 +79,89 @@ def loaded(name: str) -> tuple[ByteTokens | PieceTokens, np.ndarray, list[str]]:
 class Encoder:
     """Ids of texts by both tokenizers, as arrays; none where either does not spell a space and the text.
 
-    Where both tokenizers must cut before a single space between two characters that are no white space, a word is
-    encoded once per worker and not once per occurrence; texts with other white space at a space are encoded whole.
+    Where both tokenizers must cut before a single space, and around a single line feed, between two characters that
+    are no white space, a word is encoded once per worker and not once per occurrence; texts with other white space at
+    a space or line feed are encoded whole.
     """
 
     def __init__(self, a: str, b: str):
-        self.a, self.b, self.memo = loaded(a)[0], loaded(b)[0], {}
+        (self.a, self.length_a, _), (self.b, self.length_b, _) = loaded(a), loaded(b)
+        self.memo_a, self.memo_b, self.letters, self.bad, self.marks = {}, {}, {}, set(), {}
         self.by_words = self.a.by_words and self.b.by_words
-
-    def _both(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        out = []
-        for text, x, y in zip(texts, self.a.encode(texts), self.b.encode(texts)):
-            want = b" " + text.encode("utf-8", "surrogatepass")
-            same = b"".join(map(self.a.spelt.__getitem__, x)) == want == b"".join(map(self.b.spelt.__getitem__, y))
-            out.append((array("i", x).tobytes(), array("i", y).tobytes()) if same else None)
-        return out
+        if self.by_words:
+            # a full stop or comma behind a letter, and the space before a line feed, as tokens of their own
+            self.marks = {m: self.a.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"}
+            self.by_words = all(t.spelt[t.encode(["\nx"])[0][0]] == b" " for t in (self.a, self.b))
+
+    def _spelt(self, texts: list[str], ids: list[list[int]], tokens: ByteTokens | PieceTokens, length: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """Each text's ids as bytes of 32-bit integers, and whether their bytes are a space and the text."""
+        flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        ends = np.append(0, np.cumsum([len(x) for x in ids]))
+        raw, cuts_ = flat.tobytes(), (ends * 4).tolist()
+        want = [b" " + t.encode("utf-8", "surrogatepass") for t in texts]
+        size = np.diff(np.append(0, np.cumsum(length[flat]))[ends]) == np.array([len(w) for w in want])
+        if not size.all() or b"".join(map(tokens.spelt.__getitem__, flat.tolist())) != b"".join(want):
+            size = np.array([b"".join(map(tokens.spelt.__getitem__, x)) == w for x, w in zip(ids, want)], dtype=bool)
+        return [raw[lo:hi] for lo, hi in zip(cuts_[:-1], cuts_[1:])], size
+
+    def _both(self, texts: list[str], ids_a: list[list[int]]) -> tuple[list[bytes], list[bytes], np.ndarray]:
+        x, same_x = self._spelt(texts, ids_a, self.a, self.length_a)
+        y, same_y = self._spelt(texts, self.b.encode(texts), self.b, self.length_b)
+        return x, y, same_x & same_y
+
+    def _learn(self, units: list[str]) -> None:
+        """Ids of units: a word, or a line feed and the word after it.  A word of Latin letters is one piece of the
+        byte-level tokenizer, which its model takes without the steps before; a comma or full stop after one is a
+        piece of its own there, so words are learnt without it."""
+        model, letters, marks, ids_a, rest = self.a.tokenizer.model, self.letters, self.marks, [], []
+        for n, u in enumerate(units):
+            mark = marks.get(u[-1])
+            w = u[:-1] if mark else u
+            if _LETTERS.fullmatch(w):
+                own = letters.get(w)
+                if own is None:
+                    own = letters[w] = [t.id for t in model.tokenize(_SPACE + spelled(w))]
+                ids_a.append(own + mark if mark else own)
+            else:
+                rest.append(n)
+                ids_a.append([])
+        for n, own in zip(rest, self.a.encode([units[n] for n in rest])):
+            ids_a[n] = own
+        x, y, same = self._both(units, ids_a)
+        for n in rest:
+            if units[n][0] == "\n":
+                # encoded behind a space, which both give as a token of its own before a line feed
+                x[n], y[n] = x[n][4:], y[n][4:]
+        self.memo_a.update(zip(units, x))
+        self.memo_b.update(zip(units, y))
+        self.bad.update(units[n] for n in np.flatnonzero(~same))
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        plain = {i: t.split(" ") for i, t in enumerate(texts) if t and self.by_words and not _ODD.search(t)}
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        new = [w for w in set().union(*plain.values()) if w not in memo]
-        long = {w for w in new if len(w) > LONG_WORD}  # kept for this batch alone
-        memo.update(zip(new, self._both(new)))
+        # a line feed begins a unit, as a space does; only the space itself is left out
+        plain = {i: t.replace("\n", " \n").split(" ") for i, t in enumerate(texts) if t and self.by_words and not _ODD.search(t)}
+        if len(self.memo_a) > MEMO_WORDS:
+            for held in (self.memo_a, self.memo_b, self.letters, self.bad):
+                held.clear()
+        get_a, get_b, bad = self.memo_a.__getitem__, self.memo_b.__getitem__, self.bad
+        new = [u for u in set().union(*plain.values()) if u not in self.memo_a]
+        if new:
+            self._learn(new)
+        out = [(b"", b"")] * len(texts)
+        for i, units in plain.items():
+            if bad.isdisjoint(units):
+                out[i] = b"".join(map(get_a, units)), b"".join(map(get_b, units))
         whole = [i for i, t in enumerate(texts) if t and i not in plain]
-        out = dict(zip(whole, self._both([texts[i] for i in whole])))
-        for i, words in plain.items():
-            found = list(map(memo.__getitem__, words))
-            if None not in found:
-                x, y = zip(*found)
-                out[i] = b"".join(x), b"".join(y)
-        for w in long:
-            del memo[w]
-        return [out.get(i) or (b"", b"") for i in range(len(texts))]
+        if whole:
+            own = [texts[i] for i in whole]
+            x, y, same = self._both(own, self.a.encode(own))
+            for i, *p, s in zip(whole, x, y, same):
+                if s:
+                    out[i] = tuple(p)
+        for u in new:
+            if len(u) > LONG_WORD:  # kept for this batch alone
+                del self.memo_a[u], self.memo_b[u]
+                bad.discard(u)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -229,7 +281,7 @@ def align_tokens(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_
 
 
 def alignment_table(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", id_col: str = "doc_id",
-                    text_col: str = "text", piece: int = 65_536, chars: int = 500_000, part_bytes: int = 16 << 20) -> DataFrame:
+                    text_col: str = "text", piece: int = 65_536, chars: int = 250_000, part_bytes: int = 16 << 20) -> DataFrame:
     """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     Every text is encoded by both tokenizers, and the byte ends of their tokens are merged in merge-path pieces;
