@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from marketlake.llm.mixing import mix_sources, pivot_round, sizes, targets
+from marketlake.llm.mixing import mix_sources, pivot_round, pool_round, sizes, targets
 from tests.llm.helpers import awkward, docs, rows_of
 
 
@@ -76,3 +76,48 @@ def test_awkward_documents(spark):
     assert sum(r["size"] for r in got) == sum(len((r["text"] or "").encode().split()) for r in rows_of(awkward(spark)))
     assert sizes(docs(spark, [])).count() == 0 and mix_sources(docs(spark, [])).count() == 0
     assert rows_of(mix_sources(docs(spark, [(1, " ", "en", "s")])))[0]["taken"] == 0
+
+
+def test_documents_against_pools_keep_words_and_chances():
+    rng = np.random.default_rng(2)
+    size = rng.integers(1, 400, 60).astype(float)
+    size[7] = 900
+    for p in (0.1, 0.5, 0.93):
+        mean = np.zeros(60)
+        for _ in range(3000):
+            q = pool_round(p, size, rng)
+            rest = (q > 1e-9) & (q < 1 - 1e-9)
+            assert rest.sum() <= 1 and abs((q * size).sum() - p * size.sum()) < 1e-6 and (size[rest] <= 20).all()
+            mean += q / 3000
+        assert np.abs(mean - p).max() < 0.05
+
+
+def test_a_document_that_outweighs_the_rest_does_not_miss_the_target():
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        size = np.append(rng.integers(1, 50, 400).astype(float), 9000.0)
+        q = pool_round(0.1, size, rng)
+        assert q[-1] == 0 and abs((q * size).sum() - 0.1 * size.sum()) < 1e-6
+    assert pool_round(0.3, np.array([5.0]), rng).tolist() == [0.3] and len(pool_round(0.3, np.array([]), rng)) == 0
+
+
+def test_every_source_comes_near_its_target(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    source = {r.doc_id: r.source for r in d.select("doc_id", "source").collect()}
+    for seed in range(20):
+        taken, target = defaultdict(int), {}
+        for r in rows_of(mix_sources(d, seed=seed)):
+            taken[source[r["doc_id"]]] += r["taken"]
+            target[source[r["doc_id"]]] = r["target"]
+        assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] for s in target), seed
+
+
+def test_equal_rows_and_null_ids_are_dealt_over_groups(spark):
+    rows = [(None, "one two three four", "en", "a")] * 3000 + [(7, f"w{i % 50} x", "en", "a") for i in range(1000)] + [(i, "some other words", "en", "b") for i in range(200)]
+    total = lambda got: (sum(r["taken"] for r in got if r["doc_id"] is None), sum(r["taken"] for r in got if r["doc_id"] == 7))
+    a = rows_of(mix_sources(docs(spark, rows), group_rows=100, fan_in=4))
+    b = rows_of(mix_sources(docs(spark, rows).repartition(5), group_rows=100, fan_in=4))
+    assert len(a) == len(rows) and total(a) == total(b)
+    per = {s: sum(r["taken"] for r in a if (r["doc_id"] is None or r["doc_id"] == 7) == (s == "a")) for s in "ab"}
+    want = {s: next(r["target"] for r in a if (r["doc_id"] is None or r["doc_id"] == 7) == (s == "a")) for s in "ab"}
+    assert all(abs(per[s] - want[s]) <= 4 for s in "ab")
