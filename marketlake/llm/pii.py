@@ -64,7 +64,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-# what an identifier may look like that the base patterns miss; context decides
+# what an identifier may look like that the base patterns miss; context decides.  Lengths are those of the things
+# themselves (a mail address's parts, a card's digits); longer runs are no identifiers of these looser forms
 _LOOSE = {
     "email": re.compile(r"(?<![^\s<(\"'])[A-Za-z0-9._%+-]{1,64} ?(?:@|\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]{1,63}){0,4}"),
     "ip": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
@@ -78,11 +79,14 @@ NEAR = 80
 
 
 def context(text: str, start: int, end: int) -> list[str]:
-    """The lexical patterns of a mention: two words before, one before and one after, two after."""
+    """The lexical patterns of a mention: two words before, one before and one after, two after, from what lies within
+    ``NEAR`` characters of it.  A pattern is words: one without a letter (a line's edge, punctuation, numbers) stands
+    around times and versions as well as around identifiers, and is none."""
     norm = lambda w: re.sub(r"[0-9]+", "#", _EDGE.sub("", w).lower())
     left = ["", "", *map(norm, text[max(0, start - NEAR):start].split()[-2:])]
     right = [*map(norm, text[end:end + NEAR].split()[:2]), "", ""]
-    return [f"{left[-2]} {left[-1]} _", f"{left[-1]} _ {right[0]}", f"_ {right[0]} {right[1]}"]
+    made = [f"{left[-2]} {left[-1]} _", f"{left[-1]} _ {right[0]}", f"_ {right[0]} {right[1]}"]
+    return [p for p in made if any(map(str.isalpha, p))]
 
 
 def mentions(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
@@ -199,7 +203,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Base spans come from fixed patterns over the whole text.  They seed the bootstrap: the words around them
     become patterns, a graph of patterns and the values seen in them is scored until it adds none (``bootstrap``), and
-    values of an identifier's looser form in trusted patterns are added as spans of that kind.  Base spans
+    values of an identifier's looser form (``_LOOSE``: addresses of parts up to 64 and 63 characters, IPv6, cards of 13
+    to 19 digits, phones without a plus) in trusted patterns are added as spans of that kind.  Base spans
     stay as they are, added ones never overlap them.  The n_ columns count base spans, n_added the others.
 
     Null text counts as empty; null ids stay null; every repeated row keeps its row and finds the same.

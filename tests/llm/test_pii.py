@@ -1,8 +1,9 @@
 import hashlib
+import random
 import re
 import time
 
-from marketlake.llm.pii import KINDS, base_spans, bootstrap, find_personal_data, luhn, mentions, redact, scan
+from marketlake.llm.pii import KINDS, base_spans, bootstrap, context, find_personal_data, luhn, mentions, redact, scan
 from tests.llm.helpers import awkward, docs, rows_of
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -142,3 +143,80 @@ def test_awkward_documents(spark):
     got = rows_of(find_personal_data(awkward(spark)))
     assert len(got) == 9 and {r["spans"] for r in got} == {""}
     assert find_personal_data(docs(spark, [])).count() == 0
+
+
+def test_edges_and_numbers_are_no_context(spark):
+    assert context("1.2.3.4", 0, 7) == [] and context("-- 12:30 | 9 --", 3, 8) == []
+    assert context("at 1.2.3.4 now", 3, 10) == [" at _", "at _ now", "_ now "]
+    ips = [(i, f"10.20.30.{i}") for i in range(5)] + [(10 + i, f"line\n10.20.31.{i}\n") for i in range(5)] + [(20 + i, f"# 10.20.32.{i} | 7") for i in range(5)]
+    alone = ["12:30:45:10", "1:2:3:4", "a:b:c:d:e:f", "2.10.3", "deadbeefcafe01", "v1.2.3-rc4", "# 12:30:45:10 | 9", "| 01:02:03:04 |", "4111 1111 1111 1112"]
+    rows = ips + [(100 + i, t) for i, t in enumerate(alone)] + [(200 + i, f"{t}\nand more text") for i, t in enumerate(alone)]
+    got = {r["doc_id"]: r for r in rows_of(find_personal_data(docs(spark, rows)))}
+    assert all(got[i]["n_ip"] == 1 for i, _ in ips) and not any(r["n_added"] for r in got.values())
+    hidden = {r["doc_id"]: r["text"] for r in rows_of(redact(docs(spark, rows), ["doc_id", "text"]))}
+    assert all(hidden[i] == t for i, t in rows if i >= 100)
+
+
+def brute_bootstrap(texts, min_seeds=3, confidence=0.8):
+    """The graph in plain dictionaries."""
+    edges = {}
+    for text in texts:
+        for m in mentions(text, base_spans(text)):
+            for p in m["patterns"]:
+                seed, inner = edges.get((p, m["value"], m["kind"]), (False, True))
+                edges[p, m["value"], m["kind"]] = (seed or m["seed"], inner and m["inner"])
+    accepted = set()
+    while True:
+        trust = {}
+        for p in {e[0] for e in edges}:
+            for kind in KINDS:
+                known = {v for (q, v, k), (seed, _) in edges.items() if q == p and k == kind and (seed or (v, k) in accepted)}
+                against = [1 for (q, v, k), (_, inner) in edges.items() if q == p and k != kind and not inner]
+                c = len(known) / (len(known) + len(against) + 0.5)
+                if len(known) >= min_seeds and c >= confidence:
+                    trust[p, kind] = c
+        new = {(v, k) for (p, v, k), (seed, _) in edges.items() if not seed and (p, k) in trust} - accepted
+        if not new:
+            break
+        accepted |= new
+    score = {}
+    for v, k in accepted:
+        rest = 1.0
+        for (p, w, kind), (seed, _) in edges.items():
+            if (w, kind) == (v, k) and not seed and (p, k) in trust:
+                rest *= 1 - trust[p, k]
+        score.setdefault(v, []).append((round(1 - rest, 9), -KINDS.index(k), k))
+    return {v: max(s)[2] for v, s in score.items()}
+
+
+def test_the_graph_by_brute_force(spark):
+    rng = random.Random(6)
+    frames = ["please call {} now", "call {} after work", "write to {} or", "write {} now", "server {} is", "order {} now", "card {} or", "{}"]
+    forms = [lambda: f"+1 (523) 555-{rng.randrange(1000, 1030)}", lambda: f"(523) 555-{rng.randrange(1000, 1030)}", lambda: f"u{rng.randrange(9)}@ex.org",
+             lambda: f"u{rng.randrange(9)} [at] ex [dot] org", lambda: f"10.0.0.{rng.randrange(9)}", lambda: f"fe80:0:0:{rng.randrange(9)}:1", lambda: f"x-{rng.randrange(99)}",
+             lambda: f"4111 1111 1111 11{rng.randrange(10, 14)}", lambda: "4111 1111-1111 1111"]
+    for _ in range(4):
+        texts = [" ".join(rng.choice(frames).format(rng.choice(forms[k:k + 2])()) for _ in range(rng.randint(1, 3))) for k in (rng.randrange(8) for _ in range(120))]
+        got = {r["value"]: r["kind"] for r in rows_of(bootstrap(scan(docs(spark, list(enumerate(texts))))))}
+        assert got == brute_bootstrap(texts)
+
+
+def test_planted_contexts_precision_and_recall(spark):
+    """Identifiers of unseen forms in the contexts of known ones are found, look-alikes in other contexts are not."""
+    rng = random.Random(8)
+    filler = lambda: " ".join(rng.choice("river stone paper window garden music letter winter bridge".split()) for _ in range(rng.randint(3, 9)))
+    rows, planted, alike = [], set(), set()
+    for i in range(300):
+        number = f"{rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+        kind = i % 5
+        if kind < 2:
+            body = f"reach our office at +1 ({number} any weekday"
+        elif kind == 2:
+            body = f"reach our office at ({number} any weekday"
+            planted.add(i)
+        else:
+            body = f"see chapter {filler()} ({number} {filler()}"
+            alike.add(i)
+        rows.append((i, f"{filler()} {body} {filler()}"))
+    found = {r["doc_id"] for r in rows_of(find_personal_data(docs(spark, rows))) if r["n_added"]}
+    assert len(found & planted) == len(planted) and not found & alike
