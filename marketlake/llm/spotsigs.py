@@ -18,6 +18,7 @@ ANCHORS = (
 ).split()
 
 FIRST = -(1 << 63)
+COVER = 16
 
 
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = 3) -> DataFrame:
@@ -25,8 +26,9 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = 3) -> DataF
 
     Words are runs of letters and digits, lower-cased.  A signature is an anchor and the next ``chain`` words
     that are no anchors, however many anchors lie between; of several anchors before the same word the nearest
-    counts, and near the end of a text the chain is as long as there are words.  A text none of whose anchors
-    is followed by a content word anchors a chain at every word instead.  No words: the empty array.
+    counts, and near the end of a text the chain is as long as there are words.  A text whose anchors reach fewer
+    than one in ``COVER`` of its content words (code, tables, a language without anchors here) would be told by
+    those few alone; it anchors a chain at every word instead.  No words: the empty array.
     """
     w, u, c = f"__w_{out}", f"__u_{out}", f"__c_{out}"
     words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda x: x != "")
@@ -42,9 +44,10 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = 3) -> DataF
         x.contains("~") & ~x.endswith("~"), F.xxhash64(F.substring_index(F.substring_index(x, "~", -2), "~", 1), *links(i))))
     every = F.transform(F.col(u), lambda x, i: F.when(F.get(F.col(c), i) != "", F.xxhash64(F.lit(""), *links(i))))
     step3 = step2.withColumn(out, F.array_compact(anchored))
-    # texts without anchored words: a chain at every word; words that are all anchors count as words
+    # texts of hardly any anchored words: a chain at every word; words that are all anchors count as words
     alone = F.transform(F.col(w), lambda x: F.xxhash64(F.lit("~"), x))
-    step3 = step3.withColumn(out, F.when(F.size(out) > 0, F.col(out)).otherwise(F.array_compact(every)))
+    content = F.size(F.filter(F.col(c), lambda x: x != ""))
+    step3 = step3.withColumn(out, F.when((F.size(out) > 0) & (F.size(out) * COVER >= content), F.col(out)).otherwise(F.array_compact(every)))
     step3 = step3.withColumn(out, F.array_sort(F.array_distinct(F.when(F.size(out) > 0, F.col(out)).otherwise(alone))))
     return step3.drop(w, u, c)
 
@@ -70,6 +73,60 @@ def pruned_jaccard(a: str, b: str, threshold: float = 0.0) -> Column:
             .otherwise(common / (m + n - common)))
 
 
+def signature_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(classes, members), both stored: classes has a row per distinct signature set (class_id: the least id that has
+    it, null ids first; sigs, n), members a row per document (doc_id, fingerprint).  Equal sets are reduced before
+    the shuffle, however many documents have one."""
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    own = stored(with_signatures(base, "text", "sigs", chain).select("k", "sigs", digest("sigs").alias("fingerprint")), "spot-sets")
+    classes = own.groupBy("fingerprint").agg(F.min("k").alias("class_id"), F.first("sigs").alias("sigs"))
+    return stored(classes.withColumn("n", F.size("sigs")), "spot-classes"), own.select(F.col("k"), "fingerprint")
+
+
+def spot_pairs(classes: DataFrame, threshold: float = 0.8, rows_per_salt: int = 500) -> DataFrame:
+    """(a, b, likeness): the fingerprints of all pairs of signature sets whose Jaccard is ``threshold`` or more, each
+    pair once; every pair is found.
+
+    Sets are partitioned by their length, so a set meets those of its own and the next partition only.  There they
+    meet by a shared signature among their rarest: of two such sets, ordered by how many sets have a signature, the
+    first n - ceil(threshold n) + 1 of both share one, and signatures of a single set are left out.  What common
+    passages bring is frequent and so hardly ever among the rarest.  A signature and partition that many sets share
+    even so is salted: one side is dealt over its salts, the other goes to all of them.  Pairs that met are told
+    apart by length and then compared in full (``pruned_jaccard``)."""
+    sets = classes.where("n > 0").select("fingerprint", "n", F.explode("sigs").alias("sig"))
+    shared = sets.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1")
+    rare = (sets.join(shared, "sig").groupBy("fingerprint", "n").agg(F.array_sort(F.collect_list(F.struct("c", "sig"))).alias("shared")))
+    take = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("shared"))
+    index = (rare.select("fingerprint", "n", F.explode(F.slice("shared", F.lit(1), F.greatest(F.lit(0), take).cast("int"))).alias("s"))
+             .select("fingerprint", "n", F.col("s.sig").alias("sig"), length_part(F.col("n"), threshold - 1e-9).alias("part")))
+    index = stored(index, "spot-index")
+    busy = index.groupBy("sig", "part").agg(F.ceil(F.count("*") / rows_per_salt).cast("int").alias("salts")).where("salts > 1")
+    busy = stored(busy, "spot-busy")
+    salted = lambda rows: rows.join(busy, ["sig", "part"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    larger = salted(index).select("sig", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("fingerprint").alias("b"), F.col("n").alias("m"))
+    smaller = index.withColumn("part", F.explode(F.array(F.col("part"), F.col("part") + 1)))
+    smaller = salted(smaller).select("sig", "part", F.pmod(F.xxhash64("fingerprint"), F.col("salts")).cast("int").alias("salt"), F.col("fingerprint").alias("a"), "n")
+    met = smaller.join(larger, ["sig", "part", "salt"]).where("(n < m or (n = m and a < b))").where(F.col("n") >= F.col("m") * threshold - 1e-9)
+    met = stored(met.select("a", "b").distinct(), "spot-met")
+    side = lambda name: classes.select(F.col("fingerprint").alias(name), F.col("sigs").alias(f"sigs_{name}"))
+    both = met.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", pruned_jaccard("sigs_a", "sigs_b", threshold).alias("likeness")).where(F.col("likeness") >= threshold)
+
+
+def spot_search(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", chain: int = 3) -> DataFrame:
+    """One row per document: doc_id, fingerprint, class_id (the least id with the same signature set) and n_similar:
+    how many other signature sets have a Jaccard of ``threshold`` or more with its own.
+
+    Copies are one class and aren't expanded into pairs; no link between different sets is lost.  Null text counts
+    as empty, texts without words are one class; null ids come first and stay null; repeated rows keep their rows."""
+    classes, members = signature_classes(docs, id_col, text_col, chain)
+    pairs = stored(spot_pairs(classes, threshold), "spot-pairs")
+    links = pairs.select(F.col("a").alias("f")).unionAll(pairs.select("b")).groupBy("f").agg(F.count("*").alias("links"))
+    known = classes.join(links, F.col("fingerprint") == F.col("f"), "left").select("fingerprint", "class_id", F.coalesce("links", F.lit(0)).alias("n_similar"))
+    real = lambda c: F.when(F.col(c) != FIRST, F.col(c))
+    return members.join(known, "fingerprint").select(real("k").alias("doc_id"), "fingerprint", real("class_id").alias("class_id"), "n_similar")
+
+
 def next_documents(docs: DataFrame) -> DataFrame:
     """(k, half, next): every distinct id, half the length of its text (of the longest, where it repeats) and
     the next id, after the last the first.  Ids are dealt by range, so no task sorts them all; what crosses
@@ -94,7 +151,7 @@ def spot_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Texts travel by id once, and of a next text only what its predecessor takes over, with its signatures.
     Null text counts as empty; a null id comes before all others; where an id repeats, every row keeps its row
-    and the smallest text stands for the id as a next document.  A single id is its own next document.
+    and the text of the smallest head (of equal heads the smallest signatures) stands for the id as a next document.  A single id is its own next document.
     """
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = stored(next_documents(base), "spot-order")

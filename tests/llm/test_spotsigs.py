@@ -1,7 +1,9 @@
 import hashlib
+import random
 import re
 
-from marketlake.llm.spotsigs import ANCHORS, length_part, next_documents, pruned_jaccard, spot_fingerprints, with_signatures
+from marketlake.llm.spotsigs import (ANCHORS, COVER, length_part, next_documents, pruned_jaccard, signature_classes, spot_fingerprints, spot_pairs,
+                                     spot_search, with_signatures)
 from pyspark.sql import functions as F
 from tests.llm.helpers import awkward, docs, rows_of
 
@@ -9,11 +11,9 @@ from tests.llm.helpers import awkward, docs, rows_of
 def brute_chains(text, chain=3):
     words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
     content = [(i, w) for i, w in enumerate(words) if w not in ANCHORS]
-    out = set()
-    for n, (i, _) in enumerate(content):
-        if i and words[i - 1] in ANCHORS:
-            out.add((words[i - 1], *(w for _, w in content[n:n + chain])))
-    if not out:
+    found = [(words[i - 1], *(w for _, w in content[n:n + chain])) for n, (i, _) in enumerate(content) if i and words[i - 1] in ANCHORS]
+    out = set(found)
+    if len(found) * COVER < len(content):
         out = {("", *(w for _, w in content[n:n + chain])) for n in range(len(content))}
     return out or {("~", w) for w in words}
 
@@ -90,3 +90,58 @@ def test_pruning_never_drops_a_pair_that_reaches_the_threshold(spark):
             assert r.pruned == r.exact and (r.apart <= 1 or not r.a)
         else:
             assert r.pruned in (0.0, r.exact)
+
+
+def test_one_accidental_anchor_does_not_stand_for_a_text(spark):
+    start = "set a alpha beta gamma "
+    code, prose = start + " ".join(f"x{i}=f{i * 7}" for i in range(200)), start + " ".join(f"word{i}" for i in range(300))
+    got = {r["doc_id"]: r for r in rows_of(spot_fingerprints(docs(spark, [(1, code), (2, prose), (3, "the cat sat on the mat by the door")])))}
+    assert got[1]["fingerprint"] != got[2]["fingerprint"] and got[1]["near_next"] < 0.1 and got[1]["near_edited"] < 0.8
+
+
+def brute_search(rows, threshold):
+    sets = {i: frozenset(brute_chains(t or "")) for i, t in rows}
+    classes = {}
+    for i, own in sets.items():
+        classes.setdefault(own, []).append(i)
+    n = {c: sum(like(c, d) >= threshold for d in classes if d != c) for c in classes}
+    return {i: (min(classes[own], key=lambda k: (k is not None, k)), n[own]) for i, own in sets.items()}
+
+
+def test_search_finds_all_pairs_of_the_documents(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in d.collect()]
+    want = brute_search(rows, 0.8)
+    got = {r["doc_id"]: (r["class_id"], r["n_similar"]) for r in rows_of(spot_search(d))}
+    assert got == want and sum(n for _, n in want.values()) > 0
+
+
+def test_search_of_random_sets_at_several_thresholds(spark):
+    rng = random.Random(4)
+    base = [[f"w{rng.randrange(40)}" for _ in range(rng.randint(0, 40))] for _ in range(6)]
+    rows = [(None, "one text of the words"), (1000, None), (1001, "")]
+    for i in range(150):
+        words = [w if rng.random() > 0.04 else "odd" for w in rng.choice(base)]
+        rows.append((i, " ".join(words[rng.randint(0, 2):])))
+    df = docs(spark, rows).repartition(4)
+    for threshold in (0.5, 0.8, 0.95):
+        assert {r["doc_id"]: (r["class_id"], r["n_similar"]) for r in rows_of(spot_search(df, threshold))} == brute_search(rows, threshold)
+
+
+def test_search_salts_signatures_that_many_sets_share(spark):
+    """A group of near copies, each with a word of its own: all are linked, whatever the salting."""
+    rng = random.Random(5)
+    common = " ".join(f"the c{i} d{i}" for i in range(40))
+    rows = [(i, f"{common} the own{i} thing") for i in range(60)] + [(100 + i, " ".join(f"the r{rng.randrange(10 ** 6)} s{i}" for _ in range(20))) for i in range(60)]
+    classes, _ = signature_classes(docs(spark, rows))
+    for per_salt in (5, 500):
+        pairs = spot_pairs(classes, 0.8, rows_per_salt=per_salt)
+        assert pairs.count() == 60 * 59 // 2
+    assert sum(r["n_similar"] for r in rows_of(spot_search(docs(spark, rows)))) == 60 * 59
+    assert spot_search(docs(spark, [])).count() == 0
+
+
+def test_search_of_awkward_documents(spark):
+    got = rows_of(spot_search(awkward(spark)))
+    assert len(got) == 9 and all(r["n_similar"] == 0 for r in got)
+    assert len({r["class_id"] for r in got if r["doc_id"] in (1, 2, 4)}) == 1   # no words: one class
