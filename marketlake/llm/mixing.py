@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches, stored
+HEAVY = 0.02
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -95,10 +96,12 @@ def pool_round(p: float, size: np.ndarray, rng: np.random.Generator) -> np.ndarr
     A document is paired with the pool of all smaller ones, which move together and so keep one probability.  Mass
     moves one way or the other until the document is integral, with chances that leave both where they are in
     expectation, so it is 1 at the end with probability p; then the next largest meets the rest of the pool.  A
-    document so large that the pool can cover it one way only goes that way, as its own chance would miss the sum by
-    more than the pool has; one that it can't cover at all moves until the pool is integral and stays fractional."""
+    document that the pool can't cover leaves the pool integral and stays fractional itself.  Only where that would
+    miss the sum by much, for a document of over ``HEAVY`` of the words to take that the pool can cover one way, it
+    goes that way without a draw."""
     order = np.argsort(-size, kind="stable")
     out, rest, draws = np.empty(len(size)), float(size.sum()), rng.random(len(size))
+    heavy = HEAVY * p * rest
     for k, i in enumerate(order.tolist()):
         a = float(size[i])
         rest -= a
@@ -110,7 +113,7 @@ def pool_round(p: float, size: np.ndarray, rng: np.random.Generator) -> np.ndarr
             break
         fills, empties = (1 - p) * a <= p * rest, p * a <= (1 - p) * rest
         up, down = min((1 - p) * a, p * rest), min(p * a, (1 - p) * rest)   # words from and to the pool
-        if fills if fills != empties else draws[k] * (up + down) < down:
+        if fills if fills != empties and a > heavy else draws[k] * (up + down) < down:
             out[i], p = p + up / a, p - up / rest
         else:
             out[i], p = p - down / a, p + down / rest

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from marketlake.llm.mixing import mix_sources, pivot_round, pool_round, sizes, targets
+from marketlake.llm.mixing import HEAVY, mix_sources, pivot_round, pool_round, sizes, targets
 from tests.llm.helpers import awkward, docs, rows_of
 
 
@@ -80,14 +80,13 @@ def test_awkward_documents(spark):
 
 def test_documents_against_pools_keep_words_and_chances():
     rng = np.random.default_rng(2)
-    size = rng.integers(1, 400, 60).astype(float)
-    size[7] = 900
+    size = rng.integers(1, 100, 400).astype(float)
     for p in (0.1, 0.5, 0.93):
-        mean = np.zeros(60)
+        mean = np.zeros(400)
         for _ in range(3000):
             q = pool_round(p, size, rng)
             rest = (q > 1e-9) & (q < 1 - 1e-9)
-            assert rest.sum() <= 1 and abs((q * size).sum() - p * size.sum()) < 1e-6 and (size[rest] <= 20).all()
+            assert rest.sum() <= 1 and abs((q * size).sum() - p * size.sum()) < 1e-6 and (size[rest] <= HEAVY * p * size.sum()).all()
             mean += q / 3000
         assert np.abs(mean - p).max() < 0.05
 
@@ -113,7 +112,7 @@ def test_every_source_comes_near_its_target(spark):
 
 
 def test_equal_rows_and_null_ids_are_dealt_over_groups(spark):
-    rows = [(None, "one two three four", "en", "a")] * 3000 + [(7, f"w{i % 50} x", "en", "a") for i in range(1000)] + [(i, "some other words", "en", "b") for i in range(200)]
+    rows = [(None, "one two three four", "en", "a")] * 3000 + [(7, f"w{i % 50} x", "en", "a") for i in range(1000)] + [(i, "some other words", "en", "b") for i in range(100, 300)]
     total = lambda got: (sum(r["taken"] for r in got if r["doc_id"] is None), sum(r["taken"] for r in got if r["doc_id"] == 7))
     a = rows_of(mix_sources(docs(spark, rows), group_rows=100, fan_in=4))
     b = rows_of(mix_sources(docs(spark, rows).repartition(5), group_rows=100, fan_in=4))
