@@ -16,7 +16,7 @@ from marketlake.session import shared_dir
 from .common import stored, texts
 from .vocab import WordIds, load, tokenizer_path
 
-PART = "name string, first_doc long, n_docs long, n_tokens long"
+PART = "name string, first_doc long, first_hash long, first_row long, n_docs long, n_tokens long"
 
 
 def _open(folder: str):
@@ -37,7 +37,8 @@ def _array(folder: str, name: str, dtype: str) -> np.ndarray:
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes all documents' ids to ``folder`` in ascending doc_id order and returns the manifest, one row per
-    part in order: name, first_doc, n_docs, n_tokens, start (ids in all parts before it), dtype.
+    part in order: name, the first row's key (first_doc, first_hash, first_row), n_docs, n_tokens, start (ids in all
+    parts before it), part, dtype.
 
     Each part has <name>.ids (flat unsigned little-endian integers, 16 bits where the vocabulary fits, else
     32), <name>.docs (signed 64-bit doc_ids; null as the smallest value) and <name>.off (unsigned 64-bit
@@ -47,8 +48,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_4
     is written to the shared folder at once: a lost executor or a second attempt leaves files that nothing
     names.  The parts' bases are the prefix sums of their counts; a second small job writes the offsets.
 
-    Null text is the empty text (its ids are ``end_id`` alone); null ids come first; repeated ids stay in one
-    part, in any order; an empty table gives an empty manifest.
+    Null text is the empty text (its ids are ``end_id`` alone); null ids come first; rows of one id come in order of
+    a hash of their text, so starts agree between runs, and equal rows are dealt by their place in the table: an id
+    that a third of the rows hold is split over parts like any others.  An empty table gives an empty manifest.
     """
     where = tokenizer if "/" in tokenizer else tokenizer_path(tokenizer)
     dtype = "<u2" if max(load(where).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
@@ -59,14 +61,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_4
         store, path = _open(folder)
         words = held.get("words") or held.setdefault("words", WordIds(tokenizer if "/" in tokenizer else tokenizer_path(tokenizer), dtype))
         name, files = f"part-{uuid.uuid4().hex}", None
-        end, first, n_docs, n_tokens = np.array([end_id], dtype=dtype).tobytes(), None, 0, 0
+        end, first, n_docs, n_tokens = np.array([end_id], dtype=dtype).tobytes(), (None, 0, 0), 0, 0
         for batch in it:
             for at in range(0, batch.num_rows, 1000):
                 b = batch.slice(at, 1000)
                 if files is None:
                     store.create_dir(path, recursive=True)
                     files = [store.open_output_stream(f"{path}/{name}.{x}") for x in ("ids", "docs", "len")]
-                    first = b.column(0)[0].as_py()
+                    first = tuple(b.column(k)[0].as_py() for k in (0, 2, 3))
                 ids = [e + end for e in words.encode(texts(b.column(1)))]
                 own = np.array([len(e) for e in ids], dtype=np.uint64) // np.dtype(dtype).itemsize
                 files[0].write(b"".join(ids))
@@ -76,20 +78,23 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_4
         if files:
             for f in files:
                 f.close()
-            yield pa.RecordBatch.from_pydict({"name": [name], "first_doc": pa.array([first], pa.int64()), "n_docs": [n_docs], "n_tokens": [n_tokens]})
+            yield pa.RecordBatch.from_pydict({"name": [name], **{c: pa.array([v], pa.int64()) for c, v in zip(("first_doc", "first_hash", "first_row"), first)},
+                                              "n_docs": [n_docs], "n_tokens": [n_tokens]})
 
-    ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-               .repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first()))
+    key = [F.col("doc_id").asc_nulls_first(), F.col("hash"), F.col("row")]
+    ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
+                           F.monotonically_increasing_id().alias("row"))
+               .repartitionByRange(*key).sortWithinPartitions(*key))
     parts = stored(ordered.mapInArrow(write, PART), "token-parts")
     # one row per written part: as many as there are partitions, whatever the documents
-    order = Window.orderBy(F.col("first_doc").asc_nulls_first(), "name")
+    order = Window.orderBy(F.col("first_doc").asc_nulls_first(), "first_hash", "first_row")
     parts = (parts.withColumn("start", F.sum("n_tokens").over(order) - F.col("n_tokens")).withColumn("part", F.row_number().over(order))
              .withColumn("dtype", F.lit(dtype)))
 
     def offsets(it):
         store, path = _open(folder)
         for b in it:
-            for name, start in zip(b.column(0).to_pylist(), b.column(4).to_pylist()):
+            for name, start in zip(b.column("name").to_pylist(), b.column("start").to_pylist()):
                 sums = np.concatenate([[0], np.cumsum(_array(folder, f"{name}.len", "<u8"), dtype=np.uint64)]).astype(np.uint64)
                 with store.open_output_stream(f"{path}/{name}.off") as f:
                     f.write((sums + np.uint64(start)).astype("<u8").tobytes())

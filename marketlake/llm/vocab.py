@@ -10,6 +10,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,6 +20,8 @@ from tokenizers import Tokenizer
 MEMO_WORDS = 400_000
 # words of Latin-1 letters: composed already, a piece of their own, and lower-cased letter by letter alike everywhere
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_PLAIN = re.compile(r"[0-9A-Za-zÀ-ÖØ-öø-ÿ]")
+LONG_WORD = 64
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -78,43 +82,61 @@ class WordIds:
     """Ids of texts for a tokenizer that drops white space: bytes of little-endian unsigned integers."""
 
     def __init__(self, path: str, dtype: str):
-        self.tokenizer, self.dtype, self.memo = load(path), np.dtype(dtype), {}
+        self.tokenizer, self.dtype, self.memo, self.tails = load(path), np.dtype(dtype), {}, {}
         self.split = cuts(path) == "dropped"
+        self._forget()
+
+    def _forget(self) -> None:
+        self.tails = dict(zip(".,", self._encode([".", ","])))
+        self.memo = {"": b"", **self.tails}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        own = array("H" if self.dtype.itemsize == 2 else "I", ids)
+        if sys.byteorder == "big":
+            own.byteswap()
+        return own.tobytes()
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, words: set[str]) -> None:
-        # a comma or full stop after a letter or digit is a piece of its own; a word of Latin letters is one piece
-        # in lower case, which the library's model takes without its normalizer and pre-tokenizer
-        memo, model, odd, parts = self.memo, self.tokenizer.model, [], {}
+        # a comma or full stop is a piece of its own after a Latin letter or digit, which no normalization takes apart
+        # (others may end in a mark that goes with what follows); a word of Latin letters is one piece in lower case,
+        # which the library's model takes without its normalizer and pre-tokenizer
+        memo, tails, tokenize, whole, cut = self.memo, self.tails, self.tokenizer.model.tokenize, [], {}
         for w in words:
-            if w in memo:
-                continue
-            tail = len(w) > 1 and w[-1] in ".," and w[-2].isalnum()
+            tail = tails.get(w[-1])
             bare = w[:-1] if tail else w
             if _LETTERS.fullmatch(bare):
                 bare = bare.lower()
-                if bare not in memo:
-                    memo[bare] = np.array([t.id for t in model.tokenize(spelled(bare))], dtype=self.dtype).tobytes()
-            elif bare not in memo:
-                odd.append(bare)
-            parts[w] = (bare, w[-1] if tail else "")
-        odd = [w for w in {*odd, ".", ",", ""} if w not in memo]
-        memo.update(zip(odd, self._encode(odd)))
-        for w, (bare, tail) in parts.items():
-            memo[w] = memo[bare] + memo[tail]
+                ids = memo.get(bare)
+                if ids is None:
+                    ids = memo[bare] = self._bytes([t.id for t in tokenize(spelled(bare))])
+                memo[w] = ids + tail if tail else ids
+            elif tail and _PLAIN.fullmatch(bare[-1]):
+                cut[w] = bare
+                whole.append(bare)
+            else:
+                whole.append(w)
+        memo.update(zip(whole, self._encode(whole)))
+        for w, bare in cut.items():
+            memo[w] = memo[bare] + tails[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.split:
             return self._encode(texts)
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        self._learn(set().union(*parts))
+            self._forget()
+        new = set().union(*parts) - self.memo.keys()
+        self._learn(new)
         get = self.memo.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        out = [b"".join(map(get, p)) for p in parts]
+        for w in new:
+            if len(w) > LONG_WORD:  # a blob is learnt for its batch alone: the memo holds words
+                for key in (w, w[:-1], w.lower(), w[:-1].lower()):
+                    self.memo.pop(key, None)
+        return out
 
 
 class WordCounts:

@@ -95,3 +95,41 @@ def test_files_give_back_what_was_written(spark):
 
 def test_no_documents_no_files(spark):
     assert token_files(docs(spark, [])).count() == 0
+
+
+def test_ids_of_every_letter_and_digit_before_a_mark():
+    path = tokenizer_path("word_bpe_49k.json")
+    words, t = WordIds(path, "<u2"), load(path)
+    alnum = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalnum()]
+    own = [f"{a}{c}{m} x" for c in alnum for a in ("", "b") for m in ".,"]
+    for lo in range(0, len(own), 50_000):
+        part = own[lo:lo + 50_000]
+        assert [np.frombuffer(b, "<u2").tolist() for b in words.encode(part)] == [e.ids for e in t.encode_batch(part, add_special_tokens=False)]
+
+
+def test_ids_of_random_odd_texts_and_blobs():
+    path, rng = tokenizer_path("word_bpe_49k.json"), random.Random(0)
+    words, t = WordIds(path, "<u2"), load(path)
+    odd = ["İ", "ﬁ", "e\u0301", "é", "Σ", ".", ",", " ", "\n", "a", "B", "9", "\u0958", "日本", "'s", "'", "\x1c", "\x85", "ǅ", "½", "²", "\u1100", "\u1161", "x\u0301", "İ.",
+           "ß.", "<|endoftext|>", "ÿ,", "_", "-", "Q" * 90 + "."]
+    own = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 9))) for _ in range(30_000)]
+    assert [np.frombuffer(b, "<u2").tolist() for b in words.encode(own)] == [e.ids for e in t.encode_batch(own, add_special_tokens=False)]
+    assert max(map(len, words.memo)) <= 64
+
+
+def test_one_id_for_a_third_of_the_rows(spark):
+    rows = [(None, f"text {i % 40}") for i in range(300)] + [(5, f"word {i % 7}") for i in range(300)] + [(i, "other") for i in range(300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        seen = []
+        for n in (2, 7):
+            folder = shared_dir(spark, "t-hot-id")
+            manifest = write_token_files(docs(spark, rows).repartition(n), folder)
+            parts = open_parts(spark, manifest)
+            assert max(p["n_docs"] for p in parts) < 400
+            got = sorted(rows_of(read_token_files(manifest, folder)), key=lambda r: r["start"])
+            assert [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1].tolist()
+            seen.append([tuple(r.values()) for r in got])
+        assert seen[0] == seen[1] and len(seen[0]) == 900
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
