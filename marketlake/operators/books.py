@@ -15,7 +15,11 @@ BOOK_SCHEMA = "struct<yes_dollars: array<array<string>>, no_dollars: array<array
 
 def parse_books(b: DataFrame, col: str = "orderbook") -> DataFrame:
     """Adds ``yes`` and ``no`` ladders (array<array<string>>); a NULL or
-    unparseable document gives NULL ladders."""
+    unparseable document gives NULL ladders.  A VARIANT document is read by
+    path, JSON text is parsed."""
+    if b.schema[col].dataType.simpleString() == "variant":
+        ladder = lambda side: F.try_variant_get(F.col(col), f"$.{side}_dollars", "array<array<string>>")
+        return b.select("*", ladder("yes").alias("yes"), ladder("no").alias("no"))
     parsed = F.from_json(F.col(col), BOOK_SCHEMA)
     return b.withColumn("_book", parsed).select(
         *[c for c in b.columns], F.col("_book.yes_dollars").alias("yes"), F.col("_book.no_dollars").alias("no"))

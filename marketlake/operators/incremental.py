@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.settings import parse_bool, parse_float, parse_int
+
 MODES = ("incremental", "backfill", "full_history", "recent")
 
 
@@ -73,6 +75,24 @@ def plan_trade_windows(markets: DataFrame, state: DataFrame | None, mode: str, n
                     F.lit(now_ts).cast("bigint").alias("max_ts"))
 
 
+def windows_from_settings(markets: DataFrame, state: DataFrame | None, settings: dict[str, str], now_ts: int,
+                          key: str = "market_ticker") -> tuple[DataFrame, bool]:
+    """T5 and T8 from a job's settings as text: (windows, whether the run writes state).
+
+    TRADE_MODE, TRADE_LOOKBACK_HOURS, TRADE_OVERLAP_SECONDS, TRADE_MIN_TS, TRADE_MAX_TS, WRITE_TRADE_STATE; blank or
+    absent ones are the defaults, one that isn't exactly of its kind is an error that names it."""
+    get = settings.get
+    mode = (get("TRADE_MODE") or "").strip() or "incremental"
+    lo, hi = (parse_int(n, get(n), None, least=0) for n in ("TRADE_MIN_TS", "TRADE_MAX_TS"))
+    if lo is not None and hi is not None and lo > hi:
+        raise ValueError(f"TRADE_MIN_TS must not be above TRADE_MAX_TS, not {lo} > {hi}")
+    asked = get("WRITE_TRADE_STATE")
+    writes = check_mode(mode, lo, hi, parse_bool("WRITE_TRADE_STATE", asked, False) if (asked or "").strip() else None)
+    plan = plan_trade_windows(markets, state, mode, now_ts, parse_float("TRADE_LOOKBACK_HOURS", get("TRADE_LOOKBACK_HOURS"), 24.0, least=0),
+                              parse_int("TRADE_OVERLAP_SECONDS", get("TRADE_OVERLAP_SECONDS"), 60, least=0), lo, hi, key)
+    return plan, writes
+
+
 def trade_fetch_window(trades: DataFrame, windows: DataFrame, time_sec: Column,
                        key: str = "market_ticker") -> DataFrame:
     """Prints with min_ts <= t <= max_ts of their market's window

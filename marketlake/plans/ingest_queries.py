@@ -20,7 +20,7 @@ from marketlake.operators.books import BOOK_SCHEMA
 from marketlake.operators.paths import recent_trades
 from marketlake.plans import common as C
 from marketlake.plans.registry import register
-from marketlake.plans.staging_queries import FCT_MARKETS_FULL, some_events
+from marketlake.plans.staging_queries import FCT_MARKETS_FULL, FCT_ORDERBOOKS_SQL, STG_EVENTS_SQL, STG_SERIES_SQL, STG_TRADES_SQL, some_events
 from marketlake.plans.state_queries import MARKETS_ORDER_SQL, latest_sql
 from marketlake.plans.views import with_views
 from marketlake.schemas import MARKET_SPEC, order_for
@@ -490,6 +490,19 @@ def q_plan_trade_windows_modes(spark, d):
     return plans[0].unionByName(plans[1]).unionByName(plans[2])
 
 
+@register("plan_windows_from_settings", with_views(f"""
+select m.market_ticker, true all_pages, case when s.checked_through_ts is not null then greatest(0, s.checked_through_ts - 300)
+       else {E2 - 6 * 3600}::bigint end min_ts, {E2}::bigint max_ts, true writes_state
+from (select distinct cast(market_id as varchar) market_ticker from trades) m
+left join st s on s.market_ticker = m.market_ticker and cast(s.market_ticker as bigint) % 3 <> 0""", "trades", "raw_trades", extra={"st": STATE1_SQL}))
+def q_plan_windows_from_settings(spark, d):
+    """T5 / T8 from a job's settings as text, with the state of an earlier run."""
+    m = P.markets(spark, d).select(F.col("market_id").cast("string").alias("market_ticker"))
+    settings = {"TRADE_MODE": " incremental ", "TRADE_LOOKBACK_HOURS": "6", "TRADE_OVERLAP_SECONDS": "300", "TRADE_MIN_TS": "", "WRITE_TRADE_STATE": "yes"}
+    plan, writes = I.windows_from_settings(m, _some_state(spark, d), settings, E2)
+    return plan.withColumn("writes_state", F.lit(writes))
+
+
 @register("trade_fetch_window", with_views(f"""
 select t.* from raw_trades t
 left join st s on s.market_ticker = t.ticker and cast(s.market_ticker as bigint) % 3 <> 0
@@ -674,6 +687,64 @@ def q_landing_to_fact(spark, d):
     return M.fct_markets(ST.stg_markets(current), some_events(spark, d))
 
 
+def _land_and_merge(spark, entity, spec, keys, early, final, day=None):
+    """Two landing runs of an entity (an early version of its rows, then the final one), streamed into its load table
+    and on into its current table: keyed, or by ``day`` for insert-mostly entities."""
+    root, now = shared_dir(spark, f"way-{entity}"), TB.fresh_name(f"{entity}_way")
+    order = None
+    for run, rows in ((RUN1, early), (RUN2, final)):
+        J.land(rows, root + "/landing", entity, run)
+        SI.stream_ingest(spark, root + "/landing", root + "/load", root + "/ckpt_ingest", spec)
+        schema = _loaded(spark, root + "/load").schema
+        order = [("loaded_at", "desc_nulls_last"), *order_for(entity, schema.names)]
+        if day is None:
+            SI.stream_merge_latest(spark, root + "/load", schema, now, root + "/ckpt_merge", keys, order, progress="loaded_at")
+        else:
+            SI.stream_append_delta(spark, root + "/load", schema, now, root + "/ckpt_merge", keys, day)
+    return TB.current(spark, now) if day is None else TB.resolve_delta(spark, now, order)
+
+
+@register("landing_to_trades", with_views(STG_TRADES_SQL, "raw_trades"))
+def q_landing_to_trades(spark, d):
+    """The whole way for prints by id: land, stream, append to the days' folders, resolve on read, stage."""
+    t = P.raw_trades(spark, d)
+    early = t.filter(F.col("trade_id").cast("bigint") % 2 == 0).withColumn("count_fp", F.lit("0"))
+    return ST.stg_trades(_land_and_merge(spark, "trades", TRADE_SPEC, ["trade_id"], early, t, F.expr("try_cast(created_time as timestamp_ntz)")))
+
+
+@register("landing_to_events", with_views(STG_EVENTS_SQL, "raw_events"))
+def q_landing_to_events(spark, d):
+    """The whole way for events: land, stream, merge, stage."""
+    e = P.raw_events(spark, d)
+    early = e.withColumns({"title": F.lit("early"), "sub_title": F.lit(None).cast("string")})
+    return ST.stg_events(_land_and_merge(spark, "events", EVENT_SPEC, ["event_ticker"], early, e))
+
+
+SERIES_VARIANT = [(p, c, "variant" if c == "tags" else t) for p, c, t in SERIES_SPEC]
+
+
+@register("landing_to_series", with_views(STG_SERIES_SQL, "raw_series"))
+def q_landing_to_series(spark, d):
+    """The whole way for series; the tags stay VARIANT from the load table to the staging model."""
+    r = P.raw_series(spark, d)
+    early = r.withColumns({"title": F.lit("early"), "tags": F.array(F.lit("x"))})
+    s = ST.stg_series(_land_and_merge(spark, "series", SERIES_VARIANT, ["ticker"], early, r))
+    return s.withColumn("tags", F.try_variant_get("tags", "$", "array<string>"))
+
+
+@register("landing_to_orderbooks", FCT_ORDERBOOKS_SQL)
+def q_landing_to_orderbooks(spark, d):
+    """The whole way for order books: land, stream, merge, stage, join to the fact; the ladders stay VARIANT and are
+    read by path (the last step spells them for the comparison)."""
+    b = P.raw_orderbooks(spark, d).withColumn("orderbook", F.from_json("orderbook", BOOK_SCHEMA))
+    early = b.withColumn("orderbook", F.from_json(F.lit('{"yes_dollars": [["0.01", "1"]], "no_dollars": []}'), BOOK_SCHEMA))
+    spec = [("$.market_ticker", "market_ticker", "string"), ("$.orderbook", "orderbook", "variant")]
+    now = _land_and_merge(spark, "orderbooks", spec, ["market_ticker"], early, b)
+    fact = M.fct_orderbooks(ST.stg_orderbooks(now), ST.stg_markets(P.raw_markets(spark, d)), ST.stg_events(P.raw_events(spark, d)))
+    side = lambda x: F.try_variant_get("orderbook", f"$.{x}_dollars", "array<array<string>>").alias(f"{x}_dollars")
+    return fact.withColumn("orderbook", F.to_json(F.struct(side("yes"), side("no"))))
+
+
 @register("minute_bars_stream", with_views("""
 select market_id, window_start, window_end, price, trades from (
   select market_id, date_trunc('minute', trade_time) window_start,

@@ -130,7 +130,7 @@ def q_fct_markets(spark, d):
     return M.fct_markets(ST.stg_markets(_full_markets(spark, d)), some_events(spark, d))
 
 
-@register("fct_orderbooks", with_views(
+FCT_ORDERBOOKS_SQL = with_views(
     "select b.market_ticker, m.event_ticker, e.category, e.series_ticker, e.event_title, e.event_subtitle, "
     + ", ".join(f"m.{c}" for c in M.FCT_ORDERBOOK_MARKET_COLS)
     + """, b.orderbook, cast(b.yes_level_count as int) yes_level_count, cast(b.no_level_count as int) no_level_count,
@@ -141,7 +141,10 @@ from (select 'MKT-' || cast(market_id as varchar) market_ticker, any_value(order
       from levels join book_text using (market_id) group by market_id) b
 left join sm m on m.market_ticker = b.market_ticker
 left join se e on e.event_ticker = m.event_ticker""", "levels", "book_text", "raw_markets", "raw_events",
-    extra={"sm": stg_markets_sql(), "se": STG_EVENTS_SQL}))
+    extra={"sm": stg_markets_sql(), "se": STG_EVENTS_SQL})
+
+
+@register("fct_orderbooks", FCT_ORDERBOOKS_SQL)
 def q_fct_orderbooks(spark, d):
     return M.fct_orderbooks(ST.stg_orderbooks(P.raw_orderbooks(spark, d)), ST.stg_markets(P.raw_markets(spark, d)),
                             ST.stg_events(P.raw_events(spark, d)))

@@ -102,8 +102,9 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
 
 def _value(path: str, kind: str) -> Column:
-    """A payload value: a Spark type as it is, ``number`` and ``time`` from
-    text (bad text is NULL), ``json`` any value as JSON text."""
+    """A payload value: a Spark type as it is (``variant``: any value, stored
+    as VARIANT and read by path), ``number`` and ``time`` from text (bad text
+    is NULL), ``json`` any value as JSON text."""
     get = lambda t: F.try_variant_get(F.col("_v"), path, t)
     if kind == "number":
         return F.expr(f"try_cast(try_variant_get(_v, '{path}', 'string') as decimal(38,0))")

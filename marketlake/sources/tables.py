@@ -173,10 +173,10 @@ def keyed_load(spark: SparkSession, df: DataFrame, name: str, keys: list[str] |
 
 # ---- insert-mostly tables: rows by id that hardly ever change (trades) ----
 
-def append_delta(spark: SparkSession, df: DataFrame, name: str, keys: list[str], time_col: str) -> None:
-    """Adds a batch's rows to the folders of their days and rewrites nothing: an id's rows must have the same day of
-    ``time_col`` (a print's time never changes), or they meet on read only."""
-    rows = df.withColumn(DAY, F.to_date(F.col(time_col)))
+def append_delta(spark: SparkSession, df: DataFrame, name: str, keys: list[str], time_col) -> None:
+    """Adds a batch's rows to the folders of their days and rewrites nothing.  ``time_col`` (a column or expression)
+    is a time that an id's rows all share, as a print's does: it is latest per (day, id) that is resolved."""
+    rows = df.withColumn(DAY, F.to_date(F.col(time_col) if isinstance(time_col, str) else time_col))
     if not spark.catalog.tableExists(name):
         create_table(spark, name, rows.schema, DAY, keys=json.dumps(keys))
     _widen(spark, rows, name).repartition(DAY).write.insertInto(name, overwrite=False)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import quality as Q
 from marketlake.operators import schema_ops as SO
-from marketlake.operators.incremental import plan_trade_windows
+from marketlake.operators.incremental import plan_trade_windows, windows_from_settings
 from marketlake.operators.paths import recent_trades
 from marketlake.session import shared_dir
 from marketlake.sources import jsonl as J
@@ -119,3 +119,17 @@ def test_recent_trades_of_hot_and_cold_markets(spark):
         for m in ("hot", "slow", "few"):
             own = sorted((x for x in data if x[1] == m), key=lambda x: (x[2] or dt.datetime.min, x[0]), reverse=True)[:n]
             assert got[m] == {x[0] for x in own}
+
+
+def test_windows_from_settings(spark):
+    markets = rows(spark, [("a",)], "market_ticker string")
+    one = lambda settings: [tuple(r) for r in windows_from_settings(markets, None, settings, 100_000)[0].collect()]
+    assert one({}) == [("a", True, 100_000 - 86_400, 100_000)]
+    assert one({"TRADE_LOOKBACK_HOURS": "0.5", "TRADE_MODE": "incremental"}) == [("a", True, 98_200, 100_000)]
+    assert one({"TRADE_MODE": "backfill", "TRADE_MIN_TS": "5", "TRADE_MAX_TS": "9"}) == [("a", True, 5, 9)]
+    assert windows_from_settings(markets, None, {}, 1)[1] and not windows_from_settings(markets, None, {"TRADE_MODE": "full_history"}, 1)[1]
+    assert not windows_from_settings(markets, None, {"WRITE_TRADE_STATE": "off"}, 1)[1]
+    for bad in ({"TRADE_MODE": "sometimes"}, {"TRADE_LOOKBACK_HOURS": "soon"}, {"TRADE_OVERLAP_SECONDS": "1.5"}, {"TRADE_OVERLAP_SECONDS": "-1"},
+                {"TRADE_MIN_TS": "5"}, {"WRITE_TRADE_STATE": "maybe"}, {"TRADE_MODE": "backfill", "TRADE_MIN_TS": "9", "TRADE_MAX_TS": "5"}):
+        with pytest.raises(ValueError):
+            windows_from_settings(markets, None, bad, 1)
