@@ -448,13 +448,17 @@ def _order(names):
     return seen
 
 
+# views that a LIMIT above them would otherwise be pushed into, which turns their joins into nested loops
+MATERIALIZED = {"pp"}
+
+
 def with_views(body: str, *names: str, extra: dict[str, str] | None = None, trades: str = "trades") -> str:
     """Prefix ``body`` with the CTEs it needs (dependencies first).
 
     ``extra`` adds query-local CTEs after the proxy views, in order.
     ``trades`` names the view that stands for the prints.
     """
-    parts = [f"{n} as ({VIEWS[trades if n == 'trades' else n]})" for n in _order(names)]
+    parts = [f"{n} as {'materialized ' if n in MATERIALIZED else ''}({VIEWS[trades if n == 'trades' else n]})" for n in _order(names)]
     for n, q in (extra or {}).items():
         parts.append(f"{n} as ({q})")
     if not parts:
