@@ -117,7 +117,7 @@ def pair_gap_summary(pp: DataFrame, lags_df: DataFrame, best: DataFrame, pairs:
         F.avg(F.when(F.col("from_side") == 0, (F.col("lag_minutes") <= 1).cast("double")))
          .alias("share_loser_followed_within_1m"))
     # the lags are read twice; ``lags_df`` is a stored table
-    meds = medians_wide(lags_df, [event], checkpoint=False, cols={
+    meds = medians_wide(lags_df, [event], cols={
         "median_minutes_winner_to_loser": F.when(F.col("from_side") == 1, F.col("lag_minutes")),
         "median_minutes_loser_to_winner": F.when(F.col("from_side") == 0, F.col("lag_minutes"))})
     lg = shares.join(meds, event, "left")

@@ -1,7 +1,7 @@
 """Rank correlations.
 
 Inputs are summaries (one row per market or game).  Ranks are computed in
-long form with the distributed ``average_rank`` (range-partitioned, ties
+long form with the distributed ``average_rank`` (counted by value and cell, ties
 averaged by an aggregate), so no (metric, feature) pair or column is one
 task.
 """
