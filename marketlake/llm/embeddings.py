@@ -14,10 +14,19 @@ from .graph import components
 
 
 def unit(rows) -> np.ndarray:
+    """The rows at length 1.  They are first brought near 1 by a power of two, which changes no digit, so that the
+    squares of very short and very long vectors neither vanish nor overflow."""
     x = np.stack([np.asarray(v, dtype=np.float64) for v in rows])
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def plane_gaps(c: np.ndarray) -> np.ndarray:
+    """Distances between unit centroids, from their products: k x k numbers whatever the length of a vector.  What the
+    products round off is added, so that no gap is too small."""
+    return np.sqrt(np.maximum(0.0, np.add.outer(q := (c * c).sum(axis=1), q) - 2 * (c @ c.T))) + 1e-7
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     """k unit centroids of the unit vectors ``x``; a cell that empties keeps its centroid."""
     c = x[np.random.default_rng(seed).permutation(len(x))[:k]].copy()
@@ -56,9 +65,8 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     v = F.col("v")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"),
                           F.col(label_col).alias("label"))
-    norm2 = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    usable = F.coalesce(F.col("label").isNotNull() & finite & (norm2 > 0) & (norm2 < F.lit(float("inf"))), F.lit(False))
+    usable = F.coalesce(F.col("label").isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
     # -0.0 and 0.0 are the same component
     v0 = F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     rows = rows.withColumn("ok", usable).withColumn("v", F.when(F.col("ok"), v0))
@@ -97,7 +105,7 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
             c = x[:1] * 0
         p = x @ c.T
         home = np.argmax(p, axis=1)
-        gap = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
+        gap = plane_gaps(c)
         near = p - p[np.arange(len(x)), home][:, None] >= -reach * gap[home]
         near[np.arange(len(x)), home] = True
         return pd.DataFrame({"cid": pdf["cid"].to_numpy(), "home": home.astype("int32"),

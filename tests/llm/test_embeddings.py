@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from marketlake.llm.embeddings import embedding_near_duplicates
+from marketlake.llm.embeddings import embedding_near_duplicates, plane_gaps, unit
 
 SCHEMA = "vec_id long, embedding array<float>, label int, kept int, v string"
 
@@ -67,3 +67,29 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(a, b) for a, b in zip(ids, ids[1:])] + [(100, 101), (101, 101), (100, 101)], "a long, b long")
     got = {r.node: r.root for r in components(links).collect()}
     assert got == {**{i: 0 for i in ids}, 100: 100, 101: 100}
+
+
+def test_very_short_and_very_long_vectors(spark):
+    own = [(1, [1e-200, 2e-200]), (2, [1e200, 2.1e200]), (3, [1.0, 2.0]), (4, [-1e-300, 2e-300]), (5, [5e-324, 1e-323]), (6, [1e308, 1.7e308]), (7, [0.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in own], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_near_duplicates(df).collect()}
+    alike = {1, 2, 3, 5, 6}
+    assert got == {i: (4, 1) if i in alike else (0, i) for i, _ in own}
+    x = np.random.default_rng(0).normal(size=(5, 7))
+    assert (unit(x) == x / np.linalg.norm(x, axis=1, keepdims=True)).mean() > 0.5 and np.allclose(unit(x * 1e-250), unit(x), rtol=1e-14)
+
+
+def test_long_vectors(spark):
+    rnd = np.random.default_rng(4)
+    rows = []
+    for i in range(150):
+        base = np.random.default_rng(i % 11).normal(size=1024)
+        rows.append((i, (base + rnd.normal(size=1024) * rnd.choice([0.05, 0.3, 0.5])).astype(np.float32).tolist(), int(i % 2), 0, "x"))
+    assert result(embedding_near_duplicates(spark.createDataFrame(rows, SCHEMA), cell_rows=15, sample_rows=100, block_rows=32)) == brute(rows)
+
+
+def test_gaps_between_planes_are_never_too_small():
+    c = unit(np.random.default_rng(1).normal(size=(40, 30)))
+    c = np.concatenate([c, unit(c[:5] + 1e-9)])
+    exact = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
+    assert (plane_gaps(c) >= exact).all() and np.abs(plane_gaps(c) - exact).max() < 2e-7
