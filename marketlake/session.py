@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a generated method of more bytecode than this is never compiled by the JVM; wide projections (55 columns) run
+    # faster outside whole-stage code than in a method that stays interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # queries write reliable checkpoints (per-query dimensions, rank inputs);
     # remove their files once the driver no longer references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
