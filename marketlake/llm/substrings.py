@@ -232,11 +232,12 @@ def streamed(passages: DataFrame, words: int, stream_words: int) -> DataFrame:
 
     A shard's passages are dealt into groups of about ``stream_words`` words, however many they are, and its
     references go to each of the groups, which builds the automaton of them and streams its passages."""
-    groups = passages.where("not first").groupBy("shard").agg(F.ceil(F.sum("n") / stream_words).cast("int").alias("groups"))
-    rows = passages.join(groups, "shard")
-    none = F.array().cast("array<int>")
-    salt = F.when(F.col("first"), F.sequence(F.lit(0), F.col("groups") - 1)).otherwise(F.array(F.pmod(F.xxhash64("at"), "groups").cast("int")))
-    rows = rows.withColumn("salt", F.explode(F.coalesce(salt, none))).select("shard", "salt", "first", "at", "text")
+    # a row per shard with more words than one group takes: written first, so that Spark knows its size and joins it
+    # to the passages where they lie while it is small, and by a shuffle beyond that
+    many = passages.where("not first").groupBy("shard").agg(F.ceil(F.sum("n") / stream_words).cast("int").alias("groups")).where("groups > 1")
+    rows = passages.join(stored(many, "busy-shards"), "shard", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
+    salt = F.when(F.col("first"), F.sequence(F.lit(0), F.col("groups") - 1)).otherwise(F.array(F.pmod(F.xxhash64("at"), F.col("groups")).cast("int")))
+    rows = rows.withColumn("salt", F.explode(salt)).select("shard", "salt", "first", "at", "text")
 
     def match(table: pa.Table) -> pa.Table:
         automaton, first = SuffixAutomaton(), table["first"].to_pylist()
@@ -256,7 +257,7 @@ def streamed(passages: DataFrame, words: int, stream_words: int) -> DataFrame:
     return rows.groupBy("shard", "salt").applyInArrow(match, "part long, start long, end long")
 
 
-def remove_repeats(docs: DataFrame, words: int = 20, run: int = 10, shard_bits: int = 15, stream_words: int = 500_000, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, words: int = 20, run: int = 10, shard_bits: int = 15, stream_words: int = 200_000, id_col: str = "doc_id",
                    text_col: str = "text", part_bytes: int = 64 << 20, block_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept: the words left over, joined by single spaces.
 
