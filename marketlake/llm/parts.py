@@ -18,12 +18,15 @@ from pyspark.sql import DataFrame
 
 from marketlake.session import shared_dir
 
-SEQ_BITS = 10  # parts a task may begin by text volume; then its last one goes on
+SEQ_BITS = 10   # parts a task may begin by text volume; then its last one goes on
+TASK_BITS = 20  # a million scan tasks: 100 TB in splits of 128 MB
 
 
 def part_numbers(limit: int) -> Callable[[int], int]:
     """A function that is told each row's size in turn and gives the row's part: a new one after ``limit``."""
     task, seq, held = TaskContext.get().partitionId(), 0, 0
+    if task >= 1 << TASK_BITS:
+        raise ValueError(f"a scan of over {1 << TASK_BITS} tasks; read larger splits")
 
     def number(size: int) -> int:
         nonlocal seq, held

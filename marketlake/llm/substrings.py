@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import stored
 from .parts import blocks, dealt, lookup, part_numbers, side
 
-ADDRESS_BITS = 36          # a word's address is its part and its place among the part's words
+ADDRESS_BITS = 33          # a word's address is its part (30 bits) and its place among the part's words
 LAST = (1 << 63) - 1       # a null id comes after all others
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
