@@ -157,7 +157,7 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     # a component is named by its smallest id
     named = (classes.select("cid", "n", "first_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("root", F.coalesce("root", "cid")))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component"))
+    least = stored(named.groupBy("root").agg(F.min("first_id").alias("component")), "vector-names")
     named = (named.join(least, "root").join(links, "cid", "left")
              .select("cid", "component", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links")))
     named = classes.select("cid", "label", "v", F.lit(True).alias("ok")).join(named, "cid")

@@ -15,15 +15,16 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     Alternates two steps until nothing changes.  Large step: every larger
     neighbour of a node is linked to the node's smallest neighbour.  Small
     step: the same for the neighbours that are not larger.  Each step is a
-    minimum by key and a join back, so a hub's links are reduced before the
-    shuffle and its rows in the join can be split.  Every round is written to
+    minimum by key, reduced before the shuffle and written, and a join back:
+    Spark knows the minima's size, so while they are small they go to where a
+    hub's links lie, and beyond that its rows in the join can be split.  Every round is written to
     the shared folder; a lost executor repeats its tasks only, and nothing
     but two sums per round comes to the driver.  Self links and repeats are
     harmless; an empty table gives an empty result.
     """
     def star(edges: DataFrame) -> DataFrame:
         least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        return edges.join(least, "u")
+        return edges.join(stored(least, f"{name}-least"), "u")
 
     def mark(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -141,8 +141,10 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     fps = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(near_links(nodes.select("fp"), max_bits), "simhash-components")
-    nodes = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.select("fp", "root").join(named, "root").select("fp", "component_id")
+    # only linked fingerprints need another's name; the names are a row per component, written so that their size is known
+    linked = stored(nodes.join(roots, nodes.fp == roots.node).select("fp", "least", "root"), "simhash-linked")
+    named = stored(linked.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-names")
+    named = linked.join(named, "root").select("fp", "component_id")
+    named = nodes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return (fps.join(named, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
