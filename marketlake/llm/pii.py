@@ -229,7 +229,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def redact(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The columns of ``docs`` with every span of ``find_personal_data`` replaced by [EMAIL], [IP], [CARD] or
     [PHONE]; overlapping spans become one, named by the first.  Null text stays null."""
-    docs = stored(docs.select(*columns, F.monotonically_increasing_id().alias("__rid")), "keyed-documents")
+    docs = stored(docs.select(*columns, F.monotonically_increasing_id().alias("__rid")), "keyed-documents", compression="zstd")
     found = scan(docs, id_col, text_col, "__rid")
     more = (additions(found, **options).groupBy(F.col("rid").alias("__rid"))
             .agg(F.collect_list(F.struct("kind", "start", "end")).alias("__more")))  # of one row's text
