@@ -26,7 +26,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def keyed(docs: DataFrame, name: str) -> DataFrame:
     """The documents, stored, with a key of each row's own: ids may be null or repeat."""
-    return stored(docs.select(*COLUMNS).withColumn("rid", F.monotonically_increasing_id()), name)
+    return stored(docs.select(*COLUMNS).withColumn("rid", F.monotonically_increasing_id()), name, compression="zstd")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,5 +84,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
-            docs = stored(docs, f"stage-{at}")
+            docs = stored(docs, f"stage-{at}", compression="zstd")
     return docs
