@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,6 +219,41 @@ def test_landing_a_run_again_replaces_it(spark):
     assert good.count() == 4 and bad.count() == 0
 
 
+def _bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path.removeprefix("file:")) for f in fs)
+
+
+def test_compressed_landing_is_small_and_reads_the_same_without_a_shuffle_of_lines(spark):
+    plain, packed = shared_dir(spark, "t-plain"), shared_dir(spark, "t-packed")
+    text = F.concat(F.lit("some value of the row "), F.col("id") % 97)
+    df = spark.range(5000).select(F.col("id").alias("k"), *[text.alias(f"a_column_with_a_long_name_{i}") for i in range(12)])
+    J.land(df.coalesce(1), plain, "rows", RUN)
+    J.land(df.coalesce(1), packed, "rows", RUN, compression="gzip", rows_per_file=1000)
+    assert _bytes(packed) < _bytes(plain) / 8
+    spec = [("$.k", "k", "bigint"), ("$.a_column_with_a_long_name_3", "v", "string")]
+    good, bad = J.scan_jsonl(spark, packed, spec)
+    assert good.select("k", "v").exceptAll(J.scan_jsonl(spark, plain, spec)[0].select("k", "v")).isEmpty() and bad.isEmpty()
+    per = good.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.max("source_row_number").alias("m"), F.countDistinct("source_row_number").alias("d")).collect()
+    assert len(per) == 5 and all(r.n == r.m == r.d == 1000 for r in per)
+    assert "SortMergeJoin" not in good._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_guarded_upsert_shuffles_once_and_deals_large_buckets(spark, monkeypatch):
+    name, seen = TB.fresh_name("t_once"), []
+    latest = TB.latest_per_key
+    monkeypatch.setattr(TB, "latest_per_key", lambda *a, **o: seen.append(latest(*a, **o)) or seen[-1])
+    rows = lambda v, lo, hi: spark.range(lo, hi).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(v).alias("v"))
+    merge = lambda df, **o: TB.upsert(spark, df, name, ["k"], ORDER, guard=True, rows_per_task=50, **o)
+    merge(rows(2, 0, 300).unionByName(rows(1, 0, 300)), buckets=2)
+    merge(rows(1, 200, 400).unionByName(rows(3, 0, 10)).unionByName(spark.createDataFrame([(None, 9)], "k string, v int")))
+    assert state(spark, name) == {f"k{i}": 3 if i < 10 else 2 if i < 300 else 1 for i in range(400)}
+    assert TB.current(spark, name).count() == 400
+    for new in seen:   # the rows are dealt once, and reduced where they lie; other exchanges hold bucket numbers
+        dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", new._jdf.queryExecution().executedPlan().toString())
+        assert len([x for x in dealt if "_task" in x or "k#" in x]) == 1
+    assert len(seen) == 2
+
+
 def test_shared_folders_never_meet(spark):
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert a != b and a.startswith(spark.sparkContext.getCheckpointDir())
