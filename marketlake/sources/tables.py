@@ -271,17 +271,22 @@ def schema_tables(spark: SparkSession, schema: str = "default", like: str = "*")
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, is_key boolean")
 
 
-def cache_write(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_000) -> None:
+def cache_write(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_000, files_per_task: int = 100) -> None:
     """One parquet partition per event; rewriting an event replaces only that event's folder (dynamic partition
     overwrite, for this write alone).
 
     An event is written by as many tasks as its rows need: sizes are counted, and each event's number of salts is
     joined to its rows, so the game that holds a third of all rows is spread while every other has one file.  A row's
-    salt hangs on its values, so a task that runs again deals alike."""
-    sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_salts"))
-    salted = df.join(sizes.withColumnRenamed(key, "_event"), F.col(key).eqNullSafe(F.col("_event"))).drop("_event")
+    salt hangs on its values, so a task that runs again deals alike.
+
+    What a task costs is the files it opens as much as the bytes it writes, and small events are many files of few
+    bytes: the number of tasks is given, from the counted files and rows, so that no task is packed by bytes alone."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_salts", F.ceil(F.col("_rows") / rows_per_file).cast("int"))
+    all_ = sizes.agg(F.sum("_salts").alias("files"), F.sum("_rows").alias("rows")).first()
+    tasks = max(1, -(-(all_.files or 0) // files_per_task), -(-2 * (all_.rows or 0) // rows_per_file))
+    salted = df.join(sizes.select(F.col(key).alias("_event"), "_salts"), F.col(key).eqNullSafe(F.col("_event"))).drop("_event")
     salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts").cast("long"))
-    (salted.withColumn("_salt", salt).repartition(F.col(key), F.col("_salt")).select(*df.columns)
+    (salted.withColumn("_salt", salt).repartition(tasks, F.col(key), F.col("_salt")).select(*df.columns)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
 
 

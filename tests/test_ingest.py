@@ -324,6 +324,18 @@ def test_cache_splits_the_hot_event_by_its_size(spark):
             spark.conf.set(k, v)
 
 
+def test_cache_of_many_small_events_is_written_by_many_tasks(spark):
+    root = shared_dir(spark, "t-cache-small")
+    TB.cache_write(spark.range(600).select((F.col("id") % 300).alias("event"), "id"), root, "event", files_per_task=30)
+    # a task's files carry its number
+    written = [f for d, _, fs in os.walk(root.removeprefix("file:")) for f in fs if f.startswith("part-")]
+    by_task = {}
+    for f in written:
+        by_task[f[:10]] = by_task.get(f[:10], 0) + 1
+    assert len(written) == 300 and len(by_task) > 5 and max(by_task.values()) <= 60
+    assert TB.cache_read(spark, root, "event").count() == 600
+
+
 def test_cache_keys_that_folder_names_must_escape(spark):
     root = shared_dir(spark, "t-cache-names")
     keys = ["a/b", "c=d", "50%", "x y", "ü:*", None]
