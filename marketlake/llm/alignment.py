@@ -18,14 +18,13 @@ from tokenizers import Tokenizer
 
 from .common import batches, stored
 from .parts import blocks, dealt, lookup, part_numbers, side
-from .vocab import byte_alphabet, cuts, spelled, tokenizer_path
+from .vocab import byte_alphabet, cuts, tokenizer_path
 
 MARK = "▁"
 MEMO_WORDS, LONG_WORD = 200_000, 64
+UNITS = 12  # words that are learnt as one text
 # white space at an end of the text or beside other white space: its token hangs on what surrounds it
 _ODD = re.compile(r"\s\s|\A\s|\s\Z")
-_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_SPACE = spelled(" é")[0]  # how byte-level entries write a space
 
 
 class ByteTokens:
@@ -86,61 +85,62 @@ class Encoder:
 
     def __init__(self, a: str, b: str):
         (self.a, self.length_a, _), (self.b, self.length_b, _) = loaded(a), loaded(b)
-        self.memo_a, self.memo_b, self.letters, self.bad, self.marks = {}, {}, {}, set(), {}
+        self.memo_a, self.memo_b, self.bad = {}, {}, set()
         self.by_words = self.a.by_words and self.b.by_words
         if self.by_words:
-            # a full stop or comma behind a letter, and the space before a line feed, as tokens of their own
-            self.marks = {m: self.a.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"}
+            # the space before a line feed is a token of its own
             self.by_words = all(t.spelt[t.encode(["\nx"])[0][0]] == b" " for t in (self.a, self.b))
 
-    def _spelt(self, texts: list[str], ids: list[list[int]], tokens: ByteTokens | PieceTokens, length: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """Each text's ids as bytes of 32-bit integers, and whether their bytes are a space and the text."""
+    def _spelt(self, want: list[bytes], ids: list[list[int]], tokens: ByteTokens | PieceTokens, length: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """Each text's ids as bytes of 32-bit integers, and whether their bytes are those wanted."""
         flat = np.fromiter(chain.from_iterable(ids), np.int32)
         ends = np.append(0, np.cumsum([len(x) for x in ids]))
         raw, cuts_ = flat.tobytes(), (ends * 4).tolist()
-        want = [b" " + t.encode("utf-8", "surrogatepass") for t in texts]
         size = np.diff(np.append(0, np.cumsum(length[flat]))[ends]) == np.array([len(w) for w in want])
         if not size.all() or b"".join(map(tokens.spelt.__getitem__, flat.tolist())) != b"".join(want):
             size = np.array([b"".join(map(tokens.spelt.__getitem__, x)) == w for x, w in zip(ids, want)], dtype=bool)
         return [raw[lo:hi] for lo, hi in zip(cuts_[:-1], cuts_[1:])], size
 
     def _both(self, texts: list[str], ids_a: list[list[int]]) -> tuple[list[bytes], list[bytes], np.ndarray]:
-        x, same_x = self._spelt(texts, ids_a, self.a, self.length_a)
-        y, same_y = self._spelt(texts, self.b.encode(texts), self.b, self.length_b)
+        want = [b" " + t.encode("utf-8", "surrogatepass") for t in texts]
+        x, same_x = self._spelt(want, ids_a, self.a, self.length_a)
+        y, same_y = self._spelt(want, self.b.encode(texts), self.b, self.length_b)
         return x, y, same_x & same_y
 
     def _learn(self, units: list[str]) -> None:
-        """Ids of units: a word, or a line feed and the word after it.  A word of Latin letters is one piece of the
-        byte-level tokenizer, which its model takes without the steps before; a comma or full stop after one is a
-        piece of its own there, so words are learnt without it."""
-        model, letters, marks, ids_a, rest = self.a.tokenizer.model, self.letters, self.marks, [], []
-        for n, u in enumerate(units):
-            mark = marks.get(u[-1])
-            w = u[:-1] if mark else u
-            if _LETTERS.fullmatch(w):
-                own = letters.get(w)
-                if own is None:
-                    own = letters[w] = [t.id for t in model.tokenize(_SPACE + spelled(w))]
-                ids_a.append(own + mark if mark else own)
-            else:
-                rest.append(n)
-                ids_a.append([])
-        for n, own in zip(rest, self.a.encode([units[n] for n in rest])):
-            ids_a[n] = own
-        x, y, same = self._both(units, ids_a)
-        for n in rest:
-            if units[n][0] == "\n":
-                # encoded behind a space, which both give as a token of its own before a line feed
-                x[n], y[n] = x[n][4:], y[n][4:]
-        self.memo_a.update(zip(units, x))
-        self.memo_b.update(zip(units, y))
-        self.bad.update(units[n] for n in np.flatnonzero(~same))
+        """Ids of units: a word, or a line feed and the word after it.  Both tokenizers cut between units, so
+        ``UNITS`` of them are encoded as one text and its ids are cut at the units' last bytes; units of a text that
+        is not given back byte for byte are encoded one by one, which tells the bad ones."""
+        chunks = [" ".join(units[k:k + UNITS]) for k in range(0, len(units), UNITS)]
+        x, y, same = self._both(chunks, self.a.encode(chunks))
+        good = np.flatnonzero(same).tolist()
+        own = [u for k in good for u in units[k * UNITS:(k + 1) * UNITS]]
+        rest = [u for k in np.flatnonzero(~same).tolist() for u in units[k * UNITS:(k + 1) * UNITS]]
+        # the space before a unit is the first of its bytes
+        ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in own])
+        found = []
+        for side, length in ((x, self.length_a), (y, self.length_b)):
+            raw = b"".join([side[k] for k in good])
+            at = np.append(0, np.cumsum(length[np.frombuffer(raw, np.int32)]))
+            cut = np.searchsorted(at, ends)
+            if not (at[cut] == ends).all():
+                raise ValueError("a token goes on behind a word's end")
+            # a line feed's unit leaves out the space, which both give as a token of its own before it
+            cut = (cut * 4).tolist()
+            found.append([raw[lo + 4 if u[0] == "\n" else lo:hi] for u, lo, hi in zip(own, [0, *cut], cut)])
+        if rest:
+            x, y, same = self._both(rest, self.a.encode(rest))
+            self.bad.update(rest[n] for n in np.flatnonzero(~same))
+            for kept, side in zip(found, (x, y)):
+                kept += [s[4:] if u[0] == "\n" else s for u, s in zip(rest, side)]
+        for memo, kept in zip((self.memo_a, self.memo_b), found):
+            memo.update(zip(own + rest, kept))
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         # a line feed begins a unit, as a space does; only the space itself is left out
         plain = {i: t.replace("\n", " \n").split(" ") for i, t in enumerate(texts) if t and self.by_words and not _ODD.search(t)}
         if len(self.memo_a) > MEMO_WORDS:
-            for held in (self.memo_a, self.memo_b, self.letters, self.bad):
+            for held in (self.memo_a, self.memo_b, self.bad):
                 held.clear()
         get_a, get_b, bad = self.memo_a.__getitem__, self.memo_b.__getitem__, self.bad
         new = [u for u in set().union(*plain.values()) if u not in self.memo_a]

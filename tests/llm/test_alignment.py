@@ -120,3 +120,20 @@ def test_awkward_rows(spark):
     out = rows_of(alignment_table(frame))
     assert sorted((tuple(r[n] for n in NAMES) for r in out), key=str) == brute([(r["doc_id"], r["text"]) for r in frame.collect()])
     assert alignment_table(frame.limit(0)).count() == 0
+
+
+def test_words_learnt_together_have_the_ids_of_words_learnt_alone(monkeypatch):
+    from marketlake.llm import alignment
+
+    words = [w + m for w in ("plain", "Ünïcode", "日本語", "x" * 70, "3.14", "a\tb", "it's", "<|endoftext|>", "\nnext", "é", "🙂🙂") for m in ("", ".", ",", "!?")]
+    made, calls = [], []
+    encode = alignment.ByteTokens.encode
+    monkeypatch.setattr(alignment.ByteTokens, "encode", lambda self, texts: calls.append(len(texts)) or encode(self, texts))
+    for units in (1, 5, 100):
+        monkeypatch.setattr(alignment, "UNITS", units)
+        e = alignment.Encoder("byte_bpe_50k.json", "piece_bpe_32k.model")
+        assert e.by_words
+        calls.clear()
+        e._learn(words)
+        made.append((e.memo_a, e.memo_b, e.bad))
+    assert made[0] == made[1] == made[2] and calls[0] == 1
