@@ -48,10 +48,10 @@ def _land_two_runs(spark, df, name, time_col=None):
     non-JSON line; returns the landing prefix."""
     root = shared_dir(spark, name)
     if time_col is None:
-        J.land(df, root, name, RUN1)
+        J.land(df, root, name, RUN1, compression="gzip")
     else:
-        J.land(df.filter(F.col(time_col) < CUT), root, name, RUN1)
-        J.land(df.filter(F.col(time_col) >= CUT), root, name, RUN2)
+        J.land(df.filter(F.col(time_col) < CUT), root, name, RUN1, compression="gzip")
+        J.land(df.filter(F.col(time_col) >= CUT), root, name, RUN2, compression="gzip")
     spark.range(1).select(F.lit("not json {").alias("value")).write.mode("append").text(
         J.landing_path(root, "exchange", name, RUN2))
     return root
