@@ -543,7 +543,7 @@ union all select 'series', count(*) from raw_series union all select 'events', c
 def q_landing_run_counts(spark, d):
     """Q13 written with the run: rows per entity, observed on the landing writes."""
     return J.land_run({"trades": P.raw_trades(spark, d), "markets": P.raw_markets_full(spark, d), "series": P.raw_series(spark, d),
-                       "events": P.raw_events(spark, d)}, shared_dir(spark, "run"), RUN2)
+                       "events": P.raw_events(spark, d)}, shared_dir(spark, "run"), RUN2, compression="gzip")
 
 
 @register("merge_watermark_state", with_views(f"""

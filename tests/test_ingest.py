@@ -238,6 +238,14 @@ def test_compressed_landing_is_small_and_reads_the_same_without_a_shuffle_of_lin
     assert "SortMergeJoin" not in good._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_landing_run_lands_compressed(spark):
+    root = shared_dir(spark, "t-run")
+    counts = J.land_run({"a": spark.range(7).select(F.col("id").alias("k")), "b": spark.range(0).select(F.col("id").alias("k"))}, root, RUN, compression="gzip")
+    assert {r.entity: r.rows_written for r in counts.collect()} == {"a": 7, "b": 0}
+    landed = [f for d, _, fs in os.walk(root.removeprefix("file:") + "/exchange/a") for f in fs if f.startswith("part-")]
+    assert landed and all(f.endswith(".json.gz") for f in landed)
+
+
 def test_a_guarded_upsert_shuffles_once_and_deals_large_buckets(spark, monkeypatch):
     name, seen = TB.fresh_name("t_once"), []
     latest = TB.latest_per_key
