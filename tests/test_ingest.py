@@ -262,6 +262,32 @@ def test_a_guarded_upsert_shuffles_once_and_deals_large_buckets(spark, monkeypat
     assert len(seen) == 2
 
 
+def test_a_line_is_parsed_once_whatever_its_columns(spark):
+    lines = ['{"a": 1.50, "n": "x", "j": {"z": 1, "b": [2]}, "t": "2024-01-02T00:00:00Z"}', ' \t{"A": 5, "a": "6", "n": "7", "deep": {"k": [1, 2]}}', "{}",
+             '{"a": 1, "a": 2}', "[1]", "{broken", "null", None]
+    df = spark.createDataFrame([(x, "f", i) for i, x in enumerate(lines)], "value string, source_file string, source_row_number long")
+    spec = [("$.a", "a", "string"), ("$.a", "as_number", "double"), ("$.A", "upper", "int"), ("$.n", "n", "number"), ("$.j", "j", "json"), ("$.t", "t", "time"),
+            ("$.deep.k[1]", "deep", "int"), ("$.none", "none", "array<string>")]
+    good, bad = J.parse_lines(df, spec)
+    rows = [tuple(r)[:8] for r in good.orderBy("source_row_number").collect()]
+    assert rows == [("1.5", 1.5, None, None, '{"b":[2],"z":1}', dt.datetime(2024, 1, 2), None, None), ("6", 6.0, 5, 7, None, None, 2, None), (None,) * 8]
+    assert sorted(r.source_row_number for r in bad.collect()) == [3, 4, 5, 6, 7]
+    good, _ = J.parse_lines(df, [(f"$.c{i}", f"c{i}", "string") for i in range(40)])
+    for plan in (good, good.select("c1"), good.filter("c1 = 'x'")):
+        assert plan._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_a_stored_batch_is_merged_without_a_copy(spark, monkeypatch):
+    name, left = TB.fresh_name("t_stored"), []
+    drop = TB.delete
+    monkeypatch.setattr(TB, "delete", lambda s, path: left.append(s.read.parquet(path)) or left[-1].count() and drop(s, path))
+    for rows in ([("a", 1, "d1"), ("b", 1, "d1"), ("a", 3, "d2"), (None, 9, "d3")], [("a", 2, "d4"), ("c", 1, "d2"), ("b", 1, "d1")]):
+        TB.keyed_load(spark, spark.createDataFrame(rows, "k string, v long, day string"), name, ["k"], ORDER, "b", guard=True, buckets=4, progress="day", stored=True)
+    assert state(spark, name) == {"a": 3, "b": 1, "c": 1} and TB.current(spark, name).count() == 3
+    assert TB.properties(spark, name)["merged_through"] == "d4"
+    assert len(left) == 2 and not any({"k", "v"} & set(x.columns) for x in left)
+
+
 def test_shared_folders_never_meet(spark):
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert a != b and a.startswith(spark.sparkContext.getCheckpointDir())
