@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,6 +27,11 @@ from marketlake.session import shared_dir
 BUCKET, BATCH, DAY = "_bucket", "_batch", "_day"   # partition columns of keyed, key-less and delta tables
 #: a table's own option: an insert replaces the partitions it has rows for, and no others
 REPLACE = "OPTIONS (partitionOverwriteMode 'dynamic', compression 'zstd')"
+#: what Arrow stores as Spark does
+PLAIN = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType, T.BooleanType, T.DateType, T.TimestampNTZType,
+         T.DecimalType, T.BinaryType, T.StringType)
+#: how many tasks list folders: one to each folder, up to 10,000, unless set
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -296,20 +303,106 @@ def cache_write(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_0
     salt hangs on its values, so a task that runs again deals alike.
 
     What a task costs is the files it opens as much as the bytes it writes, and small events are many files of few
-    bytes: the number of tasks is given, from the counted files and rows, so that no task is packed by bytes alone."""
+    bytes: the number of tasks is given, from the counted files and rows, so that no task is packed by bytes alone.
+
+    On a mounted folder (``file:``) the tasks write plain columns by ``_write_folders``: Hadoop's local file system
+    starts a ``chmod`` process for every folder, file and checksum it makes, three to a small event, which is nearly
+    all that an event costs there.  Other stores and other types go through Spark's writer."""
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_salts", F.ceil(F.col("_rows") / rows_per_file).cast("int"))
     all_ = sizes.agg(F.sum("_salts").alias("files"), F.sum("_rows").alias("rows")).first()
     tasks = max(1, -(-(all_.files or 0) // files_per_task), -(-2 * (all_.rows or 0) // rows_per_file))
     salted = df.join(sizes.select(F.col(key).alias("_event"), "_salts"), F.col(key).eqNullSafe(F.col("_event"))).drop("_event")
     salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts").cast("long"))
-    (salted.withColumn("_salt", salt).repartition(tasks, F.col(key), F.col("_salt")).select(*df.columns)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
+    dealt = salted.withColumn("_salt", salt).repartition(tasks, F.col(key), F.col("_salt")).select(*df.columns)
+    fs, p, _ = _fs(df.sparkSession, path)
+    rest = [f for f in df.schema.fields if f.name != key]
+    if fs.getUri().getScheme() == "file" and rest and all(isinstance(f.dataType, PLAIN) for f in rest):
+        _write_folders(dealt, fs.makeQualified(p).toUri().getPath(), key)
+    else:
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
+def _write_folders(df: DataFrame, path: str, key: str, rows_per_group: int = 131_072) -> None:
+    """Writes ``df``'s partitions as they are dealt: a Parquet file per task and value of ``key``, in Spark's folders
+    (``key=value``, its escapes, its name for NULL), and replaces the folders that get rows, no others.
+
+    Files are written to a hidden folder beside the others, each under its task's name when it is whole, so a task that
+    runs again replaces its own; folders are moved to their place when all tasks have succeeded.  A task holds one
+    file's rows, ``rows_per_group`` at most."""
+    spark = df.sparkSession
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    escapes = {c: f"%{c:02X}" for c in range(128) if names.needsEscaping(chr(c))}
+    head, stored, token = f"{names.escapePathName(key)}=", df.drop(key).schema, uuid.uuid4().hex
+    codec = spark.conf.get("spark.sql.parquet.compression.codec").lower()
+    codec = codec if codec in ("gzip", "zstd") else "snappy"
+    staged = f"{path}/.staged-{token}"
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        file = f"part-{task.partitionId():05d}-{token}.{codec}.parquet"
+        begun, about = f"{staged}/.begun/{task.taskAttemptId()}", {"org.apache.spark.sql.parquet.row.metadata": stored.json()}
+        os.makedirs(os.path.dirname(begun), exist_ok=True)
+        event, part, held, files = None, None, [], 0
+
+        def flush():
+            part.write_table(pa.Table.from_batches(held))
+            held.clear()
+
+        def close():
+            flush()
+            part.close()
+            folder = f"{staged}/{head}{event.translate(escapes)}"
+            os.makedirs(folder, exist_ok=True)
+            os.replace(begun, f"{folder}/{file}")
+
+        for batch in batches:
+            runs, at = pc.run_end_encode(batch.column(0)), 0
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                rows = batch.slice(at, end - at).select(stored.names).replace_schema_metadata(about)
+                if name != event:
+                    if part:
+                        close()
+                    event, files = name, files + 1
+                    part = pq.ParquetWriter(begun, rows.schema, compression=codec, store_schema=False)
+                elif sum(len(x) for x in held) + len(rows) > rows_per_group:
+                    flush()
+                held.append(rows)
+                at = end
+        if part:
+            close()
+        yield pa.RecordBatch.from_pydict({"files": [files]})
+
+    event = F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.lit(names.DEFAULT_PARTITION_NAME()))
+    rows = df.select(event.alias("_event"), *stored.names).sortWithinPartitions("_event")
+    try:
+        os.makedirs(staged)
+        rows.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+        for folder in (x for x in os.listdir(staged) if x.startswith(head)):
+            if os.path.exists(f"{path}/{folder}"):
+                os.rename(f"{path}/{folder}", f"{staged}/.was-{folder}")
+            os.rename(f"{staged}/{folder}", f"{path}/{folder}")
+        with open(f"{path}/_SUCCESS", "w"):
+            pass
+    finally:
+        shutil.rmtree(staged, ignore_errors=True)
+    spark.catalog.refreshByPath(path)
 
 
 def cache_read(spark: SparkSession, path: str, key: str, keys: list | None = None) -> DataFrame:
     """Read the cache back with the folder name as a column; a key
-    list becomes a partition filter (pruned at listing time)."""
-    df = spark.read.parquet(path)
+    list becomes a partition filter (pruned at listing time).  Folders are
+    listed here, many by each task."""
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, str(min(int(before), 8 * spark.sparkContext.defaultParallelism)))
+    try:
+        df = spark.read.parquet(path)
+    finally:
+        spark.conf.set(LISTING, before)
     return df.filter(F.col(key).isin(keys)) if keys is not None else df
 
 

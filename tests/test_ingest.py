@@ -378,6 +378,58 @@ def test_cache_keys_that_folder_names_must_escape(spark):
     assert [r.x for r in TB.cache_read(spark, root, "event", ["a/b"]).collect()] == [0]
 
 
+def _folders(root):
+    return {f: sorted(os.listdir(f"{root}/{f}")) for f in os.listdir(root) if "=" in f}
+
+
+def test_a_small_event_costs_one_folder_and_one_file_and_few_listing_tasks(spark):
+    root = shared_dir(spark, "t-cache-cost")
+    TB.cache_write(spark.range(900).select((F.col("id") % 300).alias("event"), "id"), root, "event")
+    on_disk = _folders(root.removeprefix("file:"))
+    assert len(on_disk) == 300 and all(len(f) == 1 for f in on_disk.values())   # no checksum file beside it
+    sc, before = spark.sparkContext, spark.conf.get(TB.LISTING)
+    sc.setJobGroup("t-listing", "")
+    try:
+        assert TB.cache_read(spark, root, "event").count() == 900
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    seen = sc.statusTracker()
+    tasks = [seen.getStageInfo(s).numTasks for j in seen.getJobIdsForGroup("t-listing") for s in seen.getJobInfo(j).stageIds if seen.getStageInfo(s)]
+    assert tasks and max(tasks) <= 8 * sc.defaultParallelism < 300 and spark.conf.get(TB.LISTING) == before
+
+
+def test_a_cache_holds_what_sparks_writer_would(spark):
+    mine, theirs = shared_dir(spark, "t-cache-types"), shared_dir(spark, "t-cache-spark")
+    df = spark.range(500).select(
+        F.when(F.col("id") % 9 == 0, F.lit("")).when(F.col("id") % 7 != 0, F.concat(F.lit("g%/"), F.col("id") % 5)).alias("event"), "id",
+        F.when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("s"), (F.col("id") / 7).alias("d"), F.col("id").cast("decimal(20,4)").alias("n"),
+        F.col("id").cast("string").cast("binary").alias("b"), F.col("id").cast("short").alias("h"), (F.col("id") % 2 == 0).alias("t"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 1000)").alias("at"), F.expr("date'2024-01-01' + cast(id as int)").alias("day"))
+    TB.cache_write(df, mine, "event")
+    df.write.partitionBy("event").parquet(theirs)
+    a, b = (TB.cache_read(spark, x, "event") for x in (mine, theirs))
+    assert a.dtypes == b.dtypes and a.count() == 500 and a.exceptAll(b).isEmpty()
+    assert set(_folders(mine.removeprefix("file:"))) == set(_folders(theirs.removeprefix("file:")))
+    nested = df.select("event", F.array("id").alias("ids"))    # Spark's writer takes what is no plain column
+    TB.cache_write(nested, mine, "event")
+    assert TB.cache_read(spark, mine, "event").exceptAll(nested.select("ids", F.nullif("event", F.lit("")))).isEmpty()
+
+
+def test_a_failed_cache_write_leaves_the_cache_as_it_was(spark):
+    root = shared_dir(spark, "t-cache-failed")
+    rows = spark.range(40).select((F.col("id") % 4).alias("event"), "id")
+    TB.cache_write(rows, root, "event")
+    before = _folders(root.removeprefix("file:"))
+    with pytest.raises(Exception):
+        TB.cache_write(rows.withColumn("id", F.expr("if(id = 39, cast(raise_error('lost') as bigint), id)")), root, "event")
+    assert _folders(root.removeprefix("file:")) == before and not [f for f in os.listdir(root.removeprefix("file:")) if f.startswith(".staged")]
+    TB.cache_write(rows.filter("event = 1").withColumn("id", F.col("id") + 100), root, "event")
+    after = _folders(root.removeprefix("file:"))
+    assert [f for f in after if after[f] != before[f]] == ["event=1"]
+    assert sorted(r.id for r in TB.cache_read(spark, root, "event", [1]).collect()) == list(range(101, 141, 4))
+    assert TB.cache_read(spark, root, "event").count() == 40
+
+
 def test_optional_columns_and_subtitle(spark):
     raw = spark.createDataFrame([("T", "E", "t", "A", "A", "0.12345", "x")],
                                 "ticker string, event_ticker string, title string, yes_sub_title string, "
